@@ -194,3 +194,93 @@ def json_render(spark, d):
     ev = _events(spark, d)
     return ev.select("event_id", F.to_json(F.struct(F.col("event_type"), F.col("user_id")))
                      .alias("json"))
+
+
+# --------------------------------------------------------------------------- recordings
+from gridwave.functions import arrays as AR  # noqa: E402
+from gridwave.operators import decode as DE  # noqa: E402
+from gridwave.operators import encode as EN  # noqa: E402
+
+
+def _captures(spark, d) -> DataFrame:
+    return TD.captures(_events(spark, d), TD.table(spark, d, "customer"),
+                       TD.table(spark, d, "nation"), TD.table(spark, d, "region"))
+
+
+def _rounded(decoded: DataFrame) -> DataFrame:
+    return decoded.withColumn(C.ANALOG, AR.round_nested(F.col(C.ANALOG)))
+
+
+@register("encode_recordings")
+def encode_recordings(spark, d):
+    enc = EN.encode_ascii(_captures(spark, d))
+    return enc.select(C.FILENAME, K.short_id(F.col(C.FILENAME)).alias("file_id"),
+                      C.CONFIG_CONTENT, C.DAT_CONTENT)
+
+
+@register("decode_ascii")
+def decode_ascii(spark, d):
+    pairs = EN.encode_ascii(_captures(spark, d))
+    return _rounded(DE.decode_ascii(DE.with_header(pairs)))
+
+
+@register("decode_binary")
+def decode_binary(spark, d):
+    pairs = EN.encode_binary(_captures(spark, d))
+    return _rounded(DE.decode_binary(DE.with_header(pairs)))
+
+
+@register("flatten_long")
+def flatten_long(spark, d):
+    return SH.flatten_long(_captures(spark, d))
+
+
+@register("flatten_status")
+def flatten_status(spark, d):
+    return SH.flatten_status(_captures(spark, d))
+
+
+@register("waveform_matrix")
+def waveform_matrix(spark, d):
+    """Row-local pick of IA/IB/IC by name; channel order is rotated per
+    capture first so the pick must go by name, not position."""
+    cap = _captures(spark, d)
+    rot = (F.abs(F.hash(C.FILENAME)) % 3).cast("int")
+    perm = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: (i + rot) % 3)
+    rotated = cap.select(
+        C.FILENAME, C.MICROSECONDS,
+        F.transform(perm, lambda p: F.get(F.col(C.ANALOG_CHANNEL_NAMES), p)).alias(C.ANALOG_CHANNEL_NAMES),
+        F.transform(C.ANALOG, lambda r: F.transform(perm, lambda p: F.get(r, p))).alias(C.ANALOG))
+    return rotated.select(C.FILENAME,
+                          AR.pick_channels(F.col(C.ANALOG), F.col(C.ANALOG_CHANNEL_NAMES))
+                          .alias("waveform"))
+
+
+@register("transpose_channels")
+def transpose_channels(spark, d):
+    cap = _captures(spark, d)
+    return cap.select(C.FILENAME,
+                      AR.channel_major_to_time_major(F.col(C.ANALOG)).alias("channel_major"))
+
+
+@register("channel_attributes")
+def channel_attributes(spark, d):
+    parsed = DE.with_header(EN.encode_ascii(_captures(spark, d)))
+    cfg = F.col(DE.CFG)
+    return parsed.select(
+        C.FILENAME,
+        AR.channel_attribute(cfg["analog_channels"], "unit").alias("analog_units"),
+        AR.channel_attribute(cfg["analog_channels"], "id").alias("analog_ids"),
+        AR.channel_attribute(cfg["analog_channels"], "phase").alias("analog_phases"),
+        AR.channel_attribute(cfg["status_channels"], "id").alias("status_ids"))
+
+
+@register("channel_alias")
+def channel_alias(spark, d):
+    ev = _events(spark, d)
+    raw = ev.select(TD.recording_of_user(F.col("user_id")).alias(C.FILENAME),
+                    F.col("ts").alias(C.TIMESTAMP),
+                    F.col("event_type").alias(C.ANALOG_CHANNEL_NAMES),
+                    F.col("value").alias(C.ANALOG), "event_id")
+    aliases = spark.createDataFrame(list(C.EVENT_CHANNELS), "alias string, standard string")
+    return SH.alias_channels(raw, aliases)

@@ -167,3 +167,131 @@ SELECT event_id, su + CAST(round(sec * 1e6) AS BIGINT) AS time_us,
     "json_render": """SELECT event_id, to_json({'event_type': event_type, 'user_id': user_id})::VARCHAR AS json
 FROM events""",
 }
+
+
+CAPTURES = f"""cap_rows AS (
+  SELECT user_id, event_id, event_type, epoch_us(ts) AS time_us, value,
+         {CHANNEL_CASE} AS ch,
+         row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts), event_id) AS pos
+  FROM events),
+geo AS (SELECT c.c_custkey, n.n_name, r.r_name FROM customer c
+        JOIN nation n ON c.c_nationkey = n.n_nationkey
+        JOIN region r ON n.n_regionkey = r.r_regionkey),
+cap AS (SELECT cr.*, 'u' || CAST(cr.user_id AS VARCHAR) || '_' || CAST((cr.pos - 1) // 726 AS VARCHAR)
+               AS filename, (cr.pos - 1) % 726 + 1 AS n_in_cap,
+               CASE WHEN g.r_name = 'AMERICA' THEN 60.0::DOUBLE ELSE 50.0::DOUBLE END AS frequency,
+               g.n_name AS station_name
+        FROM cap_rows cr LEFT JOIN geo g ON cr.user_id = g.c_custkey),
+captures AS (
+  SELECT filename,
+    list([CASE WHEN ch = 'IA' THEN value END, CASE WHEN ch = 'IB' THEN value END,
+          CASE WHEN ch = 'IC' THEN value END] ORDER BY pos) AS analog,
+    ['A', 'A', 'A'] AS analog_units,
+    list([CAST(event_type = 'purchase' AS DOUBLE), CAST(event_type = 'signup' AS DOUBLE)]
+         ORDER BY pos) AS status,
+    ['IA', 'IB', 'IC'] AS analog_channel_names,
+    ['purchase', 'signup'] AS status_channel_names,
+    arg_min(frequency, pos) AS frequency,
+    CAST(CAST(('0x' || substr(md5(filename), 1, 8)) AS BIGINT) % 10000 AS VARCHAR) AS rec_dev_id,
+    arg_min(station_name, pos) AS station_name,
+    list(time_us ORDER BY pos) AS microseconds,
+    count(*) AS n, min(time_us) AS start_us
+  FROM cap GROUP BY filename)"""
+
+
+def _q(a: str, x: str) -> str:
+    """Quantise like the writer: round(x / a) counts, value a * count."""
+    return f"round({a}::DOUBLE * round({x} / {a}::DOUBLE) + 0.0, 6)"
+
+
+def _decoded(a: str, time_expr: str) -> str:
+    return f"""SELECT filename,
+  list([CASE WHEN ch = 'IA' THEN {_q(a, 'value')} END, CASE WHEN ch = 'IB' THEN {_q(a, 'value')} END,
+        CASE WHEN ch = 'IC' THEN {_q(a, 'value')} END] ORDER BY pos) AS analog,
+  ['A', 'A', 'A'] AS analog_units,
+  list([CAST(event_type = 'purchase' AS DOUBLE), CAST(event_type = 'signup' AS DOUBLE)]
+       ORDER BY pos) AS status,
+  ['IA', 'IB', 'IC'] AS analog_channel_names, ['purchase', 'signup'] AS status_channel_names,
+  arg_min(frequency, pos) AS frequency,
+  CAST(CAST(('0x' || substr(md5(filename), 1, 8)) AS BIGINT) % 10000 AS VARCHAR) AS rec_dev_id,
+  arg_min(station_name, pos) AS station_name,
+  list({time_expr} ORDER BY pos) AS microseconds
+FROM capt GROUP BY filename"""
+
+
+_CAP_START = """capt AS (SELECT cap.*, min(time_us) OVER (PARTITION BY filename) AS start_us FROM cap)"""
+
+_ANALOG_LINES = ("'1,IA,A,I,A,{a},0,0,-500,500,1,1,P' || chr(10) || "
+                 "'2,IB,B,I,A,{a},0,0,-500,500,1,1,P' || chr(10) || "
+                 "'3,IC,C,I,A,{a},0,0,-500,500,1,1,P' || chr(10) || "
+                 "'1,purchase,,,0' || chr(10) || '2,signup,,,0' || chr(10)")
+
+
+def _cfg_text(ft: str, a: str, mult: str) -> str:
+    return (f"station_name || ',' || rec_dev_id || ',1999' || chr(10) || '5,3A,2D' || chr(10) || "
+            f"{_ANALOG_LINES.format(a=a)} || CAST(frequency AS VARCHAR) || chr(10) || '0' || chr(10) "
+            f"|| '0,' || CAST(n AS VARCHAR) || chr(10) || "
+            f"strftime(make_timestamp(start_us), '%d/%m/%Y,%H:%M:%S.%f') || chr(10) || "
+            f"strftime(make_timestamp(start_us + 20000), '%d/%m/%Y,%H:%M:%S.%f') || chr(10) || "
+            f"'{ft}' || chr(10) || '{mult}' || chr(10)")
+
+
+def _count(ch: str) -> str:
+    return (f"coalesce(CAST(CAST(round(CASE WHEN ch = '{ch}' THEN value END / 0.01::DOUBLE) AS BIGINT)"
+            f" AS VARCHAR), '')")
+
+
+SQL.update({
+    "encode_recordings": f"""WITH {CAPTURES}, {_CAP_START},
+body AS (SELECT filename,
+  string_agg(CAST(n_in_cap AS VARCHAR) || ',' || CAST(time_us - start_us AS VARCHAR) || ',' ||
+             {_count('IA')} || ',' || {_count('IB')} || ',' || {_count('IC')} || ',' ||
+             CAST(CAST(event_type = 'purchase' AS INTEGER) AS VARCHAR) || ',' ||
+             CAST(CAST(event_type = 'signup' AS INTEGER) AS VARCHAR), chr(10) ORDER BY pos)
+  || chr(10) AS body
+  FROM capt GROUP BY filename)
+SELECT c.filename, substr(md5(c.filename), 1, 12) AS file_id,
+       {_cfg_text('ASCII', '0.01', '1')} AS config_content,
+       encode(b.body) AS dat_content
+FROM captures c JOIN body b USING (filename)""",
+
+    "decode_ascii": f"""WITH {CAPTURES}, {_CAP_START}
+{_decoded('0.01', 'time_us')}""",
+
+    "decode_binary": f"""WITH {CAPTURES}, {_CAP_START}
+{_decoded('0.02', 'start_us + ((time_us - start_us) // 1000) * 1000')}""",
+
+    "flatten_long": f"""WITH {CAPTURES}
+SELECT filename, time_us AS microseconds, n_in_cap - 1 AS sample_index, j - 1 AS channel_index,
+       ['IA', 'IB', 'IC'][j] AS analog_channel_names,
+       CASE WHEN ch = ['IA', 'IB', 'IC'][j] THEN value END AS analog
+FROM cap, range(1, 4) AS r(j)""",
+
+    "flatten_status": f"""WITH {CAPTURES}
+SELECT filename, time_us AS microseconds, n_in_cap - 1 AS sample_index, j - 1 AS channel_index,
+       ['IA', 'IB', 'IC'][j] AS analog_channel_names,
+       CASE WHEN ch = ['IA', 'IB', 'IC'][j] THEN value END AS analog, 'analog' AS channel_type
+FROM cap, range(1, 4) AS r(j)
+UNION ALL
+SELECT filename, time_us, n_in_cap - 1, j - 1, ['purchase', 'signup'][j],
+       CAST(event_type = ['purchase', 'signup'][j] AS DOUBLE), 'status'
+FROM cap, range(1, 3) AS r(j)""",
+
+    "waveform_matrix": f"""WITH {CAPTURES}
+SELECT filename, analog AS waveform FROM captures""",
+
+    "transpose_channels": f"""WITH {CAPTURES}
+SELECT filename,
+  [list(CASE WHEN ch = 'IA' THEN value END ORDER BY pos),
+   list(CASE WHEN ch = 'IB' THEN value END ORDER BY pos),
+   list(CASE WHEN ch = 'IC' THEN value END ORDER BY pos)] AS channel_major
+FROM cap GROUP BY filename""",
+
+    "channel_attributes": f"""WITH {CAPTURES}
+SELECT filename, ['A', 'A', 'A'] AS analog_units, ['IA', 'IB', 'IC'] AS analog_ids,
+       ['A', 'B', 'C'] AS analog_phases, ['purchase', 'signup'] AS status_ids
+FROM captures""",
+
+    "channel_alias": f"""SELECT 'u' || CAST(user_id AS VARCHAR) AS filename, ts AS "timestamp",
+       {CHANNEL_CASE} AS analog_channel_names, value AS analog, event_id FROM events""",
+})

@@ -104,3 +104,49 @@ def metadata_samples(events: DataFrame, customer: DataFrame, nation: DataFrame,
                 .alias(C.FREQUENCY),
                 F.col("n_name").alias(C.STATION_NAME),
                 F.get_json_object("props", "$.k").alias(C.REC_DEV_ID)))
+
+
+CAPTURE_LENGTH = C.WAVEFORM_LENGTH
+
+
+def captures(events: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame,
+             capture_len: int = CAPTURE_LENGTH) -> DataFrame:
+    """Decoded recordings built from events: one capture per user and run of
+    ``capture_len`` consecutive events (a recorder writing fixed-size files).
+
+    analog = [IA, IB, IC] per sample (the event's value in its own phase,
+    null elsewhere); status = [purchase, signup] bits; metadata from the
+    customer's nation/region; device id derived from the capture name.
+    Every group is bounded by ``capture_len`` rows.
+    """
+    from gridwave.functions.keys import device_id
+    from gridwave.operators.sequence import ordered_index
+
+    meta = metadata_samples(events, customer, nation, region).select(
+        "event_id", C.FREQUENCY, C.STATION_NAME)
+    ch = channel_of_event(F.col("event_type"))
+    rows = events.select(
+        "user_id", "event_id", "event_type",
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("time_us"),
+        F.array(*[F.when(ch == p, F.col("value")) for p in C.PHASE_CHANNELS]).alias("a"),
+        F.array(*[(F.col("event_type") == s).cast("double") for s in C.STATUS_EVENTS]).alias("s"),
+    ).join(meta, "event_id")
+    idx = ordered_index(rows, ["user_id"], "time_us", ["event_id"], out="pos")
+    name = F.concat(recording_of_user(F.col("user_id")), F.lit("_"),
+                    F.floor((F.col("pos") - 1) / F.lit(capture_len)).cast("string"))
+    grouped = idx.withColumn(C.FILENAME, name).groupBy(C.FILENAME).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "time_us", "a", "s"))).alias("_steps"),
+        F.min_by(C.FREQUENCY, "pos").alias(C.FREQUENCY),
+        F.min_by(C.STATION_NAME, "pos").alias(C.STATION_NAME))
+    return grouped.select(
+        C.FILENAME,
+        F.transform("_steps", lambda x: x["a"]).alias(C.ANALOG),
+        F.array(*[F.lit(C.AMPS)] * len(C.PHASE_CHANNELS)).alias(C.ANALOG_UNITS),
+        F.transform("_steps", lambda x: x["s"]).alias(C.STATUS),
+        F.array(*[F.lit(p) for p in C.PHASE_CHANNELS]).alias(C.ANALOG_CHANNEL_NAMES),
+        F.array(*[F.lit(s) for s in C.STATUS_EVENTS]).alias(C.STATUS_CHANNEL_NAMES),
+        C.FREQUENCY,
+        device_id(F.col(C.FILENAME)).cast("string").alias(C.REC_DEV_ID),
+        C.STATION_NAME,
+        F.transform("_steps", lambda x: x["time_us"]).alias(C.MICROSECONDS),
+    )
