@@ -284,3 +284,56 @@ def channel_alias(spark, d):
                     F.col("value").alias(C.ANALOG), "event_id")
     aliases = spark.createDataFrame(list(C.EVENT_CHANNELS), "alias string, standard string")
     return SH.alias_channels(raw, aliases)
+
+
+# --------------------------------------------------------------------------- files
+from gridwave.plans import staging as ST  # noqa: E402
+from gridwave.sources import files as FS  # noqa: E402
+
+
+def _folder_and_name(key: str = C.FILENAME) -> list:
+    return [F.regexp_extract(F.col(key), r"([^/]+)/[^/]+$", 1).alias("folder"),
+            F.regexp_extract(F.col(key), r"([^/]+)$", 1).alias(C.FILENAME)]
+
+
+@register("file_inventory")
+def file_inventory(spark, d):
+    inv = FS.file_inventory(spark, ST.recording_files(spark, d))
+    return inv.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder"),
+                      F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length")
+
+
+@register("scan_cfg")
+def scan_cfg(spark, d):
+    cfg = FS.scan_cfg(spark, ST.recording_files(spark, d))
+    return cfg.select(*_folder_and_name(), C.CONFIG_CONTENT)
+
+
+@register("scan_dat")
+def scan_dat(spark, d):
+    dat = FS.scan_dat(spark, ST.recording_files(spark, d))
+    return dat.select(*_folder_and_name(), F.length(C.DAT_CONTENT).alias("n_bytes"))
+
+
+@register("pair_join")
+def pair_join(spark, d):
+    root = ST.recording_files(spark, d)
+    pairs = PR.pair_files(FS.scan_cfg(spark, root), FS.scan_dat(spark, root))
+    return pairs.select(*_folder_and_name(), C.CONFIG_CONTENT,
+                        F.length(C.DAT_CONTENT).alias("n_bytes"))
+
+
+@register("decode_files")
+def decode_files(spark, d):
+    """Files -> pairs -> decoded recordings; the cfg picks ASCII or BINARY per pair."""
+    root = ST.recording_files(spark, d)
+    pairs = PR.pair_files(FS.scan_cfg(spark, root), FS.scan_dat(spark, root))
+    decoded = _rounded(DE.decode_recordings(pairs))
+    return decoded.select(*_folder_and_name(), *[c for c in decoded.columns if c != C.FILENAME])
+
+
+@register("scan_raw_csv")
+def scan_raw_csv(spark, d):
+    raw = FS.scan_raw_csv(spark, ST.raw_text_files(spark, d), pattern="error")
+    return raw.select(F.regexp_extract("path", r"recording=([^/]+)/", 1).alias("recording"),
+                      "time", "IA", "IB", "IC", "is_fault")

@@ -295,3 +295,49 @@ FROM captures""",
     "channel_alias": f"""SELECT 'u' || CAST(user_id AS VARCHAR) AS filename, ts AS "timestamp",
        {CHANNEL_CASE} AS analog_channel_names, value AS analog, event_id FROM events""",
 })
+
+
+_ASCII_BODY = f"""abody AS (SELECT filename,
+  string_agg(CAST(n_in_cap AS VARCHAR) || ',' || CAST(time_us - start_us AS VARCHAR) || ',' ||
+             {_count('IA')} || ',' || {_count('IB')} || ',' || {_count('IC')} || ',' ||
+             CAST(CAST(event_type = 'purchase' AS INTEGER) AS VARCHAR) || ',' ||
+             CAST(CAST(event_type = 'signup' AS INTEGER) AS VARCHAR), chr(10) ORDER BY pos)
+  || chr(10) AS body
+  FROM capt GROUP BY filename)"""
+
+FILES = f"""{CAPTURES}, {_CAP_START}, {_ASCII_BODY},
+files AS (
+  SELECT 'ascii.v1' AS folder, c.filename, {_cfg_text('ASCII', '0.01', '1')} AS config_content,
+         octet_length(encode(b.body)) AS n_bytes
+  FROM captures c JOIN abody b USING (filename)
+  UNION ALL
+  SELECT 'binary.v1', c.filename, {_cfg_text('BINARY', '0.02', '1000')}, c.n * 16
+  FROM captures c)"""
+
+SQL.update({
+    "file_inventory": f"""WITH {FILES}
+SELECT folder, filename || '.cfg' AS file, octet_length(encode(config_content)) AS length FROM files
+UNION ALL
+SELECT folder, filename || '.dat', n_bytes FROM files""",
+
+    "scan_cfg": f"""WITH {FILES}
+SELECT folder, filename, config_content FROM files""",
+
+    "scan_dat": f"""WITH {FILES}
+SELECT folder, filename, n_bytes FROM files""",
+
+    "pair_join": f"""WITH {FILES}
+SELECT folder, filename, config_content, n_bytes FROM files""",
+
+    "decode_files": f"""WITH {CAPTURES}, {_CAP_START}
+SELECT 'ascii.v1' AS folder, * FROM ({_decoded('0.01', 'time_us')})
+UNION ALL
+SELECT 'binary.v1' AS folder, * FROM ({_decoded('0.02', 'start_us + ((time_us - start_us) // 1000) * 1000')})""",
+
+    "scan_raw_csv": f"""SELECT 'u' || CAST(user_id AS VARCHAR) AS recording, epoch_us(ts) / 1e6 AS "time",
+       CASE WHEN {CHANNEL_CASE} = 'IA' THEN value END AS IA,
+       CASE WHEN {CHANNEL_CASE} = 'IB' THEN value END AS IB,
+       CASE WHEN {CHANNEL_CASE} = 'IC' THEN value END AS IC,
+       CAST(event_type = 'error' AS INTEGER) AS is_fault
+FROM events""",
+})
