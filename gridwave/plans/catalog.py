@@ -337,3 +337,95 @@ def scan_raw_csv(spark, d):
     raw = FS.scan_raw_csv(spark, ST.raw_text_files(spark, d), pattern="error")
     return raw.select(F.regexp_extract("path", r"recording=([^/]+)/", 1).alias("recording"),
                       "time", "IA", "IB", "IC", "is_fault")
+
+
+# --------------------------------------------------------------------------- model
+from gridwave.operators import model as MD  # noqa: E402
+from gridwave.session import shared_dir  # noqa: E402
+
+MODEL_NAME = "fault_detection"
+
+
+def _features(spark, d) -> DataFrame:
+    frames = FR.frame_waveforms(TD.raw_samples(_events(spark, d)), C.FILENAME, "time_us",
+                                ["event_id"], C.TEST_FRAME_LENGTH, label_col="is_fault")
+    return MD.waveform_features(frames)
+
+
+def _split_features(spark, d) -> DataFrame:
+    return FR.train_val_test_split(_features(spark, d), [C.FILENAME, "frame"])
+
+
+def _scored_out(scored: DataFrame) -> DataFrame:
+    return scored.select(C.FILENAME, "frame", "is_fault", "split",
+                         F.round("fault_score", 6).alias("fault_score"))
+
+
+@register("waveform_features")
+def waveform_features(spark, d):
+    return _features(spark, d).select(C.FILENAME, "frame", "is_fault", "features")
+
+
+@register("train_classifier")
+def train_classifier(spark, d):
+    split = _split_features(spark, d)
+    model = MD.fit(split.filter(F.col("split") == "train"), "is_fault", C.REFIT_EPOCHS)
+    return _scored_out(MD.score(model, split.filter(F.col("split") == "test")))
+
+
+@register("model_selection")
+def model_selection(spark, d):
+    split = _split_features(spark, d)
+    return MD.select_budget(split.filter(F.col("split") == "train"),
+                            split.filter(F.col("split") == "val"), "is_fault")
+
+
+def _refit(spark, d):
+    split = _split_features(spark, d)
+    model = MD.fit(FR.union_train_val(split), "is_fault", C.REFIT_EPOCHS)
+    return model, split.filter(F.col("split") == "test")
+
+
+@register("refit_classifier")
+def refit_classifier(spark, d):
+    model, test = _refit(spark, d)
+    return _scored_out(MD.score(model, test))
+
+
+@register("eval_metrics")
+def eval_metrics(spark, d):
+    model, test = _refit(spark, d)
+    return MD.evaluation(MD.score(model, test), "is_fault")
+
+
+@register("model_metrics")
+def model_metrics(spark, d):
+    """Refit, evaluate on test, save a new Production version, return the registry."""
+    model, test = _refit(spark, d)
+    m = MD.evaluation(MD.score(model, test), "is_fault").first().asDict()
+    root = ST.staging_path(spark, "models", d)
+    MD.save_model(model, root, MODEL_NAME, m, spark)
+    return spark.read.parquet(f"{root}/{MODEL_NAME}/registry")
+
+
+def production_model(spark, d):
+    root = ST.staging_path(spark, "models", d)
+    try:
+        return MD.production_model(spark, root, MODEL_NAME)
+    except Exception:  # nothing registered yet: train and register once
+        model_metrics(spark, d).count()
+        return MD.production_model(spark, root, MODEL_NAME)
+
+
+@register("score_waveforms")
+def score_waveforms(spark, d):
+    """Gold scoring: gather each recording into waveforms, score with the
+    Production model; a waveform of the wrong length scores null."""
+    model = production_model(spark, d)
+    g = SH.gather_waveform(TD.raw_samples(_events(spark, d)), "time_us", C.TIMESTAMP,
+                           tiebreak=["event_id"], frame_len=C.TEST_FRAME_LENGTH)
+    feats = g.withColumn("features", F.when(F.col("length_ok"), MD.flat_features(
+        SH.waveform_matrix(g))))
+    scored = MD.score(model, feats)
+    return scored.select(C.FILENAME, "frame", "n_samples", "length_ok",
+                         F.round("fault_score", 6).alias("fault_score"))

@@ -341,3 +341,14 @@ SELECT 'binary.v1' AS folder, * FROM ({_decoded('0.02', 'start_us + ((time_us -
        CAST(event_type = 'error' AS INTEGER) AS is_fault
 FROM events""",
 })
+
+
+SQL.update({
+    "waveform_features": f"""WITH {RAW},
+idx AS (SELECT *, row_number() OVER (PARTITION BY filename ORDER BY time_us, event_id) AS rn
+        FROM raw)
+SELECT filename, (rn - 1) // 16 AS frame, arg_min(is_fault, rn) AS is_fault,
+       list_transform(flatten(list([IA, IB, IC] ORDER BY rn)), lambda v: coalesce(v, 0.0::DOUBLE))
+         AS features
+FROM idx GROUP BY 1, 2 HAVING count(*) = 16""",
+})
