@@ -250,7 +250,10 @@ def decode_recordings(pairs: DataFrame, keep: Sequence[str] = (C.FILENAME,)) ->
     table partitioned by file type, each branch reads only its own files.
     """
     parsed = with_header(pairs)
-    is_ascii = F.col(CFG)["file_type"] == "ASCII"
+    # A stored pair table partitioned by ``file_type`` lets each branch prune
+    # to its own files; otherwise the parsed header decides.
+    is_ascii = (F.col("file_type") == "ASCII" if "file_type" in pairs.columns
+                else F.col(CFG)["file_type"] == "ASCII")
     ascii_part = decode_ascii(parsed.filter(is_ascii), keep)
     binary_part = decode_binary(parsed.filter(~is_ascii), keep)
     return ascii_part.unionByName(binary_part)

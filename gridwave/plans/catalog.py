@@ -429,3 +429,147 @@ def score_waveforms(spark, d):
     scored = MD.score(model, feats)
     return scored.select(C.FILENAME, "frame", "n_samples", "length_ok",
                          F.round("fault_score", 6).alias("fault_score"))
+
+
+# --------------------------------------------------------------------------- streaming
+import uuid  # noqa: E402
+
+from gridwave.streaming import pipeline as PL  # noqa: E402
+
+
+def _stream_run(spark, d, upto: str, model=None, frame_len: int = C.TEST_FRAME_LENGTH,
+                max_files: int | None = 50) -> PL.PipelineRun:
+    """A fresh pipeline instance over the staged files, run up to ``upto``."""
+    root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
+    run = PL.PipelineRun(spark, ST.recording_files(spark, d), root, model=model,
+                         frame_len=frame_len, max_files_per_trigger=max_files)
+    order = list(PL.ORDER)
+    wanted = order[: order.index(upto) + 1]
+    if upto in (PL.METADATA_SILVER, PL.FLATTENED_SILVER, PL.PIVOTED_CURRENT_SILVER,
+                PL.FAULT_DETECTION_GOLD):
+        wanted = order[:4] + [upto]
+    return run.run(wanted)
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return df
+
+
+@register("stream_scan_cfg")
+def stream_scan_cfg(spark, d):
+    run = _stream_run(spark, d, PL.CONFIG_FILES_BRONZE)
+    return run.read(PL.CONFIG_FILES_BRONZE).select(*_folder_and_name(), C.CONFIG_CONTENT)
+
+
+@register("stream_scan_dat")
+def stream_scan_dat(spark, d):
+    order = [PL.DAT_FILES_BRONZE]
+    root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
+    run = PL.PipelineRun(spark, ST.recording_files(spark, d), root, max_files_per_trigger=50)
+    run.run(order)
+    return run.read(PL.DAT_FILES_BRONZE).select(*_folder_and_name(),
+                                                F.length(C.DAT_CONTENT).alias("n_bytes"))
+
+
+@register("stream_interval_join")
+def stream_interval_join(spark, d):
+    run = _stream_run(spark, d, PL.JOINED_FILES_BRONZE)
+    return run.read(PL.JOINED_FILES_BRONZE).select(
+        *_folder_and_name(), C.CONFIG_CONTENT, F.length(C.DAT_CONTENT).alias("n_bytes"))
+
+
+@register("stream_decode")
+def stream_decode(spark, d):
+    run = _stream_run(spark, d, PL.RECORDINGS_SILVER)
+    rec = _rounded(run.read(PL.RECORDINGS_SILVER))
+    return rec.select(*_folder_and_name(), *DE.OUTPUT_ORDER)
+
+
+@register("stream_metadata")
+def stream_metadata(spark, d):
+    run = _stream_run(spark, d, PL.METADATA_SILVER)
+    return run.read(PL.METADATA_SILVER).select(*_folder_and_name(), *C.METADATA_COLUMNS)
+
+
+@register("stream_flatten")
+def stream_flatten(spark, d):
+    run = _stream_run(spark, d, PL.FLATTENED_SILVER)
+    flat = _ntz(run.read(PL.FLATTENED_SILVER), C.TIMESTAMP)
+    return flat.select(*_folder_and_name(), C.TIMESTAMP, "sample_index", "channel_index",
+                       C.ANALOG_CHANNEL_NAMES, F.round(C.ANALOG, 6).alias(C.ANALOG))
+
+
+@register("stream_pivot")
+def stream_pivot(spark, d):
+    run = _stream_run(spark, d, PL.PIVOTED_CURRENT_SILVER)
+    piv = _ntz(run.read(PL.PIVOTED_CURRENT_SILVER), C.TIMESTAMP)
+    return piv.select(*_folder_and_name(), C.TIMESTAMP,
+                      *[F.round(p, 6).alias(p) for p in C.PHASE_CHANNELS])
+
+
+def _run_extra(run: PL.PipelineRun, name: str, df: DataFrame) -> DataFrame:
+    q = (df.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", run.checkpoint(name)).trigger(availableNow=True)
+         .start(run.path(name)))
+    q.awaitTermination()
+    return run.read(name)
+
+
+@register("stream_gather")
+def stream_gather(spark, d):
+    run = _stream_run(spark, d, PL.RECORDINGS_SILVER)
+    wf = _run_extra(run, "waveforms_silver",
+                    PL.waveforms(run.read_stream(PL.RECORDINGS_SILVER), C.TEST_FRAME_LENGTH))
+    return wf.select(*_folder_and_name(), "frame", "n_samples", "length_ok",
+                     AR.round_nested(F.col("timestep_array")).alias("waveform"))
+
+
+@register("stream_score")
+def stream_score(spark, d):
+    run = _stream_run(spark, d, PL.FAULT_DETECTION_GOLD, model=production_model(spark, d))
+    g = run.read(PL.FAULT_DETECTION_GOLD)
+    return g.select(*_folder_and_name(), "frame", "length_ok",
+                    F.round("fault_score", 6).alias("fault_score"))
+
+
+@register("stream_pipeline")
+def stream_pipeline(spark, d):
+    """All eight tables, in order; one row per table with its row count."""
+    run = _stream_run(spark, d, PL.FAULT_DETECTION_GOLD, model=production_model(spark, d))
+    run.run([t for t in PL.ORDER if t not in run.progress])
+    parts = [run.read(t).groupBy().agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(t).alias("table_name"), "n_rows") for t in PL.ORDER]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("stream_table_write")
+def stream_table_write(spark, d):
+    """Bronze tables written by streams and registered with comment and quality."""
+    run = _stream_run(spark, d, PL.JOINED_FILES_BRONZE)
+    rows = []
+    for t in run.progress:
+        props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {t}").collect()}
+        comment = spark.catalog.getTable(t).description
+        rows.append((t, comment, props.get("quality")))
+    meta = spark.createDataFrame(rows, "table_name string, comment string, quality string")
+    counts = [run.read(t).groupBy().agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.lit(t).alias("table_name"), "n_rows") for t in run.progress]
+    allc = counts[0]
+    for c in counts[1:]:
+        allc = allc.unionByName(c)
+    return meta.join(allc, "table_name")
+
+
+@register("stream_table_read")
+def stream_table_read(spark, d):
+    """A registered pipeline table read back as a stream (``readStream.table``)."""
+    run = _stream_run(spark, d, PL.RECORDINGS_SILVER)
+    s = spark.readStream.table(PL.RECORDINGS_SILVER).select(
+        C.FILENAME, F.size(C.MICROSECONDS).alias("n_samples"))
+    out = _run_extra(run, "table_read", s)
+    return out.select(*_folder_and_name(), "n_samples")

@@ -352,3 +352,74 @@ SELECT filename, (rn - 1) // 16 AS frame, arg_min(is_fault, rn) AS is_fault,
          AS features
 FROM idx GROUP BY 1, 2 HAVING count(*) = 16""",
 })
+
+
+def _both_folders(select: str) -> str:
+    """Rows for the ASCII and BINARY copies of every capture with their own
+    quantisation (a) and sample times (``ts_us``)."""
+    ascii_ = select.format(folder="ascii.v1", a="0.01", ts="time_us")
+    binary = select.format(folder="binary.v1", a="0.02",
+                           ts="start_us + ((time_us - start_us) // 1000) * 1000")
+    return f"{ascii_}\nUNION ALL\n{binary}"
+
+
+_STREAM_BASE = f"{CAPTURES}, {_CAP_START}"
+
+SQL.update({
+    "stream_scan_cfg": SQL["scan_cfg"],
+    "stream_scan_dat": SQL["scan_dat"],
+    "stream_interval_join": SQL["pair_join"],
+    "stream_decode": SQL["decode_files"],
+
+    "stream_metadata": f"""WITH {CAPTURES}
+SELECT 'ascii.v1' AS folder, filename, frequency, station_name, rec_dev_id FROM captures
+UNION ALL
+SELECT 'binary.v1', filename, frequency, station_name, rec_dev_id FROM captures""",
+
+    "stream_flatten": f"""WITH {_STREAM_BASE}
+""" + _both_folders("""SELECT '{folder}' AS folder, filename, make_timestamp({ts}) AS "timestamp",
+       n_in_cap - 1 AS sample_index, j - 1 AS channel_index,
+       ['IA', 'IB', 'IC'][j] AS analog_channel_names,
+       CASE WHEN ch = ['IA', 'IB', 'IC'][j]
+            THEN round({a}::DOUBLE * round(value / {a}::DOUBLE) + 0.0, 6) END AS analog
+FROM capt, range(1, 4) AS r(j)"""),
+
+    "stream_pivot": f"""WITH {_STREAM_BASE}
+""" + _both_folders("""SELECT '{folder}' AS folder, filename, make_timestamp({ts}) AS "timestamp",
+       CASE WHEN ch = 'IA' THEN round({a}::DOUBLE * round(value / {a}::DOUBLE) + 0.0, 6) END AS IA,
+       CASE WHEN ch = 'IB' THEN round({a}::DOUBLE * round(value / {a}::DOUBLE) + 0.0, 6) END AS IB,
+       CASE WHEN ch = 'IC' THEN round({a}::DOUBLE * round(value / {a}::DOUBLE) + 0.0, 6) END AS IC
+FROM capt"""),
+
+    "stream_gather": f"""WITH {_STREAM_BASE}
+""" + _both_folders("""SELECT '{folder}' AS folder, filename, (n_in_cap - 1) // 16 AS frame,
+       count(*) AS n_samples, count(*) = 16 AS length_ok,
+       list([CASE WHEN ch = 'IA' THEN round({a}::DOUBLE * round(value / {a}::DOUBLE) + 0.0, 6) END,
+             CASE WHEN ch = 'IB' THEN round({a}::DOUBLE * round(value / {a}::DOUBLE) + 0.0, 6) END,
+             CASE WHEN ch = 'IC' THEN round({a}::DOUBLE * round(value / {a}::DOUBLE) + 0.0, 6) END]
+            ORDER BY pos) AS waveform
+FROM capt GROUP BY filename, (n_in_cap - 1) // 16"""),
+
+    "stream_pipeline": f"""WITH {CAPTURES},
+k AS (SELECT count(*) AS caps, sum(n) AS samples, sum((n + 15) // 16) AS frames FROM captures)
+SELECT 'config_files_bronze' AS table_name, 2 * caps AS n_rows FROM k
+UNION ALL SELECT 'dat_files_bronze', 2 * caps FROM k
+UNION ALL SELECT 'joined_files_bronze', 2 * caps FROM k
+UNION ALL SELECT 'recordings_silver', 2 * caps FROM k
+UNION ALL SELECT 'metadata_silver', 2 * caps FROM k
+UNION ALL SELECT 'flattened_silver', 2 * 3 * samples FROM k
+UNION ALL SELECT 'pivoted_current_silver', 2 * samples FROM k
+UNION ALL SELECT 'fault_detection_gold', 2 * frames FROM k""",
+
+    "stream_table_write": f"""WITH {CAPTURES}, k AS (SELECT count(*) AS caps FROM captures)
+SELECT 'config_files_bronze' AS table_name, 'Raw .cfg files' AS comment, 'bronze' AS quality,
+       2 * caps AS n_rows FROM k
+UNION ALL SELECT 'dat_files_bronze', 'Raw .dat files', 'bronze', 2 * caps FROM k
+UNION ALL SELECT 'joined_files_bronze', 'Joined .cfg and .dat files on filename', 'bronze',
+                 2 * caps FROM k""",
+
+    "stream_table_read": f"""WITH {CAPTURES}
+SELECT 'ascii.v1' AS folder, filename, n AS n_samples FROM captures
+UNION ALL
+SELECT 'binary.v1', filename, n FROM captures""",
+})
