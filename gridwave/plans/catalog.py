@@ -573,3 +573,26 @@ def stream_table_read(spark, d):
         C.FILENAME, F.size(C.MICROSECONDS).alias("n_samples"))
     out = _run_extra(run, "table_read", s)
     return out.select(*_folder_and_name(), "n_samples")
+
+
+@register("stream_late")
+def stream_late(spark, d):
+    """Watermarked de-duplication over events arriving one day per micro-batch,
+    with one day's file arriving last: that day's rows are behind the
+    watermark and dropped (no side output), everything else passes once."""
+    root = ST.events_by_day(spark, d)
+    schema = TD.table(spark, d, "events").schema
+    s = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+         .option("maxFilesPerTrigger", "1").parquet(root)
+         .withColumn("event_time", F.col("ts").cast("timestamp"))
+         .withWatermark("event_time", "1 hour")
+         .dropDuplicatesWithinWatermark(["event_id"]))
+    out = f"{ST.staging_path(spark, 'late', d)}/run-{uuid.uuid4().hex[:10]}"
+    q = (s.writeStream.format("parquet").option("checkpointLocation", out + "/_checkpoint")
+         .trigger(availableNow=True).start(out + "/table"))
+    q.awaitTermination()
+    LATE_PROGRESS[d] = list(q.recentProgress)
+    return spark.read.parquet(out + "/table").select("event_id", "user_id", "ts")
+
+
+LATE_PROGRESS: dict = {}

@@ -423,3 +423,7 @@ SELECT 'ascii.v1' AS folder, filename, n AS n_samples FROM captures
 UNION ALL
 SELECT 'binary.v1', filename, n FROM captures""",
 })
+
+
+SQL["stream_late"] = """SELECT event_id, user_id, ts FROM events
+WHERE strftime(ts, '%Y-%m-%d') <> '2024-01-15'"""

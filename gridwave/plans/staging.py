@@ -70,3 +70,35 @@ def raw_text_files(spark: SparkSession, sf_dir: str) -> str:
     rows.write.partitionBy("kind", "recording").option("header", "false").csv(tmp)
     _rename(spark, tmp, root)
     return root
+
+
+LATE_DAY = "2024-01-15"   # the day whose file arrives after all later days
+
+
+def events_by_day(spark: SparkSession, sf_dir: str, late_day: str = LATE_DAY) -> str:
+    """``events`` as one Parquet folder per day, with file times set so that
+    days arrive in date order except ``late_day``, which arrives last."""
+    root = staging_path(spark, "eventdays", sf_dir, late_day)
+    if path_exists(spark, root):
+        return root
+    tmp = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
+    ev = TD.table(spark, sf_dir, "events")
+    day = F.date_format(F.col("ts"), "yyyy-MM-dd")
+    ev.withColumn("day", day).repartition("day").write.partitionBy("day").parquet(tmp)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(tmp)
+    fs = base.getFileSystem(conf)
+    listing = fs.listFiles(base, True)
+    t0 = 1_700_000_000_000
+    while listing.hasNext():
+        st = listing.next()
+        p = st.getPath()
+        name = p.getName()
+        if not name.endswith(".parquet"):
+            continue
+        d = p.getParent().getName().split("=", 1)[1]
+        rank = 10_000 if d == late_day else int(d.replace("-", "")) % 10_000
+        fs.setTimes(p, t0 + rank * 1000, -1)
+    _rename(spark, tmp, root)
+    return root
