@@ -136,29 +136,25 @@ def production_model(spark: SparkSession, root: str, name: str) -> PipelineModel
 
 
 # --------------------------------------------------------------------------- plug-in scorer
-def external_scorer(load: Callable[[], Callable[[np.ndarray], np.ndarray]]):
+def external_scorer(load: Callable[[], Callable[[np.ndarray], np.ndarray]],
+                    shape: tuple[int, int] = (C.WAVEFORM_LENGTH, len(C.PHASE_CHANNELS))):
     """Scalar-iterator pandas UDF for a model that is not a Spark ML model.
 
     ``load`` runs once per Python worker (not per batch); the returned
-    function maps a stacked (N, T, channels) array to N scores.  Waveforms
-    whose shape differs from the batch's first valid one score null, instead
-    of failing the whole batch.
+    function maps a stacked (N, T, channels) array to N scores.  ``shape`` is
+    the model's fixed input; other waveforms score null instead of failing
+    the whole batch, whatever the batching.
     """
     @F.pandas_udf(DoubleType())
     def _score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = load()
         for waveforms in batches:
             arrays = [None if w is None else np.vstack(w).astype(np.float64) for w in waveforms]
-            shapes = [a.shape for a in arrays if a is not None]
-            if not shapes:
-                yield pd.Series([None] * len(arrays), dtype="float64")
-                continue
-            shape = shapes[0]
-            ok = [a is not None and a.shape == shape for a in arrays]
+            ok = np.array([a is not None and a.shape == tuple(shape) for a in arrays], dtype=bool)
             out = np.full(len(arrays), np.nan)
-            if any(ok):
+            if ok.any():
                 stacked = np.stack([np.nan_to_num(a) for a, k in zip(arrays, ok) if k])
-                out[np.array(ok)] = np.asarray(predict(stacked), dtype=np.float64).reshape(-1)
+                out[ok] = np.asarray(predict(stacked), dtype=np.float64).reshape(-1)
             yield pd.Series(out)
     return _score
 

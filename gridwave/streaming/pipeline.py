@@ -151,6 +151,7 @@ class PipelineRun:
     max_files_per_trigger: int | None = None
     register_tables: bool = True
     progress: dict = field(default_factory=dict)
+    schemas: dict = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root}/tables/{table}"
@@ -160,11 +161,14 @@ class PipelineRun:
 
     def read_stream(self, table: str) -> DataFrame:
         """An upstream table as a stream (schema from the table itself)."""
-        schema = self.spark.read.parquet(self.path(table)).schema
+        schema = self.schemas.get(table) or self.spark.read.parquet(self.path(table)).schema
         return self.spark.readStream.schema(schema).parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        """Batch view of a table; its schema is known even when it has no rows."""
+        schema = self.schemas.get(table)
+        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+        return reader.parquet(self.path(table))
 
     def build(self, table: str) -> DataFrame:
         s = self.spark
@@ -190,6 +194,7 @@ class PipelineRun:
 
     def run_table(self, table: str) -> dict:
         df = self.build(table)
+        self.schemas[table] = df.schema
         writer = (df.writeStream.format("parquet").outputMode("append")
                   .option("checkpointLocation", self.checkpoint(table))
                   .trigger(availableNow=True))
