@@ -30,21 +30,28 @@ def _num(c: Column, t: str = "double") -> Column:
     return F.trim(c).try_cast(t)
 
 
-def parse_cfg(text: Column) -> Column:
-    """cfg text -> struct of header fields and per-channel definitions."""
+def cfg_lines(text: Column) -> Column:
+    """Non-blank header lines, without trailing carriage returns."""
     raw = F.split(text, "\n")
-    lines = F.filter(F.transform(raw, lambda l: F.regexp_replace(l, "\r$", "")),
-                     lambda l: F.trim(l) != "")
+    return F.filter(F.transform(raw, lambda l: F.regexp_replace(l, "\r$", "")),
+                    lambda l: F.trim(l) != "")
 
-    def line(i: Column) -> Column:
-        return F.try_element_at(lines, i.cast("int"))
 
-    head = F.split(line(F.lit(1)), ",")
-    counts = F.split(line(F.lit(2)), ",")
+def _counts(lines: Column) -> tuple[Column, Column]:
+    counts = F.split(F.try_element_at(lines, F.lit(2)), ",")
     n_a = F.coalesce(F.regexp_extract(F.try_element_at(counts, F.lit(2)), r"(\d+)", 1)
                      .try_cast("int"), F.lit(0))
     n_d = F.coalesce(F.regexp_extract(F.try_element_at(counts, F.lit(3)), r"(\d+)", 1)
                      .try_cast("int"), F.lit(0))
+    return n_a, n_d
+
+
+def header_struct(lines: Column, n_a: Column, n_d: Column) -> Column:
+    """Header lines (and channel counts) -> struct of fields and channel definitions."""
+    def line(i: Column) -> Column:
+        return F.try_element_at(lines, i.cast("int"))
+
+    head = F.split(line(F.lit(1)), ",")
     analog = F.transform(F.slice(lines, F.lit(3), n_a), lambda l: _analog_line(F.split(l, ",")))
     status = F.transform(F.slice(lines, F.lit(3) + n_a, n_d), lambda l: _status_line(F.split(l, ",")))
     pos = F.lit(3) + n_a + n_d
@@ -69,6 +76,13 @@ def parse_cfg(text: Column) -> Column:
     )
 
 
+def parse_cfg(text: Column) -> Column:
+    """cfg text -> header struct, as one expression (for ad-hoc use)."""
+    lines = cfg_lines(text)
+    n_a, n_d = _counts(lines)
+    return header_struct(lines, n_a, n_d)
+
+
 def _analog_line(f: Column) -> Column:
     def at(i):
         return F.try_element_at(f, F.lit(i))
@@ -88,7 +102,14 @@ def _status_line(f: Column) -> Column:
 
 
 def with_header(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumn(CFG, parse_cfg(F.col(C.CONFIG_CONTENT)))
+    """Adds the parsed header as ``cfg``.  The line array and the channel
+    counts are computed once as columns, then referenced by every field."""
+    staged = pairs.withColumn("_cfg_lines", cfg_lines(F.col(C.CONFIG_CONTENT)))
+    n_a, n_d = _counts(F.col("_cfg_lines"))
+    staged = staged.withColumn("_cfg_na", n_a).withColumn("_cfg_nd", n_d)
+    return staged.withColumn(CFG, header_struct(F.col("_cfg_lines"), F.col("_cfg_na"),
+                                                F.col("_cfg_nd"))
+                             ).drop("_cfg_lines", "_cfg_na", "_cfg_nd")
 
 
 def _sample_micros(cfg: Column, n: Column, t: Column) -> Column:

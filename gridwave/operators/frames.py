@@ -8,28 +8,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridwave import constants as C
-from gridwave.operators.sequence import global_rank_by_hash, hash_order, ordered_index
+from gridwave.operators.sequence import (DEFAULT_BUCKET_US, global_rank_by_hash, hash_order,
+                                         ordered_index)
 
 PHASES = list(C.PHASE_CHANNELS)
 
 
 def frame_samples(samples: DataFrame, key: str, time_us: str, tiebreak: Sequence[str] = (),
-                  frame_len: int = C.WAVEFORM_LENGTH) -> DataFrame:
+                  frame_len: int = C.WAVEFORM_LENGTH, bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
     """Tag each sample with its frame: (position - 1) div frame_len, per recording."""
-    indexed = ordered_index(samples, [key], time_us, tiebreak, out="position")
+    indexed = ordered_index(samples, [key], time_us, tiebreak, bucket_us=bucket_us, out="position")
     return indexed.withColumn("frame", F.floor((F.col("position") - 1) / F.lit(frame_len)))
 
 
 def frame_waveforms(samples: DataFrame, key: str, time_us: str, tiebreak: Sequence[str] = (),
                     frame_len: int = C.WAVEFORM_LENGTH, channels: Sequence[str] = PHASES,
-                    label_col: str | None = None) -> DataFrame:
+                    label_col: str | None = None, bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
     """Non-overlapping frames of exactly ``frame_len`` samples; a short tail is dropped.
 
     Output: key, frame, signal (array<array<double>>, frame_len x channels) and,
     if ``label_col`` is given, the frame's label = label of its first sample.
     Groups are bounded by ``frame_len`` rows.
     """
-    framed = frame_samples(samples, key, time_us, tiebreak, frame_len)
+    framed = frame_samples(samples, key, time_us, tiebreak, frame_len, bucket_us)
     row = F.struct(F.col("position"), F.array(*[F.col(c).cast("double") for c in channels]).alias("v"))
     aggs = [F.array_sort(F.collect_list(row)).alias("_rows"), F.count(F.lit(1)).alias("_n")]
     if label_col:
@@ -42,9 +43,10 @@ def frame_waveforms(samples: DataFrame, key: str, time_us: str, tiebreak: Sequen
 
 
 def frame_labels(samples: DataFrame, key: str, time_us: str, label_col: str,
-                 tiebreak: Sequence[str] = (), frame_len: int = C.WAVEFORM_LENGTH) -> DataFrame:
+                 tiebreak: Sequence[str] = (), frame_len: int = C.WAVEFORM_LENGTH,
+                 bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
     """One label per complete frame: the label of the frame's first sample."""
-    framed = frame_samples(samples, key, time_us, tiebreak, frame_len)
+    framed = frame_samples(samples, key, time_us, tiebreak, frame_len, bucket_us)
     return (framed.groupBy(key, "frame")
             .agg(F.min_by(F.col(label_col), F.col("position")).alias(label_col),
                  F.count(F.lit(1)).alias("_n"))

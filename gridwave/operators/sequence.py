@@ -23,9 +23,14 @@ from pyspark.sql import functions as F
 # digits -> 65,536 buckets, uniformly filled because md5 is uniform.
 HASH_PREFIX_HEX = 4
 
+# Default time bucket for ordered_index: ~18 minutes of microseconds, about 10
+# million samples of a 10 kHz recording per task.  Sparse inputs (a few rows
+# per hour) should pass a wider bucket so the offset table stays small.
+DEFAULT_BUCKET_US = 1 << 30
+
 
 def ordered_index(df: DataFrame, keys: Sequence[str], order_us: str,
-                  tiebreak: Sequence[str] = (), bucket_us: int = 1 << 30,
+                  tiebreak: Sequence[str] = (), bucket_us: int = DEFAULT_BUCKET_US,
                   out: str = "rn") -> DataFrame:
     """Add ``out`` = 1-based position of each row in its key, ordered by
     (``order_us``, *``tiebreak``).  ``order_us`` must be an integer column.

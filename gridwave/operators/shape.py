@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridwave import constants as C
 from gridwave.functions.arrays import pick_channels
-from gridwave.operators.sequence import ordered_index
+from gridwave.operators.sequence import DEFAULT_BUCKET_US, ordered_index
 
 PHASES = list(C.PHASE_CHANNELS)
 
@@ -141,7 +141,8 @@ def gather_waveform(phases: DataFrame, time_us: str = "time_us",
                     timestamp_col: str = C.TIMESTAMP, tiebreak: Sequence[str] = (),
                     frame_len: int = C.WAVEFORM_LENGTH,
                     channels: Sequence[str] = PHASES,
-                    key: str = C.FILENAME, extra_first: Sequence[str] = ()) -> DataFrame:
+                    key: str = C.FILENAME, extra_first: Sequence[str] = (),
+                    bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
     """Ordered (time, phases) arrays per recording, in frames of ``frame_len``.
 
     A recording of exactly ``frame_len`` samples is one waveform; longer ones
@@ -149,7 +150,7 @@ def gather_waveform(phases: DataFrame, time_us: str = "time_us",
     group ever exceeds ``frame_len`` rows, so no task holds a whole recording.
     ``extra_first`` columns are carried as their value at the first sample.
     """
-    indexed = ordered_index(phases, [key], time_us, tiebreak, out="_rn")
+    indexed = ordered_index(phases, [key], time_us, tiebreak, bucket_us=bucket_us, out="_rn")
     step = F.struct(F.col(time_us).alias("t"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(tiebreak)],
                     F.col(timestamp_col).alias(C.TIMESTAMP),
                     *[F.col(ch).alias(ch) for ch in channels])

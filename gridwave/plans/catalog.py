@@ -47,7 +47,7 @@ def _phases(spark: SparkSession, d: str) -> DataFrame:
 
 def _frame_labels(spark: SparkSession, d: str) -> DataFrame:
     return FR.frame_labels(TD.raw_samples(_events(spark, d)), C.FILENAME, "time_us", "is_fault",
-                           ["event_id"], C.TEST_FRAME_LENGTH)
+                           ["event_id"], C.TEST_FRAME_LENGTH, bucket_us=TD.EVENT_BUCKET_US)
 
 
 # --------------------------------------------------------------------------- shape
@@ -69,7 +69,7 @@ def pivot_discover(spark, d):
 @register("gather_waveform")
 def gather_waveform(spark, d):
     g = SH.gather_waveform(_phases(spark, d), "time_us", C.TIMESTAMP,
-                           frame_len=C.WAVEFORM_LENGTH)
+                           frame_len=C.WAVEFORM_LENGTH, bucket_us=TD.EVENT_BUCKET_US)
     return g.select(C.FILENAME, "frame", "n_samples", "length_ok",
                     F.transform("timestep", lambda x: x[C.TIMESTAMP]).alias("sample_times"),
                     SH.waveform_matrix(g).alias("waveform"))
@@ -102,7 +102,8 @@ def one_recording(spark, d):
 @register("frame_waveforms")
 def frame_waveforms(spark, d):
     return FR.frame_waveforms(TD.raw_samples(_events(spark, d)), C.FILENAME, "time_us",
-                              ["event_id"], C.TEST_FRAME_LENGTH, label_col="is_fault")
+                              ["event_id"], C.TEST_FRAME_LENGTH, label_col="is_fault",
+                              bucket_us=TD.EVENT_BUCKET_US)
 
 
 @register("frame_labels")
@@ -348,7 +349,8 @@ MODEL_NAME = "fault_detection"
 
 def _features(spark, d) -> DataFrame:
     frames = FR.frame_waveforms(TD.raw_samples(_events(spark, d)), C.FILENAME, "time_us",
-                                ["event_id"], C.TEST_FRAME_LENGTH, label_col="is_fault")
+                                ["event_id"], C.TEST_FRAME_LENGTH, label_col="is_fault",
+                                bucket_us=TD.EVENT_BUCKET_US)
     return MD.waveform_features(frames)
 
 
@@ -423,7 +425,8 @@ def score_waveforms(spark, d):
     Production model; a waveform of the wrong length scores null."""
     model = production_model(spark, d)
     g = SH.gather_waveform(TD.raw_samples(_events(spark, d)), "time_us", C.TIMESTAMP,
-                           tiebreak=["event_id"], frame_len=C.TEST_FRAME_LENGTH)
+                           tiebreak=["event_id"], frame_len=C.TEST_FRAME_LENGTH,
+                           bucket_us=TD.EVENT_BUCKET_US)
     feats = g.withColumn("features", F.when(F.col("length_ok"), MD.flat_features(
         SH.waveform_matrix(g))))
     scored = MD.score(model, feats)

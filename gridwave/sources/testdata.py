@@ -83,16 +83,25 @@ def raw_samples(events: DataFrame) -> DataFrame:
     )
 
 
+def customer_geography(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """(c_custkey, n_name, r_name): one row per customer."""
+    return (customer.select("c_custkey", "c_nationkey")
+            .join(nation.select("n_nationkey", "n_name", "n_regionkey"),
+                  F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(region.select("r_regionkey", "r_name"),
+                  F.col("n_regionkey") == F.col("r_regionkey"))
+            .select("c_custkey", "n_name", "r_name"))
+
+
+def line_frequency(region_name: Column) -> Column:
+    return F.when(region_name == "AMERICA", F.lit(60.0)).otherwise(F.lit(50.0))
+
+
 def metadata_samples(events: DataFrame, customer: DataFrame, nation: DataFrame,
                      region: DataFrame) -> DataFrame:
     """Per-sample metadata: station = customer's nation, line frequency by
     region (60 Hz in AMERICA, else 50 Hz), device id from the event's props."""
-    geo = (customer.select("c_custkey", "c_nationkey")
-           .join(nation.select("n_nationkey", "n_name", "n_regionkey"),
-                 F.col("c_nationkey") == F.col("n_nationkey"))
-           .join(region.select("r_regionkey", "r_name"),
-                 F.col("n_regionkey") == F.col("r_regionkey"))
-           .select("c_custkey", "n_name", "r_name"))
+    geo = customer_geography(customer, nation, region)
     return (events.select("user_id", "ts", "event_id", "props", "event_type", "value")
             .join(geo, F.col("user_id") == F.col("c_custkey"), "left")
             .select(
@@ -100,13 +109,14 @@ def metadata_samples(events: DataFrame, customer: DataFrame, nation: DataFrame,
                 F.col("ts").alias(C.TIMESTAMP), "event_id",
                 channel_of_event(F.col("event_type")).alias(C.ANALOG_CHANNEL_NAMES),
                 F.col("value").alias(C.ANALOG),
-                F.when(F.col("r_name") == "AMERICA", F.lit(60.0)).otherwise(F.lit(50.0))
-                .alias(C.FREQUENCY),
+                line_frequency(F.col("r_name")).alias(C.FREQUENCY),
                 F.col("n_name").alias(C.STATION_NAME),
                 F.get_json_object("props", "$.k").alias(C.REC_DEV_ID)))
 
 
 CAPTURE_LENGTH = C.WAVEFORM_LENGTH
+# events are sparse (tens per user per month): one ordering bucket per day
+EVENT_BUCKET_US = 86_400_000_000
 
 
 def captures(events: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame,
@@ -122,16 +132,18 @@ def captures(events: DataFrame, customer: DataFrame, nation: DataFrame, region:
     from gridwave.functions.keys import device_id
     from gridwave.operators.sequence import ordered_index
 
-    meta = metadata_samples(events, customer, nation, region).select(
-        "event_id", C.FREQUENCY, C.STATION_NAME)
+    geo = customer_geography(customer, nation, region)
     ch = channel_of_event(F.col("event_type"))
     rows = events.select(
         "user_id", "event_id", "event_type",
         F.unix_micros(F.col("ts").cast("timestamp")).alias("time_us"),
         F.array(*[F.when(ch == p, F.col("value")) for p in C.PHASE_CHANNELS]).alias("a"),
         F.array(*[(F.col("event_type") == s).cast("double") for s in C.STATUS_EVENTS]).alias("s"),
-    ).join(meta, "event_id")
-    idx = ordered_index(rows, ["user_id"], "time_us", ["event_id"], out="pos")
+    ).join(geo, F.col("user_id") == F.col("c_custkey"), "left").select(
+        "user_id", "event_id", "time_us", "a", "s",
+        line_frequency(F.col("r_name")).alias(C.FREQUENCY), F.col("n_name").alias(C.STATION_NAME))
+    idx = ordered_index(rows, ["user_id"], "time_us", ["event_id"], bucket_us=EVENT_BUCKET_US,
+                        out="pos")
     name = F.concat(recording_of_user(F.col("user_id")), F.lit("_"),
                     F.floor((F.col("pos") - 1) / F.lit(capture_len)).cast("string"))
     grouped = idx.withColumn(C.FILENAME, name).groupBy(C.FILENAME).agg(
