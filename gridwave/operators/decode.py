@@ -137,17 +137,14 @@ OUTPUT_ORDER = [C.ANALOG, C.ANALOG_UNITS, C.STATUS, C.ANALOG_CHANNEL_NAMES, C.ST
                 C.FREQUENCY, C.REC_DEV_ID, C.STATION_NAME, C.MICROSECONDS]
 
 
-def decode_ascii(parsed: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> DataFrame:
-    """ASCII bodies -> decoded recordings, entirely with built-in functions.
-
-    Blank lines are dropped, empty fields decode to null, value = a * x + b.
-    A recording without analog (status) channels gets an empty analog (status).
-    """
+def _ascii_arrays(parsed: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, Column, Column, Column]:
+    """(frame with split fields, analog, status, microseconds) for ASCII bodies."""
     cfg = F.col(CFG)
     body = F.filter(F.split(F.col(C.DAT_CONTENT).cast("string"), "\r?\n"),
                     lambda l: F.trim(l) != "")
     # Split once into a column; the three projections below reuse it.
-    parsed = parsed.select(*keep, CFG, F.transform(body, lambda l: F.split(l, ",")).alias("_fields"))
+    staged = parsed.select(*keep, *[c for c in parsed.columns if c not in keep],
+                           F.transform(body, lambda l: F.split(l, ",")).alias("_fields"))
     fields = F.col("_fields")
     n_a = cfg["n_analog"]
     analog = F.transform(fields, lambda f: F.transform(
@@ -158,12 +155,20 @@ def decode_ascii(parsed: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> Data
     micros = F.transform(fields, lambda f: _sample_micros(
         cfg, _num(F.get(f, 0), "bigint"), _num(F.get(f, 1))))
     empty = F.array().cast("array<array<double>>")
-    return parsed.select(
-        *keep,
-        F.when(n_a > 0, analog).otherwise(empty).alias(C.ANALOG),
-        F.when(cfg["n_status"] > 0, status).otherwise(empty).alias(C.STATUS),
-        micros.alias(C.MICROSECONDS),
-        *_common_columns(cfg),
+    return (staged, F.when(n_a > 0, analog).otherwise(empty),
+            F.when(cfg["n_status"] > 0, status).otherwise(empty), micros)
+
+
+def decode_ascii(parsed: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> DataFrame:
+    """ASCII bodies -> decoded recordings, entirely with built-in functions.
+
+    Blank lines are dropped, empty fields decode to null, value = a * x + b.
+    A recording without analog (status) channels gets an empty analog (status).
+    """
+    staged, analog, status, micros = _ascii_arrays(parsed, keep)
+    return staged.select(
+        *keep, analog.alias(C.ANALOG), status.alias(C.STATUS), micros.alias(C.MICROSECONDS),
+        *_common_columns(F.col(CFG)),
     ).select(*keep, *OUTPUT_ORDER)
 
 
@@ -172,64 +177,99 @@ _SAMPLE_TYPES = {"BINARY": ("<i2", -32768), "BINARY32": ("<i4", -2147483648),
                  "FLOAT32": ("<f4", None)}
 
 
+def _decode_binary_rows(cols: dict, n_rows: int, want: list) -> tuple:
+    """Decode the binary bodies of the rows flagged in ``want``.
+
+    Returns (analog, status, microseconds) Arrow list arrays aligned with all
+    ``n_rows`` rows; rows not decoded are null.
+    """
+    a_vals, a_off, a_rows = [], [0], [0]
+    s_vals, s_off, s_rows = [], [0], [0]
+    t_vals, t_rows = [], [0]
+    for i in range(n_rows):
+        if not want[i]:
+            a_rows.append(a_rows[-1])
+            s_rows.append(s_rows[-1])
+            t_rows.append(t_rows[-1])
+            continue
+        content = cols[C.DAT_CONTENT][i] or b""
+        n_a, n_d = int(cols["_na"][i] or 0), int(cols["_nd"][i] or 0)
+        kind, missing = _SAMPLE_TYPES.get(cols["_ft"][i], _SAMPLE_TYPES["BINARY"])
+        n_words = (n_d + 15) // 16
+        dtype = np.dtype([("n", "<u4"), ("t", "<u4"), ("a", kind, (n_a,)),
+                          ("s", "<u2", (n_words,))])
+        count = len(content) // dtype.itemsize
+        rec = np.frombuffer(content, dtype=dtype, count=count)
+        raw = rec["a"].reshape(count, n_a)
+        vals = raw.astype(np.float64)
+        if missing is not None:
+            vals[raw == missing] = np.nan
+        a = np.asarray(cols["_a"][i] or [], dtype=np.float64)
+        b = np.asarray(cols["_b"][i] or [], dtype=np.float64)
+        vals = vals * a + b
+        if n_a > 0:
+            a_vals.append(vals.ravel())
+            a_off.extend((a_off[-1] + n_a * np.arange(1, count + 1)).tolist())
+            a_rows.append(a_rows[-1] + count)
+        else:
+            a_rows.append(a_rows[-1])
+        if n_d > 0:
+            words = rec["s"].reshape(count, n_words)
+            bits = np.stack([(words[:, k // 16] >> (k % 16)) & 1 for k in range(n_d)], axis=1)
+            s_vals.append(bits.astype(np.float64).ravel())
+            s_off.extend((s_off[-1] + n_d * np.arange(1, count + 1)).tolist())
+            s_rows.append(s_rows[-1] + count)
+        else:
+            s_rows.append(s_rows[-1])
+        start_us, mult, rate = cols["_start_us"][i], cols["_mult"][i], cols["_rate"][i]
+        if rate is not None and rate > 0 and (cols["_nrates"][i] or 0) > 0:
+            us = start_us + np.round((rec["n"].astype(np.float64) - 1) / rate * 1e6)
+        else:
+            us = start_us + np.round(rec["t"].astype(np.float64) * (mult or 1.0))
+        t_vals.append(us.astype(np.int64))
+        t_rows.append(t_rows[-1] + count)
+
+    mask = pa.array([not w for w in want], pa.bool_())
+
+    def nested(vals, inner_off, outer_off):
+        flat = pa.array(np.concatenate(vals) if vals else np.array([], dtype=np.float64),
+                        type=pa.float64(), from_pandas=True)
+        inner = pa.ListArray.from_arrays(pa.array(inner_off, pa.int32()), flat)
+        return pa.ListArray.from_arrays(pa.array(outer_off, pa.int32()), inner, mask=mask)
+
+    times = pa.ListArray.from_arrays(
+        pa.array(t_rows, pa.int32()),
+        pa.array(np.concatenate(t_vals) if t_vals else np.array([], np.int64), pa.int64()),
+        mask=mask)
+    return nested(a_vals, a_off, a_rows), nested(s_vals, s_off, s_rows), times
+
+
 def _binary_batches(batches: Iterator[pa.RecordBatch], keep: Sequence[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cols = batch.to_pydict()
-        n_rows = batch.num_rows
-        a_vals, a_off, a_rows = [], [0], [0]
-        s_vals, s_off, s_rows = [], [0], [0]
-        t_vals, t_rows = [], [0]
-        for i in range(n_rows):
-            content = cols[C.DAT_CONTENT][i] or b""
-            n_a, n_d = int(cols["_na"][i] or 0), int(cols["_nd"][i] or 0)
-            kind, missing = _SAMPLE_TYPES.get(cols["_ft"][i], _SAMPLE_TYPES["BINARY"])
-            n_words = (n_d + 15) // 16
-            dtype = np.dtype([("n", "<u4"), ("t", "<u4"), ("a", kind, (n_a,)),
-                              ("s", "<u2", (n_words,))])
-            count = len(content) // dtype.itemsize
-            rec = np.frombuffer(content, dtype=dtype, count=count)
-            raw = rec["a"].reshape(count, n_a)
-            vals = raw.astype(np.float64)
-            if missing is not None:
-                vals[raw == missing] = np.nan
-            a = np.asarray(cols["_a"][i] or [], dtype=np.float64)
-            b = np.asarray(cols["_b"][i] or [], dtype=np.float64)
-            vals = vals * a + b
-            if n_a > 0:
-                a_vals.append(vals.ravel())
-                a_off.extend((a_off[-1] + n_a * np.arange(1, count + 1)).tolist())
-                a_rows.append(a_rows[-1] + count)
-            else:
-                a_rows.append(a_rows[-1])
-            if n_d > 0:
-                words = rec["s"].reshape(count, n_words)
-                bits = np.stack([(words[:, k // 16] >> (k % 16)) & 1 for k in range(n_d)], axis=1)
-                s_vals.append(bits.astype(np.float64).ravel())
-                s_off.extend((s_off[-1] + n_d * np.arange(1, count + 1)).tolist())
-                s_rows.append(s_rows[-1] + count)
-            else:
-                s_rows.append(s_rows[-1])
-            start_us, mult, rate = cols["_start_us"][i], cols["_mult"][i], cols["_rate"][i]
-            if rate is not None and rate > 0 and (cols["_nrates"][i] or 0) > 0:
-                us = start_us + np.round((rec["n"].astype(np.float64) - 1) / rate * 1e6)
-            else:
-                us = start_us + np.round(rec["t"].astype(np.float64) * (mult or 1.0))
-            t_vals.append(us.astype(np.int64))
-            t_rows.append(t_rows[-1] + count)
-
-        def nested(vals, inner_off, outer_off):
-            flat = pa.array(np.concatenate(vals) if vals else np.array([], dtype=np.float64),
-                            type=pa.float64(), from_pandas=True)
-            inner = pa.ListArray.from_arrays(pa.array(inner_off, pa.int32()), flat)
-            return pa.ListArray.from_arrays(pa.array(outer_off, pa.int32()), inner)
-
-        times = pa.ListArray.from_arrays(
-            pa.array(t_rows, pa.int32()),
-            pa.array(np.concatenate(t_vals) if t_vals else np.array([], np.int64), pa.int64()))
+        analog, status, times = _decode_binary_rows(cols, batch.num_rows, [True] * batch.num_rows)
         out = {k: batch.column(k) for k in keep}
-        out[C.ANALOG] = nested(a_vals, a_off, a_rows)
-        out[C.STATUS] = nested(s_vals, s_off, s_rows)
-        out[C.MICROSECONDS] = times
+        out[C.ANALOG], out[C.STATUS], out[C.MICROSECONDS] = analog, status, times
+        out["_cfg_row"] = batch.column("_cfg_row")
+        yield pa.RecordBatch.from_pydict(out)
+
+
+def _merge_batches(batches: Iterator[pa.RecordBatch], keep: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """Rows with a binary body are decoded here; the others keep the arrays
+    decoded by built-ins upstream."""
+    import pyarrow.compute as pc
+    for batch in batches:
+        content = batch.column(C.DAT_CONTENT)
+        want = pc.is_valid(content).to_pylist()
+        cols = {k: batch.column(k).to_pylist() for k in
+                (C.DAT_CONTENT, "_na", "_nd", "_ft", "_a", "_b", "_start_us", "_mult", "_rate",
+                 "_nrates")}
+        analog, status, times = _decode_binary_rows(cols, batch.num_rows, want)
+        is_bin = pa.array(want, pa.bool_())
+        out = {k: batch.column(k) for k in keep}
+        out[C.ANALOG] = pc.if_else(is_bin, analog, batch.column("_asc_analog"))
+        out[C.STATUS] = pc.if_else(is_bin, status, batch.column("_asc_status"))
+        out[C.MICROSECONDS] = pc.if_else(is_bin, times, batch.column("_asc_micros"))
         out["_cfg_row"] = batch.column("_cfg_row")
         yield pa.RecordBatch.from_pydict(out)
 
@@ -244,13 +284,7 @@ def decode_binary(parsed: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> Dat
     """
     cfg = F.col(CFG)
     prepared = parsed.select(
-        *keep, F.col(C.DAT_CONTENT),
-        cfg["n_analog"].alias("_na"), cfg["n_status"].alias("_nd"), cfg["file_type"].alias("_ft"),
-        F.transform(cfg["analog_channels"], lambda c: c["a"]).alias("_a"),
-        F.transform(cfg["analog_channels"], lambda c: c["b"]).alias("_b"),
-        F.unix_micros(cfg["start"]).alias("_start_us"), cfg["time_mult"].alias("_mult"),
-        F.try_element_at(cfg["rates"], F.lit(1))["rate"].alias("_rate"),
-        cfg["n_rates"].alias("_nrates"),
+        *keep, F.col(C.DAT_CONTENT), *_binary_inputs(cfg),
         F.struct(*_common_columns(cfg)).alias("_cfg_row"))
     keep_fields = [f for f in prepared.schema.fields if f.name in keep]
     cfg_field = prepared.schema["_cfg_row"]
@@ -264,17 +298,43 @@ def decode_binary(parsed: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> Dat
         *keep, *OUTPUT_ORDER)
 
 
+def _binary_inputs(cfg: Column) -> list[Column]:
+    return [cfg["n_analog"].alias("_na"), cfg["n_status"].alias("_nd"), cfg["file_type"].alias("_ft"),
+            F.transform(cfg["analog_channels"], lambda c: c["a"]).alias("_a"),
+            F.transform(cfg["analog_channels"], lambda c: c["b"]).alias("_b"),
+            F.unix_micros(cfg["start"]).alias("_start_us"), cfg["time_mult"].alias("_mult"),
+            F.try_element_at(cfg["rates"], F.lit(1))["rate"].alias("_rate"),
+            cfg["n_rates"].alias("_nrates")]
+
+
 def decode_recordings(pairs: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> DataFrame:
-    """Both body kinds: the cfg decides, per pair, which decoder runs.
+    """Both body kinds in one pass: the cfg decides, per pair, which decoder runs.
 
-    Each branch filters on the parsed file type; when ``pairs`` is a stored
-    table partitioned by file type, each branch reads only its own files.
+    ASCII bodies are decoded by built-ins in the projection; only binary
+    bodies are handed to Python (the ASCII rows' bytes are nulled before the
+    Arrow hop), and one ``mapInArrow`` merges the two.  Every file is read
+    once.
     """
+    keep = list(keep)
     parsed = with_header(pairs)
-    # A stored pair table partitioned by ``file_type`` lets each branch prune
-    # to its own files; otherwise the parsed header decides.
-    is_ascii = (F.col("file_type") == "ASCII" if "file_type" in pairs.columns
-                else F.col(CFG)["file_type"] == "ASCII")
-    ascii_part = decode_ascii(parsed.filter(is_ascii), keep)
-    binary_part = decode_binary(parsed.filter(~is_ascii), keep)
-    return ascii_part.unionByName(binary_part)
+    cfg = F.col(CFG)
+    is_ascii = cfg["file_type"] == "ASCII"
+    staged, analog, status, micros = _ascii_arrays(parsed, keep)
+    empty_ll = F.lit(None).cast("array<array<double>>")
+    prepared = staged.select(
+        *keep,
+        F.when(is_ascii, analog).otherwise(empty_ll).alias("_asc_analog"),
+        F.when(is_ascii, status).otherwise(empty_ll).alias("_asc_status"),
+        F.when(is_ascii, micros).otherwise(F.lit(None).cast("array<bigint>")).alias("_asc_micros"),
+        F.when(~is_ascii, F.col(C.DAT_CONTENT)).alias(C.DAT_CONTENT),
+        *_binary_inputs(cfg),
+        F.struct(*_common_columns(cfg)).alias("_cfg_row"))
+    keep_fields = [f for f in prepared.schema.fields if f.name in keep]
+    nested = ArrayType(ArrayType(DoubleType()))
+    schema = StructType([*keep_fields,
+                         StructField(C.ANALOG, nested), StructField(C.STATUS, nested),
+                         StructField(C.MICROSECONDS, ArrayType(LongType())),
+                         prepared.schema["_cfg_row"]])
+    merged = prepared.mapInArrow(lambda it: _merge_batches(it, keep), schema)
+    return merged.select(*keep, C.ANALOG, C.STATUS, C.MICROSECONDS, "_cfg_row.*").select(
+        *keep, *OUTPUT_ORDER)

@@ -441,7 +441,7 @@ from gridwave.streaming import pipeline as PL  # noqa: E402
 
 
 def _stream_run(spark, d, upto: str, model=None, frame_len: int = C.TEST_FRAME_LENGTH,
-                max_files: int | None = 50) -> PL.PipelineRun:
+                max_files: int | None = 1000) -> PL.PipelineRun:
     """A fresh pipeline instance over the staged files, run up to ``upto``."""
     root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
     run = PL.PipelineRun(spark, ST.recording_files(spark, d), root, model=model,
@@ -470,7 +470,7 @@ def stream_scan_cfg(spark, d):
 def stream_scan_dat(spark, d):
     order = [PL.DAT_FILES_BRONZE]
     root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
-    run = PL.PipelineRun(spark, ST.recording_files(spark, d), root, max_files_per_trigger=50)
+    run = PL.PipelineRun(spark, ST.recording_files(spark, d), root, max_files_per_trigger=1000)
     run.run(order)
     return run.read(PL.DAT_FILES_BRONZE).select(*_folder_and_name(),
                                                 F.length(C.DAT_CONTENT).alias("n_bytes"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -72,3 +73,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(hpath)
+
+
+LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def bounded_listing(spark: SparkSession):
+    """Cap the file-listing job at the cluster's parallelism while in scope.
+
+    A file stream hands each micro-batch an explicit list of new files; by
+    default Spark lists them in a job with one task per file (up to 10,000),
+    which costs more than reading small recording files.  One task per core
+    keeps the listing parallel (needed on object stores) without that cost.
+    """
+    old = spark.conf.get(LISTING_PARALLELISM, None)
+    spark.conf.set(LISTING_PARALLELISM, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(LISTING_PARALLELISM)
+        else:
+            spark.conf.set(LISTING_PARALLELISM, old)

@@ -36,6 +36,7 @@ from gridwave.operators import decode as DE
 from gridwave.operators import model as MD
 from gridwave.operators import shape as SH
 from gridwave.operators.pairing import interval_join_stream
+from gridwave.session import bounded_listing
 from gridwave.sources import files as FS
 
 CONFIG_FILES_BRONZE = "config_files_bronze"
@@ -210,10 +211,11 @@ class PipelineRun:
         return {"table": table, "batches": len(self.progress[table])}
 
     def run(self, tables: Sequence[str] = ORDER) -> "PipelineRun":
-        for t in tables:
-            if t == FAULT_DETECTION_GOLD and self.model is None:
-                continue
-            self.run_table(t)
+        with bounded_listing(self.spark):
+            for t in tables:
+                if t == FAULT_DETECTION_GOLD and self.model is None:
+                    continue
+                self.run_table(t)
         return self
 
 
