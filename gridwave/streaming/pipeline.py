@@ -51,6 +51,10 @@ FAULT_DETECTION_GOLD = "fault_detection_gold"
 ORDER = (CONFIG_FILES_BRONZE, DAT_FILES_BRONZE, JOINED_FILES_BRONZE, RECORDINGS_SILVER,
          METADATA_SILVER, FLATTENED_SILVER, PIVOTED_CURRENT_SILVER, FAULT_DETECTION_GOLD)
 
+# Dependency levels of the DAG: a table only reads tables of earlier levels.
+LEVELS = ((CONFIG_FILES_BRONZE, DAT_FILES_BRONZE), (JOINED_FILES_BRONZE,), (RECORDINGS_SILVER,),
+          (METADATA_SILVER, FLATTENED_SILVER, PIVOTED_CURRENT_SILVER, FAULT_DETECTION_GOLD))
+
 COMMENTS = {
     CONFIG_FILES_BRONZE: ("Raw .cfg files", "bronze"),
     DAT_FILES_BRONZE: ("Raw .dat files", "bronze"),
@@ -193,7 +197,7 @@ class PipelineRun:
             return gold(self.read_stream(RECORDINGS_SILVER), self.model, self.frame_len)
         raise KeyError(table)
 
-    def run_table(self, table: str) -> dict:
+    def start_table(self, table: str):
         df = self.build(table)
         self.schemas[table] = df.schema
         writer = (df.writeStream.format("parquet").outputMode("append")
@@ -201,21 +205,30 @@ class PipelineRun:
                   .trigger(availableNow=True))
         if table == JOINED_FILES_BRONZE:
             writer = writer.partitionBy("file_type")
-        q = writer.start(self.path(table))
+        return writer.start(self.path(table))
+
+    def _finish(self, table: str, q) -> None:
         q.awaitTermination()
         if q.exception():
             raise q.exception()
         self.progress[table] = [p for p in q.recentProgress]
         if self.register_tables:
             register_table(self.spark, table, self.path(table))
+
+    def run_table(self, table: str) -> dict:
+        self._finish(table, self.start_table(table))
         return {"table": table, "batches": len(self.progress[table])}
 
     def run(self, tables: Sequence[str] = ORDER) -> "PipelineRun":
+        """Run the tables level by level; tables of one level (same inputs,
+        no dependency between them) run as concurrent streaming queries."""
+        wanted = [t for t in tables if not (t == FAULT_DETECTION_GOLD and self.model is None)]
         with bounded_listing(self.spark):
-            for t in tables:
-                if t == FAULT_DETECTION_GOLD and self.model is None:
-                    continue
-                self.run_table(t)
+            for level in LEVELS:
+                batch = [t for t in level if t in wanted]
+                started = [(t, self.start_table(t)) for t in batch]
+                for t, q in started:
+                    self._finish(t, q)
         return self
 
 
