@@ -56,13 +56,18 @@ def fit(train: DataFrame, label: str, max_iter: int = C.REFIT_EPOCHS,
 
 def score(model: PipelineModel, df: DataFrame, features: str = "features",
           out: str = "fault_score") -> DataFrame:
-    """Adds the fault probability; rows without features score null."""
-    ok = df.filter(F.col(features).isNotNull())
-    scored = model.transform(ok.withColumn("_vec", array_to_vector(F.col(features))))
-    scored = scored.withColumn(out, vector_to_array(F.col("probability")).getItem(1))
-    keep = [c for c in df.columns] + [out]
-    missing = df.filter(F.col(features).isNull()).withColumn(out, F.lit(None).cast("double"))
-    return scored.select(*keep).unionByName(missing.select(*keep))
+    """Adds the fault probability; rows without features score null.
+
+    One pass over ``df``: a missing feature array is replaced by zeros of the
+    model's width for the transform, and its score is nulled afterwards.
+    """
+    width = model.stages[0].mean.size
+    zeros = F.array_repeat(F.lit(0.0), width)
+    has = F.col(features).isNotNull()
+    prepared = df.withColumn("_vec", array_to_vector(F.when(has, F.col(features)).otherwise(zeros)))
+    scored = model.transform(prepared)
+    return scored.select(*df.columns, F.when(has, vector_to_array(F.col("probability")).getItem(1))
+                         .alias(out))
 
 
 def evaluation(scored: DataFrame, label: str, prob: str = "fault_score",
