@@ -138,25 +138,37 @@ OUTPUT_ORDER = [C.ANALOG, C.ANALOG_UNITS, C.STATUS, C.ANALOG_CHANNEL_NAMES, C.ST
 
 
 def _ascii_arrays(parsed: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, Column, Column, Column]:
-    """(frame with split fields, analog, status, microseconds) for ASCII bodies."""
+    """(frame with split fields, analog, status, microseconds) for ASCII bodies.
+
+    Per-file scalars (a, b, counts, start, rate, multiplier) are hoisted into
+    plain columns first, so the per-sample lambdas only read flat values.
+    """
     cfg = F.col(CFG)
     body = F.filter(F.split(F.col(C.DAT_CONTENT).cast("string"), "\r?\n"),
                     lambda l: F.trim(l) != "")
+    rate = F.try_element_at(cfg["rates"], F.lit(1))["rate"]
     # Split once into a column; the three projections below reuse it.
-    staged = parsed.select(*keep, *[c for c in parsed.columns if c not in keep],
-                           F.transform(body, lambda l: F.split(l, ",")).alias("_fields"))
-    fields = F.col("_fields")
-    n_a = cfg["n_analog"]
+    staged = parsed.select(
+        *keep, *[c for c in parsed.columns if c not in keep],
+        F.transform(body, lambda l: F.split(l, ",")).alias("_fields"),
+        F.transform(cfg["analog_channels"], lambda c: c["a"]).alias("_ka"),
+        F.transform(cfg["analog_channels"], lambda c: c["b"]).alias("_kb"),
+        cfg["n_analog"].alias("_kna"), cfg["n_status"].alias("_knd"),
+        F.unix_micros(cfg["start"]).alias("_kstart"), rate.alias("_krate"),
+        ((cfg["n_rates"] > 0) & (rate > 0)).alias("_kbyrate"), cfg["time_mult"].alias("_kmult"))
+    fields, n_a, n_d = F.col("_fields"), F.col("_kna"), F.col("_knd")
+    ka, kb = F.col("_ka"), F.col("_kb")
     analog = F.transform(fields, lambda f: F.transform(
-        cfg["analog_channels"],
-        lambda ch, j: ch["a"] * _num(F.get(f, j + 2)) + ch["b"]))
-    status = F.transform(fields, lambda f: F.transform(
-        cfg["status_channels"], lambda ch, k: _num(F.get(f, k + n_a + 2))))
-    micros = F.transform(fields, lambda f: _sample_micros(
-        cfg, _num(F.get(f, 0), "bigint"), _num(F.get(f, 1))))
+        F.slice(f, 3, n_a), lambda x, j: _num(x) * F.get(ka, j) + F.get(kb, j)))
+    status = F.transform(fields, lambda f: F.transform(F.slice(f, n_a + 3, n_d), lambda x: _num(x)))
+    start, krate, kmult = F.col("_kstart"), F.col("_krate"), F.col("_kmult")
+    micros = F.transform(fields, lambda f: F.when(
+        F.col("_kbyrate"),
+        start + F.round((_num(F.get(f, 0)) - F.lit(1.0)) / krate * F.lit(1e6)).cast("bigint"))
+        .otherwise(start + F.round(_num(F.get(f, 1)) * kmult).cast("bigint")))
     empty = F.array().cast("array<array<double>>")
     return (staged, F.when(n_a > 0, analog).otherwise(empty),
-            F.when(cfg["n_status"] > 0, status).otherwise(empty), micros)
+            F.when(n_d > 0, status).otherwise(empty), micros)
 
 
 def decode_ascii(parsed: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> DataFrame:
