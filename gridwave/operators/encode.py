@@ -70,22 +70,21 @@ def _time_counts(time_mult: float) -> Column:
                        lambda t: F.floor((t - start) / F.lit(time_mult)).cast("bigint"))
 
 
-def ascii_body(counts: Column, times: Column, status: Column, n_status: Column) -> Column:
+def ascii_body(counts: Column, times: Column, status: Column) -> Column:
     """``n,t,x1..xA,s1..sD`` per sample, newline-terminated; empty field = missing.
 
-    Arguments are plain columns (computed once), zipped so each sample is
-    visited once.
+    Each line is one array of fields joined once, so any channel count
+    (including none) gives exactly 2 + A + D fields.  Arguments are plain
+    columns (computed once), zipped so each sample is visited once.
     """
-    rows = F.transform(F.arrays_zip(times.alias("t"), counts.alias("x"), status.alias("s")),
-                       lambda z, i: F.concat_ws(
-        ",", (i + 1).cast("string"), z["t"].cast("string"),
-        F.array_join(F.transform(F.coalesce(z["x"], F.array().cast("array<bigint>")),
-                                 lambda x: F.coalesce(x.cast("string"), F.lit(""))), ",", ""),
-        F.array_join(F.transform(F.coalesce(z["s"], F.array().cast("array<double>")),
-                                 lambda s: s.cast("int").cast("string")), ",")))
-    # Without status channels concat_ws leaves one trailing comma: strip it.
-    rows = F.when(n_status == 0, F.transform(rows, lambda r: F.regexp_replace(r, ",$", ""))
-                  ).otherwise(rows)
+    def line(z, i):
+        head = F.array((i + 1).cast("string"), z["t"].cast("string"))
+        xs = F.transform(F.coalesce(z["x"], F.array().cast("array<bigint>")),
+                         lambda x: F.coalesce(x.cast("string"), F.lit("")))
+        ss = F.transform(F.coalesce(z["s"], F.array().cast("array<double>")),
+                         lambda v: v.cast("int").cast("string"))
+        return F.array_join(F.concat(head, xs, ss), ",")
+    rows = F.transform(F.arrays_zip(times.alias("t"), counts.alias("x"), status.alias("s")), line)
     return F.concat(F.array_join(rows, "\n"), F.lit("\n")).cast("binary")
 
 
@@ -104,7 +103,7 @@ def encode_ascii(recordings: DataFrame) -> DataFrame:
     prepared = _prepared(recordings, "ASCII", C.ASCII_RESOLUTION, 1.0)
     return prepared.select(
         C.FILENAME, C.CONFIG_CONTENT,
-        ascii_body(F.col("_x"), F.col("_t"), F.col("_s"), F.col("_nd")).alias(C.DAT_CONTENT))
+        ascii_body(F.col("_x"), F.col("_t"), F.col("_s")).alias(C.DAT_CONTENT))
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
