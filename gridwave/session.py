@@ -36,20 +36,28 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only when none is named."""
+    """The shared checkpoint folder; make a local one only when none is named.
+
+    ``spark.checkpoint.dir`` is a core setting that cannot be changed at run
+    time, so a folder made here is remembered per application and registered
+    with ``setCheckpointDir`` instead.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        # SparkContext appends a random child folder; use its parent.
-        return current.rstrip("/").rsplit("/", 1)[0]
+    app = spark.sparkContext.applicationId
+    if app in _LOCAL_DIRS:
+        return _LOCAL_DIRS[app]
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="gridwave-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    _LOCAL_DIRS[app] = local
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(local + "/rdd")
     return local
 
 
