@@ -15,6 +15,9 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 
+ARROW_RECORDS_PER_BATCH = 256
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "gridwave") -> SparkSession:
     """A session with the settings every job here assumes (UTC, AQE, no UI)."""
@@ -27,6 +30,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Rows of the Arrow hops are whole recording files (binary decode) or
+        # whole waveforms (plug-in scorer): keep batches small so one batch
+        # never holds thousands of files in a Python worker.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_RECORDS_PER_BATCH))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("GRIDWAVE_DRIVER_MEMORY", "8g"))
