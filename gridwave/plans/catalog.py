@@ -214,9 +214,12 @@ def _rounded(decoded: DataFrame) -> DataFrame:
 
 @register("encode_recordings")
 def encode_recordings(spark, d):
+    """cfg text in full; the dat bytes as their md5 and length (exact, and
+    free of binary-type differences between engines)."""
     enc = EN.encode_ascii(_captures(spark, d))
     return enc.select(C.FILENAME, K.short_id(F.col(C.FILENAME)).alias("file_id"),
-                      C.CONFIG_CONTENT, C.DAT_CONTENT)
+                      C.CONFIG_CONTENT, F.md5(C.DAT_CONTENT).alias("dat_md5"),
+                      F.length(C.DAT_CONTENT).alias("n_bytes"))
 
 
 @register("decode_ascii")

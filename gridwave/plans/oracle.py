@@ -252,7 +252,7 @@ body AS (SELECT filename,
   FROM capt GROUP BY filename)
 SELECT c.filename, substr(md5(c.filename), 1, 12) AS file_id,
        {_cfg_text('ASCII', '0.01', '1')} AS config_content,
-       encode(b.body) AS dat_content
+       md5(b.body) AS dat_md5, octet_length(encode(b.body)) AS n_bytes
 FROM captures c JOIN body b USING (filename)""",
 
     "decode_ascii": f"""WITH {CAPTURES}, {_CAP_START}
