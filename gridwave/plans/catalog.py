@@ -8,21 +8,31 @@ the whole table.  Computed columns carry the same names as in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridwave import constants as C
+from gridwave.functions import arrays as AR
 from gridwave.functions import keys as K
 from gridwave.functions import times as T
+from gridwave.operators import decode as DE
+from gridwave.operators import encode as EN
 from gridwave.operators import frames as FR
+from gridwave.operators import model as MD
 from gridwave.operators import pairing as PR
 from gridwave.operators import shape as SH
+from gridwave.plans import staging as ST
+from gridwave.sources import files as FS
 from gridwave.sources import testdata as TD
+from gridwave.streaming import pipeline as PL
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+# streaming progress of the last stream_late run per input folder (for tests)
+LATE_PROGRESS: dict = {}
 
 
 def register(name: str):
@@ -198,9 +208,6 @@ def json_render(spark, d):
 
 
 # --------------------------------------------------------------------------- recordings
-from gridwave.functions import arrays as AR  # noqa: E402
-from gridwave.operators import decode as DE  # noqa: E402
-from gridwave.operators import encode as EN  # noqa: E402
 
 
 def _captures(spark, d) -> DataFrame:
@@ -291,8 +298,6 @@ def channel_alias(spark, d):
 
 
 # --------------------------------------------------------------------------- files
-from gridwave.plans import staging as ST  # noqa: E402
-from gridwave.sources import files as FS  # noqa: E402
 
 
 def _folder_and_name(key: str = C.FILENAME) -> list:
@@ -344,8 +349,6 @@ def scan_raw_csv(spark, d):
 
 
 # --------------------------------------------------------------------------- model
-from gridwave.operators import model as MD  # noqa: E402
-from gridwave.session import shared_dir  # noqa: E402
 
 MODEL_NAME = "fault_detection"
 
@@ -438,9 +441,6 @@ def score_waveforms(spark, d):
 
 
 # --------------------------------------------------------------------------- streaming
-import uuid  # noqa: E402
-
-from gridwave.streaming import pipeline as PL  # noqa: E402
 
 
 def _stream_run(spark, d, upto: str, model=None, frame_len: int = C.TEST_FRAME_LENGTH,
@@ -599,6 +599,3 @@ def stream_late(spark, d):
     q.awaitTermination()
     LATE_PROGRESS[d] = list(q.recentProgress)
     return spark.read.parquet(out + "/table").select("event_id", "user_id", "ts")
-
-
-LATE_PROGRESS: dict = {}
