@@ -599,3 +599,15 @@ def stream_late(spark, d):
     q.awaitTermination()
     LATE_PROGRESS[d] = list(q.recentProgress)
     return spark.read.parquet(out + "/table").select("event_id", "user_id", "ts")
+
+
+@register("decode_ascii_lines")
+def decode_ascii_lines(spark, d):
+    """ASCII bodies read as splittable text, decoded line by line to phase rows."""
+    root = ST.recording_files(spark, d)
+    headers = DE.line_headers(FS.scan_cfg(spark, f"{root}/{ST.ASCII_FOLDER}"))
+    lines = FS.scan_dat_lines(spark, f"{root}/{ST.ASCII_FOLDER}")
+    out = DE.decode_ascii_lines(lines, headers)
+    return out.select(*_folder_and_name(), "sample_number",
+                      F.timestamp_micros("time_us").cast("timestamp_ntz").alias(C.TIMESTAMP),
+                      *[F.round(p, 6).alias(p) for p in C.PHASE_CHANNELS])

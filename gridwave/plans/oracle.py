@@ -427,3 +427,12 @@ SELECT 'binary.v1', filename, n FROM captures""",
 
 SQL["stream_late"] = """SELECT event_id, user_id, ts FROM events
 WHERE strftime(ts, '%Y-%m-%d') <> '2024-01-15'"""
+
+
+SQL["decode_ascii_lines"] = f"""WITH {CAPTURES}
+SELECT 'ascii.v1' AS folder, filename, n_in_cap AS sample_number,
+       make_timestamp(time_us) AS "timestamp",
+       CASE WHEN ch = 'IA' THEN {_q('0.01', 'value')} END AS IA,
+       CASE WHEN ch = 'IB' THEN {_q('0.01', 'value')} END AS IB,
+       CASE WHEN ch = 'IC' THEN {_q('0.01', 'value')} END AS IC
+FROM cap"""

@@ -89,3 +89,16 @@ def write_pairs(pairs: DataFrame, root: str, folder: str = "") -> None:
     staged = pairs.select(F.concat(F.lit(prefix), F.col(C.FILENAME)).alias("_relpath"),
                           C.CONFIG_CONTENT, C.DAT_CONTENT)
     staged.foreachPartition(lambda rows: _write_partition(rows, root))
+
+
+def scan_dat_lines(spark: SparkSession, root: str) -> DataFrame:
+    """ASCII ``*.dat`` bodies as lines: (filename, line).
+
+    The text source splits large files across tasks, so a single huge
+    recording is read in parallel.  Point ``root`` at ASCII bodies only: a
+    binary body has no line breaks and would arrive as one huge line.
+    """
+    df = (spark.read.option("pathGlobFilter", C.DAT_GLOB).option("recursiveFileLookup", "true")
+          .text(root))
+    return df.select(pair_key(F.col("_metadata.file_path")).alias(C.FILENAME),
+                     F.col("value").alias("line"))

@@ -12,7 +12,7 @@ def plan(df):
 
 def test_no_python_in_builtin_paths(spark):
     for name in ("decode_ascii", "flatten_long", "pivot_phases", "gather_waveform",
-                 "frame_waveforms", "interval_join", "encode_recordings"):
+                 "frame_waveforms", "interval_join", "encode_recordings", "decode_ascii_lines"):
         p = plan(Q.REGISTRY[name](spark, SF_SMALL))
         for node in ("BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas",
                      "FlatMapGroupsInPandas"):
