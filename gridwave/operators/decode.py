@@ -112,14 +112,40 @@ def with_header(pairs: DataFrame) -> DataFrame:
                              ).drop("_cfg_lines", "_cfg_na", "_cfg_nd")
 
 
+def rate_segments(cfg: Column) -> Column:
+    """Sampling-rate segments of a header: array<struct(lo, hi, rate)>.
+
+    Segment i holds samples lo < n <= hi (lo = previous end sample); the last
+    segment is open-ended so a body longer than its header still gets times.
+    """
+    rates = cfg["rates"]
+    last = F.size(rates) - 1
+    return F.transform(rates, lambda r, i: F.struct(
+        F.when(i == 0, F.lit(0)).otherwise(F.get(rates, i - 1)["end_sample"]).cast("double").alias("lo"),
+        F.when(i == last, F.lit(float("inf"))).otherwise(r["end_sample"].cast("double")).alias("hi"),
+        r["rate"].alias("rate")))
+
+
+def rate_offset_seconds(segments: Column, n: Column) -> Column:
+    """Seconds from the first sample to sample ``n``: each later sample adds
+    1 / (rate of its segment)."""
+    nd = n.cast("double")
+    return F.aggregate(segments, F.lit(0.0), lambda acc, s: acc + F.greatest(
+        F.lit(0.0), F.least(nd, s["hi"]) - F.greatest(s["lo"], F.lit(1.0))) / s["rate"])
+
+
+def _uses_rates(cfg: Column) -> Column:
+    """Rates drive the times when the header lists rates, all positive."""
+    return (cfg["n_rates"] > 0) & F.forall(cfg["rates"], lambda r: r["rate"] > 0)
+
+
 def _sample_micros(cfg: Column, n: Column, t: Column) -> Column:
     """Sample time in epoch us: from the sample rate when one is given,
     else from the time field times the multiplier."""
     start_us = F.unix_micros(cfg["start"])
-    rate = F.try_element_at(cfg["rates"], F.lit(1))["rate"]
-    by_rate = start_us + F.round((n - F.lit(1)).cast("double") / rate * F.lit(1e6)).cast("bigint")
+    by_rate = start_us + F.round(rate_offset_seconds(rate_segments(cfg), n) * F.lit(1e6)).cast("bigint")
     by_time = start_us + F.round(t * cfg["time_mult"]).cast("bigint")
-    return F.when((cfg["n_rates"] > 0) & (rate > 0), by_rate).otherwise(by_time)
+    return F.when(_uses_rates(cfg), by_rate).otherwise(by_time)
 
 
 def _common_columns(cfg: Column) -> list[Column]:
@@ -146,7 +172,6 @@ def _ascii_arrays(parsed: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, Co
     cfg = F.col(CFG)
     body = F.filter(F.split(F.col(C.DAT_CONTENT).cast("string"), "\r?\n"),
                     lambda l: F.trim(l) != "")
-    rate = F.try_element_at(cfg["rates"], F.lit(1))["rate"]
     # Split once into a column; the three projections below reuse it.
     staged = parsed.select(
         *keep, *[c for c in parsed.columns if c not in keep],
@@ -154,17 +179,17 @@ def _ascii_arrays(parsed: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, Co
         F.transform(cfg["analog_channels"], lambda c: c["a"]).alias("_ka"),
         F.transform(cfg["analog_channels"], lambda c: c["b"]).alias("_kb"),
         cfg["n_analog"].alias("_kna"), cfg["n_status"].alias("_knd"),
-        F.unix_micros(cfg["start"]).alias("_kstart"), rate.alias("_krate"),
-        ((cfg["n_rates"] > 0) & (rate > 0)).alias("_kbyrate"), cfg["time_mult"].alias("_kmult"))
+        F.unix_micros(cfg["start"]).alias("_kstart"), rate_segments(cfg).alias("_ksegs"),
+        _uses_rates(cfg).alias("_kbyrate"), cfg["time_mult"].alias("_kmult"))
     fields, n_a, n_d = F.col("_fields"), F.col("_kna"), F.col("_knd")
     ka, kb = F.col("_ka"), F.col("_kb")
     analog = F.transform(fields, lambda f: F.transform(
         F.slice(f, 3, n_a), lambda x, j: _num(x) * F.get(ka, j) + F.get(kb, j)))
     status = F.transform(fields, lambda f: F.transform(F.slice(f, n_a + 3, n_d), lambda x: _num(x)))
-    start, krate, kmult = F.col("_kstart"), F.col("_krate"), F.col("_kmult")
+    start, segs, kmult = F.col("_kstart"), F.col("_ksegs"), F.col("_kmult")
     micros = F.transform(fields, lambda f: F.when(
         F.col("_kbyrate"),
-        start + F.round((_num(F.get(f, 0)) - F.lit(1.0)) / krate * F.lit(1e6)).cast("bigint"))
+        start + F.round(rate_offset_seconds(segs, _num(F.get(f, 0))) * F.lit(1e6)).cast("bigint"))
         .otherwise(start + F.round(_num(F.get(f, 1)) * kmult).cast("bigint")))
     empty = F.array().cast("array<array<double>>")
     return (staged, F.when(n_a > 0, analog).otherwise(empty),
@@ -233,9 +258,13 @@ def _decode_binary_rows(cols: dict, n_rows: int, want: list) -> tuple:
             s_rows.append(s_rows[-1] + count)
         else:
             s_rows.append(s_rows[-1])
-        start_us, mult, rate = cols["_start_us"][i], cols["_mult"][i], cols["_rate"][i]
-        if rate is not None and rate > 0 and (cols["_nrates"][i] or 0) > 0:
-            us = start_us + np.round((rec["n"].astype(np.float64) - 1) / rate * 1e6)
+        start_us, mult, segs = cols["_start_us"][i], cols["_mult"][i], cols["_segs"][i]
+        if cols["_byrate"][i]:
+            n = rec["n"].astype(np.float64)
+            off = np.zeros(count)
+            for seg in segs:
+                off = off + np.maximum(0.0, np.minimum(n, seg["hi"]) - max(seg["lo"], 1.0)) / seg["rate"]
+            us = start_us + np.round(off * 1e6)
         else:
             us = start_us + np.round(rec["t"].astype(np.float64) * (mult or 1.0))
         t_vals.append(us.astype(np.int64))
@@ -274,8 +303,8 @@ def _merge_batches(batches: Iterator[pa.RecordBatch], keep: Sequence[str]) -> It
         content = batch.column(C.DAT_CONTENT)
         want = pc.is_valid(content).to_pylist()
         cols = {k: batch.column(k).to_pylist() for k in
-                (C.DAT_CONTENT, "_na", "_nd", "_ft", "_a", "_b", "_start_us", "_mult", "_rate",
-                 "_nrates")}
+                (C.DAT_CONTENT, "_na", "_nd", "_ft", "_a", "_b", "_start_us", "_mult", "_segs",
+                 "_byrate")}
         analog, status, times = _decode_binary_rows(cols, batch.num_rows, want)
         is_bin = pa.array(want, pa.bool_())
         out = {k: batch.column(k) for k in keep}
@@ -315,8 +344,7 @@ def _binary_inputs(cfg: Column) -> list[Column]:
             F.transform(cfg["analog_channels"], lambda c: c["a"]).alias("_a"),
             F.transform(cfg["analog_channels"], lambda c: c["b"]).alias("_b"),
             F.unix_micros(cfg["start"]).alias("_start_us"), cfg["time_mult"].alias("_mult"),
-            F.try_element_at(cfg["rates"], F.lit(1))["rate"].alias("_rate"),
-            cfg["n_rates"].alias("_nrates")]
+            rate_segments(cfg).alias("_segs"), _uses_rates(cfg).alias("_byrate")]
 
 
 def decode_recordings(pairs: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> DataFrame:
@@ -359,9 +387,8 @@ def line_headers(configs: DataFrame, channels: Sequence[str] = C.PHASE_CHANNELS)
     parsed = with_header(configs)
     cfg = F.col(CFG)
     names = F.transform(cfg["analog_channels"], lambda c: c["id"])
-    rate = F.try_element_at(cfg["rates"], F.lit(1))["rate"]
     cols = [F.col(C.FILENAME), F.unix_micros(cfg["start"]).alias("_start"),
-            rate.alias("_rate"), ((cfg["n_rates"] > 0) & (rate > 0)).alias("_byrate"),
+            rate_segments(cfg).alias("_segs"), _uses_rates(cfg).alias("_byrate"),
             cfg["time_mult"].alias("_mult")]
     for ch in channels:
         pos = F.array_position(names, F.lit(ch)).cast("int")          # 1-based, 0 = missing
@@ -385,7 +412,7 @@ def decode_ascii_lines(lines: DataFrame, headers: DataFrame,
     f = F.col("_f")
     n = _num(F.try_element_at(f, F.lit(1)), "bigint")
     t = _num(F.try_element_at(f, F.lit(2)))
-    by_rate = F.col("_start") + F.round((n - F.lit(1)).cast("double") / F.col("_rate")
+    by_rate = F.col("_start") + F.round(rate_offset_seconds(F.col("_segs"), n)
                                         * F.lit(1e6)).cast("bigint")
     by_time = F.col("_start") + F.round(t * F.col("_mult")).cast("bigint")
     out = [F.col(C.FILENAME), n.alias("sample_number"),

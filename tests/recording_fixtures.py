@@ -123,3 +123,14 @@ def expected_phases():
 
 
 EPOCH_2024_US = 1704067200000000
+
+
+def multi_rate():
+    """Two rates: samples 1-2 at 1 kHz, samples 3-4 at 500 Hz."""
+    rows = [(n, 0, a, b, c) for n, _, a, b, c in SAMPLES]
+    return cfg_text(PHASES3, rates=[(1000, 2), (500, 4)]), ascii_dat(rows)
+
+
+def multi_rate_binary():
+    rows = [(n, 0, a, b, c) for n, _, a, b, c in SAMPLES]
+    return cfg_text(PHASES3, rates=[(1000, 2), (500, 4)], file_type="BINARY"), binary_dat(rows, 3)

@@ -40,7 +40,8 @@ def as_lists(rows):
 def decoded(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("recs"))
     for name in ["ascii_3a", "ascii_crlf", "binary_3a", "binary_status", "no_analog",
-                 "reordered", "missing_phase", "extra_channel", "duplicate_channel", "rate_based"]:
+                 "reordered", "missing_phase", "extra_channel", "duplicate_channel", "rate_based",
+                 "multi_rate", "multi_rate_binary"]:
         write_pair(root, name, getattr(RF, name)())
     write_pair(root, "cfg_only", RF.ascii_3a(), dat=False)
     write_pair(root, "dat_only", RF.ascii_3a(), cfg=False)
@@ -110,6 +111,17 @@ def test_rate_based_times(decoded):
     assert r[C.MICROSECONDS] == [RF.EPOCH_2024_US + 1000 * i for i in range(4)]
 
 
+def test_multiple_sampling_rates(decoded, spark, tmp_path):
+    """Each sample after the first adds 1/rate of its own segment: 0, 1, 3, 5 ms."""
+    want = [RF.EPOCH_2024_US + us for us in (0, 1000, 3000, 5000)]
+    assert decoded["multi_rate"][C.MICROSECONDS] == want
+    assert decoded["multi_rate_binary"][C.MICROSECONDS] == want
+    write_pair(str(tmp_path), "mr", RF.multi_rate())
+    lines = FS.scan_dat_lines(spark, str(tmp_path))
+    got = DE.decode_ascii_lines(lines, DE.line_headers(FS.scan_cfg(spark, str(tmp_path))))
+    assert sorted(r.time_us for r in got.collect()) == want
+
+
 def test_unpaired_files_drop_out(decoded):
     assert "cfg_only" not in decoded and "dat_only" not in decoded
 
