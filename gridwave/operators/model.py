@@ -160,7 +160,8 @@ def external_scorer(load: Callable[[], Callable[[np.ndarray], np.ndarray]],
             if ok.any():
                 stacked = np.stack([np.nan_to_num(a) for a, k in zip(arrays, ok) if k])
                 out[ok] = np.asarray(predict(stacked), dtype=np.float64).reshape(-1)
-            yield pd.Series(out)
+            # rejected shapes become nulls (a masked array), not NaN
+            yield pd.Series(pd.arrays.FloatingArray(out, ~ok))
     return _score
 
 

@@ -611,3 +611,18 @@ def decode_ascii_lines(spark, d):
     return out.select(*_folder_and_name(), "sample_number",
                       F.timestamp_micros("time_us").cast("timestamp_ntz").alias(C.TIMESTAMP),
                       *[F.round(p, 6).alias(p) for p in C.PHASE_CHANNELS])
+
+
+@register("score_plugin")
+def score_plugin(spark, d):
+    """D4: the waveforms of ``score_waveforms`` scored through the plug-in
+    pandas UDF (the Production model exported to numpy, loaded once per
+    worker); waveforms of the wrong shape score null."""
+    model = production_model(spark, d)
+    g = SH.gather_waveform(TD.raw_samples(_events(spark, d)), "time_us", C.TIMESTAMP,
+                           tiebreak=["event_id"], frame_len=C.TEST_FRAME_LENGTH,
+                           bucket_us=TD.EVENT_BUCKET_US)
+    scorer = MD.external_scorer(MD.numpy_logistic(model),
+                                shape=(C.TEST_FRAME_LENGTH, len(C.PHASE_CHANNELS)))
+    return g.select(C.FILENAME, "frame", "n_samples", "length_ok",
+                    F.round(scorer(SH.waveform_matrix(g)), 6).alias("fault_score"))
