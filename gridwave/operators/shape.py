@@ -42,15 +42,41 @@ def flatten_long(decoded: DataFrame, time_col: str = C.MICROSECONDS,
 
 def flatten_status(decoded: DataFrame, time_col: str = C.MICROSECONDS,
                    keep: Sequence[str] = (C.FILENAME,)) -> DataFrame:
-    """Long form of analog *and* status channels, tagged by ``channel_type``."""
-    analog = flatten_long(decoded, time_col, keep).withColumn("channel_type", F.lit("analog"))
-    status_src = decoded.select(
-        *keep, time_col,
-        F.col(C.STATUS).alias(C.ANALOG),
-        F.coalesce(F.col(C.STATUS_CHANNEL_NAMES), F.array().cast("array<string>"))
-        .alias(C.ANALOG_CHANNEL_NAMES))
-    status = flatten_long(status_src, time_col, keep).withColumn("channel_type", F.lit("status"))
-    return analog.unionByName(status)
+    """Long form of analog *and* status channels, tagged by ``channel_type``.
+
+    One pass: each sample's analog and status values are turned into one
+    array of (channel_index, name, value, type) and exploded once, so the
+    decoded input is read once.
+    """
+    names = F.coalesce(F.col(C.ANALOG_CHANNEL_NAMES), F.array().cast("array<string>"))
+    snames = F.coalesce(F.col(C.STATUS_CHANNEL_NAMES), F.array().cast("array<string>"))
+    n = F.greatest(F.size(F.coalesce(F.col(C.ANALOG), F.array())),
+                   F.size(F.coalesce(F.col(C.STATUS), F.array())))
+    per_time = decoded.select(
+        *keep, names.alias("_names"), snames.alias("_snames"),
+        F.posexplode(F.arrays_zip(F.slice(F.col(time_col), 1, n).alias("t"),
+                                  F.col(C.ANALOG).alias("a"), F.col(C.STATUS).alias("s")))
+        .alias("sample_index", "z"))
+
+    def tagged(values, labels, kind):
+        return F.transform(F.arrays_zip(labels.alias("name"), values.alias("value")),
+                           lambda c, j: F.struct(j.alias("channel_index"), c["name"].alias("name"),
+                                                 c["value"].alias("value"), F.lit(kind).alias("kind")))
+    empty_d = F.array().cast("array<double>")
+    analog = F.when(F.size(F.coalesce(F.col("z.a"), empty_d)) > 0,
+                    tagged(F.col("z.a"), F.col("_names"), "analog"))
+    status = F.when(F.size(F.coalesce(F.col("z.s"), empty_d)) > 0,
+                    tagged(F.col("z.s"), F.col("_snames"), "status"))
+    empty_s = F.array().cast(
+        "array<struct<channel_index:int,name:string,value:double,kind:string>>")
+    both = F.concat(F.coalesce(analog, empty_s), F.coalesce(status, empty_s))
+    staged = per_time.select(*keep, "sample_index", F.col("z.t").alias(time_col),
+                             both.alias("_channels"))
+    return staged.select(*keep, "sample_index", time_col,
+                         F.explode("_channels").alias("c")).select(
+        *keep, time_col, "sample_index", F.col("c.channel_index").alias("channel_index"),
+        F.col("c.name").alias(C.ANALOG_CHANNEL_NAMES), F.col("c.value").alias(C.ANALOG),
+        F.col("c.kind").alias("channel_type"))
 
 
 # ---------------------------------------------------------------------------
@@ -67,15 +93,13 @@ def pivot_phases(long: DataFrame, keys: Sequence[str], order: Sequence[str],
                  value_col: str = C.ANALOG) -> DataFrame:
     """One column per listed channel; duplicates resolve to the first by ``order``.
 
-    The channel filter is applied first so the aggregate only sees kept
-    channels; ``min_by`` is a partial aggregate, so a hot (key) shrinks
-    map-side before the shuffle.
+    Same result as ``groupBy(keys).pivot(name, channels).agg(min_by(...))``,
+    but planned as one aggregate: with known values ``.pivot`` becomes two
+    aggregates (by keys + name, then by keys), i.e. two shuffles of the long
+    data.  The channel filter runs first, and ``min_by`` combines map-side,
+    so a hot key shrinks before its single shuffle.
     """
-    order_col = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
-    return (filter_channels(long, channels, name_col)
-            .groupBy(*keys)
-            .pivot(name_col, list(channels))
-            .agg(F.min_by(value_col, order_col)))
+    return pivot_conditional(long, keys, order, channels, name_col, value_col)
 
 
 def pivot_discover(long: DataFrame, keys: Sequence[str], order: Sequence[str],
