@@ -24,7 +24,7 @@ from pyspark.sql.types import DoubleType
 
 from gridwave import constants as C
 
-EPS = 1e-7  # probability clip for the log loss (Keras uses the same epsilon)
+EPS = 1e-7  # probability clip for the log loss
 
 
 def flat_features(signal: Column) -> Column:
