@@ -71,3 +71,25 @@ def test_frames_drop_partial_tail_and_take_first_label(spark):
     assert [r.frame for r in fr] == [0, 1]                      # 10 samples -> 2 full frames
     assert [r.y for r in fr] == [1, 0]
     assert [row[0] for row in fr[1].signal] == [4.0, 5.0, 6.0, 7.0]
+
+
+def test_hot_recording_is_ranked_by_many_tasks(spark):
+    """One recording holding most rows is spread over several tasks by its
+    time buckets (a plain window would rank it in one task), and its ranks
+    stay exact."""
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(0, 60_600).select(
+            F.when(F.col("id") < 60_000, F.lit("hot"))
+            .otherwise(F.concat(F.lit("k"), (F.col("id") % 30).cast("string"))).alias("key"),
+            (F.col("id") * 7).alias("t"), F.col("id"))
+        ranked = ordered_index(rows, ["key"], "t", ["id"], bucket_us=10_000)
+        hot = ranked.filter(F.col("key") == "hot").select("rn", F.spark_partition_id().alias("p"))
+        by_task = hot.groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()
+        assert len(by_task) > 1
+        assert max(r.n for r in by_task) < 60_000
+        agg = hot.agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first()
+        assert tuple(agg) == (1, 60_000, 60_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
