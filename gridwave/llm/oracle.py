@@ -4,14 +4,14 @@ SQL: dict[str, str] = {}
 SQL["op9_quality_rules"] = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
-             list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
       FROM d),
 win AS (SELECT doc_id, i, array_to_string(ws[i:i+7], ' ') AS g
         FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)),
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win)
         WHERE n > 1),
 cov AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM rep, range(8) r(j) GROUP BY doc_id),
-f AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+f AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
              length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
              len(lines) AS n_lines,
              (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
