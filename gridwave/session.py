@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import zipfile
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -44,6 +45,29 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, once per application.
+
+    Needed wherever the workers' path does not hold the repository; with
+    ``spark-submit --py-files gridwave.zip`` the call only repeats that.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    target = os.path.join(tempfile.mkdtemp(prefix="gridwave-zip-"), "gridwave.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
 
 
 def shared_dir(spark: SparkSession) -> str:
