@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def steps(batches: Iterator[pa.RecordBatch], text_col: str,
     A single text is never cut, so one longer than ``limit`` comes alone.
     """
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(text_col)).fill_null(0).to_numpy(
+        sizes = pc.binary_length(batch.column(text_col)).fill_null(0).to_numpy(
             zero_copy_only=False)
         at, held = 0, 0
         for i, n in enumerate(sizes):

@@ -23,3 +23,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND word_chars BETWEEN 2 * n_words AND 15 * n_words AS kept
 FROM b
 """
+
+SQL["op7_url_filter"] = r"""
+WITH cap AS (
+  SELECT page_id, DATE '2024-01-01' + CAST((page_id * 37) % 366 AS INTEGER) AS fetch_day,
+         nullif(rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '.'), '') AS host
+  FROM pages),
+hosts AS (SELECT DISTINCT host FROM cap WHERE host IS NOT NULL),
+pat AS (SELECT host AS p FROM hosts UNION SELECT regexp_extract(host, '([^.]+\.[^.]+)$', 1) FROM hosts),
+ent AS (SELECT p, i, ('0x' || md5(p)[1:2])::INTEGER % 4 AS n,
+               ['adult', 'malware', 'spam'][('0x' || md5(p)[3:4])::INTEGER % 3 + 1] AS category,
+               DATE '2024-01-01' + CAST(('0x' || md5(p)[5 + 2 * i:6 + 2 * i])::INTEGER % 120 + 120 * i AS INTEGER) AS day
+        FROM pat, (VALUES (0), (1), (2)) v(i) WHERE p <> ''),
+span AS (SELECT p, category, i, day AS f, coalesce(lead(day) OVER (PARTITION BY p ORDER BY day), DATE '9999-12-31') AS u
+         FROM ent WHERE i < n),
+hit AS (SELECT host, fetch_day, count(*) AS n_active, string_agg(DISTINCT category, ',' ORDER BY category) AS categories
+        FROM (SELECT DISTINCT host, fetch_day FROM cap) c
+        JOIN span ON (host = p OR ends_with(host, '.' || p)) AND i <> 1 AND f <= fetch_day AND fetch_day < u
+        GROUP BY host, fetch_day)
+SELECT page_id, cap.host, cap.fetch_day, n_active IS NOT NULL AS blocked,
+       coalesce(n_active, 0)::BIGINT AS n_active, coalesce(categories, '') AS categories
+FROM cap LEFT JOIN hit ON cap.host = hit.host AND cap.fetch_day = hit.fetch_day
+"""

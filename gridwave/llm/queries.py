@@ -4,16 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwave.llm import quality_rules
+from gridwave.llm import license_scan, quality_rules, token_counts, url_filter
 from gridwave.llm.common import table
 
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path(PIECE_MODEL))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.evaluate(url_filter.captures_of_pages(pages), url_filter.entries_of_pages(pages),
+                               "page_id", "url", "fetch_day")
+
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_counts": op3_token_counts,
+    "op7_url_filter": op7_url_filter,
     "op9_quality_rules": op9_quality_rules,
+    "op10_license_scan": op10_license_scan,
 }
