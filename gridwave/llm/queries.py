@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwave.llm import license_scan, quality_rules, token_counts, url_filter
+from gridwave.llm import license_scan, pii, quality_rules, token_counts, url_filter
 from gridwave.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path(PIECE_MODEL))
@@ -33,6 +37,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii": op2_pii,
     "op3_token_counts": op3_token_counts,
     "op7_url_filter": op7_url_filter,
     "op9_quality_rules": op9_quality_rules,
