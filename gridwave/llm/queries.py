@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwave.llm import license_scan, pii, quality_rules, token_counts, url_filter
+from gridwave.llm import (language_id, license_scan, pii, quality_rules, sentencepiece_codec,
+                          token_counts, url_filter)
 from gridwave.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -22,12 +23,21 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path(PIECE_MODEL))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_texts(table(spark, sf_dir, "documents"),
+                                            public_tokenizers.path(PIECE_MODEL))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.evaluate(url_filter.captures_of_pages(pages), url_filter.entries_of_pages(pages),
                                "page_id", "url", "fetch_day")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
@@ -39,7 +49,9 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_token_counts": op3_token_counts,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_url_filter": op7_url_filter,
+    "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scan": op10_license_scan,
 }
