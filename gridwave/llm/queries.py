@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gridwave.llm import (language_id, license_scan, pii, quality_rules, sentencepiece_codec,
-                          token_counts, url_filter)
+                          simhash, token_counts, url_filter)
 from gridwave.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -23,6 +23,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path(PIECE_MODEL))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_texts(table(spark, sf_dir, "documents"),
                                             public_tokenizers.path(PIECE_MODEL))
@@ -49,6 +53,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_token_counts": op3_token_counts,
+    "op4_simhash": op4_simhash,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_url_filter": op7_url_filter,
     "op8_language_id": op8_language_id,
