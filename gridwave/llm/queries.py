@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwave.llm import (language_id, license_scan, pii, quality_rules, sentencepiece_codec,
-                          simhash, token_counts, url_filter)
+from gridwave.llm import (decontaminate, language_id, license_scan, pii, quality_rules,
+                          sentencepiece_codec, simhash, token_counts, url_filter)
 from gridwave.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_pii": op2_pii,
     "op3_token_counts": op3_token_counts,
     "op4_simhash": op4_simhash,
