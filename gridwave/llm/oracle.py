@@ -65,3 +65,26 @@ SELECT doc_id, item_id, start::BIGINT AS first_word, matched::BIGINT AS n_matche
        c / 15.0::DOUBLE AS share
 FROM best QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, start) = 1
 """
+
+SQL["op5_lm_scoring"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+g AS (SELECT rid, i, w, lag(w) OVER s AS v, lag(w, 2) OVER s AS u FROM w WINDOW s AS (PARTITION BY rid ORDER BY i)),
+c1 AS (SELECT w, count(*) AS n FROM g GROUP BY w),
+c2 AS (SELECT v, w, count(*) AS n FROM g WHERE v IS NOT NULL GROUP BY v, w),
+c3 AS (SELECT u, v, w, count(*) AS n FROM g WHERE u IS NOT NULL GROUP BY u, v, w),
+s AS (SELECT g.rid,
+        CASE WHEN c3.n >= 2 THEN ln(c3.n / p2.n) WHEN c2.n >= 2 THEN ln(c2.n / p1.n)
+             ELSE ln(c1.n / (SELECT count(*) FROM g)) END
+        + ln(0.4) * (least(i - 1, 2) - CASE WHEN c3.n >= 2 THEN 2 WHEN c2.n >= 2 THEN 1 ELSE 0 END) AS s,
+        CASE WHEN c3.n >= 2 THEN 2 WHEN c2.n >= 2 THEN 1 ELSE 0 END < least(i - 1, 2) AS b
+      FROM g JOIN c1 ON c1.w = g.w LEFT JOIN c2 ON c2.v = g.v AND c2.w = g.w
+      LEFT JOIN c3 ON c3.u = g.u AND c3.v = g.v AND c3.w = g.w
+      LEFT JOIN c1 p1 ON p1.w = g.v LEFT JOIN c2 p2 ON p2.v = g.u AND p2.w = g.v),
+t AS (SELECT rid, count(*) AS n, sum(s) AS s, count(*) FILTER (WHERE b) AS b FROM s GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, round(coalesce(s, 0), 4)::DOUBLE AS log_score,
+       round(s / n, 4)::DOUBLE AS mean_log_score, coalesce(b, 0)::BIGINT AS n_backoff
+FROM d LEFT JOIN t ON t.rid = d.rid
+"""

@@ -3,8 +3,8 @@
 Each rule says when a text is rejected.  The cost and the rejection rate of
 every rule are measured on a sample; rules then run in the order of rejections
 per second of cost.  A text that one rule rejects is not looked at by the next:
-every feature a later rule needs is computed under ``when(still alive)``.  The
-verdict is the same in any order, so the sample only steers the cost.
+a later rule and the features it needs are evaluated only where all before it
+pass.  The verdict is the same in any order, so the sample only steers the cost.
 
 A null text counts as empty.  An empty text has no words and is rejected by
 ``few_words``.  Repeated rows get the same verdict each.
@@ -32,49 +32,64 @@ MEAN_WORD_LENGTH = (2, 15)
 SAMPLE_ROWS = 512
 
 
-def _windows() -> Column:
-    """Hash of every window of words.  ``_h`` is named twice on purpose: an
-    array named once would be inlined into the lambda and built per window."""
-    n = F.size("_h")
-    return F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)),
-                                           lambda i: F.xxhash64(F.slice("_h", i, WINDOW))))
+Get = Callable[[str], Column]
 
 
-def _window_order() -> Column:
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _windows(get: Get) -> Column:
+    """Hash of every window of words."""
+    def of(h: Column) -> Column:
+        n = F.size(h)
+        return F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)),
+                                               lambda i: F.xxhash64(F.slice(h, i, WINDOW))))
+    return bind(get("_h"), of)
+
+
+def _window_order(get: Get) -> Column:
     """(hash, position) of all windows in hash order, only where a window repeats."""
-    pairs = F.transform("_win", lambda h, i: F.struct(h.alias("h"), i.alias("p")))
-    return F.when(F.size(F.array_distinct("_win")) < F.size("_win"), F.sort_array(pairs))
+    return bind(get("_win"), lambda win: F.when(
+        F.size(F.array_distinct(win)) < F.size(win),
+        F.sort_array(F.transform(win, lambda h, i: F.struct(h.alias("h"), i.alias("p"))))))
 
 
-def _repeat_starts() -> Column:
+def _repeat_starts(get: Get) -> Column:
     """Starts of windows whose words stand elsewhere in the text too, ascending."""
-    same = lambda x, j: F.get("_order", j)["h"] == x["h"]
-    starts = F.transform("_order", lambda x, i: F.when(
-        F.coalesce(same(x, i - 1), F.lit(False)) | F.coalesce(same(x, i + 1), F.lit(False)), x["p"]))
-    return F.sort_array(F.array_compact(starts))
+    def of(order: Column) -> Column:
+        same = lambda x, j: F.coalesce(F.get(order, j)["h"] == x["h"], F.lit(False))
+        starts = F.transform(order, lambda x, i: F.when(same(x, i - 1) | same(x, i + 1), x["p"]))
+        return F.sort_array(F.array_compact(starts))
+    return bind(get("_order"), of)
 
 
-def _covered() -> Column:
+def _covered(get: Get) -> Column:
     """Words under the repeated windows: each start adds what the next does not cover."""
-    adds = F.transform("_starts", lambda p, i: F.least(
-        F.lit(WINDOW), F.coalesce(F.get("_starts", i + 1) - p, F.lit(WINDOW))))
-    return F.when(F.col("_starts").isNull(), F.lit(0)).otherwise(
-        F.aggregate(adds, F.lit(0), lambda a, x: a + x)).cast("long")
+    def of(starts: Column) -> Column:
+        adds = F.transform(starts, lambda p, i: F.least(
+            F.lit(WINDOW), F.coalesce(F.get(starts, i + 1) - p, F.lit(WINDOW))))
+        return F.when(starts.isNull(), F.lit(0)).otherwise(
+            F.aggregate(adds, F.lit(0), lambda a, x: a + x)).cast("long")
+    return bind(get("_starts"), of)
 
 
-def _worded_lines() -> Column:
-    return F.filter(F.split(F.col("_text"), "\n"), lambda x: F.translate(x, SPACES, "") != "")
+def _worded_lines(get: Get) -> Column:
+    return F.filter(F.split(get("_text"), "\n"), lambda x: F.translate(x, SPACES, "") != "")
 
 
 # Features in the order in which they can be built, each from ``_text`` or from earlier ones.
-FEATURES: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
-    "_words": ((), lambda: split_words(F.col("_text"))),
-    "n_words": (("_words",), lambda: F.size("_words").cast("long")),
-    "word_chars": ((), lambda: F.length(F.translate("_text", SPACES, "")).cast("long")),
-    "n_symbols": ((), lambda: (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long")),
+FEATURES: dict[str, tuple[tuple[str, ...], Callable[[Get], Column]]] = {
+    "_words": ((), lambda get: split_words(get("_text"))),
+    "n_words": (("_words",), lambda get: F.size(get("_words")).cast("long")),
+    "word_chars": ((), lambda get: F.length(F.translate(get("_text"), SPACES, "")).cast("long")),
+    "n_symbols": ((), lambda get: (F.length(get("_text")) - F.length(F.translate(get("_text"), SYMBOLS, "")))
+                  .cast("long")),
     "_lines": ((), _worded_lines),
-    "n_dup_lines": (("_lines",), lambda: (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long")),
-    "_h": (("_words",), lambda: F.transform("_words", lambda w: F.xxhash64(w))),
+    "n_dup_lines": (("_lines",), lambda get: bind(get("_lines"), lambda x: (
+        F.size(x) - F.size(F.array_distinct(x))).cast("long"))),
+    "_h": (("_words",), lambda get: F.transform(get("_words"), lambda w: F.xxhash64(w))),
     "_win": (("_h",), _windows),
     "_order": (("_win",), _window_order),
     "_starts": (("_order",), _repeat_starts),
@@ -84,31 +99,28 @@ FEATURES: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
 
 @dataclass(frozen=True)
 class Rule:
-    """Rejects where ``fails()`` holds; it may read the features named in ``needs``."""
+    """Rejects where ``fails(get)`` holds; ``get`` gives a feature by name."""
 
     name: str
-    needs: tuple[str, ...]
-    fails: Callable[[], Column]
+    fails: Callable[[Get], Column]
 
 
 BASE_RULES = (
-    Rule("few_words", ("n_words",), lambda: F.col("n_words") < MIN_WORDS),
-    Rule("repeats", ("n_words", "n_repeat_words"),
-         lambda: 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
+    Rule("few_words", lambda get: get("n_words") < MIN_WORDS),
+    Rule("repeats", lambda get: 100 * get("n_repeat_words") > MAX_REPEAT_PERCENT * get("n_words")),
 )
 METHOD_RULES = (
-    Rule("symbols", ("n_words", "n_symbols"),
-         lambda: 100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("n_words")),
-    Rule("dup_lines", ("_lines", "n_dup_lines"),
-         lambda: 100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.size("_lines")),
-    Rule("word_length", ("n_words", "word_chars"),
-         lambda: ~F.col("word_chars").between(MEAN_WORD_LENGTH[0] * F.col("n_words"),
-                                              MEAN_WORD_LENGTH[1] * F.col("n_words"))),
+    Rule("symbols", lambda get: 100 * get("n_symbols") > MAX_SYMBOL_PERCENT * get("n_words")),
+    Rule("dup_lines", lambda get: bind(get("_lines"), lambda x: (
+        100 * (F.size(x) - F.size(F.array_distinct(x))) > MAX_DUP_LINE_PERCENT * F.size(x)))),
+    Rule("word_length", lambda get: ~get("word_chars").between(
+        MEAN_WORD_LENGTH[0] * get("n_words"), MEAN_WORD_LENGTH[1] * get("n_words"))),
 )
 RULES = BASE_RULES + METHOD_RULES
 
 
-def _closure(names: Sequence[str]) -> list[str]:
+def add_features(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Add the named features, and those they are built from, as columns."""
     wanted: set[str] = set()
 
     def add(name):
@@ -118,17 +130,27 @@ def _closure(names: Sequence[str]) -> list[str]:
 
     for name in names:
         add(name)
-    return [n for n in FEATURES if n in wanted]
+    for name, (_, build) in FEATURES.items():
+        if name in wanted:
+            df = df.withColumn(name, build(F.col))
+    return df
 
 
-def add_features(df: DataFrame, names: Sequence[str], have: Sequence[str] = (),
-                 alive: Column | None = None) -> DataFrame:
-    """Add the named features and what they are built from; null where not ``alive``."""
-    for name in _closure(names):
-        if name not in have:
-            made = FEATURES[name][1]()
-            df = df.withColumn(name, made if alive is None else F.when(alive, made))
-    return df
+def cascade(text: Column, order: Sequence[Rule]) -> Column:
+    """No rule rejects the text.  One CASE: a rule and the features it needs are
+    evaluated only where no earlier rule has rejected."""
+    def with_words(words: Column) -> Column:
+        have = {"_text": text, "_words": words, "n_words": F.size(words).cast("long")}
+
+        def get(name: str) -> Column:
+            return have[name] if name in have else FEATURES[name][1](get)
+
+        kept = F.lit(True)
+        for rule in reversed(order):
+            kept = F.when(rule.fails(get), F.lit(False)).otherwise(kept)
+        return kept
+
+    return bind(split_words(text), with_words)
 
 
 @dataclass(frozen=True)
@@ -145,18 +167,18 @@ class Measured:
 def measure(sample: DataFrame, rules: Sequence[Rule]) -> list[Measured]:
     """Time each rule alone on the sample, less the time of only reading it."""
 
-    def run(column: Column, needs: Sequence[str]) -> tuple[float, float]:
+    def run(rejects: Column) -> tuple[float, float]:
         best, share = float("inf"), 0.0
         for _ in range(2):      # the first run compiles
             began = time.perf_counter()
-            share = add_features(sample, needs).agg(F.avg(column.cast("double"))).first()[0] or 0.0
+            share = sample.agg(F.avg(rejects.cast("double"))).first()[0] or 0.0
             best = min(best, time.perf_counter() - began)
         return best, share
 
-    idle, _ = run(F.length("_text") < 0, ())
+    idle, _ = run(F.length("_text") < 0)
     out = []
     for rule in rules:
-        seconds, share = run(rule.fails(), rule.needs)
+        seconds, share = run(~cascade(F.col("_text"), [rule]))
         out.append(Measured(rule, max(seconds - idle, 1e-3), share))
     return out
 
@@ -174,28 +196,11 @@ def rule_order(docs: DataFrame, id_col: str, text_col: str, rules: Sequence[Rule
     return [m.rule for m in sorted(measured, key=lambda m: (-m.per_cost, m.rule.name))]
 
 
-def cascade(df: DataFrame, order: Sequence[Rule], have: Sequence[str] = (),
-            out: str = "kept") -> DataFrame:
-    """Add boolean ``out``: no rule rejects.  ``df`` has ``_text``; later rules and
-    their features are evaluated only for rows that earlier rules let pass."""
-    have, df = list(have), df.withColumn(out, F.lit(True))
-    for rule in order:
-        alive = F.col(out)
-        df = add_features(df, rule.needs, have, alive)
-        have += [n for n in _closure(rule.needs) if n not in have]
-        df = df.withColumn(out, F.when(alive, ~rule.fails()).otherwise(F.lit(False)))
-    return df
-
-
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows of ``docs``, all their columns, that no rule rejects."""
     order = rule_order(docs, id_col, text_col, rules)
-    names = [f"_c{i}" for i in range(len(docs.columns))]
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
-                       F.struct(*[F.col(c).alias(n) for c, n in zip(docs.columns, names)]).alias("_row"))
-    kept = cascade(rows, order, out="_kept").filter("_kept")
-    return kept.select(*[F.col("_row")[n].alias(c) for c, n in zip(docs.columns, names)])
+    return docs.filter(cascade(F.coalesce(F.col(text_col), F.lit("")), order))
 
 
 BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -204,14 +209,15 @@ BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_w
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the five base figures, ``base_failed`` and the verdict ``kept``.
 
-    The report asks for every figure of every row, so here the features are
-    computed for all; the method's own rules still run as a cascade behind
-    the base rules.
+    The report asks for every figure of every row, so the features are columns
+    here; the method's own rules still run as a cascade behind the base rules.
     """
     order = [r for r in rule_order(docs, id_col, text_col) if r not in BASE_RULES]
     df = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    df = add_features(df, BASE_COLUMNS)
-    df = df.withColumn("base_failed", BASE_RULES[0].fails() | BASE_RULES[1].fails())
-    df = cascade(df, order, _closure(BASE_COLUMNS), out="_good")
-    return df.select(id_col, *BASE_COLUMNS, "base_failed",
-                     (~F.col("base_failed") & F.col("_good")).alias("kept"))
+    df = add_features(df, BASE_COLUMNS + ("_lines",))
+    failed = BASE_RULES[0].fails(F.col) | BASE_RULES[1].fails(F.col)
+    kept = F.lit(True)
+    for rule in reversed(order):
+        kept = F.when(rule.fails(F.col), F.lit(False)).otherwise(kept)
+    return df.select(id_col, *BASE_COLUMNS, failed.alias("base_failed"),
+                     F.when(failed, F.lit(False)).otherwise(kept).alias("kept"))

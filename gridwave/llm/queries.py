@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridwave.llm import (decontaminate, language_id, license_scan, pii, quality_rules,
+from gridwave.llm import (decontaminate, language_id, license_scan, lm_scoring, pii, quality_rules,
                           sentencepiece_codec, simhash, token_counts, url_filter)
 from gridwave.llm.common import table
 
@@ -31,6 +31,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_texts(table(spark, sf_dir, "documents"),
                                             public_tokenizers.path(PIECE_MODEL))
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_token_counts": op3_token_counts,
     "op4_simhash": op4_simhash,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_url_filter": op7_url_filter,
     "op8_language_id": op8_language_id,

@@ -27,6 +27,7 @@ are encoded each.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -382,8 +383,10 @@ def load_pieces(docs: DataFrame, model_path: str) -> Broadcast:
         return docs.sparkSession.sparkContext.broadcast(Pieces(f.read()))
 
 
-def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, piece ids, their number, and whether decoding gives the text back."""
+def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """Per row: id, the columns to ``keep``, piece ids, their number, and whether
+    decoding gives the text back."""
     sent = load_pieces(docs, model_path)
     held: list[Codec] = []
 
@@ -398,9 +401,9 @@ def encode_texts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
                 "round_trip": [held[0].decode(listed[a:b]) == (t or "").replace(SPACE, " ")
                                for a, b, t in zip(ends, ends[1:], texts)]}
 
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
-    return per_row(rows, f"`{id_col}` {type_of(docs, id_col)}, ids array<int>, n_ids long, round_trip boolean",
-                   work, "text")
+    rows = docs.select(id_col, *keep, F.col(text_col).alias("text"))
+    kept = ", ".join(f"`{c}` {type_of(docs, c)}" for c in (id_col, *keep))
+    return per_row(rows, f"{kept}, ids array<int>, n_ids long, round_trip boolean", work, "text")
 
 
 def decode_ids(coded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
