@@ -25,7 +25,6 @@ TRAIN_FRACTION = 0.7                         # train = int(n * 0.7)
 VAL_SHARE_OF_REST = 0.5                      # val = int((n - train) * 0.5)
 SELECTION_EPOCHS = 64
 REFIT_EPOCHS = 10
-BATCH_SIZE = 16
 PAIR_TOLERANCE = "5 minutes"                 # |cfg time - dat time| <= 5 min
 METADATA_WATERMARK = "10 seconds"
 PIVOT_WATERMARK = "1 second"
@@ -52,11 +51,9 @@ PROCESSED_TIMESTAMP = "processed_timestamp"
 METADATA_COLUMNS = (FREQUENCY, STATION_NAME, REC_DEV_ID)
 
 # Build defaults (not from the reference).
-LINE_FREQUENCY = 60.0
-ASCII_RESOLUTION = 0.01          # a = 0.01 per count in written ASCII files
-BINARY_RESOLUTION = 0.02         # a = 0.02 per count in written int16 files
-BINARY_TIME_MULTIPLIER = 1000.0  # uint32 time field counts milliseconds
-INT16_MISSING = -32768           # 0x8000 marks a missing binary sample
+INT16_LARGEST, INT16_MISSING = 32767, -32768                  # 0x8000 marks a missing sample
+INT32_LARGEST, INT32_MISSING = 2147483647, -2147483648        # 0x80000000
+UINT32_LARGEST = 4294967294                                   # of a time field; all ones means none
 
 # Mapping of the driver's ``events`` table onto long samples.
 EVENT_CHANNELS = (("click", "IA"), ("view", "IB"), ("error", "IC"))

@@ -36,9 +36,5 @@ def channel_attribute(channels: Column, field: str) -> Column:
     return F.transform(channels, lambda c: c[field])
 
 
-def zip_samples(times: Column, rows: Column) -> Column:
-    return F.arrays_zip(times, rows)
-
-
 def round_nested(rows: Column, digits: int = 6) -> Column:
     return F.transform(rows, lambda r: F.transform(r, lambda v: F.round(v, digits)))

@@ -42,11 +42,23 @@ def cfg_timestamp_text(ts: Column) -> Column:
     return F.date_format(ts, "dd/MM/yyyy,HH:mm:ss.SSSSSS")
 
 
+# day/month/year with one or two digits, year of two or four, fraction of 0 to 9 digits
+CFG_TIMESTAMP = (r"^\s*(\d{1,2})/(\d{1,2})/(\d{4}|\d{2})\s*,"
+                 r"\s*(\d{1,2}):(\d{1,2}):(\d{1,2})(?:\.(\d{0,9}))?\s*$")
+CENTURY_PIVOT = 70      # two-digit years from here on are 19yy, below 20yy
+
+
 def parse_cfg_timestamp(text: Column) -> Column:
-    """Inverse of :func:`cfg_timestamp_text`; also accepts fewer fraction digits."""
-    t = F.trim(text)
-    return F.coalesce(
-        F.try_to_timestamp(t, F.lit("dd/MM/yyyy,HH:mm:ss.SSSSSS")),
-        F.try_to_timestamp(t, F.lit("dd/MM/yyyy,HH:mm:ss.SSS")),
-        F.try_to_timestamp(t, F.lit("dd/MM/yyyy,HH:mm:ss")),
-    )
+    """Inverse of :func:`cfg_timestamp_text` for every spelling the format allows.
+
+    Digits beyond microseconds are cut off; text that is no time gives null.
+    """
+    def part(i: int) -> Column:
+        return F.regexp_extract(text, CFG_TIMESTAMP, i)
+
+    year = part(3).try_cast("int")
+    full_year = F.when(F.length(part(3)) == 4, year).when(year < CENTURY_PIVOT, year + 2000).otherwise(year + 1900)
+    micros = F.substring(F.rpad(part(7), 6, "0"), 1, 6).try_cast("int")
+    seconds = part(6).try_cast("int").cast("decimal(16,6)") + (micros / F.lit(1e6)).cast("decimal(16,6)")
+    return F.try_make_timestamp(full_year, part(2).try_cast("int"), part(1).try_cast("int"),
+                                part(4).try_cast("int"), part(5).try_cast("int"), seconds)

@@ -24,6 +24,8 @@ from gridwave import constants as C
 from gridwave.functions.times import parse_cfg_timestamp
 
 CFG = "cfg"
+LINE_BREAK = "\r\n|\n|\r"
+END = r"[\s\x1A]+$"     # white space and the end-of-file byte of older writers
 
 
 def _num(c: Column, t: str = "double") -> Column:
@@ -31,10 +33,10 @@ def _num(c: Column, t: str = "double") -> Column:
 
 
 def cfg_lines(text: Column) -> Column:
-    """Non-blank header lines, without trailing carriage returns."""
-    raw = F.split(text, "\n")
-    return F.filter(F.transform(raw, lambda l: F.regexp_replace(l, "\r$", "")),
-                    lambda l: F.trim(l) != "")
+    """Header lines in their places: fields are found by line number, so blank
+    optional lines stay; only what trails the last line goes, an end-of-file
+    byte included."""
+    return F.split(F.regexp_replace(text, END, ""), LINE_BREAK)
 
 
 def _counts(lines: Column) -> tuple[Column, Column]:
@@ -112,6 +114,21 @@ def with_header(pairs: DataFrame) -> DataFrame:
                              ).drop("_cfg_lines", "_cfg_na", "_cfg_nd")
 
 
+def header_problem(cfg: Column) -> Column:
+    """Why a parsed header gives no samples; null where it does."""
+    known = ("ASCII", *_SAMPLE_TYPES)
+    return (F.when(F.coalesce(~cfg["file_type"].isin(*known), F.lit(True)), F.concat(
+                F.lit("unknown file type: "), F.coalesce(cfg["file_type"], F.lit("none"))))
+            .when(cfg["start"].isNull(), F.lit("unreadable time of the first sample")))
+
+
+def header_problems(pairs: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> DataFrame:
+    """(keep, problem) of every pair whose header cannot be read."""
+    # Exploded, not filtered: a filter would parse every header a second time.
+    found = F.array_compact(F.array(header_problem(F.col(CFG))))
+    return with_header(pairs).select(*keep, F.explode(found).alias("problem"))
+
+
 def rate_segments(cfg: Column) -> Column:
     """Sampling-rate segments of a header: array<struct(lo, hi, rate)>.
 
@@ -170,7 +187,7 @@ def _ascii_arrays(parsed: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, Co
     plain columns first, so the per-sample lambdas only read flat values.
     """
     cfg = F.col(CFG)
-    body = F.filter(F.split(F.col(C.DAT_CONTENT).cast("string"), "\r?\n"),
+    body = F.filter(F.split(F.regexp_replace(F.col(C.DAT_CONTENT).cast("string"), END, ""), LINE_BREAK),
                     lambda l: F.trim(l) != "")
     # Split once into a column; the three projections below reuse it.
     staged = parsed.select(
@@ -231,7 +248,7 @@ def _decode_binary_rows(cols: dict, n_rows: int, want: list) -> tuple:
             continue
         content = cols[C.DAT_CONTENT][i] or b""
         n_a, n_d = int(cols["_na"][i] or 0), int(cols["_nd"][i] or 0)
-        kind, missing = _SAMPLE_TYPES.get(cols["_ft"][i], _SAMPLE_TYPES["BINARY"])
+        kind, missing = _SAMPLE_TYPES[cols["_ft"][i]]
         n_words = (n_d + 15) // 16
         dtype = np.dtype([("n", "<u4"), ("t", "<u4"), ("a", kind, (n_a,)),
                           ("s", "<u2", (n_words,))])
@@ -288,7 +305,8 @@ def _decode_binary_rows(cols: dict, n_rows: int, want: list) -> tuple:
 def _binary_batches(batches: Iterator[pa.RecordBatch], keep: Sequence[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cols = batch.to_pydict()
-        analog, status, times = _decode_binary_rows(cols, batch.num_rows, [True] * batch.num_rows)
+        want = [t in _SAMPLE_TYPES and s is not None for t, s in zip(cols["_ft"], cols["_start_us"])]
+        analog, status, times = _decode_binary_rows(cols, batch.num_rows, want)
         out = {k: batch.column(k) for k in keep}
         out[C.ANALOG], out[C.STATUS], out[C.MICROSECONDS] = analog, status, times
         out["_cfg_row"] = batch.column("_cfg_row")
@@ -350,6 +368,9 @@ def _binary_inputs(cfg: Column) -> list[Column]:
 def decode_recordings(pairs: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> DataFrame:
     """Both body kinds in one pass: the cfg decides, per pair, which decoder runs.
 
+    A pair whose header cannot be read (``header_problems`` says why) keeps
+    its row, with null samples.
+
     ASCII bodies are decoded by built-ins in the projection; only binary
     bodies are handed to Python (the ASCII rows' bytes are nulled before the
     Arrow hop), and one ``mapInArrow`` merges the two.  Every file is read
@@ -358,7 +379,9 @@ def decode_recordings(pairs: DataFrame, keep: Sequence[str] = (C.FILENAME,)) ->
     keep = list(keep)
     parsed = with_header(pairs)
     cfg = F.col(CFG)
-    is_ascii = cfg["file_type"] == "ASCII"
+    readable = header_problem(cfg).isNull()
+    is_ascii = readable & (cfg["file_type"] == "ASCII")
+    is_binary = readable & cfg["file_type"].isin(*_SAMPLE_TYPES)
     staged, analog, status, micros = _ascii_arrays(parsed, keep)
     empty_ll = F.lit(None).cast("array<array<double>>")
     prepared = staged.select(
@@ -366,7 +389,7 @@ def decode_recordings(pairs: DataFrame, keep: Sequence[str] = (C.FILENAME,)) ->
         F.when(is_ascii, analog).otherwise(empty_ll).alias("_asc_analog"),
         F.when(is_ascii, status).otherwise(empty_ll).alias("_asc_status"),
         F.when(is_ascii, micros).otherwise(F.lit(None).cast("array<bigint>")).alias("_asc_micros"),
-        F.when(~is_ascii, F.col(C.DAT_CONTENT)).alias(C.DAT_CONTENT),
+        F.when(is_binary, F.col(C.DAT_CONTENT)).alias(C.DAT_CONTENT),
         *_binary_inputs(cfg),
         F.struct(*_common_columns(cfg)).alias("_cfg_row"))
     keep_fields = [f for f in prepared.schema.fields if f.name in keep]
@@ -406,8 +429,8 @@ def decode_ascii_lines(lines: DataFrame, headers: DataFrame,
     arrays, no lambdas), so a recording of any size is spread over as many
     tasks as its file has splits.  Missing phase -> null; blank lines dropped.
     """
-    body = lines.filter(F.trim(F.col("line")) != "").select(
-        C.FILENAME, F.split(F.regexp_replace(F.col("line"), "\r$", ""), ",").alias("_f"))
+    text = F.regexp_replace(F.col("line"), END, "")
+    body = lines.filter(F.trim(text) != "").select(C.FILENAME, F.split(text, ",").alias("_f"))
     j = body.join(headers, C.FILENAME, "inner")
     f = F.col("_f")
     n = _num(F.try_element_at(f, F.lit(1)), "bigint")

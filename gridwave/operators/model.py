@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from gridwave import constants as C
+from gridwave.session import path_exists
 
 EPS = 1e-7  # probability clip for the log loss
 
@@ -115,15 +116,15 @@ def save_model(model: PipelineModel, root: str, name: str, metrics: dict,
                spark: SparkSession, stage: str = "Production") -> str:
     """Versioned save + one metrics row appended to ``<root>/<name>/registry``.
 
-    The new version takes ``stage``; the registry keeps every version.
+    The registry keeps every version; a version's folder is never overwritten,
+    so of two writers that take the same number the second fails.
     """
     registry = f"{root}/{name}/registry"
-    try:
-        version = spark.read.parquet(registry).agg(F.max("version")).first()[0] + 1
-    except Exception:  # first version: no registry yet
-        version = 1
+    version = 1
+    if path_exists(spark, registry):
+        version += spark.read.parquet(registry).agg(F.max("version")).first()[0]
     path = f"{root}/{name}/v{version}"
-    model.write().overwrite().save(path)
+    model.write().save(path)
     row = spark.createDataFrame(
         [(name, version, path, stage, json.dumps(metrics, sort_keys=True),
           *[float(metrics.get(k, float("nan"))) for k in ("loss", "precision", "recall")])],
@@ -133,10 +134,20 @@ def save_model(model: PipelineModel, root: str, name: str, metrics: dict,
     return path
 
 
+def model_versions(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Every version; only the newest that was saved as Production still is,
+    earlier ones are Archived."""
+    rows = spark.read.parquet(f"{root}/{name}/registry")
+    live = rows.filter(F.col("stage") == "Production").agg(F.max("version").alias("_live"))
+    earlier = (F.col("stage") == "Production") & (F.col("version") < F.col("_live"))
+    # one row, by construction
+    return rows.join(F.broadcast(live)).withColumn(
+        "stage", F.when(earlier, F.lit("Archived")).otherwise(F.col("stage"))).drop("_live")
+
+
 def production_model(spark: SparkSession, root: str, name: str) -> PipelineModel:
-    registry = spark.read.parquet(f"{root}/{name}/registry")
-    path = (registry.filter(F.col("stage") == "Production")
-            .orderBy(F.col("version").desc()).first()["path"])
+    live = model_versions(spark, root, name).filter(F.col("stage") == "Production")
+    path = live.orderBy(F.col("version").desc()).first()["path"]
     return PipelineModel.load(path)
 
 
@@ -180,3 +191,14 @@ def numpy_logistic(model: PipelineModel) -> Callable[[], Callable[[np.ndarray],
             return 1.0 / (1.0 + np.exp(-(z @ coef + intercept)))
         return predict
     return load
+
+
+def numpy_linear(weights: Sequence[float], intercept: float = 0.0) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
+    """Plain weights as a scorer: the logistic function of their dot product."""
+    coef = np.asarray(weights, dtype=np.float64)
+
+    def load():
+        def predict(x: np.ndarray) -> np.ndarray:
+            return 1.0 / (1.0 + np.exp(-(x.reshape(x.shape[0], -1) @ coef + intercept)))
+        return predict
+    return load

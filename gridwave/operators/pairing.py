@@ -1,4 +1,4 @@
-"""Pairing cfg and dat files: equi join, interval join, metadata rejoin."""
+"""Bringing the two files of a recording together: by key, by time, by arrival."""
 
 from __future__ import annotations
 
@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from gridwave import constants as C
 from gridwave.functions.times import within
 
+INGEST_TIME = "ingest_time"
+ARRIVAL_WAIT = "1 day"          # how long a file waits for its partner
+ARRIVAL_LATENESS = "10 minutes"
+
 _UNITS_US = {"second": 1_000_000, "seconds": 1_000_000, "minute": 60_000_000,
-             "minutes": 60_000_000, "hour": 3_600_000_000, "hours": 3_600_000_000}
+             "minutes": 60_000_000, "hour": 3_600_000_000, "hours": 3_600_000_000,
+             "day": 86_400_000_000, "days": 86_400_000_000}
 
 
 def interval_us(text: str) -> int:
@@ -18,14 +23,20 @@ def interval_us(text: str) -> int:
     return int(float(amount) * _UNITS_US[unit.lower()])
 
 
-def pair_files(configs: DataFrame, data_files: DataFrame, key: str = C.FILENAME) -> DataFrame:
-    """Inner equi join of cfg and dat rows on the recording key.
+def pair_files(headers: DataFrame, bodies: DataFrame, key: str = C.FILENAME) -> DataFrame:
+    """Headers with the body of the same key; ``unpaired_files`` lists the rest.
 
-    The dat side is projected to (key, dat_content) first.  Unpaired files
-    drop out.  Both sides grow with the number of files, so the strategy is
-    left to Spark/AQE (sort-merge, or broadcast when a side measures small).
+    Both sides grow with the number of files, so how to join is left to Spark.
     """
-    return configs.join(data_files.select(key, C.DAT_CONTENT), on=key, how="inner")
+    return headers.join(bodies.select(key, C.DAT_CONTENT), key)
+
+
+def unpaired_files(headers: DataFrame, bodies: DataFrame, key: str = C.FILENAME) -> DataFrame:
+    """(key, missing): keys of which only one file is there, and which it lacks."""
+    seen = headers.select(key, F.lit("cfg").alias("side")).union(bodies.select(key, F.lit("dat").alias("side")))
+    sides = seen.groupBy(key).agg(F.min("side").alias("first"), F.max("side").alias("last"))
+    return sides.filter(F.col("first") == F.col("last")).select(
+        key, F.when(F.col("first") == "cfg", F.lit("dat")).otherwise(F.lit("cfg")).alias("missing"))
 
 
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
@@ -39,7 +50,12 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     of each other are ever compared: a key with millions of rows no longer
     compares all pairs, and each match is found exactly once (through the
     left row's bucket).  Works on batch and streaming inputs alike.
+
+    Joins that return unmatched right rows are refused: the copies would each
+    count as one.  Swap the sides instead.
     """
+    if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "left_anti", "semi", "anti"):
+        raise ValueError(f"interval_join keeps left rows only, not how={how!r}")
     width = interval_us(tolerance)
     lb, rb = "_left_bucket", "_right_bucket"
     lt = F.unix_micros(F.col(left_time).cast("timestamp"))
@@ -52,22 +68,29 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left_b.join(right_b, cond, how).drop(lb, rb)
 
 
-def interval_join_stream(cfg: DataFrame, dat: DataFrame,
-                         tolerance: str = C.PAIR_TOLERANCE,
-                         watermark: str = "10 minutes") -> DataFrame:
-    """Streaming cfg/dat pairing with watermarks on both modification times.
+def _side(files: DataFrame, name: str, payload: str, lateness: str) -> DataFrame:
+    """One side of the stream join, its columns told apart by ``name``."""
+    clock = f"{name}_arrived"
+    return files.select(F.col(C.FILENAME).alias(f"{name}_stem"), F.col("modificationTime").alias(f"{name}_mod_time"),
+                        F.col(INGEST_TIME).alias(clock), payload).withWatermark(clock, lateness)
 
-    The watermark delay exceeds the tolerance, and the condition is a
-    two-sided range, so Spark can evict join state.
+
+def interval_join_stream(headers: DataFrame, bodies: DataFrame, tolerance: str = C.PAIR_TOLERANCE,
+                         wait: str = ARRIVAL_WAIT, lateness: str = ARRIVAL_LATENESS) -> DataFrame:
+    """Streaming pairs whose files were modified within ``tolerance``.
+
+    Watermarks run on the time a file was ingested, which only moves forward:
+    a backfill of old files, or a slow uploader's, is as welcome as new ones.
+    Modification times are a plain predicate.  A file waits ``wait`` for its
+    partner; the two-sided range on the ingest times lets Spark drop it from
+    the state after that, and ``unpaired_files`` over the two bronze tables
+    still lists it.
     """
-    c = (cfg.withColumnRenamed(C.FILENAME, "cfg_filename")
-         .withColumnRenamed("modificationTime", "cfg_mod_time")
-         .withWatermark("cfg_mod_time", watermark))
-    d = (dat.withColumnRenamed(C.FILENAME, "dat_filename")
-         .withColumnRenamed("modificationTime", "dat_mod_time")
-         .withWatermark("dat_mod_time", watermark))
-    cond = ((F.col("cfg_filename") == F.col("dat_filename"))
-            & within(F.col("cfg_mod_time"), F.col("dat_mod_time"), tolerance))
-    return c.join(d, cond, "inner").select(
-        F.col("cfg_filename").alias(C.FILENAME), F.col(C.CONFIG_CONTENT), F.col(C.DAT_CONTENT),
-        F.col("cfg_mod_time"), F.col("dat_mod_time"))
+    left = _side(headers, "cfg", C.CONFIG_CONTENT, lateness)
+    right = _side(bodies, "dat", C.DAT_CONTENT, lateness)
+
+    pairs = left.join(right, (F.col("cfg_stem") == F.col("dat_stem"))
+                      & within(F.col("cfg_mod_time"), F.col("dat_mod_time"), tolerance)
+                      & within(F.col("cfg_arrived"), F.col("dat_arrived"), wait))
+    return pairs.select(F.col("cfg_stem").alias(C.FILENAME), C.CONFIG_CONTENT, C.DAT_CONTENT,
+                        "cfg_mod_time", "dat_mod_time")

@@ -190,10 +190,34 @@ def gather_waveform(phases: DataFrame, time_us: str = "time_us",
                            (F.col("n_samples") == frame_len).alias("length_ok"))
 
 
+def gather_recordings(rows: DataFrame, key: str, time_us: str, values: str, frame_len: int,
+                      bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+    """Rows (key, time, phase values) -> recordings ready for the writer.
+
+    A key of more than ``frame_len`` rows gives several recordings, numbered;
+    the station is the key, the device id is derived from the name.
+    """
+    from gridwave.functions.keys import device_id
+    placed = ordered_index(rows, [key], time_us, [values], bucket_us=bucket_us, out="_n")
+    cut = placed.withColumn("_part", F.floor((F.col("_n") - 1) / F.lit(frame_len)))
+    step = F.struct(F.col("_n"), F.col(time_us).alias("t"), F.col(values).alias("v"))
+    held = cut.groupBy(key, "_part").agg(F.array_sort(F.collect_list(step)).alias("_steps"))
+    name = F.concat(F.col(key), F.lit("_"), F.col("_part").cast("string"))
+    return held.select(
+        name.alias(C.FILENAME), F.col("_steps.v").alias(C.ANALOG),
+        F.array(*[F.lit(C.AMPS)] * len(PHASES)).alias(C.ANALOG_UNITS),
+        F.array().cast("array<array<double>>").alias(C.STATUS),
+        F.array(*map(F.lit, PHASES)).alias(C.ANALOG_CHANNEL_NAMES),
+        F.array().cast("array<string>").alias(C.STATUS_CHANNEL_NAMES),
+        F.lit(None).cast("double").alias(C.FREQUENCY), device_id(name).cast("string").alias(C.REC_DEV_ID),
+        F.col(key).alias(C.STATION_NAME), F.col("_steps.t").alias(C.MICROSECONDS))
+
+
 def waveform_matrix(gathered: DataFrame, channels: Sequence[str] = PHASES,
                     steps: str = "timestep") -> Column:
     """array<struct(timestamp, phases)> -> array<array<double>> (T x phases)."""
-    return F.transform(steps, lambda x: F.array(*[x[ch] for ch in channels]))
+    by_time = F.arrays_zip(*[F.col(steps)[ch].alias(ch) for ch in channels])
+    return F.transform(by_time, lambda row: F.array(*[row.getField(ch) for ch in channels]))
 
 
 # ---------------------------------------------------------------------------

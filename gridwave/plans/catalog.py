@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from gridwave import constants as C
 from gridwave.functions import arrays as AR
+from gridwave.functions import jsonfn as JS
 from gridwave.functions import keys as K
 from gridwave.functions import times as T
 from gridwave.operators import decode as DE
@@ -25,6 +26,8 @@ from gridwave.operators import model as MD
 from gridwave.operators import pairing as PR
 from gridwave.operators import shape as SH
 from gridwave.plans import staging as ST
+from gridwave.schemas import DECODED_RECORDING
+from gridwave.session import path_exists
 from gridwave.sources import files as FS
 from gridwave.sources import testdata as TD
 from gridwave.streaming import pipeline as PL
@@ -81,8 +84,8 @@ def gather_waveform(spark, d):
     g = SH.gather_waveform(_phases(spark, d), "time_us", C.TIMESTAMP,
                            frame_len=C.WAVEFORM_LENGTH, bucket_us=TD.EVENT_BUCKET_US)
     return g.select(C.FILENAME, "frame", "n_samples", "length_ok",
-                    F.transform("timestep", lambda x: x[C.TIMESTAMP]).alias("sample_times"),
-                    SH.waveform_matrix(g).alias("waveform"))
+                    F.transform("timestep", lambda x: F.unix_micros(x[C.TIMESTAMP].cast("timestamp")))
+                    .alias("sample_times"), SH.waveform_matrix(g).alias("waveform"))
 
 
 @register("metadata_first")
@@ -229,6 +232,13 @@ def encode_recordings(spark, d):
                       F.length(C.DAT_CONTENT).alias("n_bytes"))
 
 
+@register("encode_binary_recordings")
+def encode_binary_recordings(spark, d):
+    """int16 bodies, scaled per channel: the dat bytes as their md5 and length."""
+    enc = EN.encode_binary(_captures(spark, d))
+    return enc.select(C.FILENAME, F.md5(C.DAT_CONTENT).alias("dat_md5"), F.length(C.DAT_CONTENT).alias("n_bytes"))
+
+
 @register("decode_ascii")
 def decode_ascii(spark, d):
     pairs = EN.encode_ascii(_captures(spark, d))
@@ -408,21 +418,25 @@ def eval_metrics(spark, d):
 
 @register("model_metrics")
 def model_metrics(spark, d):
-    """Refit, evaluate on test, save a new Production version, return the registry."""
+    """Refit, evaluate on test, save as the Production version of a registry of
+    its own, return that registry's versions without the run's folder."""
+    root = f"{ST.staging_path(spark, 'registry', d)}/run-{uuid.uuid4().hex[:10]}"
+    _train_and_save(spark, d, root)
+    return MD.model_versions(spark, root, MODEL_NAME).drop("path")
+
+
+def _train_and_save(spark, d, root: str) -> None:
     model, test = _refit(spark, d)
     m = MD.evaluation(MD.score(model, test), "is_fault").first().asDict()
-    root = ST.staging_path(spark, "models", d)
     MD.save_model(model, root, MODEL_NAME, m, spark)
-    return spark.read.parquet(f"{root}/{MODEL_NAME}/registry")
 
 
 def production_model(spark, d):
-    root = ST.staging_path(spark, "models", d)
-    try:
-        return MD.production_model(spark, root, MODEL_NAME)
-    except Exception:  # nothing registered yet: train and register once
-        model_metrics(spark, d).count()
-        return MD.production_model(spark, root, MODEL_NAME)
+    """The Production model for these events; trained where there is none yet."""
+    root = ST.staged(spark, "models", d, ("events",))
+    if not path_exists(spark, f"{root}/{MODEL_NAME}/registry"):
+        _train_and_save(spark, d, root)
+    return MD.production_model(spark, root, MODEL_NAME)
 
 
 @register("score_waveforms")
@@ -448,7 +462,8 @@ def _stream_run(spark, d, upto: str, model=None, frame_len: int = C.TEST_FRAME_L
     """A fresh pipeline instance over the staged files, run up to ``upto``."""
     root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
     run = PL.PipelineRun(spark, ST.recording_files(spark, d), root, model=model,
-                         frame_len=frame_len, max_files_per_trigger=max_files)
+                         frame_len=frame_len, max_files_per_trigger=max_files,
+                         table_prefix=f"run_{uuid.uuid4().hex[:10]}_")
     order = list(PL.ORDER)
     wanted = order[: order.index(upto) + 1]
     if upto in (PL.METADATA_SILVER, PL.FLATTENED_SILVER, PL.PIVOTED_CURRENT_SILVER,
@@ -473,7 +488,8 @@ def stream_scan_cfg(spark, d):
 def stream_scan_dat(spark, d):
     order = [PL.DAT_FILES_BRONZE]
     root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
-    run = PL.PipelineRun(spark, ST.recording_files(spark, d), root, max_files_per_trigger=1000)
+    run = PL.PipelineRun(spark, ST.recording_files(spark, d), root, max_files_per_trigger=1000,
+                         register_tables=False)
     run.run(order)
     return run.read(PL.DAT_FILES_BRONZE).select(*_folder_and_name(),
                                                 F.length(C.DAT_CONTENT).alias("n_bytes"))
@@ -555,12 +571,14 @@ def stream_pipeline(spark, d):
 
 @register("stream_table_write")
 def stream_table_write(spark, d):
-    """Bronze tables written by streams and registered with comment and quality."""
-    run = _stream_run(spark, d, PL.JOINED_FILES_BRONZE)
+    """All eight tables written by streams and registered with comment and quality."""
+    run = _stream_run(spark, d, PL.FAULT_DETECTION_GOLD, model=production_model(spark, d))
+    run.run([t for t in PL.ORDER if t not in run.progress])
     rows = []
     for t in run.progress:
-        props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {t}").collect()}
-        comment = spark.catalog.getTable(t).description
+        name = run.table_name(t)
+        props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        comment = spark.catalog.getTable(name).description
         rows.append((t, comment, props.get("quality")))
     meta = spark.createDataFrame(rows, "table_name string, comment string, quality string")
     counts = [run.read(t).groupBy().agg(F.count(F.lit(1)).alias("n_rows"))
@@ -575,7 +593,7 @@ def stream_table_write(spark, d):
 def stream_table_read(spark, d):
     """A registered pipeline table read back as a stream (``readStream.table``)."""
     run = _stream_run(spark, d, PL.RECORDINGS_SILVER)
-    s = spark.readStream.table(PL.RECORDINGS_SILVER).select(
+    s = spark.readStream.table(run.table_name(PL.RECORDINGS_SILVER)).select(
         C.FILENAME, F.size(C.MICROSECONDS).alias("n_samples"))
     out = _run_extra(run, "table_read", s)
     return out.select(*_folder_and_name(), "n_samples")
@@ -626,3 +644,128 @@ def score_plugin(spark, d):
                                 shape=(C.TEST_FRAME_LENGTH, len(C.PHASE_CHANNELS)))
     return g.select(C.FILENAME, "frame", "n_samples", "length_ok",
                     F.round(scorer(SH.waveform_matrix(g)), 6).alias("fault_score"))
+
+
+# --------------------------------------------------------------------------- header dialects
+_TIME_LINE = r"(\d\d)/(\d\d)/(\d{4}),(\d\d:\d\d:\d\d)\.(\d{6})"
+
+
+def dialect(text, body, which):
+    """One spelling of header and body that the format allows, by number.
+
+    0 as written; 1 nine-digit fractions; 2 blank frequency line; 3 two-digit
+    year; 4 a body that ends in an end-of-file byte; 5 lines that end in CR LF.
+    """
+    header = (F.when(which == 1, F.regexp_replace(text, _TIME_LINE + "\n", "$1/$2/$3,$4.$5" + "000\n"))
+              .when(which == 2, F.regexp_replace(text, r"\n(50|60)\.0\n", "\n\n"))
+              .when(which == 3, F.regexp_replace(text, r"(\d\d)/(\d\d)/\d\d(\d\d),", "$1/$2/$3,"))
+              .when(which == 5, F.replace(text, F.lit("\n"), F.lit("\r\n"))).otherwise(text))
+    chars = body.cast("string")
+    content = (F.when(which == 4, F.concat(chars, F.lit("\x1a")))
+               .when(which == 5, F.replace(chars, F.lit("\n"), F.lit("\r\n"))).otherwise(chars))
+    return header, content.cast("binary")
+
+
+@register("decode_dialects")
+def decode_dialects(spark, d):
+    """Captures encoded as ASCII, respelt in six dialects, decoded: same samples."""
+    pairs = EN.encode_ascii(_captures(spark, d))
+    which = F.pmod(F.conv(F.substring(F.md5(C.FILENAME), 1, 8), 16, 10).cast("bigint"), F.lit(6))
+    header, content = dialect(F.col(C.CONFIG_CONTENT), F.col(C.DAT_CONTENT), which)
+    respelt = pairs.select(C.FILENAME, header.alias(C.CONFIG_CONTENT), content.alias(C.DAT_CONTENT))
+    return _rounded(DE.decode_recordings(respelt))
+
+
+@register("header_problems")
+def header_problems(spark, d):
+    """Every third capture gets a header that cannot be read; all are reported."""
+    pairs = EN.encode_ascii(_captures(spark, d))
+    which = F.pmod(F.conv(F.substring(F.md5(C.FILENAME), 1, 8), 16, 10).cast("bigint"), F.lit(3))
+    text = F.col(C.CONFIG_CONTENT)
+    broken = (F.when(which == 1, F.replace(text, F.lit("\nASCII\n"), F.lit("\nbinary64\n")))
+              .when(which == 2, F.regexp_replace(text, r"\d\d/\d\d/\d{4},", "99/99/2024,")).otherwise(text))
+    return DE.header_problems(pairs.select(C.FILENAME, broken.alias(C.CONFIG_CONTENT)))
+
+
+# --------------------------------------------------------------------------- raw text to pairs
+def raw_recordings(spark, d) -> DataFrame:
+    """Raw text rows gathered to decoded recordings, one per run of samples.
+
+    Order within a recording comes from the bounded index, so no task holds a
+    recording of any length; the station is the recording's own stem.
+    """
+    raw = FS.scan_raw_csv(spark, ST.raw_text_files(spark, d), pattern="error")
+    rows = raw.select(
+        F.concat(F.regexp_extract("path", r"kind=([^/.]+)", 1), F.lit("_"),
+                 F.regexp_extract("path", r"recording=([^/]+)/", 1)).alias("stem"),
+        F.round(F.col("time") * F.lit(1e6)).cast("bigint").alias("time_us"),
+        F.array(*C.PHASE_CHANNELS).alias("values"))
+    return SH.gather_recordings(rows, "stem", "time_us", "values", C.WAVEFORM_LENGTH, TD.EVENT_BUCKET_US)
+
+
+@register("convert_raw_text")
+def convert_raw_text(spark, d):
+    """Raw text files -> header and body pairs -> decoded again."""
+    pairs = EN.encode_ascii(raw_recordings(spark, d))
+    return _rounded(DE.decode_recordings(pairs)).select(
+        C.FILENAME, C.STATION_NAME, C.ANALOG_CHANNEL_NAMES, C.ANALOG, C.MICROSECONDS)
+
+
+# --------------------------------------------------------------------------- JSON of a recording
+@register("json_roundtrip")
+def json_roundtrip(spark, d):
+    """Decoded recordings rendered as JSON and parsed under the fixed schema."""
+    cap = _captures(spark, d)
+    text = JS.render_json(F.struct(*DE.OUTPUT_ORDER))
+    back = cap.select(C.FILENAME, JS.parse_json(text, DECODED_RECORDING).alias("r"))
+    return back.select(C.FILENAME, *[F.col(f"r.{c}").alias(c) for c in DE.OUTPUT_ORDER])
+
+
+# --------------------------------------------------------------------------- backfill
+@register("stream_join_backfill")
+def stream_join_backfill(spark, d):
+    """Pairs of two runs, the second over files dated a day before the first's."""
+    new, old = ST.backfill_files(spark, d)
+    root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
+    order = [PL.CONFIG_FILES_BRONZE, PL.DAT_FILES_BRONZE, PL.JOINED_FILES_BRONZE]
+    run = PL.PipelineRun(spark, new, root, max_files_per_trigger=1000, register_tables=False)
+    run.run(order)
+    run.source = old
+    run.run(order)
+    return run.read(PL.JOINED_FILES_BRONZE).select(
+        *_folder_and_name(), C.CONFIG_CONTENT, F.length(C.DAT_CONTENT).alias("n_bytes"))
+
+
+# --------------------------------------------------------------------------- a fixed model
+def fixed_weights(n: int) -> list[float]:
+    """Documented weights of the scorer that SQL can restate: -0.02 .. 0.02, repeating."""
+    return [(i % 5 - 2) / 100 for i in range(n)]
+
+
+def _fixed_scores(spark, d) -> DataFrame:
+    frames = FR.frame_waveforms(TD.raw_samples(_events(spark, d)), C.FILENAME, "time_us", ["event_id"],
+                                C.TEST_FRAME_LENGTH, label_col="is_fault", bucket_us=TD.EVENT_BUCKET_US)
+    shape = (C.TEST_FRAME_LENGTH, len(C.PHASE_CHANNELS))
+    scorer = MD.external_scorer(MD.numpy_linear(fixed_weights(shape[0] * shape[1])), shape=shape)
+    return frames.select(C.FILENAME, "frame", "is_fault", scorer(F.col("signal")).alias("fault_score"))
+
+
+@register("score_fixed")
+def score_fixed(spark, d):
+    """The plug-in scorer with the fixed weights."""
+    return _fixed_scores(spark, d).withColumn("fault_score", F.round("fault_score", 6))
+
+
+@register("eval_fixed")
+def eval_fixed(spark, d):
+    """Loss, precision and recall of the fixed scorer."""
+    m = MD.evaluation(_fixed_scores(spark, d), "is_fault")
+    return m.select(*[F.round(c, 6).alias(c) for c in ("loss", "precision", "recall")], "n")
+
+
+@register("stream_ingest_clock")
+def stream_ingest_clock(spark, d):
+    """Every streamed recording carries the clock of its micro-batch."""
+    run = _stream_run(spark, d, PL.RECORDINGS_SILVER)
+    rec = run.read(PL.RECORDINGS_SILVER)
+    return rec.select(*_folder_and_name(), F.col(C.PROCESSED_TIMESTAMP).isNotNull().alias("has_clock"))

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from gridwave import constants as C
 from gridwave.operators import encode as EN
-from gridwave.session import path_exists, staging_path
+from gridwave.session import path_exists, staging_path, table_stamp
 from gridwave.sources import files as FS
 from gridwave.sources import testdata as TD
 
@@ -23,13 +24,29 @@ ASCII_FOLDER = "ascii.v1"     # dotted folder names on purpose (pair key, R1)
 BINARY_FOLDER = "binary.v1"
 
 
-def _rename(spark: SparkSession, src: str, dst: str) -> None:
+def _publish(spark: SparkSession, src: str, dst: str) -> str:
+    """Give a finished folder its name; where another run was first, its folder stays.
+
+    ``FileContext.rename`` refuses an existing target instead of moving the
+    folder into it, so two runs never leave two copies.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    fs = s.getFileSystem(conf)
-    if not fs.rename(s, d) and not fs.exists(d):
-        raise RuntimeError(f"could not publish {src} -> {dst}")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(s.getFileSystem(conf).getUri(), conf)
+    try:
+        context.rename(s, d, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError:
+        if not path_exists(spark, dst):
+            raise
+    return dst
+
+
+def staged(spark: SparkSession, kind: str, sf_dir: str, tables: tuple[str, ...], *more: str) -> str:
+    """Folder of a staged input, named after the files it is made from: other
+    files, lengths or times of the tables give another folder."""
+    stamps = [table_stamp(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in tables]
+    return staging_path(spark, kind, sf_dir, *stamps, *more)
 
 
 def _captures(spark: SparkSession, sf_dir: str):
@@ -39,15 +56,14 @@ def _captures(spark: SparkSession, sf_dir: str):
 
 def recording_files(spark: SparkSession, sf_dir: str) -> str:
     """cfg/dat pairs of every capture: ASCII under ``ascii.v1/``, BINARY under ``binary.v1/``."""
-    root = staging_path(spark, "recordings", sf_dir)
+    root = staged(spark, "recordings", sf_dir, ("events", "customer", "nation", "region"))
     if path_exists(spark, root):
         return root
     tmp = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
     cap = _captures(spark, sf_dir)
     FS.write_pairs(EN.encode_ascii(cap), tmp, ASCII_FOLDER)
     FS.write_pairs(EN.encode_binary(cap), tmp, BINARY_FOLDER)
-    _rename(spark, tmp, root)
-    return root
+    return _publish(spark, tmp, root)
 
 
 def raw_text_files(spark: SparkSession, sf_dir: str) -> str:
@@ -56,7 +72,7 @@ def raw_text_files(spark: SparkSession, sf_dir: str) -> str:
     The event type is part of the folder name, so the path carries the label
     (``error`` marks faults) the way the reference's folders do.
     """
-    root = staging_path(spark, "rawtext", sf_dir)
+    root = staged(spark, "rawtext", sf_dir, ("events",))
     if path_exists(spark, root):
         return root
     tmp = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
@@ -67,9 +83,9 @@ def raw_text_files(spark: SparkSession, sf_dir: str) -> str:
         TD.recording_of_user(F.col("user_id")).alias("recording"),
         (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("time"),
         *[F.when(ch == p, F.col("value")).alias(p) for p in C.PHASE_CHANNELS])
-    rows.write.partitionBy("kind", "recording").option("header", "false").csv(tmp)
-    _rename(spark, tmp, root)
-    return root
+    # One task writes a recording's folder, so a recording is one file and not one per task.
+    rows.repartition("kind", "recording").write.partitionBy("kind", "recording").option("header", "false").csv(tmp)
+    return _publish(spark, tmp, root)
 
 
 LATE_DAY = "2024-01-15"   # the day whose file arrives after all later days
@@ -78,7 +94,7 @@ LATE_DAY = "2024-01-15"   # the day whose file arrives after all later days
 def events_by_day(spark: SparkSession, sf_dir: str, late_day: str = LATE_DAY) -> str:
     """``events`` as one Parquet folder per day, with file times set so that
     days arrive in date order except ``late_day``, which arrives last."""
-    root = staging_path(spark, "eventdays", sf_dir, late_day)
+    root = staged(spark, "eventdays", sf_dir, ("events",), late_day)
     if path_exists(spark, root):
         return root
     tmp = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
@@ -100,5 +116,27 @@ def events_by_day(spark: SparkSession, sf_dir: str, late_day: str = LATE_DAY) ->
         d = p.getParent().getName().split("=", 1)[1]
         rank = 10_000 if d == late_day else int(d.replace("-", "")) % 10_000
         fs.setTimes(p, t0 + rank * 1000, -1)
-    _rename(spark, tmp, root)
-    return root
+    return _publish(spark, tmp, root)
+
+
+def backfill_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """ASCII pairs in two folders: recordings of even users dated today's run,
+    those of odd users dated a day earlier (a backfill that arrives second)."""
+    root = staged(spark, "backfill", sf_dir, ("events", "customer", "nation", "region"))
+    folders = f"{root}/new", f"{root}/old"
+    if path_exists(spark, root):
+        return folders
+    tmp = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
+    pairs = EN.encode_ascii(_captures(spark, sf_dir))
+    odd = F.regexp_extract(C.FILENAME, r"^u(\d+)_", 1).cast("bigint") % 2 == 1
+    FS.write_pairs(pairs.filter(~odd), tmp, "new")
+    FS.write_pairs(pairs.filter(odd), tmp, "old")
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(f"{tmp}/old")
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listing = fs.listFiles(base, True)
+    while listing.hasNext():
+        st = listing.next()
+        fs.setTimes(st.getPath(), st.getModificationTime() - 86_400_000, -1)
+    _publish(spark, tmp, root)
+    return folders

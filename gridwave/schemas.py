@@ -5,7 +5,7 @@ from pyspark.sql.types import (ArrayType, BinaryType, DoubleType, LongType, Stri
 
 from gridwave import constants as C
 
-# The decoded-recording contract (one row per cfg/dat pair).
+# FIXED: names and types of the decoded-recording contract (one row per cfg/dat pair).
 DECODED_RECORDING = StructType([
     StructField(C.ANALOG, ArrayType(ArrayType(DoubleType()))),
     StructField(C.ANALOG_UNITS, ArrayType(StringType())),
@@ -18,7 +18,7 @@ DECODED_RECORDING = StructType([
     StructField(C.MICROSECONDS, ArrayType(LongType())),
 ])
 
-# Headerless raw text recording: time in seconds, three phase currents.
+# FIXED: headerless raw text recording: time in seconds, three phase currents.
 RAW_TEXT = StructType([
     StructField("time", DoubleType()),
     StructField("IA", DoubleType()),
@@ -33,12 +33,3 @@ BINARY_FILE = StructType([
     StructField("length", LongType(), False),
     StructField("content", BinaryType(), True),
 ])
-
-PHASE_SAMPLES = StructType([
-    StructField(C.FILENAME, StringType(), False),
-    StructField(C.TIMESTAMP, TimestampType(), False),
-    StructField("IA", DoubleType(), True),
-    StructField("IB", DoubleType(), True),
-    StructField("IC", DoubleType(), True),
-    StructField(C.PROCESSED_TIMESTAMP, TimestampType(), False),
-])

@@ -92,20 +92,24 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable; returns the shared folder."""
-    base = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base + "/rdd")
-    return base
-
-
 def staging_path(spark: SparkSession, *parts: str) -> str:
     """A stable folder under the shared dir, keyed by the given parts."""
     key = hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
     return f"{shared_dir(spark)}/{parts[0]}-{key}"
 
 
+def table_stamp(spark: SparkSession, path: str) -> str:
+    """Hash of the names, lengths and modification times of a table's files."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listing, seen = fs.listFiles(hpath, True), []
+    while listing.hasNext():
+        st = listing.next()
+        seen.append(f"{st.getPath()} {st.getLen()} {st.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()[:16]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system (works for any scheme)."""
     jvm = spark.sparkContext._jvm

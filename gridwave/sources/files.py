@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridwave import constants as C
@@ -53,11 +53,18 @@ def scan_dat(spark: SparkSession, root: str, stream: bool = False,
                     F.col("content").alias(C.DAT_CONTENT)))
 
 
+def metadata_path() -> Column:
+    """``_metadata.file_path`` spelt like binaryFile's ``path``: not URL-encoded."""
+    encoded = F.col("_metadata.file_path")
+    # url_decode would read a plus sign, which paths do not encode, as a space.
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
 def scan_raw_csv(spark: SparkSession, root: str, pattern: str = C.FAULT_PATH_PATTERN) -> DataFrame:
     """Headerless ``time,IA,IB,IC`` text files, recursively, with path and label."""
     df = (spark.read.schema(RAW_TEXT).option("recursiveFileLookup", "true")
           .option("header", "false").csv(root))
-    path = F.col("_metadata.file_path")
+    path = metadata_path()
     return df.select("*", path.alias("path"),
                      path.rlike(pattern).cast("int").alias("is_fault"))
 
@@ -65,7 +72,7 @@ def scan_raw_csv(spark: SparkSession, root: str, pattern: str = C.FAULT_PATH_PAT
 # --------------------------------------------------------------------------- writing
 def _write_partition(rows: Iterable, root: str) -> None:
     import pyarrow.fs as pafs
-    fs, base = pafs.FileSystem.from_uri(root) if "://" in root else (pafs.LocalFileSystem(), root)
+    fs, base = pafs.FileSystem.from_uri(root)
     made = set()
     for r in rows:
         for ext, payload in ((".cfg", r[C.CONFIG_CONTENT].encode()), (".dat", bytes(r[C.DAT_CONTENT]))):
@@ -79,6 +86,16 @@ def _write_partition(rows: Iterable, root: str) -> None:
                 out.write(payload)
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """``root`` with the scheme of the file system that Spark itself reads it from."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    uri = fs.makeQualified(path).toUri()
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(uri.getScheme(), uri.getScheme())
+    return f"{scheme}://{uri.getAuthority() or ''}{uri.getPath()}"
+
+
 def write_pairs(pairs: DataFrame, root: str, folder: str = "") -> None:
     """Write (filename, config_content, dat_content) rows as ``<root>/<folder>/<filename>.cfg|.dat``.
 
@@ -88,7 +105,8 @@ def write_pairs(pairs: DataFrame, root: str, folder: str = "") -> None:
     prefix = f"{folder.strip('/')}/" if folder else ""
     staged = pairs.select(F.concat(F.lit(prefix), F.col(C.FILENAME)).alias("_relpath"),
                           C.CONFIG_CONTENT, C.DAT_CONTENT)
-    staged.foreachPartition(lambda rows: _write_partition(rows, root))
+    target = qualified(pairs.sparkSession, root)
+    staged.foreachPartition(lambda rows: _write_partition(rows, target))
 
 
 def scan_dat_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -100,5 +118,4 @@ def scan_dat_lines(spark: SparkSession, root: str) -> DataFrame:
     """
     df = (spark.read.option("pathGlobFilter", C.DAT_GLOB).option("recursiveFileLookup", "true")
           .text(root))
-    return df.select(pair_key(F.col("_metadata.file_path")).alias(C.FILENAME),
-                     F.col("value").alias("line"))
+    return df.select(pair_key(metadata_path()).alias(C.FILENAME), F.col("value").alias("line"))

@@ -12,11 +12,6 @@ from pyspark.sql import functions as F
 
 from gridwave import constants as C
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "events", "documents", "embeddings", "pages", "benchmark", "labels",
-          "conversations")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

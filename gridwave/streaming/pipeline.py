@@ -12,8 +12,9 @@ DAG in order with ``availableNow`` triggers (a bounded, restartable run: a
 second run picks up only new files).
 
 Choices against the reference's stream (see README):
-* the cfg/dat join is watermarked on both modification times and written as a
-  two-sided range, so its state is evicted;
+* the cfg/dat join is watermarked on the times the files were ingested, with
+  the modification times as a plain range predicate: old files pair as well as
+  new ones, and its state is still evicted;
 * metadata, pivot and gold work row-locally on the decoded recording (one row
   per file), so a recording can never be split across micro-batches and no
   watermark holds results back; metadata de-duplicates re-delivered files
@@ -26,7 +27,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridwave import constants as C
@@ -35,7 +36,7 @@ from gridwave.functions.times import to_timestamps
 from gridwave.operators import decode as DE
 from gridwave.operators import model as MD
 from gridwave.operators import shape as SH
-from gridwave.operators.pairing import interval_join_stream
+from gridwave.operators.pairing import INGEST_TIME, interval_join_stream, unpaired_files
 from gridwave.session import bounded_listing
 from gridwave.sources import files as FS
 
@@ -56,24 +57,26 @@ LEVELS = ((CONFIG_FILES_BRONZE, DAT_FILES_BRONZE), (JOINED_FILES_BRONZE,), (RECO
           (METADATA_SILVER, FLATTENED_SILVER, PIVOTED_CURRENT_SILVER, FAULT_DETECTION_GOLD))
 
 COMMENTS = {
-    CONFIG_FILES_BRONZE: ("Raw .cfg files", "bronze"),
-    DAT_FILES_BRONZE: ("Raw .dat files", "bronze"),
-    JOINED_FILES_BRONZE: ("Joined .cfg and .dat files on filename", "bronze"),
-    RECORDINGS_SILVER: ("Decoded recordings", "silver"),
-    METADATA_SILVER: ("Extracted recording metadata", "silver"),
-    FLATTENED_SILVER: ("Flattened recording samples", "silver"),
-    PIVOTED_CURRENT_SILVER: ("Pivoted current channels (IA, IB, IC)", "silver"),
-    FAULT_DETECTION_GOLD: ("Three-phase fault score per waveform", "gold"),
+    CONFIG_FILES_BRONZE: ("One row per header file, with its text", "bronze"),
+    DAT_FILES_BRONZE: ("One row per body file, with its bytes", "bronze"),
+    JOINED_FILES_BRONZE: ("Header and body of each recording", "bronze"),
+    RECORDINGS_SILVER: ("One row per recording, samples as arrays", "silver"),
+    METADATA_SILVER: ("Station, device and line frequency by recording", "silver"),
+    FLATTENED_SILVER: ("One row per sample and channel", "silver"),
+    PIVOTED_CURRENT_SILVER: ("One row per sample, a column per phase", "silver"),
+    FAULT_DETECTION_GOLD: ("Fault probability of each waveform", "gold"),
 }
 
 
 # --------------------------------------------------------------------------- stages
 def bronze_cfg(spark: SparkSession, source: str, max_files: int | None = None) -> DataFrame:
-    return FS.scan_cfg(spark, source, stream=True, max_files=max_files)
+    files = FS.scan_cfg(spark, source, stream=True, max_files=max_files)
+    return files.withColumn(INGEST_TIME, F.current_timestamp())
 
 
 def bronze_dat(spark: SparkSession, source: str, max_files: int | None = None) -> DataFrame:
-    return FS.scan_dat(spark, source, stream=True, max_files=max_files)
+    files = FS.scan_dat(spark, source, stream=True, max_files=max_files)
+    return files.withColumn(INGEST_TIME, F.current_timestamp())
 
 
 def joined(cfg: DataFrame, dat: DataFrame, tolerance: str = C.PAIR_TOLERANCE) -> DataFrame:
@@ -155,6 +158,7 @@ class PipelineRun:
     frame_len: int = C.WAVEFORM_LENGTH
     max_files_per_trigger: int | None = None
     register_tables: bool = True
+    table_prefix: str = ""
     progress: dict = field(default_factory=dict)
     schemas: dict = field(default_factory=dict)
 
@@ -164,6 +168,14 @@ class PipelineRun:
     def checkpoint(self, table: str) -> str:
         return f"{self.root}/checkpoints/{table}"
 
+    def table_name(self, table: str) -> str:
+        """Catalog name of a table; a prefix (or ``database.``) keeps pipelines apart."""
+        return f"{self.table_prefix}{table}"
+
+    def unpaired(self) -> DataFrame:
+        """Ingested files whose partner has not come yet."""
+        return unpaired_files(self.read(CONFIG_FILES_BRONZE), self.read(DAT_FILES_BRONZE))
+
     def read_stream(self, table: str) -> DataFrame:
         """An upstream table as a stream (schema from the table itself)."""
         schema = self.schemas.get(table) or self.spark.read.parquet(self.path(table)).schema
@@ -213,7 +225,7 @@ class PipelineRun:
             raise q.exception()
         self.progress[table] = [p for p in q.recentProgress]
         if self.register_tables:
-            register_table(self.spark, table, self.path(table))
+            register_table(self.spark, table, self.path(table), self.table_name(table))
 
     def run_table(self, table: str) -> dict:
         self._finish(table, self.start_table(table))
@@ -232,12 +244,24 @@ class PipelineRun:
         return self
 
 
-def register_table(spark: SparkSession, name: str, path: str) -> None:
-    """Catalog entry over the table's folder with its comment and quality tag."""
-    comment, quality = COMMENTS[name]
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+MADE_BY = "gridwave.table"
+
+
+def register_table(spark: SparkSession, table: str, path: str, name: str | None = None) -> None:
+    """Catalog entry over the table's folder with its comment and quality tag.
+
+    Replaces an entry that this function made; any other table of the same
+    name is left alone and raises.
+    """
+    name = name or table
+    comment, quality = COMMENTS[table]
+    if spark.catalog.tableExists(name):
+        made = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        if made.get(MADE_BY) != table:
+            raise ValueError(f"table {name} exists and was not made by this pipeline")
+        spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}' "
-              f"COMMENT '{comment}' TBLPROPERTIES ('quality' = '{quality}')")
+              f"COMMENT '{comment}' TBLPROPERTIES ('quality' = '{quality}', '{MADE_BY}' = '{table}')")
 
 
 def dropped_by_watermark(progress: Sequence) -> int:
@@ -262,10 +286,6 @@ def keyed_pivot(flat: DataFrame, watermark: str = C.PIVOT_WATERMARK,
                 ["sample_index", "channel_index"], channels)))
 
 
-def as_ntz(col: Column) -> Column:
-    return col.cast("timestamp_ntz")
-
-
 def keyed_gather(pivoted_stream: DataFrame, watermark: str = C.GOLD_WATERMARK,
                  channels: Sequence[str] = C.PHASE_CHANNELS) -> DataFrame:
     """The keyed alternative to :func:`waveforms` for a long phase stream (T5).
@@ -275,9 +295,8 @@ def keyed_gather(pivoted_stream: DataFrame, watermark: str = C.GOLD_WATERMARK,
     a group is one file's samples of one micro-batch, so it is bounded by the
     file, and results wait for the watermark to pass.
     """
-    step = F.struct(F.col(C.TIMESTAMP), *[F.col(c) for c in channels])
-    return (pivoted_stream.withWatermark(C.PROCESSED_TIMESTAMP, watermark)
-            .groupBy(C.FILENAME, C.PROCESSED_TIMESTAMP)
-            .agg(F.array_sort(F.collect_list(step)).alias("timestep"))
-            .withColumn("timestep_array",
-                        F.transform("timestep", lambda x: F.array(*[x[c] for c in channels]))))
+    sample = F.struct(F.col(C.TIMESTAMP).alias("at"), F.array(*channels).alias("values"))
+    samples = pivoted_stream.withWatermark(C.PROCESSED_TIMESTAMP, watermark) \
+        .groupBy(C.FILENAME, C.PROCESSED_TIMESTAMP).agg(F.sort_array(F.collect_list(sample)).alias("_samples"))
+    return samples.select(C.FILENAME, C.PROCESSED_TIMESTAMP, F.col("_samples.at").alias("sample_times"),
+                          F.col("_samples.values").alias("waveform"))

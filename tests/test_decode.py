@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import recording_fixtures as RF
 from gridwave import constants as C
 from gridwave.functions.keys import first_dot_key, pair_key
+from gridwave.functions.times import parse_cfg_timestamp
 from gridwave.operators import decode as DE
 from gridwave.operators import encode as EN
 from gridwave.operators import pairing as PR
@@ -138,20 +139,134 @@ def test_dotted_directory_keys(spark, tmp_path):
     assert len(decode_folder(spark, str(tmp_path))) == 3
 
 
+def channel_steps(rows, largest=C.INT16_LARGEST):
+    """What one count of an integer body stands for, by channel."""
+    columns = [[v for v in column if v is not None] for column in zip(*rows)]
+    return [(max(c) - min(c)) / 2 / largest if c else 0.0 for c in columns]
+
+
+def _written(spark, values, times, enc, **kw):
+    """One single-channel recording, encoded and decoded again."""
+    row = {C.FILENAME: "r", C.ANALOG: [[v] for v in values], C.ANALOG_UNITS: ["A"], C.STATUS: [],
+           C.ANALOG_CHANNEL_NAMES: ["IA"], C.STATUS_CHANNEL_NAMES: [], C.FREQUENCY: None,
+           C.REC_DEV_ID: None, C.STATION_NAME: None, C.MICROSECONDS: times}
+    back = DE.decode_recordings(enc(spark.createDataFrame([row], decoded_schema(spark)), **kw)).first()
+    return [v for v, in back[C.ANALOG]], back[C.MICROSECONDS]
+
+
+T0 = RF.EPOCH_2024_US
+FAST = [T0 + 100 * i for i in range(4)]
+
+
+@pytest.mark.parametrize("enc,kw,largest", [
+    (EN.encode_ascii, {}, None), (EN.encode_binary, {}, C.INT16_LARGEST),
+    (EN.encode_binary, {"sample_type": "BINARY32"}, C.INT32_LARGEST),
+    (EN.encode_binary, {"sample_type": "FLOAT32"}, 2 ** 22)])
+@pytest.mark.parametrize("values", [
+    [700.0, -2000.0, 2000.0, 0.004], [0.001, 0.002, -0.001, 0.0], [5.25, 5.25, None, 5.25],
+    [None, None, None, None], [1e-9, 3e-9, 2e-9, 1e-9]])
+def test_writer_loses_nothing(spark, enc, kw, largest, values):
+    """No wrap, no fixed resolution, no collapsed times; 100 microsecond steps."""
+    got, times = _written(spark, values, FAST, enc, **kw)
+    known = [v for v in values if v is not None]
+    step = (max(known) - min(known)) / 2 / largest if largest and known else 0.0
+    if kw.get("sample_type") == "FLOAT32":
+        step = max(map(abs, known), default=0.0) / largest
+    for g, w in zip(got, values):
+        assert (g is None) == (w is None) and (w is None or abs(g - w) <= step * 0.500001)
+    assert times == FAST
+
+
+def test_tick_widens_only_when_the_span_needs_it(spark):
+    span = [T0, T0 + 1, T0 + 4_294_967_294]
+    assert _written(spark, [1.0, 2.0, 3.0], span, EN.encode_binary)[1] == span
+    wide = [T0, T0 + 10, T0 + 3 * 4_294_967_294]
+    assert _written(spark, [1.0, 2.0, 3.0], wide, EN.encode_binary)[1] == [T0, T0 + 9, wide[2]]
+    assert _written(spark, [1.0, 2.0, 3.0], wide, EN.encode_ascii)[1] == wide
+
+
+def test_infinite_values_do_not_wrap(spark):
+    with pytest.raises(Exception, match="infinite"):
+        _written(spark, [1.0, float("inf")], FAST[:2], EN.encode_binary)
+    assert _written(spark, [1.0, float("inf")], FAST[:2], EN.encode_binary, sample_type="FLOAT32")[0][1] == float("inf")
+
+
+@pytest.mark.parametrize("text,want", [
+    ("01/02/2024,03:04:05.123456", T0 + 31 * 86_400_000_000 + 11_045_123_456),
+    ("1/2/2024,3:04:05.123456", T0 + 31 * 86_400_000_000 + 11_045_123_456),
+    ("01/01/2024,00:00:00.000000000", T0), ("01/01/24,00:00:00", T0), ("01/01/2024,00:00:00.5", T0 + 500_000),
+    ("01/01/2024,00:00:00.123456789", T0 + 123_456), ("01/01/99,00:00:00", T0 - 9131 * 86_400_000_000),
+    ("32/01/2024,00:00:00", None), ("no time", None), ("", None)])
+def test_header_times(spark, text, want):
+    got = spark.createDataFrame([(text,)], "t string").select(
+        F.unix_micros(parse_cfg_timestamp(F.col("t"))).alias("u")).first().u
+    assert got == want
+
+
+def test_blank_header_line_keeps_the_others_in_place(spark):
+    cfg, dat = RF.ascii_3a()
+    for text in (cfg.replace("\n60\n", "\n\n"), cfg.replace("\n60.0\n", "\n\n"), cfg + "\n\x1a"):
+        df = spark.createDataFrame([("r", text, bytearray(dat))], "filename string, config_content string, dat_content binary")
+        assert as_lists(DE.decode_recordings(df).first()[C.ANALOG]) == RF.expected_phases()
+
+
+def test_end_of_file_byte_is_no_sample(spark, tmp_path):
+    cfg, dat = RF.ascii_3a()
+    write_pair(str(tmp_path), "m", (cfg, dat + b"\x1a"))
+    assert as_lists(decode_folder(spark, str(tmp_path))["m"][C.ANALOG]) == RF.expected_phases()
+    lines = DE.decode_ascii_lines(FS.scan_dat_lines(spark, str(tmp_path)),
+                                  DE.line_headers(FS.scan_cfg(spark, str(tmp_path))))
+    assert lines.count() == len(RF.expected_phases())
+
+
+def test_unreadable_headers_are_reported_not_guessed(spark):
+    cfg, dat = RF.ascii_3a()
+    rows = [("good", cfg), ("type", cfg.replace("ASCII", "PACKED")), ("time", cfg.replace("01/01/2024", "99/99/2024"))]
+    df = spark.createDataFrame([(n, c, bytearray(dat)) for n, c in rows],
+                               "filename string, config_content string, dat_content binary")
+    assert {r.filename: r.problem for r in DE.header_problems(df).collect()} == {
+        "type": "unknown file type: PACKED", "time": "unreadable time of the first sample"}
+    analog = {r.filename: r[C.ANALOG] for r in DE.decode_recordings(df).collect()}
+    assert as_lists(analog["good"]) == RF.expected_phases() and analog["type"] is analog["time"] is None
+
+
+@pytest.mark.parametrize("folder", ["a b", "a+b", "a%20b", "äö.d"])
+def test_any_folder_name_pairs(spark, tmp_path, folder):
+    root = str(tmp_path / folder)
+    write_pair(root, "m", RF.ascii_3a())
+    lines = DE.decode_ascii_lines(FS.scan_dat_lines(spark, str(tmp_path)),
+                                  DE.line_headers(FS.scan_cfg(spark, str(tmp_path))))
+    assert lines.count() == len(RF.expected_phases())
+
+
+@pytest.mark.parametrize("how", ["right", "full", "outer"])
+def test_interval_join_refuses_to_return_copies(spark, how):
+    df = spark.sql("select 'a' k, timestamp'2024-01-01' t")
+    with pytest.raises(ValueError):
+        PR.interval_join(df, df.toDF("k2", "t2"), "k", "k2", "t", "t2", how=how)
+
+
+def test_unpaired_files_say_what_they_lack(spark):
+    cfg = spark.createDataFrame([("a", "x"), ("b", "x")], "filename string, config_content string")
+    dat = spark.createDataFrame([("b", bytearray(b"x")), ("c", bytearray(b"x"))], "filename string, dat_content binary")
+    assert sorted(map(tuple, PR.unpaired_files(cfg, dat).collect())) == [("a", "dat"), ("c", "cfg")]
+
+
 def test_encode_decode_round_trip(spark, decoded):
-    """decode(encode(x)) == x up to the writer's resolution."""
+    """decode(encode(x)) == x: ASCII exactly, int16 to half a step of the channel's scale."""
     src = [decoded[k].asDict() for k in ("ascii_3a", "binary_status", "missing_phase")]
     df = spark.createDataFrame(src, schema=decoded_schema(spark))
-    for enc, res in ((EN.encode_ascii, C.ASCII_RESOLUTION), (EN.encode_binary, C.BINARY_RESOLUTION)):
+    for enc, scaled in ((EN.encode_ascii, False), (EN.encode_binary, True)):
         pairs = enc(df)
         back = {r[C.FILENAME]: r for r in DE.decode_recordings(pairs).collect()}
         for s in src:
             r = back[s[C.FILENAME]]
             assert r[C.ANALOG_CHANNEL_NAMES] == s[C.ANALOG_CHANNEL_NAMES]
             assert r[C.STATUS_CHANNEL_NAMES] == s[C.STATUS_CHANNEL_NAMES]
+            step = channel_steps(s[C.ANALOG]) if scaled else [0.0] * len(s[C.ANALOG_CHANNEL_NAMES])
             for got, want in zip(r[C.ANALOG], s[C.ANALOG]):
-                for g, w in zip(got, want):
-                    assert (g is None and w is None) or abs(g - w) <= res / 2 + 1e-9
+                for g, w, e in zip(got, want, step):
+                    assert (g is None and w is None) or abs(g - w) <= e * 0.500001
             assert as_lists(r[C.STATUS]) == as_lists(s[C.STATUS])
 
 

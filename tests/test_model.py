@@ -61,6 +61,8 @@ def test_registry_versions_and_production_load(spark, scratch):
     MD.save_model(m2, scratch, "fd", {"loss": 0.5}, spark)
     reg = spark.read.parquet(f"{scratch}/fd/registry").orderBy("version").collect()
     assert [r.version for r in reg] == [1, 2]
+    stages = {r.version: r.stage for r in MD.model_versions(spark, scratch, "fd").collect()}
+    assert stages == {1: "Archived", 2: "Production"}
     loaded = MD.production_model(spark, scratch, "fd")
     a = MD.score(loaded, df).select("id", "fault_score").orderBy("id").collect()
     b = MD.score(m2, df).select("id", "fault_score").orderBy("id").collect()

@@ -3,11 +3,12 @@ an oracle must at least run and keep a stable schema."""
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
 from conftest import SF_SMALL
+from gridwave.plans.catalog import REGISTRY
 from oracle_compare import compare, duck
 
-NAMES = sorted(queries())
+NAMES = sorted(REGISTRY)
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_without_oracle_is_a_model_fit():
-    missing = set(queries()) - set(oracle_sql())
+    missing = set(REGISTRY) - set(oracle_sql())
     assert missing <= {"train_classifier", "model_selection", "refit_classifier", "eval_metrics",
                        "model_metrics", "score_waveforms", "score_plugin", "stream_score"}
 

@@ -81,8 +81,8 @@ def test_arrival_tolerance_is_inclusive(spark, tmp_path, delay, paired):
 
 
 def test_join_state_is_evicted(spark, tmp_path):
-    """Files arriving over a long span: with watermarks and the range form
-    the join keeps only recent rows in state."""
+    """Files arriving over a long span: with watermarks on the ingest clock and
+    the range form the join keeps only recent rows in state."""
     src = str(tmp_path / "src")
     base = int(time.time()) - 10 * 86400
     for i in range(8):
@@ -94,10 +94,11 @@ def test_join_state_is_evicted(spark, tmp_path):
     run.run(PL.ORDER[:2])
     def one_file_per_batch(t):
         return (spark.readStream.schema(run.schemas[t]).option("maxFilesPerTrigger", "1")
-                .parquet(run.path(t)))
+                .parquet(run.path(t)).withColumn(PR.INGEST_TIME, F.col("modificationTime")))
     cfg = one_file_per_batch(PL.CONFIG_FILES_BRONZE)
     dat = one_file_per_batch(PL.DAT_FILES_BRONZE)
-    q = (PL.joined(cfg, dat).writeStream.format("memory").queryName("jstate")
+    joined = PR.interval_join_stream(cfg, dat, wait="30 minutes")
+    q = (joined.writeStream.format("memory").queryName("jstate")
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.table("jstate").count() == 8
@@ -139,5 +140,30 @@ def test_keyed_pivot_then_gather_chain_is_append_legal(spark, tmp_path):
     assert q.exception() is None
     # whatever was emitted is complete per recording and time-ordered
     for r in spark.table("kgather").collect():
-        ts = [s[C.TIMESTAMP] for s in r.timestep]
-        assert ts == sorted(ts) and len(r.timestep_array) == len(ts)
+        assert r.sample_times == sorted(r.sample_times) and len(r.waveform) == len(r.sample_times)
+
+
+def test_backfilled_pairs_are_kept_and_the_rest_is_listed(spark, tmp_path):
+    """A second run brings a pair that is days old, and a file without partner."""
+    src, now = str(tmp_path / "src"), int(time.time())
+    write_pair(src, "new", RF.ascii_3a())
+    run = PL.PipelineRun(spark, src, str(tmp_path / "run"), register_tables=False)
+    run.run(PL.ORDER[:3])
+    write_pair(src, "old", RF.ascii_3a())
+    write_pair(src, "alone", RF.ascii_3a(), dat=False)
+    for name in ("old.cfg", "old.dat", "alone.cfg"):
+        _touch(os.path.join(src, name), now - 3 * 86400)
+    run.run(PL.ORDER[:3])
+    stems = [r[C.FILENAME].rsplit("/", 1)[-1] for r in run.read(PL.JOINED_FILES_BRONZE).collect()]
+    assert sorted(stems) == ["new", "old"]
+    assert [(r[C.FILENAME].rsplit("/", 1)[-1], r.missing) for r in run.unpaired().collect()] == [("alone", "dat")]
+
+
+def test_tables_of_others_are_left_alone(spark, tmp_path):
+    spark.sql(f"CREATE TABLE foreign_recordings_silver (x INT) USING parquet LOCATION '{tmp_path}/foreign'")
+    try:
+        with pytest.raises(ValueError, match="not made by this pipeline"):
+            PL.register_table(spark, PL.RECORDINGS_SILVER, str(tmp_path / "t"), "foreign_recordings_silver")
+        assert spark.table("foreign_recordings_silver").columns == ["x"]
+    finally:
+        spark.sql("DROP TABLE foreign_recordings_silver")
