@@ -14,10 +14,10 @@ The computation is three relational steps:
    the exploded rows on the n-gram and gives every block the counts of its own;
 3. counts join the documents of their block, scores are summed per document.
 
-Rows are packed: one row holds a block's n-grams in one partition, as 6-byte
-hashes (a few in 10**9 share theirs with another n-gram of the same partition,
-whatever the size of the corpus).  An n-gram, however frequent, is one entry
-per block, so no partition is hot.  What is shuffled grows with the n-grams.
+Rows are packed: one row holds a block's n-grams in one partition, as the
+differences of their sorted 56-bit hashes.  An n-gram, however frequent, is one
+entry per block, so no partition is hot.  What is shuffled grows with the
+n-grams.
 
 Words are runs other than ASCII white space, A-Z lower-cased.  A null or empty
 text has no words, score 0 and a null mean.  Repeated rows all count, and each
@@ -37,8 +37,8 @@ from gridwave.llm.common import split_words, type_of
 ORDER = 3
 BACKOFF = 0.4
 MIN_COUNT = 2
-BLOCK_BYTES = 12_000_000
-KEY_BYTES = 6
+BLOCK_BYTES = 8_000_000
+HASH_BITS = 56
 CACHED_WORDS = 400_000
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -78,33 +78,45 @@ def gram_hashes(words: np.ndarray, sizes: np.ndarray, order: int) -> list[np.nda
             hashes = shorter[last - 1] * SPREAD + words[last]
         mixed = hashes ^ (hashes >> np.uint64(29))
         mixed = (mixed + np.uint64(n)) * SPREAD
-        out.append((mixed ^ (mixed >> np.uint64(32)), last))
+        out.append(((mixed ^ (mixed >> np.uint64(32))) >> np.uint64(64 - HASH_BITS), last))
     return out
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     """Partition of each hash; ascending in the hash."""
-    return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    return ((keys >> np.uint64(HASH_BITS - 32)) * np.uint64(parts)) >> np.uint64(32)
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+    """Ascending keys: bytes per difference, the first key, the differences."""
+    steps = np.diff(keys).astype("<u8")
+    width = max(1, (int(steps.max(initial=1)).bit_length() + 7) // 8)
+    return bytes([width]) + int(keys[0]).to_bytes(8, "little") \
+        + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def unpack_keys(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :KEY_BYTES] = raw
-    return out.view("<u8").ravel()
+    width, raw = data[0], np.frombuffer(data, np.uint8, offset=9)
+    out = np.zeros((len(raw) // width + 1, 8), np.uint8)
+    out[0] = np.frombuffer(data, np.uint8, 8, 1)
+    out[1:, :width] = raw.reshape(-1, width)
+    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
 
 
 def pack_counts(counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Counts under 255 in a byte each; the others, in order, in eight."""
-    return np.minimum(counts, 255).astype(np.uint8).tobytes(), counts[counts >= 255].astype("<i8").tobytes()
-
-
-def unpack_counts(small: bytes, large: bytes) -> np.ndarray:
-    out = np.frombuffer(small, np.uint8).astype(np.int64)
+    """A bit for each count over one; behind the bits, such counts in a byte each.
+    Those of 255 and more are apart, in order, in eight."""
+    more = counts > 1
+    return (np.packbits(more).tobytes() + np.minimum(counts[more], 255).astype(np.uint8).tobytes(),
+            counts[counts >= 255].astype("<i8").tobytes())
+
+
+def unpack_counts(small: bytes, large: bytes, n: int) -> np.ndarray:
+    raw = np.frombuffer(small, np.uint8)
+    bits = -(-n // 8)
+    more = np.unpackbits(raw[:bits], count=n).astype(bool)
+    out = np.ones(n, np.int64)
+    out[more] = raw[bits:]
     out[out == 255] = np.frombuffer(large, "<i8")
     return out
 
@@ -163,30 +175,32 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for p in np.unique(where).astype(int):
             part = slice(cuts[p], cuts[p + 1])
             out.append((p, pack_keys(keys[part]), *pack_counts(counts[part])))
-        cols = list(zip(*out)) or [(), (), (), ()]
+        cols = list(zip(*out)) or [()] * 4
         return pa.table({"part": pa.array(cols[0], pa.int64()),
                          "block": pa.array([table.column("block")[0].as_py()] * len(out), pa.int64()),
                          **{n: pa.array(c, pa.binary()) for n, c in zip(("keys", "small", "large"), cols[1:])}})
 
     def count(table: pa.Table) -> pa.Table:
         keys = [unpack_keys(x) for x in table.column("keys").to_pylist()]
-        mine = [unpack_counts(a, b) for a, b in zip(table.column("small").to_pylist(),
-                                                    table.column("large").to_pylist())]
+        mine = [unpack_counts(a, b, len(k)) for a, b, k in zip(table.column("small").to_pylist(),
+                                                               table.column("large").to_pylist(), keys)]
         distinct, row = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.zeros(len(distinct), np.int64)
         np.add.at(sums, row, np.concatenate(mine))
-        ends = np.cumsum([len(k) for k in keys])
+        sizes = [len(k) for k in keys]
+        ends = np.cumsum(sizes)
         packed = [pack_counts(sums[r]) for r in np.split(row, ends[:-1])]
         return pa.table({"block": table.column("block"), "part": table.column("part"),
                          "small": pa.array([a for a, _ in packed], pa.binary()),
-                         "large": pa.array([b for _, b in packed], pa.binary())})
+                         "large": pa.array([b for _, b in packed], pa.binary()),
+                         "n": pa.array(sizes, pa.int64())})
 
     def score(table: pa.Table, counted: pa.Table) -> pa.Table:
         if not table.num_rows:
             return schema.empty_table()
         order_of = np.argsort(counted.column("part").to_numpy())
-        small, large = (counted.column(n).to_pylist() for n in ("small", "large"))
-        counts = [unpack_counts(small[i], large[i]) for i in order_of]
+        small, large, n = (counted.column(c).to_pylist() for c in ("small", "large", "n"))
+        counts = [unpack_counts(small[i], large[i], n[i]) for i in order_of]
         words, logs, short = block_scores(table.column("text").to_pylist(),
                                           np.concatenate(counts) if counts else np.empty(0, np.int64), total, order)
         return pa.table([table.column("id"), pa.array(words), pa.array(logs), pa.array(short)], schema=schema)
@@ -195,7 +209,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = f"id {type_of(docs, id_col)}, n_words long, log_score double, n_backoff long"
     schema = to_arrow_schema(spark.createDataFrame([], out).schema)
     requests = rows.groupBy("block").applyInArrow(explode, "part long, block long, keys binary, small binary, large binary")
-    counts = requests.groupBy("part").applyInArrow(count, "block long, part long, small binary, large binary")
+    counts = requests.groupBy("part").applyInArrow(count, "block long, part long, small binary, large binary, n long")
     scored = rows.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(score, out)
     return scored.select(F.col("id").alias(id_col), "n_words", F.round("log_score", 4).alias("log_score"),
                          F.round(F.try_divide("log_score", F.col("n_words")), 4).alias("mean_log_score"), "n_backoff")
