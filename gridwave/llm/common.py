@@ -45,14 +45,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def hash_sample(df: DataFrame, id_col: str, rows: int) -> DataFrame:
-    """About ``rows`` rows chosen by a hash of the id; all rows of a small table.
+def hash_sample(df: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` rows chosen by a hash of all columns; all rows of a small table.
 
     Only for fitting a model or timing a rule, never for a result.
     """
-    n = df.select(id_col).count()
-    step = max(1, n // rows)
-    return df.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(step)) == 0)
+    step = max(1, df.count() // rows)
+    return df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(step)) == 0)
 
 
 def steps(batches: Iterator[pa.RecordBatch], text_col: str,

@@ -152,5 +152,8 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "do
     """The rows of ``docs`` that overlap with no item."""
     found = overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col) \
         .select(F.col("id").alias("_id"), F.col("body").alias("_body")).distinct()
-    body = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    return docs.join(found, docs[id_col].eqNullSafe(found["_id"]) & (body == found["_body"]), "left_anti")
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    own_id, own_text = (F.col(names[docs.columns.index(c)]) for c in (id_col, text_col))
+    body = F.xxhash64(F.coalesce(own_text, F.lit("")))
+    return docs.toDF(*names).join(found, own_id.eqNullSafe(F.col("_id")) & (body == F.col("_body")), "left_anti") \
+        .toDF(*docs.columns)

@@ -265,7 +265,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         return None
     step = F.create_map(*[F.lit(x) for r in sizes for x in (r.lang, max(1, r.n // fit_docs))])
     sample = known.withColumn("step", step[F.col("lang")]) \
-        .filter(F.pmod(F.xxhash64("id"), F.col("step")) == 0).select("lang", "text")
+        .filter(F.pmod(F.xxhash64("id", "text"), F.col("step")) == 0).select("lang", "text")
 
     def runs(batches):
         for batch in steps(batches, "text"):

@@ -352,7 +352,7 @@ def learn_field(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         n: pa.array([x.tobytes()], pa.binary()) for n, x in zip("abcd", parts)})
 
     texts = docs.select(id_col, F.col(text_col).alias("text"))
-    rows = hash_sample(texts, id_col, fit_rows).select("text") \
+    rows = hash_sample(texts, fit_rows).select("text") \
         .mapInArrow(tokens, "a binary, b binary, c binary, d binary").collect()
     rows = sorted(tuple(map(bytes, r)) for r in rows)
     features, labels, chain, skip, n = [], [], [], [], 0

@@ -191,7 +191,7 @@ def rule_order(docs: DataFrame, id_col: str, text_col: str, rules: Sequence[Rule
     only the order, never a verdict.
     """
     texts = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    sample = written(hash_sample(texts, id_col, sample_rows).select("_text"), "quality-sample")
+    sample = written(hash_sample(texts, sample_rows).select("_text"), "quality-sample")
     measured = measure(sample, rules)
     return [m.rule for m in sorted(measured, key=lambda m: (-m.per_cost, m.rule.name))]
 

@@ -297,13 +297,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows alike in id and text stay once, the least by all columns.
     """
     prints, named = _grouped(docs, id_col, text_col, shingle_words, max_bits, group_rows)
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names)        # so that no column has a name used here
+    own_id, own_text = (F.col(names[docs.columns.index(c)]) for c in (id_col, text_col))
     first = named.select("least.id", "least.body").distinct()
     seen = prints.groupBy("id", "body").agg(F.count(F.lit(1)).alias("n"))
     both = lambda a, b: a["id"].eqNullSafe(b["id"]) & (a["body"] == b["body"])
     first = first.join(seen, both(first, seen)).select(
         first["id"].alias("_id"), first["body"].alias("_body"), F.col("n").alias("_n"))
-    kept = docs.join(first, docs[id_col].eqNullSafe(first["_id"]) & (_body(docs[text_col]) == first["_body"]))
-    names = docs.columns
+    kept = rows.join(first, own_id.eqNullSafe(F.col("_id")) & (_body(own_text) == F.col("_body")))
     once = kept.filter(F.col("_n") == 1).select(*names)
     again = kept.filter(F.col("_n") > 1).groupBy("_id", "_body").agg(F.min(F.struct(*names)).alias("_row"))
-    return once.unionByName(again.select(*[F.col("_row")[n].alias(n) for n in names]))
+    return once.unionByName(again.select(*[F.col("_row")[n].alias(n) for n in names])).toDF(*docs.columns)
