@@ -15,9 +15,10 @@ The computation is three relational steps:
 3. counts join the documents of their block, scores are summed per document.
 
 Rows are packed: one row holds a block's n-grams in one partition, as the
-differences of their sorted 56-bit hashes.  An n-gram, however frequent, is one
-entry per block, so no partition is hot.  What is shuffled grows with the
-n-grams.
+differences of their sorted hashes.  The hashes have as many bits (48 to 64) as
+keep the expected number of n-grams that share one to a few hundred in the
+whole corpus.  An n-gram, however frequent, is one entry per block, so no
+partition is hot.  What is shuffled grows with the n-grams.
 
 Words are runs other than ASCII white space, A-Z lower-cased.  A null or empty
 text has no words, score 0 and a null mean.  Repeated rows all count, and each
@@ -38,8 +39,7 @@ ORDER = 3
 BACKOFF = 0.4
 MIN_COUNT = 2
 BLOCK_BYTES = 8_000_000
-HASH_BITS = 56
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,7 +61,13 @@ def word_hashes(text: bytes | None) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
-def gram_hashes(words: np.ndarray, sizes: np.ndarray, order: int) -> list[np.ndarray]:
+def hash_bits(n_grams: int) -> int:
+    """n * n / 2**(bits + 1) pairs of n hashes are expected to be equal: 2**8 at most,
+    as far as 64 bits go."""
+    return min(64, max(48, 2 * max(1, n_grams).bit_length() - 9))
+
+
+def gram_hashes(words: np.ndarray, sizes: np.ndarray, order: int, bits: int) -> list[np.ndarray]:
     """By length: for each n-gram of the texts its hash, and place of its last word.
 
     Texts follow one another in ``words``; an n-gram lies in one text.
@@ -78,13 +84,13 @@ def gram_hashes(words: np.ndarray, sizes: np.ndarray, order: int) -> list[np.nda
             hashes = shorter[last - 1] * SPREAD + words[last]
         mixed = hashes ^ (hashes >> np.uint64(29))
         mixed = (mixed + np.uint64(n)) * SPREAD
-        out.append(((mixed ^ (mixed >> np.uint64(32))) >> np.uint64(64 - HASH_BITS), last))
+        out.append(((mixed ^ (mixed >> np.uint64(32))) >> np.uint64(64 - bits), last))
     return out
 
 
-def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+def part_of(keys: np.ndarray, parts: int, bits: int) -> np.ndarray:
     """Partition of each hash; ascending in the hash."""
-    return ((keys >> np.uint64(HASH_BITS - 32)) * np.uint64(parts)) >> np.uint64(32)
+    return ((keys >> np.uint64(bits - 32)) * np.uint64(parts)) >> np.uint64(32)
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
@@ -121,18 +127,19 @@ def unpack_counts(small: bytes, large: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _block_grams(texts, order: int):
+def _block_grams(texts, order: int, bits: int):
     """Sizes of the texts, their n-grams by length, and all n-grams' distinct hashes."""
     words = [word_hashes(t) for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
-    grams = gram_hashes(np.concatenate(words) if words else np.empty(0, np.uint64), sizes, order)
+    grams = gram_hashes(np.concatenate(words) if words else np.empty(0, np.uint64), sizes, order, bits)
     return sizes, grams, np.concatenate([h for h, _ in grams])
 
 
-def block_scores(texts, counts: np.ndarray, total: int, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def block_scores(texts, counts: np.ndarray, total: int, order: int,
+                 bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, log score and backed-off words of each text, from the counts of
     the block's distinct n-grams in ascending order of their hashes."""
-    sizes, grams, every = _block_grams(texts, order)
+    sizes, grams, every = _block_grams(texts, order, bits)
     _, row = np.unique(every, return_inverse=True)
     n = int(sizes.sum())
     seen, at = [], 0
@@ -160,6 +167,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_col)), F.sum(F.size(split_words(F.col(text_col))).cast("long"))).first()
     n_bytes, total = (int(x or 0) for x in size)
+    bits = hash_bits(order * total)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = parts = max(least, -(-n_bytes // block_bytes))
     text = F.col(text_col).cast("binary")
@@ -167,9 +175,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(blocks)).alias("block"))
 
     def explode(table: pa.Table) -> pa.Table:
-        _, _, every = _block_grams(table.column("text").to_pylist(), order)
+        _, _, every = _block_grams(table.column("text").to_pylist(), order, bits)
         keys, counts = np.unique(every, return_counts=True)
-        where = part_of(keys, parts)
+        where = part_of(keys, parts, bits)
         cuts = np.searchsorted(where, np.arange(parts + 1, dtype=np.uint64))
         out = []
         for p in np.unique(where).astype(int):
@@ -202,7 +210,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         small, large, n = (counted.column(c).to_pylist() for c in ("small", "large", "n"))
         counts = [unpack_counts(small[i], large[i], n[i]) for i in order_of]
         words, logs, short = block_scores(table.column("text").to_pylist(),
-                                          np.concatenate(counts) if counts else np.empty(0, np.int64), total, order)
+                                          np.concatenate(counts) if counts else np.empty(0, np.int64), total, order, bits)
         return pa.table([table.column("id"), pa.array(words), pa.array(logs), pa.array(short)], schema=schema)
 
     from pyspark.sql.pandas.types import to_arrow_schema
