@@ -597,7 +597,7 @@ def test_license_base_columns(request, which):
 @pytest.mark.parametrize("text,base,labels", [
     ("Licensed under CC BY-NC 4.0.", "", "cc-by-nc"),
     ("x y z Licensed under the APACHE LICENSE, version 2.0 and the MIT license", "apache,mit", "apache,mit"),
-    ("Redistribution and use in source and binary forms, with or without modification, are hereby allowed given "
+    ("Redistribution and use in source and binary forms, with or without modification, are hereby allowed "
      "that the following conditions are met", "", "bsd"),
     ("terms of the Mozilla Public License, v. 2.0. This Source Code Form", "", ""),
     ("by nc cc licensed under", "", ""),
