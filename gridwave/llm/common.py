@@ -74,7 +74,7 @@ def steps(batches: Iterator[pa.RecordBatch], text_col: str,
 
 
 def per_row(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], dict],
-            text_col: str) -> DataFrame:
+            text_col: str, limit: int = STEP_CHARS) -> DataFrame:
     """Run ``work`` on bounded record batches; it returns the new columns by name.
 
     The result has the columns of ``schema``; those ``work`` does not return
@@ -85,7 +85,7 @@ def per_row(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], dict],
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
-        for batch in steps(batches, text_col):
+        for batch in steps(batches, text_col, limit):
             made = work(batch)
             cols = [made[f.name] if f.name in made else batch.column(f.name) for f in arrow]
             cols = [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type)

@@ -41,7 +41,8 @@ STRING_RUNS = 8         # runs strung together in the fit
 FIT_LANGUAGES = 64
 LEXICON_COUNT = 3       # how often the fit must have seen a word to keep it
 FIT_STEPS = 60
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
+STEP_BYTES = 2_000_000  # of text labelled at a time: its words hold several floats each
 UNKNOWN = "und"
 
 
@@ -302,4 +303,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if model is None:
         return rows.drop("text").withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     return per_row(rows, f"`{id_col}` {type_of(docs, id_col)}, held_out boolean, lang_pred string, score double",
-                   work, "text")
+                   work, "text", STEP_BYTES)

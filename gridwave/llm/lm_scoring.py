@@ -38,7 +38,8 @@ from gridwave.llm.common import split_words, type_of
 ORDER = 3
 BACKOFF = 0.4
 MIN_COUNT = 2
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000     # of text whose n-grams a worker holds at once
+PART_BYTES = 8_000_000      # of text whose n-grams one partition of the table counts
 CACHED_WORDS = 250_000
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -62,9 +63,9 @@ def word_hashes(text: bytes | None) -> np.ndarray:
 
 
 def hash_bits(n_grams: int) -> int:
-    """n * n / 2**(bits + 1) pairs of n hashes are expected to be equal: 2**8 at most,
+    """n * n / 2**(bits + 1) pairs of n hashes are expected to be equal: 2**9 at most,
     as far as 64 bits go."""
-    return min(64, max(48, 2 * max(1, n_grams).bit_length() - 9))
+    return min(64, max(48, 2 * max(1, n_grams).bit_length() - 10))
 
 
 def gram_hashes(words: np.ndarray, sizes: np.ndarray, order: int, bits: int) -> list[np.ndarray]:
@@ -169,7 +170,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n_bytes, total = (int(x or 0) for x in size)
     bits = hash_bits(order * total)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = parts = max(least, -(-n_bytes // block_bytes))
+    blocks, parts = (max(least, -(-n_bytes // size)) for size in (block_bytes, PART_BYTES))
     text = F.col(text_col).cast("binary")
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"),
                        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(blocks)).alias("block"))
@@ -216,8 +217,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     from pyspark.sql.pandas.types import to_arrow_schema
     out = f"id {type_of(docs, id_col)}, n_words long, log_score double, n_backoff long"
     schema = to_arrow_schema(spark.createDataFrame([], out).schema)
-    requests = rows.groupBy("block").applyInArrow(explode, "part long, block long, keys binary, small binary, large binary")
-    counts = requests.groupBy("part").applyInArrow(count, "block long, part long, small binary, large binary, n long")
+    # As many partitions as blocks and parts, so that a task's share does not hang on a setting.
+    rows = rows.repartition(blocks, "block")
+    requests = rows.groupBy("block") \
+        .applyInArrow(explode, "part long, block long, keys binary, small binary, large binary") \
+        .repartition(parts, "part")
+    counts = requests.groupBy("part") \
+        .applyInArrow(count, "block long, part long, small binary, large binary, n long") \
+        .repartition(blocks, "block")
     scored = rows.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(score, out)
     return scored.select(F.col("id").alias(id_col), "n_words", F.round("log_score", 4).alias("log_score"),
                          F.round(F.try_divide("log_score", F.col("n_words")), 4).alias("mean_log_score"), "n_backoff")
