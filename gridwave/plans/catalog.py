@@ -769,3 +769,44 @@ def stream_ingest_clock(spark, d):
     run = _stream_run(spark, d, PL.RECORDINGS_SILVER)
     rec = run.read(PL.RECORDINGS_SILVER)
     return rec.select(*_folder_and_name(), F.col(C.PROCESSED_TIMESTAMP).isNotNull().alias("has_clock"))
+
+
+# --------------------------------------------------------------------------- keyed streams
+def _keyed(spark, d, name: str, build) -> DataFrame:
+    """All rows of a keyed streaming aggregate over the flattened samples.
+
+    An aggregate in append mode holds back what the watermark has not passed.
+    So the samples come first, and then rows of a recording that is no
+    recording, dated days later, which move the watermark on.
+    """
+    run = _stream_run(spark, d, PL.FLATTENED_SILVER)
+    flat = run.read(PL.FLATTENED_SILVER)
+    feed = run.path(f"{name}_feed")
+    flat.write.parquet(f"{feed}/part0")
+    df = build(spark.readStream.schema(flat.schema).option("recursiveFileLookup", "true").parquet(feed))
+
+    def drain() -> None:
+        q = (df.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", run.checkpoint(name)).trigger(availableNow=True).start(run.path(name)))
+        q.awaitTermination()
+
+    drain()
+    for day in (1, 2, 3):
+        later = F.col(C.PROCESSED_TIMESTAMP) + F.make_dt_interval(F.lit(day))
+        clock = flat.limit(1).withColumns({C.FILENAME: F.lit("/clock/clock"), C.PROCESSED_TIMESTAMP: later})
+        clock.write.parquet(f"{feed}/part{day}")
+        drain()
+    return spark.read.schema(df.schema).parquet(run.path(name)).filter(F.col(C.FILENAME) != "/clock/clock")
+
+
+@register("stream_keyed_pivot")
+def stream_keyed_pivot(spark, d):
+    piv = _ntz(_keyed(spark, d, "keyed_pivot", PL.keyed_pivot), C.TIMESTAMP)
+    return piv.select(*_folder_and_name(), C.TIMESTAMP, *[F.round(p, 6).alias(p) for p in C.PHASE_CHANNELS])
+
+
+@register("stream_keyed_gather")
+def stream_keyed_gather(spark, d):
+    got = _keyed(spark, d, "keyed_gather", lambda s: PL.keyed_gather(PL.keyed_pivot(s), watermark=None))
+    return got.select(*_folder_and_name(), F.size("sample_times").alias("n_samples"),
+                      AR.round_nested(F.col("waveform")).alias("waveform"))

@@ -538,3 +538,15 @@ SELECT round(avg(-(is_fault * ln(q) + (1 - is_fault) * ln(1 - q))), 6) AS loss,
 
 SQL["stream_ingest_clock"] = f"""WITH {CAPTURES}
 SELECT folder, filename, true AS has_clock FROM captures, (VALUES ('ascii.v1'), ('binary.v1')) v(folder)"""
+
+_KEYED = _both_folders("""SELECT '{folder}' AS folder, filename, {ts} AS t,
+       any_value({v}) FILTER (WHERE ch = 'IA') AS IA, any_value({v}) FILTER (WHERE ch = 'IB') AS IB,
+       any_value({v}) FILTER (WHERE ch = 'IC') AS IC
+FROM capt GROUP BY filename, {ts}""")
+
+SQL["stream_keyed_pivot"] = f"""WITH {_STREAM_BASE}, keyed AS ({_KEYED})
+SELECT folder, filename, make_timestamp(t) AS "timestamp", IA, IB, IC FROM keyed"""
+
+SQL["stream_keyed_gather"] = f"""WITH {_STREAM_BASE}, keyed AS ({_KEYED})
+SELECT folder, filename, count(*) AS n_samples, list([IA, IB, IC] ORDER BY t) AS waveform
+FROM keyed GROUP BY folder, filename"""

@@ -286,7 +286,7 @@ def keyed_pivot(flat: DataFrame, watermark: str = C.PIVOT_WATERMARK,
                 ["sample_index", "channel_index"], channels)))
 
 
-def keyed_gather(pivoted_stream: DataFrame, watermark: str = C.GOLD_WATERMARK,
+def keyed_gather(pivoted_stream: DataFrame, watermark: str | None = C.GOLD_WATERMARK,
                  channels: Sequence[str] = C.PHASE_CHANNELS) -> DataFrame:
     """The keyed alternative to :func:`waveforms` for a long phase stream (T5).
 
@@ -296,7 +296,11 @@ def keyed_gather(pivoted_stream: DataFrame, watermark: str = C.GOLD_WATERMARK,
     file, and results wait for the watermark to pass.
     """
     sample = F.struct(F.col(C.TIMESTAMP).alias("at"), F.array(*channels).alias("values"))
-    samples = pivoted_stream.withWatermark(C.PROCESSED_TIMESTAMP, watermark) \
-        .groupBy(C.FILENAME, C.PROCESSED_TIMESTAMP).agg(F.sort_array(F.collect_list(sample)).alias("_samples"))
+    # A second watermark behind another aggregate would judge that aggregate's
+    # results by the clock of its input and drop them as late.
+    if watermark:
+        pivoted_stream = pivoted_stream.withWatermark(C.PROCESSED_TIMESTAMP, watermark)
+    samples = pivoted_stream.groupBy(C.FILENAME, C.PROCESSED_TIMESTAMP) \
+        .agg(F.sort_array(F.collect_list(sample)).alias("_samples"))
     return samples.select(C.FILENAME, C.PROCESSED_TIMESTAMP, F.col("_samples.at").alias("sample_times"),
                           F.col("_samples.values").alias("waveform"))
