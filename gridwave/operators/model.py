@@ -95,18 +95,17 @@ def select_budget(train: DataFrame, val: DataFrame, label: str,
     """Fit once per iteration budget; report train and validation loss for each.
 
     The driver only loops over the handful of budgets; each fit and each
-    evaluation is a distributed job.
+    evaluation is a distributed job.  Pass written tables: both are read once
+    per budget and more.
     """
     spark = train.sparkSession
     rows = []
-    train_p = train.persist()
     for b in budgets:
-        model = fit(train_p, label, b)
-        tr = evaluation(score(model, train_p), label).first()
+        model = fit(train, label, b)
+        tr = evaluation(score(model, train), label).first()
         va = evaluation(score(model, val), label).first()
         rows.append((int(b), float(tr["loss"]), float(va["loss"]),
                      float(va["precision"]), float(va["recall"])))
-    train_p.unpersist()
     return spark.createDataFrame(
         rows, "max_iter int, train_loss double, val_loss double, val_precision double, "
               "val_recall double")

@@ -63,6 +63,20 @@ def _frame_labels(spark: SparkSession, d: str) -> DataFrame:
                            ["event_id"], C.TEST_FRAME_LENGTH, bucket_us=TD.EVENT_BUCKET_US)
 
 
+def _written(spark: SparkSession, d: str, df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once for this call, in the shared folder."""
+    path = f"{ST.staging_path(spark, name, d)}/run-{uuid.uuid4().hex[:10]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _shuffled(spark: SparkSession, d: str) -> DataFrame:
+    """Frame labels in seeded order.  The rank needs its input twice (counts and
+    rows), so the labels, a few bytes a frame, are written first."""
+    labels = _written(spark, d, _frame_labels(spark, d), "frame-labels")
+    return FR.shuffle_order(labels, [C.FILENAME, "frame"])
+
+
 # --------------------------------------------------------------------------- shape
 @register("filter_channels")
 def filter_channels(spark, d):
@@ -126,12 +140,12 @@ def frame_labels(spark, d):
 
 @register("shuffle_order")
 def shuffle_order(spark, d):
-    return FR.shuffle_order(_frame_labels(spark, d), [C.FILENAME, "frame"]).drop("n_total")
+    return _shuffled(spark, d).drop("n_total")
 
 
 @register("train_val_test_split")
 def train_val_test_split(spark, d):
-    return FR.train_val_test_split(_frame_labels(spark, d), [C.FILENAME, "frame"]).drop("n_total")
+    return FR.split_by_position(_shuffled(spark, d)).drop("n_total")
 
 
 @register("split_sizes")
@@ -371,7 +385,14 @@ def _features(spark, d) -> DataFrame:
 
 
 def _split_features(spark, d) -> DataFrame:
-    return FR.train_val_test_split(_features(spark, d), [C.FILENAME, "frame"])
+    """Features with their split, written once: a fit reads its rows many times.
+
+    The rank runs over keys and labels; feature arrays only meet it in a join.
+    """
+    features = _written(spark, d, _features(spark, d), "features")
+    keys = FR.train_val_test_split(features.select(C.FILENAME, "frame"), [C.FILENAME, "frame"])
+    both = features.join(keys.select(C.FILENAME, "frame", "split"), [C.FILENAME, "frame"])
+    return _written(spark, d, both, "split-features")
 
 
 def _scored_out(scored: DataFrame) -> DataFrame:

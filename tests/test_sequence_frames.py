@@ -93,3 +93,15 @@ def test_hot_recording_is_ranked_by_many_tasks(spark):
         assert tuple(agg) == (1, 60_000, 60_000)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_dense_bucket_is_ranked_by_several_tasks(spark):
+    """One bucket of one key with far more rows than a task should sort."""
+    n = 40_000
+    df = spark.range(n).select(F.lit("hot").alias("k"), (F.col("id") * 7 % n).alias("t")) \
+        .union(spark.range(100).select(F.lit("cold").alias("k"), F.col("id").alias("t")))
+    ranked = ordered_index(df, ["k"], "t", bucket_us=1 << 30, rows_per_task=5_000)
+    got = {(r.k, r.t): r.rn for r in ranked.collect()}
+    assert got == {**{("hot", t): t + 1 for t in range(n)}, **{("cold", t): t + 1 for t in range(100)}}
+    tasks = ranked.withColumn("p", F.spark_partition_id()).filter("k = 'hot'").groupBy("p").count().collect()
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < n
