@@ -47,7 +47,12 @@ UNKNOWN = "und"
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    """Runs of letters in lower case; the pattern lets marks such as ² pass, which
+    are no letters, so words without any letter are dropped."""
+    words = WORD.findall(text.lower()) if text else []
+    if text and not text.isascii():
+        words = [w for w in words if w.isalpha() or any(map(str.isalpha, w))]
+    return words
 
 
 def hashed_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:

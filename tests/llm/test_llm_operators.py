@@ -476,6 +476,11 @@ def test_languages_do_not_see_the_label(spark, docs):
     assert sorted(map(key, language_id.identify(blind).collect())) == sorted(map(key, language_id.identify(docs).collect()))
 
 
+def test_marks_are_no_letters():
+    assert language_id.words_of("²½ 12_³ Été a²") == ["été", "a²"]
+    assert language_id.words_of(None) == language_id.words_of("") == []
+
+
 def test_words_of_mixed_text_get_their_own_language():
     texts = {"en": "the cat and the dog with the house", "de": "der Hund und die Katze mit dem Haus"}
     runs = [(lang, language_id.words_of(t)) for lang, t in texts.items()] * 20
