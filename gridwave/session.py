@@ -8,6 +8,7 @@ do we make a local one.
 from __future__ import annotations
 
 import hashlib
+import io
 import os
 import tempfile
 import zipfile
@@ -52,21 +53,27 @@ def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package, once per application.
 
     Needed wherever the workers' path does not hold the repository; with
-    ``spark-submit --py-files gridwave.zip`` the call only repeats that.
+    ``spark-submit --py-files gridwave.zip`` the call only repeats that.  The
+    archive goes through the shared folder, like everything that executors read.
     """
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
     package = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(package)
-    target = os.path.join(tempfile.mkdtemp(prefix="gridwave-zip-"), "gridwave.zip")
-    with zipfile.ZipFile(target, "w") as z:
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
         for folder, _, names in os.walk(package):
             for name in names:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, root))
-    spark.sparkContext.addPyFile(target)
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/package-{app}/gridwave.zip")
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray(held.getvalue()))
+    out.close()
+    spark.sparkContext.addPyFile(target.toString())
     _SHIPPED.add(app)
 
 
