@@ -217,12 +217,14 @@ def decode_ascii(parsed: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> Data
     """ASCII bodies -> decoded recordings, entirely with built-in functions.
 
     Blank lines are dropped, empty fields decode to null, value = a * x + b.
-    A recording without analog (status) channels gets an empty analog (status).
+    A recording without analog (status) channels gets an empty analog (status);
+    one whose header cannot be read gets null samples.
     """
     staged, analog, status, micros = _ascii_arrays(parsed, keep)
+    readable = header_problem(F.col(CFG)).isNull()
     return staged.select(
-        *keep, analog.alias(C.ANALOG), status.alias(C.STATUS), micros.alias(C.MICROSECONDS),
-        *_common_columns(F.col(CFG)),
+        *keep, F.when(readable, analog).alias(C.ANALOG), F.when(readable, status).alias(C.STATUS),
+        F.when(readable, micros).alias(C.MICROSECONDS), *_common_columns(F.col(CFG)),
     ).select(*keep, *OUTPUT_ORDER)
 
 
@@ -366,6 +368,20 @@ def _binary_inputs(cfg: Column) -> list[Column]:
 
 
 def decode_recordings(pairs: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> DataFrame:
+    """Pairs of any body kind, decoded as their headers say.
+
+    Where a ``file_type`` column tells the kinds apart beforehand (the paired
+    table is partitioned by it), ASCII pairs are a branch of their own without
+    any Python, and each branch reads its own partitions only.
+    """
+    if "file_type" not in pairs.columns:
+        return _decode_mixed(pairs, keep)
+    is_text = F.col("file_type") == "ASCII"
+    text = decode_ascii(with_header(pairs.filter(is_text)), keep)
+    return text.unionByName(_decode_mixed(pairs.filter(~F.coalesce(is_text, F.lit(False))), keep))
+
+
+def _decode_mixed(pairs: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Both body kinds in one pass: the cfg decides, per pair, which decoder runs.
 
     A pair whose header cannot be read (``header_problems`` says why) keeps

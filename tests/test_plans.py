@@ -55,3 +55,16 @@ def test_interval_join_is_equi_on_key_and_bucket(spark):
     p = plan(Q.REGISTRY["interval_join"](spark, SF_SMALL))
     assert "_left_bucket" in p and "_right_bucket" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_ascii_branch_of_the_paired_table_has_no_python(spark):
+    """Told apart by ``file_type``, ASCII pairs never meet a Python node."""
+    from pyspark.sql import functions as F
+    from gridwave.operators import decode as DE
+    from gridwave.operators import encode as EN
+    pairs = EN.encode_ascii(Q._captures(spark, SF_SMALL)).withColumn("file_type", F.lit("ASCII"))
+    node = DE.decode_recordings(pairs)._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Union":
+        node = node.children().apply(0)
+    text, other = node.children().apply(0).toString(), node.children().apply(1).toString()
+    assert "MapInArrow" not in text and "MapInArrow" in other
