@@ -359,6 +359,24 @@ def decode_binary(parsed: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> Dat
         *keep, *OUTPUT_ORDER)
 
 
+def record_bytes(configs: DataFrame) -> DataFrame:
+    """(filename, record_bytes) of every recording with a readable binary header."""
+    cfg = F.col(CFG)
+    width = F.create_map(*[x for k, (t, _) in _SAMPLE_TYPES.items()
+                           for x in (F.lit(k), F.lit(np.dtype(t).itemsize))])
+    size = 8 + cfg["n_analog"] * width[cfg["file_type"]] + 2 * F.ceil(cfg["n_status"] / F.lit(16))
+    return with_header(configs).filter(header_problem(cfg).isNull() & cfg["file_type"].isin(*_SAMPLE_TYPES)) \
+        .select(C.FILENAME, size.cast("bigint").alias("record_bytes"))
+
+
+def decode_binary_ranges(ranges: DataFrame, configs: DataFrame) -> DataFrame:
+    """Ranges of binary bodies, each decoded by itself: one row per range, told
+    apart by ``first_record``.  Record numbers and times stand in the records,
+    so a range needs nothing but its header."""
+    pairs = ranges.join(configs.select(C.FILENAME, C.CONFIG_CONTENT), C.FILENAME)
+    return decode_binary(with_header(pairs), keep=(C.FILENAME, "first_record"))
+
+
 def _binary_inputs(cfg: Column) -> list[Column]:
     return [cfg["n_analog"].alias("_na"), cfg["n_status"].alias("_nd"), cfg["file_type"].alias("_ft"),
             F.transform(cfg["analog_channels"], lambda c: c["a"]).alias("_a"),

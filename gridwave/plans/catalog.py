@@ -831,3 +831,17 @@ def stream_keyed_gather(spark, d):
     got = _keyed(spark, d, "keyed_gather", lambda s: PL.keyed_gather(PL.keyed_pivot(s), watermark=None))
     return got.select(*_folder_and_name(), F.size("sample_times").alias("n_samples"),
                       AR.round_nested(F.col("waveform")).alias("waveform"))
+
+
+# --------------------------------------------------------------------------- ranged BINARY bodies
+@register("decode_binary_ranges")
+def decode_binary_ranges(spark, d):
+    """BINARY bodies read and decoded in ranges of a kilobyte, as phase rows."""
+    root = f"{ST.recording_files(spark, d)}/{ST.BINARY_FOLDER}"
+    configs = FS.scan_cfg(spark, root)
+    ranges = FS.scan_dat_ranges(spark, root, DE.record_bytes(configs), range_bytes=1024)
+    decoded = DE.decode_binary_ranges(ranges, configs)
+    rows = SH.phase_rows(decoded, C.MICROSECONDS, keep=(C.FILENAME, "first_record"))
+    return rows.select(*_folder_and_name(), (F.col("first_record") + F.col("sample_index") + 1).alias("sample_number"),
+                       F.timestamp_micros(C.MICROSECONDS).cast("timestamp_ntz").alias(C.TIMESTAMP),
+                       *[F.round(p, 6).alias(p) for p in C.PHASE_CHANNELS])

@@ -550,3 +550,10 @@ SELECT folder, filename, make_timestamp(t) AS "timestamp", IA, IB, IC FROM keyed
 SQL["stream_keyed_gather"] = f"""WITH {_STREAM_BASE}, keyed AS ({_KEYED})
 SELECT folder, filename, count(*) AS n_samples, list([IA, IB, IC] ORDER BY t) AS waveform
 FROM keyed GROUP BY folder, filename"""
+
+
+SQL["decode_binary_ranges"] = f"""WITH {CAPTURES}, {_CAP_START}
+SELECT 'binary.v1' AS folder, filename, n_in_cap AS sample_number, make_timestamp({_INT_TIME}) AS "timestamp",
+       CASE WHEN ch = 'IA' THEN {_INT_VALUE} END AS IA, CASE WHEN ch = 'IB' THEN {_INT_VALUE} END AS IB,
+       CASE WHEN ch = 'IC' THEN {_INT_VALUE} END AS IC
+FROM capt"""

@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -299,3 +300,24 @@ def test_line_split_decode_spreads_one_file_and_matches_whole_file(spark, tmp_pa
     want = sorted((i + 1, us, *v) for i, (us, v) in
                   enumerate(zip(whole[C.MICROSECONDS], whole[C.ANALOG])))
     assert got == want and len(got) == n
+
+
+def test_one_large_binary_body_is_decoded_by_several_tasks(spark, tmp_path):
+    """Ranges of a body, in a folder with a space, equal the whole-file decode."""
+    n, rng = 30_000, np.random.default_rng(1)
+    row = {C.FILENAME: "big", C.ANALOG: rng.normal(size=(n, 3)).tolist(), C.ANALOG_UNITS: ["A"] * 3,
+           C.STATUS: rng.integers(0, 2, (n, 17)).astype(float).tolist(), C.ANALOG_CHANNEL_NAMES: ["IA", "IB", "IC"],
+           C.STATUS_CHANNEL_NAMES: [f"S{k}" for k in range(17)], C.FREQUENCY: 50.0, C.REC_DEV_ID: "1",
+           C.STATION_NAME: "ST", C.MICROSECONDS: [T0 + 100 * i for i in range(n)]}
+    pair = EN.encode_binary(spark.createDataFrame([row], decoded_schema(spark))).first()
+    root = str(tmp_path / "a b")
+    write_pair(root, "big", (pair[C.CONFIG_CONTENT], bytes(pair[C.DAT_CONTENT]) + b"part"))
+    configs = FS.scan_cfg(spark, root)
+    ranges = FS.scan_dat_ranges(spark, root, DE.record_bytes(configs), range_bytes=50_000)
+    assert ranges.withColumn("p", F.spark_partition_id()).select("p").distinct().count() > 1
+    parts = sorted(DE.decode_binary_ranges(ranges, configs).collect(), key=lambda r: r.first_record)
+    whole = decode_folder(spark, root)["big"]
+    assert len(parts) > 10
+    for c in (C.ANALOG, C.STATUS, C.MICROSECONDS):
+        assert [x for r in parts for x in r[c]] == whole[c], c
+    assert len(whole[C.ANALOG]) == n
