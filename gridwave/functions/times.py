@@ -53,12 +53,17 @@ def parse_cfg_timestamp(text: Column) -> Column:
 
     Digits beyond microseconds are cut off; text that is no time gives null.
     """
-    def part(i: int) -> Column:
-        return F.regexp_extract(text, CFG_TIMESTAMP, i)
-
-    year = part(3).try_cast("int")
-    full_year = F.when(F.length(part(3)) == 4, year).when(year < CENTURY_PIVOT, year + 2000).otherwise(year + 1900)
-    micros = F.substring(F.rpad(part(7), 6, "0"), 1, 6).try_cast("int")
-    seconds = part(6).try_cast("int").cast("decimal(16,6)") + (micros / F.lit(1e6)).cast("decimal(16,6)")
-    return F.try_make_timestamp(full_year, part(2).try_cast("int"), part(1).try_cast("int"),
-                                part(4).try_cast("int"), part(5).try_cast("int"), seconds)
+    fields = F.split(F.regexp_replace(text, CFG_TIMESTAMP, "$1,$2,$3,$4,$5,$6,$7"), ",")
+
+    def made(f: Column) -> Column:
+        year = F.get(f, 2).try_cast("int")
+        full_year = F.when(F.length(F.get(f, 2)) == 4, year).when(year < CENTURY_PIVOT, year + 2000) \
+            .otherwise(year + 1900)
+        micros = F.substring(F.rpad(F.get(f, 6), 6, "0"), 1, 6).try_cast("int")
+        seconds = F.get(f, 5).try_cast("int").cast("decimal(16,6)") + (micros / F.lit(1e6)).cast("decimal(16,6)")
+        month, day, hour, minute = (F.get(f, i).try_cast("int") for i in (1, 0, 3, 4))
+        return F.try_make_timestamp(full_year, month, day, hour, minute, seconds)
+
+    # Through a lambda, so that the split is one value and not eight copies of its code.
+    whole = F.array(F.when(text.rlike(CFG_TIMESTAMP), fields))
+    return F.element_at(F.transform(whole, made), 1)
