@@ -41,7 +41,7 @@ hit AS (SELECT host, fetch_day, count(*) AS n_active, string_agg(DISTINCT catego
         FROM (SELECT DISTINCT host, fetch_day FROM cap) c
         JOIN span ON (host = p OR ends_with(host, '.' || p)) AND i <> 1 AND f <= fetch_day AND fetch_day < u
         GROUP BY host, fetch_day)
-SELECT page_id, cap.host, cap.fetch_day, n_active IS NOT NULL AS blocked,
+SELECT page_id, cap.host, strftime(cap.fetch_day, '%Y-%m-%d') AS fetch_day, n_active IS NOT NULL AS blocked,
        coalesce(n_active, 0)::BIGINT AS n_active, coalesce(categories, '') AS categories
 FROM cap LEFT JOIN hit ON cap.host = hit.host AND cap.fetch_day = hit.fetch_day
 """

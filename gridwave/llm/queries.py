@@ -42,8 +42,9 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return url_filter.evaluate(url_filter.captures_of_pages(pages), url_filter.entries_of_pages(pages),
-                               "page_id", "url", "fetch_day")
+    found = url_filter.evaluate(url_filter.captures_of_pages(pages), url_filter.entries_of_pages(pages),
+                                "page_id", "url", "fetch_day")
+    return found.withColumn("fetch_day", found.fetch_day.cast("string"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
