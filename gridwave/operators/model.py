@@ -137,11 +137,9 @@ def model_versions(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Every version; only the newest that was saved as Production still is,
     earlier ones are Archived."""
     rows = spark.read.parquet(f"{root}/{name}/registry")
-    live = rows.filter(F.col("stage") == "Production").agg(F.max("version").alias("_live"))
-    earlier = (F.col("stage") == "Production") & (F.col("version") < F.col("_live"))
-    # one row, by construction
-    return rows.join(F.broadcast(live)).withColumn(
-        "stage", F.when(earlier, F.lit("Archived")).otherwise(F.col("stage"))).drop("_live")
+    live = rows.filter(F.col("stage") == "Production").agg(F.max("version")).first()[0]
+    earlier = (F.col("stage") == "Production") & (F.col("version") < F.lit(live))
+    return rows.withColumn("stage", F.when(earlier, F.lit("Archived")).otherwise(F.col("stage")))
 
 
 def production_model(spark: SparkSession, root: str, name: str) -> PipelineModel:
