@@ -332,13 +332,13 @@ class Codec:
         return ids, sizes
 
     def _learn(self, words: set[str]) -> None:
-        """Search the words that are not known yet, by length."""
+        """Search the words that are not known yet, by length, the longest last."""
         by_size: dict[int, list[str]] = {}
         for w in words:
             if w not in self.number:
                 by_size.setdefault(len(w), []).append(w)
         new: list[tuple[np.ndarray, np.ndarray]] = []
-        for size, same in by_size.items():
+        for size, same in sorted(by_size.items()):
             self.number.update(zip(same, range(len(self.number), len(self.number) + len(same))))
             step = max(1, SEARCH_CELLS // size)
             if size > LONG_WORD:
@@ -364,10 +364,17 @@ class Codec:
         done = np.cumsum(sizes)
         flat = self.flat[np.repeat(begins - (done - sizes), sizes) + np.arange(done[-1] if len(done) else 0)]
         ends = np.concatenate([[0], done])[np.concatenate([[0], np.cumsum([len(ws) for ws in cut])]).astype(int)]
-        if any(len(w) > LONG_WORD for w in distinct):
-            self.forget()
+        self._drop_long(distinct)
         return flat, ends
 
+    def _drop_long(self, words: set[str]) -> None:
+        """Long words, which have the last numbers, are not kept."""
+        for w in words:
+            if len(w) > LONG_WORD:
+                del self.number[w]
+        self.ends = self.ends[:len(self.number) + 1]
+        self.flat = self.flat[:self.ends[-1]]
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         flat, ends = self.encode_flat(texts)
         return np.split(flat, ends[1:-1]) if texts else []

@@ -273,6 +273,15 @@ def test_piece_ids_equal_the_library(library):
         assert codec.decode(ids.tolist()) == text.replace("▁", " ")
 
 
+def test_long_words_leave_the_cache_in_order(library):
+    with open(MODEL, "rb") as f:
+        codec = sentencepiece_codec.Codec(sentencepiece_codec.Pieces(f.read()))
+    for texts in (["one two " + "y" * 200], ["two three " + "z" * 90 + " one", "y" * 200], ["three four one"]):
+        assert [x.tolist() for x in codec.encode(texts)] == library.encode(texts)
+        assert max(map(len, codec.number)) <= sentencepiece_codec.LONG_WORD
+    assert len(codec.ends) == len(codec.number) + 1
+
+
 def test_search_by_score_equals_the_library_for_unigram_models():
     """The same vocabulary as a unigram model, with scores that floats hold exactly."""
     proto = sentencepiece_model_pb2.ModelProto()
