@@ -2,8 +2,9 @@
 
 The words of all notices form a small vocabulary.  How many texts hold each of
 these words is counted over all texts (each task sends one row per word), which
-gives the words' inverse document frequency.  A notice's anchors are its
-highest-IDF words; the index lists, for each anchor, (notice, position).
+gives the words' inverse document frequency.  A notice's anchors are the
+highest-IDF words of its mandatory phrases; the index lists, for each anchor,
+(notice, position).
 
 A text looks up its own words in the index.  Every hit votes for one notice at
 one start, text position less notice position, so postings are intersected by
@@ -11,6 +12,10 @@ relative position.  A start with enough different anchors is verified: the
 share of the notice's words that stand at their places, and every mandatory
 phrase word for word at its place.  Texts without any anchor end there.
 
+No start that passes is missed: phrases must stand in place, and so do their
+words.  A notice without phrases may lose some words, so its anchors are as
+many more.
+
 The base labels come from phrases whose words stand consecutively.  A null or
 empty text has no words, no label and score 0.  Repeated rows count each.
 """
@@ -29,7 +34,6 @@ from pyspark.sql import functions as F
 from gridwave.llm.common import per_row, steps, type_of
 from gridwave.llm.license_templates import BASE_PHRASES, TEMPLATES
 
-ANCHORS = 4             # highest-IDF words of each notice that are indexed
 MIN_VOTES = 2           # different anchors that must agree on a start
 MIN_SHARE = 0.7         # of a notice's words at their places
 # A word, once A-Z are lower-cased: bytes.lower() changes ASCII letters only.
@@ -89,11 +93,16 @@ class Scanner:
         self.index: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         self.votes = []
         for k, notice in enumerate(found):
-            anchors = sorted(set(notice.words), key=lambda w: (-idf[w], w))[:ANCHORS]
-            self.votes.append(min(MIN_VOTES, len(anchors)))
-            for at, word in enumerate(notice.words):
-                if word in anchors:
-                    self.index[word].append((k, at))
+            fixed = sorted({at + i for at, p in notice.phrases for i in range(len(p))})
+            places = fixed or range(len(notice.words))
+            # How many of the words at these places a verified start may lack.
+            lost = 0 if fixed else len(notice.words) - math.ceil(MIN_SHARE * len(notice.words))
+            words = {notice.words[at] for at in places}
+            anchors = sorted(words, key=lambda w: (-idf[w], w))[:MIN_VOTES + lost]
+            self.votes.append(max(1, min(MIN_VOTES, len(anchors) - lost)))
+            for at in places:
+                if notice.words[at] in anchors:
+                    self.index[notice.words[at]].append((k, at))
         self.index = dict(self.index)
         self.base = [(tuple(words_of(p.encode())), label) for p, label in phrases]
         # A text without any of these has neither an anchor nor a base phrase.

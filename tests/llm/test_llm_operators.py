@@ -627,5 +627,50 @@ def test_license_labels(spark, docs, text, base, labels):
     assert (found[4], found[5]) == (base, labels)
 
 
+def every_start(scanner, words):
+    """Labels of the notices that pass at some start, by trying all of them."""
+    out = set()
+    for n in scanner.notices:
+        for start in range(1 - len(n.words), len(words)):
+            same = sum(0 <= start + i < len(words) and words[start + i] == w for i, w in enumerate(n.words))
+            if same >= license_scan.MIN_SHARE * len(n.words) and all(
+                    start + at >= 0 and tuple(words[start + at:start + at + len(p)]) == p for at, p in n.phrases):
+                out.add(n.label)
+    return out
+
+
+def test_license_labels_are_those_of_every_start():
+    """Notices with changed words, under IDFs that favour the changed ones."""
+    templates = license_scan.TEMPLATES + [
+        ("free", "one two three four five six seven eight nine ten eleven twelve thirteen", []),
+        ("same", "again and again and again and again and again", []), ("word", "copyleft", ["copyleft"])]
+    found = license_scan.notices(templates)
+    rng = random.Random(10)
+    hits = 0
+    for case in range(600):
+        notice = rng.choice(found)
+        words = list(notice.words)
+        for at in rng.sample(range(len(words)), rng.randint(0, int(0.35 * len(words)))):
+            words[at] = b"zz"
+        if case % 5 == 0:
+            words = words[rng.randint(0, 2):]
+        held = set(words)
+        words = [b"x"] * rng.randint(0, 2) + words + [b"x"] * rng.randint(0, 2)
+        idf = defaultdict(lambda: 9.0, {w: 1.0 for w in held})
+        scanner = license_scan.Scanner(found, idf)
+        want = every_start(scanner, words)
+        assert {label for label, _ in scanner.notices_at(words)} == want
+        hits += bool(want)
+    assert hits > 200
+
+
+def test_license_variant_without_the_rarest_words(spark):
+    text = ("Redistribution and use in source and binary forms, with or without modification, are allowed "
+            "provided that the named terms are met")
+    table = spark.createDataFrame([(i, text) for i in range(3)] + [(9, "and or are the that")], "doc_id long, text string")
+    found = {r.doc_id: r.labels for r in license_scan.scan_licenses(table).collect()}
+    assert found == {0: "bsd", 1: "bsd", 2: "bsd", 9: ""}
+
+
 def test_licenses_of_nothing(nothing):
     assert license_scan.scan_licenses(nothing).count() == 0
