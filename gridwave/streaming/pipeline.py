@@ -14,7 +14,8 @@ second run picks up only new files).
 Choices against the reference's stream (see README):
 * the cfg/dat join is watermarked on the times the files were ingested, with
   the modification times as a plain range predicate: old files pair as well as
-  new ones, and its state is still evicted;
+  new ones, and its state is still evicted; a file whose partner was ingested
+  longer ago than the state reaches is joined to the other bronze table itself;
 * metadata, pivot and gold work row-locally on the decoded recording (one row
   per file), so a recording can never be split across micro-batches and no
   watermark holds results back; metadata de-duplicates re-delivered files
@@ -26,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +38,8 @@ from gridwave.functions.times import to_timestamps
 from gridwave.operators import decode as DE
 from gridwave.operators import model as MD
 from gridwave.operators import shape as SH
-from gridwave.operators.pairing import INGEST_TIME, interval_join_stream, unpaired_files
+from gridwave.operators.pairing import (ARRIVAL_WAIT, INGEST_TIME, interval_join_stream, late_pairs,
+                                         unpaired_files)
 from gridwave.session import bounded_listing
 from gridwave.sources import files as FS
 
@@ -79,9 +82,17 @@ def bronze_dat(spark: SparkSession, source: str, max_files: int | None = None) -
     return files.withColumn(INGEST_TIME, F.current_timestamp())
 
 
-def joined(cfg: DataFrame, dat: DataFrame, tolerance: str = C.PAIR_TOLERANCE) -> DataFrame:
-    """Pairs within the arrival tolerance, tagged with the cfg's file type."""
-    j = interval_join_stream(cfg, dat, tolerance)
+def joined(cfg: DataFrame, dat: DataFrame, tolerance: str = C.PAIR_TOLERANCE, wait: str = ARRIVAL_WAIT,
+           all_cfg: DataFrame | None = None, all_dat: DataFrame | None = None) -> DataFrame:
+    """Pairs within the arrival tolerance, tagged with the cfg's file type.
+
+    Pairs ingested more than ``wait`` apart need the two tables as a batch too
+    (``all_cfg``, ``all_dat``).
+    """
+    j = interval_join_stream(cfg, dat, tolerance, wait)
+    if all_cfg is not None and all_dat is not None:
+        j = j.union(late_pairs(cfg, all_dat, True, tolerance, wait)) \
+            .union(late_pairs(dat, all_cfg, False, tolerance, wait))
     file_type = F.upper(F.trim(F.regexp_extract(F.col(C.CONFIG_CONTENT),
                                                 r"(?im)^\s*(ASCII|BINARY32|BINARY|FLOAT32)\s*$", 1)))
     return j.withColumn("file_type", file_type)
@@ -159,6 +170,7 @@ class PipelineRun:
     max_files_per_trigger: int | None = None
     register_tables: bool = True
     table_prefix: str = ""
+    wait: str = ARRIVAL_WAIT
     progress: dict = field(default_factory=dict)
     schemas: dict = field(default_factory=dict)
 
@@ -173,8 +185,13 @@ class PipelineRun:
         return f"{self.table_prefix}{table}"
 
     def unpaired(self) -> DataFrame:
-        """Ingested files whose partner has not come yet."""
-        return unpaired_files(self.read(CONFIG_FILES_BRONZE), self.read(DAT_FILES_BRONZE))
+        """Ingested files that are in no pair: the partner has not come yet, or
+        was modified too long before or after."""
+        try:
+            pairs = self.read(JOINED_FILES_BRONZE)
+        except AnalysisException:       # not run yet: there are no pairs to speak of
+            pairs = None
+        return unpaired_files(self.read(CONFIG_FILES_BRONZE), self.read(DAT_FILES_BRONZE), pairs=pairs)
 
     def read_stream(self, table: str) -> DataFrame:
         """An upstream table as a stream (schema from the table itself)."""
@@ -194,7 +211,8 @@ class PipelineRun:
         if table == DAT_FILES_BRONZE:
             return bronze_dat(s, self.source, self.max_files_per_trigger)
         if table == JOINED_FILES_BRONZE:
-            return joined(self.read_stream(CONFIG_FILES_BRONZE), self.read_stream(DAT_FILES_BRONZE))
+            return joined(self.read_stream(CONFIG_FILES_BRONZE), self.read_stream(DAT_FILES_BRONZE), wait=self.wait,
+                          all_cfg=self.read(CONFIG_FILES_BRONZE), all_dat=self.read(DAT_FILES_BRONZE))
         if table == RECORDINGS_SILVER:
             return recordings(self.read_stream(JOINED_FILES_BRONZE))
         if table == METADATA_SILVER:

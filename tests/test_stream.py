@@ -159,6 +159,35 @@ def test_backfilled_pairs_are_kept_and_the_rest_is_listed(spark, tmp_path):
     assert [(r[C.FILENAME].rsplit("/", 1)[-1], r.missing) for r in run.unpaired().collect()] == [("alone", "dat")]
 
 
+def test_pairs_ingested_far_apart_are_joined_once(spark, tmp_path):
+    """Headers first, bodies a wait later, and the other way round; others come together."""
+    src, now = str(tmp_path / "src"), int(time.time()) - 60
+    write_pair(src, "a", RF.ascii_3a())
+    write_pair(src, "b", RF.ascii_3a())
+    write_pair(src, "both", RF.ascii_3a())
+    write_pair(src, "far", RF.ascii_3a())
+    for name in os.listdir(src):
+        _touch(os.path.join(src, name), now)
+    _touch(os.path.join(src, "far.dat"), now - 3600)
+    later = {n: os.path.join(src, n) for n in ("a.dat", "b.cfg")}
+    held = {n: (open(p, "rb").read(), os.remove(p))[0] for n, p in later.items()}
+    run = PL.PipelineRun(spark, src, str(tmp_path / "run"), register_tables=False, wait="2 seconds")
+    run.run(PL.ORDER[:4])
+    assert {(r[C.FILENAME].rsplit("/", 1)[-1], r.missing) for r in run.unpaired().collect()} == {
+        ("a", "dat"), ("b", "cfg"), ("far", "pair")}
+    time.sleep(3)
+    for n, p in later.items():
+        with open(p, "wb") as f:
+            f.write(held[n])
+        _touch(p, now)
+    for _ in range(2):
+        run.run(PL.ORDER[:4])
+        for table in (PL.JOINED_FILES_BRONZE, PL.RECORDINGS_SILVER):
+            stems = [r[C.FILENAME].rsplit("/", 1)[-1] for r in run.read(table).select(C.FILENAME).collect()]
+            assert sorted(stems) == ["a", "b", "both"]
+    assert [r.missing for r in run.unpaired().collect()] == ["pair"]
+
+
 def test_tables_of_others_are_left_alone(spark, tmp_path):
     spark.sql(f"CREATE TABLE foreign_recordings_silver (x INT) USING parquet LOCATION '{tmp_path}/foreign'")
     try:
