@@ -10,9 +10,10 @@ have at least ``SHARE`` of them equal.  The three masks find every overlap of 15
 words with any 3 of them replaced, wherever the replacements are.
 
 Words are runs of letters and digits in lower case, so punctuation and line
-breaks do not matter.  Items too short for the masks (``MIN_ITEM`` words and
-more) are looked for word by word, under a mask without gaps for each length
-that occurs; items of fewer words are no evidence and never match.
+breaks do not matter.  Items of 13 words and more need no other masks; shorter
+ones (``MIN_ITEM`` words and more) have masks of their own for each length that
+occurs, of which any replacement that ``SHARE`` allows leaves one whole; items
+of fewer words are no evidence and never match.
 
 The items' hashes are broadcast where they number ``BROADCAST_SEEDS`` at most;
 beyond that they are joined by a shuffle of narrow rows, and only documents
@@ -26,6 +27,9 @@ the one with most equal words is reported, then the first.
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +38,8 @@ MASKS = ("1111011", "11001000111", "11010110001")
 OVERLAP = 15
 SHARE = 0.8
 MIN_ITEM = 5
+SHORT_ITEM = 12         # longest item for which the masks do not see every replacement
+SHORT_WEIGHT = 4        # least places of a short item's mask
 BROADCAST_SEEDS = 1_000_000
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
@@ -53,21 +59,38 @@ def seeds_at(hashes: Column, at: Column, masks: list[str]) -> Column:
     return F.array(*[one(k, m) for k, m in enumerate(masks)])
 
 
-def short_masks(items: DataFrame, masks: tuple[str, ...] = MASKS) -> list[str]:
-    """A gapless mask for each length of an item that a given mask may not fit."""
-    longest = max(map(len, masks))
-    sizes = items.select(F.size("words").alias("n")).filter(F.col("n").between(MIN_ITEM, longest - 1)) \
-        .distinct().collect()       # fewer rows than the longest mask has places
-    return ["1" * r.n for r in sorted(sizes)]
-
-
-def seeds_of(items: DataFrame, masks: list[str], n_spaced: int) -> DataFrame:
-    """(seed, item, shift): the item's hashes, a gapless mask only for items of its length."""
+def masks_of_length(n: int) -> list[str]:
+    """Masks for an item of ``n`` words: its places are cut into groups, and each
+    mask leaves out as many groups as words may be replaced."""
+    lost = n - math.ceil(SHARE * n)
+    groups = lost + 2
+    while groups < n and n - lost * -(-n // groups) < SHORT_WEIGHT:
+        groups += 1
+    group = [i * groups // n for i in range(n)]
+    return ["".join("0" if k in out else "1" for k in group).strip("0")
+            for out in combinations(range(groups), lost)]
+
+
+def short_masks(items: DataFrame) -> dict[str, list[int]]:
+    """Masks for the lengths of short items that occur, with the lengths each is for."""
+    sizes = items.select(F.size("words").alias("n")).filter(F.col("n").between(MIN_ITEM, SHORT_ITEM)) \
+        .distinct().collect()       # SHORT_ITEM rows at most
+    out: dict[str, list[int]] = {}
+    for r in sorted(sizes):
+        for mask in masks_of_length(r.n):
+            if r.n not in out.setdefault(mask, []):
+                out[mask].append(r.n)
+    return out
+
+
+def seeds_of(items: DataFrame, masks: tuple[str, ...], short: dict[str, list[int]]) -> DataFrame:
+    """(seed, item, shift): the item's hashes; a short mask (behind the others) only for items of its lengths."""
     n = F.size("words")
-    fits = F.array(*[F.lit(True) if k < n_spaced else n == len(m) for k, m in enumerate(masks)])
+    every = [*masks, *short]
+    fits = F.array(*[F.lit(True) for _ in masks], *[n.isin(lengths) for lengths in short.values()])
     return (items.filter(n >= MIN_ITEM)
             .select("item", "words", F.explode(F.sequence(F.lit(0), n - 1)).alias("shift"))
-            .select("item", "shift", F.posexplode(seeds_at(F.col("words"), F.col("shift"), masks)).alias("k", "seed"),
+            .select("item", "shift", F.posexplode(seeds_at(F.col("words"), F.col("shift"), every)).alias("k", "seed"),
                     fits.alias("fits"))
             .filter(F.col("seed").isNotNull() & F.get("fits", F.col("k"))).select("seed", "item", "shift").distinct())
 
@@ -95,8 +118,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     """
     items = benchmark.select(F.col(item_col).alias("item"), word_hashes(F.col(item_text_col)).alias("words")) \
         .distinct()
-    every = [*masks, *short_masks(items, masks)]
-    seeds = seeds_of(items, every, len(masks))
+    short = short_masks(items)
+    every = [*masks, *short]
+    seeds = seeds_of(items, masks, short)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("body"),
                        word_hashes(F.col(text_col)).alias("words"))
     sized = seeds.join(items.select("item", F.size("words").alias("size")).distinct(), "item")

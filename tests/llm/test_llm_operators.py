@@ -5,7 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
-from itertools import zip_longest
+from itertools import combinations, zip_longest
 
 import numpy as np
 import public_tokenizers
@@ -113,6 +113,24 @@ def test_any_three_replacements_in_fifteen_words_are_seen(spark, docs):
     assert {r.n_matched for r in found.collect()} == {12}
 
 
+def test_every_allowed_replacement_in_a_short_item_is_seen(spark):
+    """All replacement sets for each length, alone and at a cut edge of the document."""
+    items, rows = [], []
+    for n in range(decontaminate.MIN_ITEM, 16):
+        words = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        lost = n - int(np.ceil(decontaminate.SHARE * n))
+        for gone in combinations(range(n), lost):
+            made = ["zz" if k in gone else w for k, w in enumerate(words)]
+            rows += [(n, " ".join(made)), (n, " ".join(made).removeprefix("zz ").removesuffix(" zz"))]
+    table = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(rows)], "doc_id long, n long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for limit in (decontaminate.BROADCAST_SEEDS, 0):
+        found = decontaminate.overlaps(table, bench, broadcast_seeds=limit)
+        assert sorted((r.id, r.item) for r in found.select("id", "item").collect()) \
+            == [(i, n) for i, (n, _) in enumerate(rows)]
+
+
 def test_decontamination_on_hard_rows(spark, hard, nothing):
     bench = spark.createDataFrame([(1, PHRASE), (2, None), (3, "a text without an id that nobody else has written")],
                                   "item_id long, text string")
