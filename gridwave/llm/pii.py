@@ -7,7 +7,9 @@ chain; candidates that are repeated or similar anywhere in the document (same
 text, same digits, same last seven digits, same mail name) are linked by skip
 edges, each occurrence to the next, so links grow with the tokens and not with
 their pairs.  Loopy belief propagation over both kinds of edges makes labels
-agree across the whole text; base spans enter as evidence.  A token that comes
+agree across the whole text: messages are passed on
+until each text's own stand still, however long its chains are.  Base spans
+enter as evidence.  A token that comes
 out as a kind adds a span; base spans always stay.
 
 The weights are learned by pseudo-likelihood from the base labels of a bounded
@@ -35,7 +37,8 @@ FIT_ROWS = 20_000
 FIT_TOKENS = 200
 FIT_STEPS = 300
 HIDDEN = 0.5            # share of tokens that hide their features in a step of the fit
-ROUNDS = 20             # of message passing at most
+ROUNDS = 500            # updates of a text's messages at most, on average over them; ``unsettled`` lists other texts
+STILL = 1e-3            # change of a message that counts as none
 MIN_PROBABILITY = 0.8   # of a label that adds a span
 EVIDENCE = 6.0          # log odds in favour of a base label
 TAIL_DIGITS = 7         # last digits by which phone numbers are compared
@@ -287,8 +290,14 @@ def fit_field(g: Graph, rounds: int = FIT_STEPS, l2: float = 1e-4) -> Field:
     return field
 
 
-def marginals(field: Field, g: Graph, rounds: int = ROUNDS) -> np.ndarray:
-    """Label probabilities of every token by loopy sum-product message passing."""
+def passed_messages(field: Field, g: Graph, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Label probabilities of every token by loopy sum-product message passing,
+    and whether the messages of its text came to rest.
+
+    Only messages whose sender has changed are worked out again, so a change
+    that travels along a long chain costs its length and not its square.  A
+    text's result does not hang on the texts beside it.
+    """
     node = g.features @ field.node + _form(g.features)
     node[np.arange(len(node)), g.labels] += EVIDENCE * (g.labels > 0)
     pairs = np.concatenate([g.chain, g.chain[:, ::-1], g.skip, g.skip[:, ::-1]])
@@ -297,22 +306,58 @@ def marginals(field: Field, g: Graph, rounds: int = ROUNDS) -> np.ndarray:
     tables = np.stack([field.chain, field.chain.T, field.skip])
     kind = np.repeat([0, 1, 2], [m, m, 2 * s])
     send, take = pairs[:, 0], pairs[:, 1]
+    text = g.spans[:, 0]
+    owner, n_texts = text[take], int(text.max(initial=0)) + 1
+    left = rounds * np.bincount(owner, minlength=n_texts)
     messages = np.zeros((len(pairs), N_LABELS))
     belief = node.copy()
-    for _ in range(rounds if len(pairs) else 0):
-        out = belief[send] - messages[back]
-        scores = out[:, :, None] + tables[kind]
+    due = np.ones(len(pairs), bool)
+    while True:
+        now = np.flatnonzero(due)
+        now = now[left[owner[now]] > 0]
+        if not len(now):
+            break
+        left -= np.bincount(owner[now], minlength=n_texts)
+        scores = (belief[send[now]] - messages[back[now]])[:, :, None] + tables[kind[now]]
         top = scores.max(1)
         new = top + np.log(np.exp(scores - top[:, None, :]).sum(1))
-        new -= new.max(1, keepdims=True)
-        moved = np.abs(new - messages).max()
-        messages = 0.5 * messages + 0.5 * new
-        belief = node.copy()
-        np.add.at(belief, take, messages)
-        if moved < 1e-3:
-            break
+        change = new - new.max(1, keepdims=True) - messages[now]
+        moved = np.abs(change).max(1) >= STILL
+        due[now] = moved
+        now, change = now[moved], 0.5 * change[moved]
+        messages[now] += change
+        np.add.at(belief, take[now], change)
+        changed = np.zeros(len(node), bool)
+        changed[take[now]] = True
+        due |= changed[send]
     p = np.exp(belief - belief.max(1, keepdims=True))
-    return p / p.sum(1, keepdims=True)
+    rest = np.bincount(owner[due], minlength=n_texts) == 0
+    return p / p.sum(1, keepdims=True), rest[text]
+
+
+def marginals(field: Field, g: Graph, rounds: int = ROUNDS) -> np.ndarray:
+    return passed_messages(field, g, rounds)[0]
+
+
+def converged(field: Field, texts: list[str | None]) -> list[bool]:
+    """Whether the message passing of each text came to rest."""
+    g = build_graph(texts, [base_spans(t) for t in texts])
+    out = np.ones(len(texts), bool)
+    if len(g.labels):
+        out[g.spans[~passed_messages(field, g)[1], 0]] = False
+    return out.tolist()
+
+
+def unsettled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Ids of the rows whose message passing ended at its bound of rounds: their added spans may be off."""
+    field = learn_field(docs, id_col, text_col)
+
+    def work(batch: pa.RecordBatch) -> dict:
+        return {"converged": converged(field, batch.column("text").to_pylist())}
+
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
+    return per_row(rows, f"`{id_col}` {type_of(docs, id_col)}, converged boolean", work, "text") \
+        .filter("NOT converged").select(id_col)
 
 
 def all_spans(field: Field, texts: list[str | None]) -> list[tuple[list, list]]:

@@ -231,6 +231,45 @@ def test_message_passing_is_exact_on_a_tree():
     assert np.allclose(got, want / want.sum(1, keepdims=True), atol=1e-2)
 
 
+def chain_of_mentions(n):
+    """``n`` mentions of one number whose own features say nothing, the first in a base span."""
+    features = np.zeros((n, pii.N_FEATURES))
+    features[:, 5] = 1
+    skip = np.stack([np.arange(n - 1), np.arange(1, n)], 1)
+    g = pii.Graph(np.zeros((n, 3), int), features, np.array([4] + [0] * (n - 1)), np.empty((0, 2), int), skip)
+    weights = np.zeros((pii.N_FEATURES, 5))
+    weights[5, 0] = 0.2
+    return pii.Field(weights, np.zeros((5, 5)), 8 * np.eye(5) - 4), g
+
+
+def test_evidence_reaches_a_hundred_mentions():
+    field, g = chain_of_mentions(100)
+    node = g.features @ field.node + pii._form(g.features)
+    node[0, 4] += pii.EVIDENCE
+    left, right, pair = np.zeros((100, 5)), np.zeros((100, 5)), np.exp(field.skip)
+    for i in range(1, 100):
+        left[i] = np.log(np.exp(node[i - 1] + left[i - 1]) @ pair)
+        left[i] -= left[i].max()
+        right[99 - i] = np.log(pair @ np.exp(node[100 - i] + right[100 - i]))
+        right[99 - i] -= right[99 - i].max()
+    want = np.exp(node + left + right)
+    want /= want.sum(1, keepdims=True)
+    got, done = pii.passed_messages(field, g)
+    assert done.all() and np.allclose(got, want, atol=1e-2)
+    assert not pii.passed_messages(field, g, rounds=1)[1].any()
+
+
+def test_long_texts_come_to_rest_whatever_is_beside_them(docs):
+    field = pii.learn_field(docs)
+    long = "call +1 (974) 555-3436 now" + " and (974) 555-3436 too" * 3000
+    short = "call +1 (974) 555-3436 now and later (974) 555-3436"
+    assert pii.converged(field, [long, short, None, ""]) == [True] * 4
+    (_, a), (_, b) = pii.all_spans(field, [long, short])
+    assert (a, b) == (pii.all_spans(field, [long])[0][1], pii.all_spans(field, [short])[0][1])
+    assert len(a) == 3001 and len(b) == 2
+    assert pii.unsettled(docs).count() == 0
+
+
 def test_masking_keeps_rows_and_columns(hard, nothing):
     masked = pii.mask_pii(hard)
     assert masked.columns == hard.columns and masked.count() == len(ROWS)
