@@ -11,7 +11,9 @@ largest share of them.
 Fit: about ``FIT_DOCS`` documents of each language by a hash of the id, from
 each ``FIT_RUNS`` runs of ``RUN_WORDS`` words spread over the whole text.  Runs of
 different languages are strung together, so transitions are learned from text
-that switches.  These bounds hold for the fit only; every text is labelled
+that switches.  Every label that occurs is in the model: beyond ``FIT_LANGUAGES``
+of them each has fewer documents and runs, one at least, so that words times
+labels stay bounded.  These bounds hold for the fit only; every text is labelled
 whole.
 
 A null text or one without a letter gets ``und`` and score 0.  So do all texts
@@ -38,7 +40,8 @@ FIT_DOCS = 150          # of each language
 FIT_RUNS = 16           # runs taken from a document
 RUN_WORDS = 12
 STRING_RUNS = 8         # runs strung together in the fit
-FIT_LANGUAGES = 64
+FIT_LANGUAGES = 64      # labels that have as many; of more each has fewer
+FIT_CELLS = 8_000_000   # words times labels worked on at a time in the fit
 LEXICON_COUNT = 3       # how often the fit must have seen a word to keep it
 FIT_STEPS = 60
 CACHED_WORDS = 200_000
@@ -186,27 +189,41 @@ def fit(runs: list[tuple[str, list[str]]], rounds: int = FIT_STEPS, rate: float
     who, what = model.features(vocabulary)
     truth = np.stack([np.bincount(ids, labels == j, len(vocabulary)) for j in range(k)], 1)
     squares = [np.full_like(x, 1e-8) for x in (model.weights, model.start, model.trans)]
+    # Strings are worked on in groups, which bounds the words' probabilities held at once.
+    group = (begins * k if k > FIT_LANGUAGES else np.zeros_like(begins)) // FIT_CELLS
+    parts = [slice(p[0], p[-1] + 1) for p in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(group)) + 1)]
     for _ in range(rounds):
         score = np.stack([np.bincount(who, model.weights[what, j], len(vocabulary)) for j in range(k)], 1)
         score -= score.max(1, keepdims=True)
-        gamma, _, pairs = forward_backward(model, np.exp(np.maximum(score, -60)), ids, sizes)
-        place = step_major(sizes)[2]
-        expected = np.stack([np.bincount(ids[place], gamma[:, j], len(vocabulary)) for j in range(k)], 1)
-        off = truth - expected
+        score = np.exp(np.maximum(score, -60))
+        off, starts, pairs = truth.astype(float), real_start.astype(float), real_pairs.copy()
+        for part in parts:
+            mine = ids[begins[part][0]:begins[part][-1] + sizes[part][-1]]
+            gamma, _, seen = forward_backward(model, score, mine, sizes[part])
+            place = step_major(sizes[part])[2]
+            for j in range(k):
+                off[:, j] -= np.bincount(mine[place], gamma[:, j], len(vocabulary))
+            starts -= gamma[:len(sizes[part])].sum(0)
+            pairs -= seen
         grads = (np.stack([np.bincount(what, off[who, j], len(model.weights)) for j in range(k)], 1)
-                 - l2 * n * model.weights,
-                 real_start - gamma[:len(sizes)].sum(0), real_pairs - pairs)
+                 - l2 * n * model.weights, starts, pairs)
         for w, g, s in zip((model.weights, model.start, model.trans), grads, squares):
             s += g * g
             w += rate * g / np.sqrt(s)
     return model
 
 
+def crowd(n_labels: int) -> int:
+    """How many times ``FIT_LANGUAGES`` the labels are, rounded up: a word's row is so much longer."""
+    return max(1, -(-n_labels // FIT_LANGUAGES))
+
+
 class Labeller:
     """Labels texts with a model; keeps the scores of words it has met, up to a bound."""
 
     def __init__(self, model: Model):
         self.model = model
+        self.share = crowd(len(model.languages))
         self.forget()
 
     def forget(self):
@@ -224,7 +241,7 @@ class Labeller:
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float]]:
         words = [words_of(t) for t in texts]
-        if len(self.number) > CACHED_WORDS:
+        if len(self.number) > CACHED_WORDS // self.share:
             self.forget()
         self.numbers(words)
         out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
@@ -265,20 +282,25 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                         F.col(lang_col).cast("string").alias("lang")) \
         .filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")) \
-        .orderBy(F.desc("n"), "lang").limit(FIT_LANGUAGES).collect()
+    hashed = F.xxhash64("id", "text")
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").collect()
     if not sizes:
         return None
+    n_runs = max(1, int(fit_docs * FIT_RUNS * min(1.0, FIT_LANGUAGES / len(sizes)) ** 2))    # of each language
+    fit_docs, fit_runs = max(1, n_runs // FIT_RUNS), min(FIT_RUNS, n_runs)
+    chosen = F.pmod(hashed, F.col("step")) == 0
+    if len(sizes) > FIT_LANGUAGES:      # so few documents that a language might have none
+        least = {r.lang: r.h for r in known.groupBy("lang").agg(F.min(hashed).alias("h")).collect()}
+        chosen |= hashed == F.create_map(*[F.lit(x) for pair in least.items() for x in pair])[F.col("lang")]
     step = F.create_map(*[F.lit(x) for r in sizes for x in (r.lang, max(1, r.n // fit_docs))])
-    sample = known.withColumn("step", step[F.col("lang")]) \
-        .filter(F.pmod(F.xxhash64("id", "text"), F.col("step")) == 0).select("lang", "text")
+    sample = known.withColumn("step", step[F.col("lang")]).filter(chosen).select("lang", "text")
 
     def runs(batches):
         for batch in steps(batches, "text"):
             langs, found = [], []
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 words = words_of(text)
-                spread = np.linspace(0, max(0, len(words) - RUN_WORDS), FIT_RUNS).astype(int)
+                spread = np.linspace(0, max(0, len(words) - RUN_WORDS), fit_runs).astype(int)
                 free = -RUN_WORDS
                 for at in spread:
                     if at >= free + RUN_WORDS and words:
@@ -308,4 +330,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if model is None:
         return rows.drop("text").withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     return per_row(rows, f"`{id_col}` {type_of(docs, id_col)}, held_out boolean, lang_pred string, score double",
-                   work, "text", STEP_BYTES)
+                   work, "text", STEP_BYTES // crowd(len(model.languages)))

@@ -642,6 +642,18 @@ def test_rejected_texts_are_not_looked_at_again(spark, docs):
         table.filter(quality_rules.cascade(F.col("t"), [strict, first])).collect()
 
 
+def test_every_label_is_learned_however_many(spark):
+    """90 labels, the later ones rare; each has words of its own."""
+    rng = random.Random(8)
+    own = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(8)] for _ in range(90)]
+    rows = [(f"l{k:02}", " ".join(rng.choices(own[k], k=30))) for k in range(90) for _ in range(20 if k < 70 else 8)]
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+    found = {r.doc_id: r.lang_pred for r in language_id.identify(table).collect()}
+    right = [found[i] == lang for i, (lang, _) in enumerate(rows)]
+    assert {found[i] for i in found} == {f"l{k:02}" for k in range(90)}
+    assert sum(right) > 0.95 * len(rows)
+
+
 # --- 10 licences ----------------------------------------------------------------------
 
 def plain_base(text):
