@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
-MAX_LABELS = 127        # labels that a DNS name can have
 FOREVER = "9999-12-31"
 
 
@@ -33,11 +32,11 @@ def url_host(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def parent_domains(host: Column) -> Column:
-    """The host and every domain above it: a.b.c, b.c, c."""
+def parent_domains(host: Column, most: int) -> Column:
+    """The host and every domain above it: a.b.c, b.c, c; those of ``most`` labels at most."""
     labels = F.split(host, r"\.")
-    n = F.least(F.size(labels), F.lit(MAX_LABELS))
-    return F.transform(F.sequence(F.lit(1), n),
+    first = F.greatest(F.lit(1), F.size(labels) - F.lit(most - 1))
+    return F.transform(F.sequence(first, F.size(labels)),
                        lambda i: F.array_join(F.slice(F.split(host, r"\."), i, F.size(labels)), "."))
 
 
@@ -64,7 +63,9 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_col: str, url_col: str,
                            F.col(day_col).alias("fetch_day"))
     pairs = rows.filter(F.col("host").isNotNull() & F.col("fetch_day").isNotNull()) \
         .groupBy("host", "fetch_day").agg(F.lit(1).alias("one")).drop("one")
-    wanted = pairs.withColumn("pattern", F.explode(parent_domains(F.col("host"))))
+    # A longer domain than the longest pattern cannot be listed.
+    most = entries.agg(F.max(F.size(F.split("pattern", r"\.")))).first()[0] or 1
+    wanted = pairs.withColumn("pattern", F.explode(parent_domains(F.col("host"), max(1, most))))
     spans = validity_intervals(entries)
     hits = wanted.join(spans, "pattern").filter(
         (F.col("valid_from") <= F.col("fetch_day")) & (F.col("fetch_day") < F.col("valid_until")))

@@ -525,6 +525,17 @@ def test_url_filter_as_of(spark, docs):
     assert url_filter.evaluate(table, entries.limit(0), "page_id", "url", "seen").filter("blocked").count() == 0
 
 
+def test_hosts_of_many_labels_are_blocked_by_every_domain_above(spark):
+    host = "a." * 300 + "bad.com"
+    captures = spark.createDataFrame([(1, f"http://{host}/x"), (2, "http://good.com/")], "id long, url string") \
+        .withColumn("day", url_filter.F.lit("2024-05-01").cast("date"))
+    for pattern in ("bad.com", "com", "a." * 200 + "bad.com", host):
+        entries = spark.createDataFrame([(pattern, "add", "spam")], "pattern string, action string, category string") \
+            .withColumn("day", url_filter.F.lit("2024-01-01").cast("date"))
+        found = {r.id: r.blocked for r in url_filter.evaluate(captures, entries, "id", "url", "day").collect()}
+        assert found == {1: True, 2: pattern == "com"}
+
+
 # --- 8 languages ----------------------------------------------------------------------
 
 def test_languages_of_held_out_documents(spark, docs):
