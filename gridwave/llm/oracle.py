@@ -88,3 +88,10 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, round(coalesce(s, 0), 4)::DOUBLE AS l
        round(s / n, 4)::DOUBLE AS mean_log_score, coalesce(b, 0)::BIGINT AS n_backoff
 FROM d LEFT JOIN t ON t.rid = d.rid
 """
+
+SQL["op13_exact_dedup"] = r"""
+WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                           'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
+g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
+"""

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridwave.llm import (decontaminate, language_id, license_scan, lm_scoring, pii, quality_rules,
+from gridwave.llm import (decontaminate, exact_dedup, language_id, license_scan, lm_scoring, pii, quality_rules,
                           sentencepiece_codec, simhash, token_counts, url_filter)
 from gridwave.llm.common import table
 
@@ -59,6 +60,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries of about half the rows each: the first is indexed, the second looked up."""
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"),
+                                        F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_pii": op2_pii,
@@ -70,4 +77,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scan": op10_license_scan,
+    "op13_exact_dedup": op13_exact_dedup,
 }
