@@ -89,6 +89,38 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, round(coalesce(s, 0), 4)::DOUBLE AS l
 FROM d LEFT JOIN t ON t.rid = d.rid
 """
 
+# CRC-32 by its table of 256 entries, made from the polynomial.
+SQL["op12_importance_resampling"] = r"""
+WITH RECURSIVE e(b, k, c) AS (
+  SELECT b, 0, b FROM range(256) r(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END FROM e WHERE k < 8),
+tab AS (SELECT list(c ORDER BY b) AS t FROM e WHERE k = 8),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+dw AS (SELECT rid, unnest(ws) AS w FROM d),
+bw AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+hx AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+bk AS (SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(h) // 2),
+              lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT)),
+              lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]))) % 10000 AS bucket FROM hx, tab),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN bk USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bw JOIN bk USING (w) GROUP BY bucket),
+gain AS (SELECT bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dw) + 10000)::DOUBLE)
+                / ((s.n + 1)::DOUBLE * ((SELECT count(*) FROM bw) + 10000)::DOUBLE)))::BIGINT AS g
+         FROM s LEFT JOIN t USING (bucket)),
+wt AS (SELECT rid, count(*) AS n, sum(g) AS g FROM dw JOIN bk USING (w) JOIN gain USING (bucket) GROUP BY rid),
+sc AS (SELECT doc_id, len(ws) AS n_words, coalesce(n, 0)::BIGINT AS n_features, coalesce(g, 0)::BIGINT AS weight,
+              (coalesce(g, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE)
+                                                     / 4294967296::DOUBLE))))::BIGINT AS score
+       FROM d LEFT JOIN wt USING (rid)),
+r AS (SELECT *, CASE WHEN n_words >= 20
+                THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) END AS place FROM sc)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= 10 * (SELECT count(*) FROM sc WHERE n_words >= 20) // 100 THEN place END AS rank
+FROM r
+"""
+
 SQL["op13_exact_dedup"] = r"""
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                            'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
