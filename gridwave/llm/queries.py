@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridwave.llm import (decontaminate, exact_dedup, importance_resampling, language_id, license_scan, lm_scoring,
-                          pii, quality_rules, sentencepiece_codec, simhash, token_counts, url_filter)
+                          pii, quality_rules, sentencepiece_codec, simhash, token_counts, url_filter,
+                          whitening)
 from gridwave.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -60,6 +61,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_quality_rules": op9_quality_rules,
     "op10_license_scan": op10_license_scan,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_exact_dedup": op13_exact_dedup,
 }
