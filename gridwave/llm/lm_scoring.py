@@ -1,28 +1,30 @@
 """Stupid-backoff scores of documents under the n-gram counts of all documents.
 
-score(w | h) = c(h w) / c(h) if the table has h w, else BACKOFF * score(w | h
-without its first word); for a lone word c(w) / N.  The table holds the words
-and every longer n-gram seen ``MIN_COUNT`` times.  A document's score is the sum
-of the logarithms over its words.
+score(w | h) = c(h w) / c(h) where c(h w) > 0, else BACKOFF * score(w | h without
+its first word); for a lone word c(w) / N (one that is not counted at all counts
+as seen once).  A document's score is the sum of the logarithms over its words.
+The table holds every n-gram of every document.  With ``leave_out`` a document is
+scored under the counts of all others: its own are taken off every count and N.
 
 The computation is three relational steps:
 
-1. n-grams are exploded from blocks of documents (a block is a hash group of
-   about ``BLOCK_BYTES`` of text), pre-aggregated per block, and dealt to
-   partitions by n-gram hash;
+1. n-grams are exploded from blocks of documents (``BLOCK_BYTES`` of text, read
+   one after another), pre-aggregated per block, and dealt to partitions by
+   n-gram hash;
 2. each partition sums its counts: its share of the count table, which joins
    the exploded rows on the n-gram and gives every block the counts of its own;
 3. counts join the documents of their block, scores are summed per document.
 
 Rows are packed: one row holds a block's n-grams in one partition, as the
-differences of their sorted hashes.  The hashes have as many bits (48 to 64) as
-keep the expected number of n-grams that share one to a few hundred in the
-whole corpus.  An n-gram, however frequent, is one entry per block, so no
-partition is hot.  What is shuffled grows with the n-grams.
+differences of their sorted 64-bit hashes.  An n-gram, however frequent, is one
+entry per block, and rows that repeat, however many, fill blocks like any others:
+no partition is hot.  What is shuffled grows with the n-grams.  The number of
+packed rows is that of blocks times parts, until each holds one n-gram.
 
 Words are runs other than ASCII white space, A-Z lower-cased.  A null or empty
 text has no words, score 0 and a null mean.  Repeated rows all count, and each
-is scored.
+is scored.  An empty table gives no rows.  Extra columns, whatever their names,
+are not read.
 """
 
 from __future__ import annotations
@@ -30,18 +32,19 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridwave.llm.common import split_words, type_of
+from gridwave.llm.common import type_of
 
 ORDER = 3
 BACKOFF = 0.4
-MIN_COUNT = 2
 BLOCK_BYTES = 4_000_000     # of text whose n-grams a worker holds at once
-PART_BYTES = 8_000_000      # of text whose n-grams one partition of the table counts
+PART_BYTES = 16_000_000     # of text whose n-grams one partition of the table counts
 CACHED_WORDS = 250_000
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
+LOW = 5                     # bytes of a hash that are stored as they are
 
 
 class Hashes(dict):
@@ -62,13 +65,7 @@ def word_hashes(text: bytes | None) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
-def hash_bits(n_grams: int) -> int:
-    """n * n / 2**(bits + 1) pairs of n hashes are expected to be equal: 2**9 at most,
-    as far as 64 bits go."""
-    return min(64, max(48, 2 * max(1, n_grams).bit_length() - 10))
-
-
-def gram_hashes(words: np.ndarray, sizes: np.ndarray, order: int, bits: int) -> list[np.ndarray]:
+def gram_hashes(words: np.ndarray, sizes: np.ndarray, order: int) -> list[np.ndarray]:
     """By length: for each n-gram of the texts its hash, and place of its last word.
 
     Texts follow one another in ``words``; an n-gram lies in one text.
@@ -85,29 +82,30 @@ def gram_hashes(words: np.ndarray, sizes: np.ndarray, order: int, bits: int) ->
             hashes = shorter[last - 1] * SPREAD + words[last]
         mixed = hashes ^ (hashes >> np.uint64(29))
         mixed = (mixed + np.uint64(n)) * SPREAD
-        out.append(((mixed ^ (mixed >> np.uint64(32))) >> np.uint64(64 - bits), last))
+        out.append((mixed ^ (mixed >> np.uint64(32)), last))
     return out
 
 
-def part_of(keys: np.ndarray, parts: int, bits: int) -> np.ndarray:
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     """Partition of each hash; ascending in the hash."""
-    return ((keys >> np.uint64(bits - 32)) * np.uint64(parts)) >> np.uint64(32)
+    return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Ascending keys: bytes per difference, the first key, the differences."""
-    steps = np.diff(keys).astype("<u8")
-    width = max(1, (int(steps.max(initial=1)).bit_length() + 7) // 8)
-    return bytes([width]) + int(keys[0]).to_bytes(8, "little") \
-        + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    """Ascending keys: their number, a byte for the step of the upper bits, the
+    lower bytes; steps of 255 and more are apart, in order, in four bytes."""
+    steps = np.diff(keys >> np.uint64(8 * LOW), prepend=np.uint64(0))
+    return len(keys).to_bytes(4, "little") + np.minimum(steps, 255).astype(np.uint8).tobytes() \
+        + keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW].tobytes() + steps[steps >= 255].astype("<u4").tobytes()
 
 
 def unpack_keys(data: bytes) -> np.ndarray:
-    width, raw = data[0], np.frombuffer(data, np.uint8, offset=9)
-    out = np.zeros((len(raw) // width + 1, 8), np.uint8)
-    out[0] = np.frombuffer(data, np.uint8, 8, 1)
-    out[1:, :width] = raw.reshape(-1, width)
-    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
+    n = int.from_bytes(data[:4], "little")
+    steps = np.frombuffer(data, np.uint8, n, 4).astype(np.uint64)
+    steps[steps == 255] = np.frombuffer(data, "<u4", offset=4 + n + LOW * n)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :LOW] = np.frombuffer(data, np.uint8, LOW * n, 4 + n).reshape(-1, LOW)
+    return out.view("<u8").ravel() | (np.cumsum(steps, dtype=np.uint64) << np.uint64(8 * LOW))
 
 
 def pack_counts(counts: np.ndarray) -> tuple[bytes, bytes]:
@@ -128,66 +126,120 @@ def unpack_counts(small: bytes, large: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _block_grams(texts, order: int, bits: int):
-    """Sizes of the texts, their n-grams by length, and all n-grams' distinct hashes."""
+def pack_texts(texts: list[bytes]) -> tuple[bytes, bytes]:
+    """Lengths and the compressed texts of a block."""
+    return np.array([len(t) for t in texts], "<i8").tobytes(), zstandard.compress(b"".join(texts), 3)
+
+
+def unpack_texts(lengths: bytes, body: bytes) -> list[bytes]:
+    whole, ends = zstandard.decompress(body), np.cumsum(np.frombuffer(lengths, "<i8"))
+    return [whole[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+
+def _block_grams(texts, order: int):
+    """Sizes of the texts, their n-grams by length, and all n-grams' hashes."""
     words = [word_hashes(t) for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
-    grams = gram_hashes(np.concatenate(words) if words else np.empty(0, np.uint64), sizes, order, bits)
+    grams = gram_hashes(np.concatenate(words) if words else np.empty(0, np.uint64), sizes, order)
     return sizes, grams, np.concatenate([h for h, _ in grams])
 
 
 def block_scores(texts, counts: np.ndarray, total: int, order: int,
-                 bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                 leave_out: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, log score and backed-off words of each text, from the counts of
     the block's distinct n-grams in ascending order of their hashes."""
-    sizes, grams, every = _block_grams(texts, order, bits)
+    sizes, grams, every = _block_grams(texts, order)
     _, row = np.unique(every, return_inverse=True)
     n = int(sizes.sum())
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     seen, at = [], 0
     for hashes, last in grams:      # count of the n-gram that ends at each word
+        mine = row[at:at + len(hashes)]
         c = np.zeros(n, np.int64)
-        c[last] = counts[row[at:at + len(hashes)]]
+        c[last] = counts[mine]
+        if leave_out:
+            _, own, times = np.unique(doc[last] * len(counts) + mine, return_inverse=True, return_counts=True)
+            c[last] -= times[own]
         seen.append(c)
         at += len(hashes)
-    place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    score = np.log(np.maximum(seen[0], 1) / max(total, 1))
+    rest = total - sizes[doc] if leave_out else total
+    score = np.log(np.maximum(seen[0], 1) / np.maximum(rest, 1))
     used = np.zeros(n, np.int64)
     for k in range(1, order):
-        hit = np.flatnonzero(seen[k] >= MIN_COUNT)
+        hit = np.flatnonzero(seen[k] > 0)
         score[hit] = np.log(seen[k][hit] / seen[k - 1][hit - 1])
         used[hit] = k
     short = np.minimum(place, order - 1) - used
     score += short * np.log(BACKOFF)
-    doc = np.repeat(np.arange(len(sizes)), sizes)
     return sizes, np.bincount(doc, score, len(sizes)), np.bincount(doc, short > 0, len(sizes)).astype(np.int64)
 
 
+def text_sizes(docs: DataFrame, text_col: str) -> tuple[int, int]:
+    """Bytes and words of all texts."""
+    def size(batches):
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            yield pa.record_batch([pa.array([sum(len(t or b"") for t in texts)]),
+                                   pa.array([sum(len(t.split()) for t in texts if t)])], names=["bytes", "words"])
+
+    sums = docs.select(F.col(text_col).cast("binary")).mapInArrow(size, "bytes long, words long") \
+        .agg(F.sum("bytes"), F.sum("words")).first()
+    return tuple(int(x or 0) for x in sums)
+
+
+def text_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
+    """(block, ids, lengths, body): documents in the order they are read."""
+    id_type = type_of(docs, id_col)
+
+    def pack(batches):
+        ids, texts, held = [], [], 0
+
+        def made():
+            arrow = pa.array([ids], pa.list_(batch.schema.field("id").type))
+            lengths, body = pack_texts(texts)
+            return pa.record_batch([arrow, pa.array([lengths], pa.binary()), pa.array([body], pa.binary())],
+                                   names=["ids", "lengths", "body"])
+
+        for batch in batches:
+            for i, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+                ids.append(i)
+                texts.append(t or b"")
+                held += len(texts[-1])
+                if held >= block_bytes:
+                    yield made()
+                    ids, texts, held = [], [], 0
+        if ids:
+            yield made()
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    return rows.mapInArrow(pack, f"ids array<{id_type}>, lengths binary, body binary") \
+        .withColumn("block", F.monotonically_increasing_id())
+
+
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
-                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                    leave_out: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: id, words, sum and mean of log scores, words scored with back-off."""
     spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length(text_col)), F.sum(F.size(split_words(F.col(text_col))).cast("long"))).first()
-    n_bytes, total = (int(x or 0) for x in size)
-    bits = hash_bits(order * total)
+    n_bytes, total = text_sizes(docs, text_col)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks, parts = (max(least, -(-n_bytes // size)) for size in (block_bytes, PART_BYTES))
-    text = F.col(text_col).cast("binary")
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"),
-                       F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(blocks)).alias("block"))
-
-    def explode(table: pa.Table) -> pa.Table:
-        _, _, every = _block_grams(table.column("text").to_pylist(), order, bits)
-        keys, counts = np.unique(every, return_counts=True)
-        where = part_of(keys, parts, bits)
-        cuts = np.searchsorted(where, np.arange(parts + 1, dtype=np.uint64))
-        out = []
-        for p in np.unique(where).astype(int):
-            part = slice(cuts[p], cuts[p + 1])
-            out.append((p, pack_keys(keys[part]), *pack_counts(counts[part])))
-        cols = list(zip(*out)) or [()] * 4
-        return pa.table({"part": pa.array(cols[0], pa.int64()),
-                         "block": pa.array([table.column("block")[0].as_py()] * len(out), pa.int64()),
-                         **{n: pa.array(c, pa.binary()) for n, c in zip(("keys", "small", "large"), cols[1:])}})
+    deals, parts = (max(least, -(-n_bytes // size)) for size in (block_bytes, PART_BYTES))
+
+    def explode(batches):
+        for batch in batches:
+            for block, lengths, body in zip(*(batch.column(c).to_pylist() for c in ("block", "lengths", "body"))):
+                _, _, every = _block_grams(unpack_texts(lengths, body), order)
+                keys, counts = np.unique(every, return_counts=True)
+                where = part_of(keys, parts)
+                cuts = np.searchsorted(where, np.arange(parts + 1, dtype=np.uint64))
+                out = []
+                for p in np.unique(where).astype(int):
+                    part = slice(cuts[p], cuts[p + 1])
+                    out.append((p, pack_keys(keys[part]), *pack_counts(counts[part])))
+                cols = list(zip(*out)) or [()] * 4
+                yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array([block] * len(out), pa.int64()),
+                                       *(pa.array(c, pa.binary()) for c in cols[1:])],
+                                      names=["part", "block", "keys", "small", "large"])
 
     def count(table: pa.Table) -> pa.Table:
         keys = [unpack_keys(x) for x in table.column("keys").to_pylist()]
@@ -205,26 +257,24 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          "n": pa.array(sizes, pa.int64())})
 
     def score(table: pa.Table, counted: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return schema.empty_table()
         order_of = np.argsort(counted.column("part").to_numpy())
         small, large, n = (counted.column(c).to_pylist() for c in ("small", "large", "n"))
         counts = [unpack_counts(small[i], large[i], n[i]) for i in order_of]
-        words, logs, short = block_scores(table.column("text").to_pylist(),
-                                          np.concatenate(counts) if counts else np.empty(0, np.int64), total, order, bits)
-        return pa.table([table.column("id"), pa.array(words), pa.array(logs), pa.array(short)], schema=schema)
+        texts = unpack_texts(table.column("lengths")[0].as_py(), table.column("body")[0].as_py())
+        words, logs, short = block_scores(texts, np.concatenate(counts) if counts else np.empty(0, np.int64),
+                                          total, order, leave_out)
+        return pa.table([table.column("ids").combine_chunks().flatten(), pa.array(words), pa.array(logs),
+                         pa.array(short)], schema=schema)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     out = f"id {type_of(docs, id_col)}, n_words long, log_score double, n_backoff long"
     schema = to_arrow_schema(spark.createDataFrame([], out).schema)
     # As many partitions as blocks and parts, so that a task's share does not hang on a setting.
-    rows = rows.repartition(blocks, "block")
-    requests = rows.groupBy("block") \
-        .applyInArrow(explode, "part long, block long, keys binary, small binary, large binary") \
-        .repartition(parts, "part")
+    blocks = text_blocks(docs, id_col, text_col, block_bytes).repartition(deals, "block")
+    requests = blocks.select("block", "lengths", "body") \
+        .mapInArrow(explode, "part long, block long, keys binary, small binary, large binary").repartition(parts, "part")
     counts = requests.groupBy("part") \
-        .applyInArrow(count, "block long, part long, small binary, large binary, n long") \
-        .repartition(blocks, "block")
-    scored = rows.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(score, out)
+        .applyInArrow(count, "block long, part long, small binary, large binary, n long").repartition(deals, "block")
+    scored = blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(score, out)
     return scored.select(F.col("id").alias(id_col), "n_words", F.round("log_score", 4).alias("log_score"),
                          F.round(F.try_divide("log_score", F.col("n_words")), 4).alias("mean_log_score"), "n_backoff")

@@ -76,10 +76,10 @@ c1 AS (SELECT w, count(*) AS n FROM g GROUP BY w),
 c2 AS (SELECT v, w, count(*) AS n FROM g WHERE v IS NOT NULL GROUP BY v, w),
 c3 AS (SELECT u, v, w, count(*) AS n FROM g WHERE u IS NOT NULL GROUP BY u, v, w),
 s AS (SELECT g.rid,
-        CASE WHEN c3.n >= 2 THEN ln(c3.n / p2.n) WHEN c2.n >= 2 THEN ln(c2.n / p1.n)
+        CASE WHEN c3.n > 0 THEN ln(c3.n / p2.n) WHEN c2.n > 0 THEN ln(c2.n / p1.n)
              ELSE ln(c1.n / (SELECT count(*) FROM g)) END
-        + ln(0.4) * (least(i - 1, 2) - CASE WHEN c3.n >= 2 THEN 2 WHEN c2.n >= 2 THEN 1 ELSE 0 END) AS s,
-        CASE WHEN c3.n >= 2 THEN 2 WHEN c2.n >= 2 THEN 1 ELSE 0 END < least(i - 1, 2) AS b
+        + ln(0.4) * (least(i - 1, 2) - CASE WHEN c3.n > 0 THEN 2 WHEN c2.n > 0 THEN 1 ELSE 0 END) AS s,
+        CASE WHEN c3.n > 0 THEN 2 WHEN c2.n > 0 THEN 1 ELSE 0 END < least(i - 1, 2) AS b
       FROM g JOIN c1 ON c1.w = g.w LEFT JOIN c2 ON c2.v = g.v AND c2.w = g.w
       LEFT JOIN c3 ON c3.u = g.u AND c3.v = g.v AND c3.w = g.w
       LEFT JOIN c1 p1 ON p1.w = g.v LEFT JOIN c2 p2 ON p2.v = g.u AND p2.w = g.v),

@@ -462,18 +462,21 @@ def test_components_of_a_long_chain_and_a_star(spark):
 
 # --- 5 language model ------------------------------------------------------------------
 
-def plain_scores(rows):
+def plain_scores(rows, leave_out=False):
     texts = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()) for _, t in rows]
-    counts = Counter(tuple(w[i:i + n]) for w in texts for n in (1, 2, 3) for i in range(len(w) - n + 1))
-    total = sum(map(len, texts))
+    grams = lambda w: Counter(tuple(w[i:i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    every = sum(map(grams, texts), Counter())
     out = []
     for (i, _), w in zip(rows, texts):
+        own = grams(w) if leave_out else Counter()
+        counts = lambda gram: every[gram] - own[gram]
+        total = sum(map(len, texts)) - (len(w) if leave_out else 0)
         score, short = 0.0, 0
         for k in range(len(w)):
             for n in range(min(3, k + 1), 0, -1):
                 gram = tuple(w[k - n + 1:k + 1])
-                if n == 1 or counts[gram] >= lm_scoring.MIN_COUNT:
-                    score += np.log(counts[gram] / (counts[gram[:-1]] if n > 1 else total))
+                if n == 1 or counts(gram):
+                    score += np.log(counts(gram) / counts(gram[:-1]) if n > 1 else max(counts(gram), 1) / max(total, 1))
                     score += np.log(lm_scoring.BACKOFF) * (min(3, k + 1) - n)
                     short += n < min(3, k + 1)
                     break
@@ -482,11 +485,13 @@ def plain_scores(rows):
 
 
 @pytest.mark.parametrize("which", ["docs", "hard"])
-@pytest.mark.parametrize("block_bytes", [lm_scoring.BLOCK_BYTES, 5000])
-def test_scores(request, which, block_bytes):
+@pytest.mark.parametrize("block_bytes,leave_out", [(lm_scoring.BLOCK_BYTES, False), (5000, False), (5000, True)])
+def test_scores(request, which, block_bytes, leave_out):
     table = request.getfixturevalue(which)
-    got = sorted((tuple(r) for r in lm_scoring.score_documents(table, block_bytes=block_bytes).collect()), key=repr)
-    want = sorted(plain_scores(pairs(table)), key=repr)
+    found = lm_scoring.score_documents(table, block_bytes=block_bytes, leave_out=leave_out)
+    got = sorted((tuple(r) for r in found.collect()), key=repr)
+    want = sorted(plain_scores(pairs(table), leave_out), key=repr)
+    assert leave_out == any(w[3] for w in want)
     by = lambda r: (r[0] is None, r[0] or 0, r[1])
     for g, w in zip_longest(sorted(got, key=by), sorted(want, key=by)):
         assert (g[0], g[1], g[4]) == (w[0], w[1], w[3])
@@ -494,6 +499,42 @@ def test_scores(request, which, block_bytes):
         assert g[3] == (pytest.approx(w[2] / w[1], abs=1e-3) if w[1] else None)
 
 
+def test_hashes_of_n_grams_stay_apart_where_48_bits_do_not():
+    """40 million different bigrams: some share 48 bits of their hash, none all 64."""
+    left = np.arange(1, 6_400, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    words = np.empty((6_300, 2 * len(left)), np.uint64)
+    words[:, 0::2] = left
+    words[:, 1::2] = (np.arange(7_000, 13_300, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))[:, None]
+    words = words.ravel()
+    keys = lm_scoring.gram_hashes(words, np.full(len(words) // 2, 2), 2)[1][0]
+    assert len(keys) == 6_300 * 6_399
+    keys.sort()
+    assert (keys[1:] != keys[:-1]).all()
+    short = keys >> np.uint64(16)
+    assert (short[1:] == short[:-1]).any()
+
+
+def test_packed_keys_keep_their_values():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 300, 20_000):
+        keys = np.unique(rng.integers(0, 2 ** 64, n, np.uint64))
+        assert (lm_scoring.unpack_keys(lm_scoring.pack_keys(keys)) == keys).all()
+    edge = np.array([0, 1, 2 ** 40 - 1, 2 ** 40, 255 * 2 ** 40, 2 ** 64 - 1], np.uint64)
+    assert (lm_scoring.unpack_keys(lm_scoring.pack_keys(edge)) == edge).all()
+
+
+def test_rows_that_repeat_fill_many_blocks(spark, docs):
+    """A third of all rows alike in id and text: no block holds them all."""
+    rows = [(None, "the same old line")] * 400 + [(k, f"line {k} of its own") for k in range(800)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    blocks = lm_scoring.text_blocks(table, "doc_id", "text", 200)
+    assert blocks.agg(lm_scoring.F.max(lm_scoring.F.size("ids"))).first()[0] <= 20
+    got = sorted((tuple(r) for r in lm_scoring.score_documents(table, block_bytes=200).collect()), key=repr)
+    assert [(g[0], g[1], g[4]) for g in got] == sorted([(i, len(t.split()), 0) for i, t in rows], key=repr)
+    same_line = plain_scores(rows)[0][2]
+    assert all(g[2] == pytest.approx(same_line, abs=1e-3) for g in got if g[0] is None)
+
+
 def test_scores_of_nothing(nothing):
     assert lm_scoring.score_documents(nothing).count() == 0
 
