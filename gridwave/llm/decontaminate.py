@@ -11,9 +11,11 @@ words with any 3 of them replaced, wherever the replacements are.
 
 Words are runs of letters and digits in lower case, so punctuation and line
 breaks do not matter.  Items of 13 words and more need no other masks; shorter
-ones (``MIN_ITEM`` words and more) have masks of their own for each length that
-occurs, of which any replacement that ``SHARE`` allows leaves one whole; items
-of fewer words are no evidence and never match.
+ones have masks of their own for each length that occurs, of which any
+replacement that ``SHARE`` allows leaves one whole.  It allows none in items of
+1 to 4 words: they match where all their words stand in a row.  Whoever holds
+so short an item for no evidence raises ``min_item``; ``unsearched_items`` lists
+the items that then (or for want of any word) are not searched for.
 
 The items' hashes are broadcast where they number ``BROADCAST_SEEDS`` at most;
 beyond that they are joined by a shuffle of narrow rows, and only documents
@@ -22,7 +24,9 @@ with hits are joined back.
 Null and empty texts, on either side, match nothing.  Repeated items count
 once.  Rows that share id and text are one document; a null id is an id of its
 own, told apart by its text.  Of several overlaps of a document with an item
-the one with most equal words is reported, then the first.
+the one with most equal words is reported, then the first.  An empty table, on
+either side, has no overlaps.  Extra columns, whatever their names, are not read
+(``remove_contaminated`` returns them as they are).
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ from pyspark.sql import functions as F
 MASKS = ("1111011", "11001000111", "11010110001")
 OVERLAP = 15
 SHARE = 0.8
-MIN_ITEM = 5
+MIN_ITEM = 1            # words of the shortest item that is searched for
 SHORT_ITEM = 12         # longest item for which the masks do not see every replacement
 SHORT_WEIGHT = 4        # least places of a short item's mask
 BROADCAST_SEEDS = 1_000_000
@@ -71,9 +75,9 @@ def masks_of_length(n: int) -> list[str]:
             for out in combinations(range(groups), lost)]
 
 
-def short_masks(items: DataFrame) -> dict[str, list[int]]:
+def short_masks(items: DataFrame, min_item: int) -> dict[str, list[int]]:
     """Masks for the lengths of short items that occur, with the lengths each is for."""
-    sizes = items.select(F.size("words").alias("n")).filter(F.col("n").between(MIN_ITEM, SHORT_ITEM)) \
+    sizes = items.select(F.size("words").alias("n")).filter(F.col("n").between(min_item, SHORT_ITEM)) \
         .distinct().collect()       # SHORT_ITEM rows at most
     out: dict[str, list[int]] = {}
     for r in sorted(sizes):
@@ -83,12 +87,12 @@ def short_masks(items: DataFrame) -> dict[str, list[int]]:
     return out
 
 
-def seeds_of(items: DataFrame, masks: tuple[str, ...], short: dict[str, list[int]]) -> DataFrame:
+def seeds_of(items: DataFrame, masks: tuple[str, ...], short: dict[str, list[int]], min_item: int) -> DataFrame:
     """(seed, item, shift): the item's hashes; a short mask (behind the others) only for items of its lengths."""
     n = F.size("words")
     every = [*masks, *short]
     fits = F.array(*[F.lit(True) for _ in masks], *[n.isin(lengths) for lengths in short.values()])
-    return (items.filter(n >= MIN_ITEM)
+    return (items.filter(n >= min_item)
             .select("item", "words", F.explode(F.sequence(F.lit(0), n - 1)).alias("shift"))
             .select("item", "shift", F.posexplode(seeds_at(F.col("words"), F.col("shift"), every)).alias("k", "seed"),
                     fits.alias("fits"))
@@ -111,16 +115,17 @@ def _part(start: Column, size: Column) -> Column:
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              item_col: str = "item_id", item_text_col: str = "text",
-             masks: tuple[str, ...] = MASKS, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
+             masks: tuple[str, ...] = MASKS, broadcast_seeds: int = BROADCAST_SEEDS,
+             min_item: int = MIN_ITEM) -> DataFrame:
     """Verified overlaps: (id, body, item, start, matched, share, n_item_words).
 
     ``body`` is a hash of the text, which tells rows with one id apart.
     """
     items = benchmark.select(F.col(item_col).alias("item"), word_hashes(F.col(item_text_col)).alias("words")) \
         .distinct()
-    short = short_masks(items)
+    short = short_masks(items, min_item)
     every = [*masks, *short]
-    seeds = seeds_of(items, masks, short)
+    seeds = seeds_of(items, masks, short, min_item)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("body"),
                        word_hashes(F.col(text_col)).alias("words"))
     sized = seeds.join(items.select("item", F.size("words").alias("size")).distinct(), "item")
@@ -162,19 +167,26 @@ def _verified(hits: DataFrame, items: DataFrame) -> DataFrame:
         .select("id", "body", "item", "b.start", "b.matched", "b.share", "b.n_item_words")
 
 
+def unsearched_items(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text",
+                     min_item: int = MIN_ITEM) -> DataFrame:
+    """(item, ``n_item_words``) of the items that have too few words to be searched for."""
+    items = benchmark.select(F.col(item_col), F.size(word_hashes(F.col(item_text_col))).cast("long").alias("n_item_words"))
+    return items.filter(F.col("n_item_words") < max(1, min_item)).distinct()
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                 item_col: str = "item_id", item_text_col: str = "text", min_item: int = MIN_ITEM) -> DataFrame:
     """One row per document and benchmark item that overlap."""
-    return overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col).select(
+    return overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col, min_item=min_item).select(
         F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("start").cast("long").alias("first_word"),
         F.col("matched").cast("long").alias("n_matched"), F.col("n_item_words").cast("long"), "share")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         text_col: str = "text", item_col: str = "item_id",
-                        item_text_col: str = "text") -> DataFrame:
+                        item_text_col: str = "text", min_item: int = MIN_ITEM) -> DataFrame:
     """The rows of ``docs`` that overlap with no item."""
-    found = overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col) \
+    found = overlaps(docs, benchmark, id_col, text_col, item_col, item_text_col, min_item=min_item) \
         .select(F.col("id").alias("_id"), F.col("body").alias("_body")).distinct()
     names = [f"_c{i}" for i in range(len(docs.columns))]
     own_id, own_text = (F.col(names[docs.columns.index(c)]) for c in (id_col, text_col))

@@ -131,6 +131,22 @@ def test_every_allowed_replacement_in_a_short_item_is_seen(spark):
             == [(i, n) for i, (n, _) in enumerate(rows)]
 
 
+def test_items_of_few_words_match_whole_or_are_listed(spark):
+    bench = spark.createDataFrame([(1, "Paris"), (2, "forty two"), (3, "in the year 1984"), (4, "..."), (5, None),
+                                   (6, "one two three four five six"), (1, "Paris")], "item_id long, text string")
+    rows = [(1, "Paris, Paris!"), (2, "forty-two"), (3, "forty one two"), (4, "It was in the Year 1984."),
+            (5, "in the old year 1984"), (6, "one two three 4 five six"), (7, "paristan"), (8, ""), (9, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.first_word, r.n_matched, r.share) for r in decontaminate.contaminated(table, bench).collect()}
+    assert got == {(1, 1, 0, 1, 1.0), (2, 2, 0, 2, 1.0), (4, 3, 2, 4, 1.0), (6, 6, 0, 5, 5 / 6)}
+    same(decontaminate.unsearched_items(bench), [(4, 0), (5, 0)])
+    longer = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(table, bench, min_item=4).collect()}
+    assert longer == {(4, 3), (6, 6)}
+    same(decontaminate.unsearched_items(bench, min_item=4), [(1, 1), (2, 2), (4, 0), (5, 0)])
+    kept = decontaminate.remove_contaminated(table, bench, min_item=5)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 5, 7, 8, 9]
+
+
 def test_decontamination_on_hard_rows(spark, hard, nothing):
     bench = spark.createDataFrame([(1, PHRASE), (2, None), (3, "a text without an id that nobody else has written")],
                                   "item_id long, text string")
