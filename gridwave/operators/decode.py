@@ -32,6 +32,11 @@ def _num(c: Column, t: str = "double") -> Column:
     return F.trim(c).try_cast(t)
 
 
+def _field(c: Column, default, t: str = "double") -> Column:
+    """A header field as a number: absent or blank gives the default, unreadable null."""
+    return F.when(F.coalesce(F.trim(c), F.lit("")) == "", F.lit(default).cast(t)).otherwise(_num(c, t))
+
+
 def cfg_lines(text: Column) -> Column:
     """Header lines in their places: fields are found by line number, so blank
     optional lines stay; only what trails the last line goes, an end-of-file
@@ -40,16 +45,27 @@ def cfg_lines(text: Column) -> Column:
 
 
 def _counts(lines: Column) -> tuple[Column, Column]:
+    """Analog and status channels of the counts line; null where unreadable."""
     counts = F.split(F.try_element_at(lines, F.lit(2)), ",")
-    n_a = F.coalesce(F.regexp_extract(F.try_element_at(counts, F.lit(2)), r"(\d+)", 1)
-                     .try_cast("int"), F.lit(0))
-    n_d = F.coalesce(F.regexp_extract(F.try_element_at(counts, F.lit(3)), r"(\d+)", 1)
-                     .try_cast("int"), F.lit(0))
+
+    def count(i: int, mark: str) -> Column:
+        return _field(F.regexp_replace(F.try_element_at(counts, F.lit(i)), rf"(?i)^\s*(\d+)\s*{mark}\s*$", "$1"), 0, "int")
+
+    total = _field(F.try_element_at(counts, F.lit(1)), 0, "int")    # only looked at, not used
+    known = F.try_element_at(lines, F.lit(2)).isNotNull() & total.isNotNull()
+    n_a, n_d = (F.when(known & (n >= 0), n) for n in (count(2, "A"), count(3, "D")))
     return n_a, n_d
 
 
 def header_struct(lines: Column, n_a: Column, n_d: Column) -> Column:
-    """Header lines (and channel counts) -> struct of fields and channel definitions."""
+    """Header lines (and channel counts) -> struct of fields and channel definitions.
+
+    A field that is absent has its default, one that cannot be read is null.
+    """
+    known = n_a.isNotNull() & n_d.isNotNull()
+    all_a, all_d = n_a, n_d
+    n_a, n_d = (F.when(known, n).otherwise(F.lit(0)) for n in (n_a, n_d))
+
     def line(i: Column) -> Column:
         return F.try_element_at(lines, i.cast("int"))
 
@@ -57,8 +73,8 @@ def header_struct(lines: Column, n_a: Column, n_d: Column) -> Column:
     analog = F.transform(F.slice(lines, F.lit(3), n_a), lambda l: _analog_line(F.split(l, ",")))
     status = F.transform(F.slice(lines, F.lit(3) + n_a, n_d), lambda l: _status_line(F.split(l, ",")))
     pos = F.lit(3) + n_a + n_d
-    n_rates = F.coalesce(_num(line(pos + 1), "int"), F.lit(0))
-    n_rate_lines = F.greatest(n_rates, F.lit(1))
+    n_rates = _field(line(pos + 1), 0, "int")
+    n_rate_lines = F.greatest(F.coalesce(n_rates, F.lit(0)), F.lit(1))
     rates = F.transform(F.slice(lines, pos + 2, n_rate_lines), lambda l: F.struct(
         _num(F.try_element_at(F.split(l, ","), F.lit(1))).alias("rate"),
         _num(F.try_element_at(F.split(l, ","), F.lit(2)), "bigint").alias("end_sample")))
@@ -67,14 +83,15 @@ def header_struct(lines: Column, n_a: Column, n_d: Column) -> Column:
         F.trim(F.try_element_at(head, F.lit(1))).alias(C.STATION_NAME),
         F.trim(F.try_element_at(head, F.lit(2))).alias(C.REC_DEV_ID),
         F.trim(F.try_element_at(head, F.lit(3))).alias("rev_year"),
-        n_a.alias("n_analog"), n_d.alias("n_status"),
+        all_a.alias("n_analog"), all_d.alias("n_status"),
         analog.alias("analog_channels"), status.alias("status_channels"),
         _num(line(pos)).alias(C.FREQUENCY),
         n_rates.alias("n_rates"), rates.alias("rates"),
         parse_cfg_timestamp(line(after)).alias("start"),
         parse_cfg_timestamp(line(after + 1)).alias("trigger"),
         F.upper(F.trim(line(after + 2))).alias("file_type"),
-        F.coalesce(_num(line(after + 3)), F.lit(1.0)).alias("time_mult"),
+        _field(line(after + 3), 1.0).alias("time_mult"),
+        (F.coalesce(F.trim(line(pos)), F.lit("")) != "").alias("has_frequency"),
     )
 
 
@@ -91,7 +108,7 @@ def _analog_line(f: Column) -> Column:
     return F.struct(
         F.trim(at(2)).alias("id"), F.trim(at(3)).alias("phase"), F.trim(at(4)).alias("ccbm"),
         F.trim(at(5)).alias("unit"),
-        F.coalesce(_num(at(6)), F.lit(1.0)).alias("a"), F.coalesce(_num(at(7)), F.lit(0.0)).alias("b"),
+        _field(at(6), 1.0).alias("a"), _field(at(7), 0.0).alias("b"),
         _num(at(8)).alias("skew"), _num(at(9)).alias("min"), _num(at(10)).alias("max"),
         _num(at(11)).alias("primary"), _num(at(12)).alias("secondary"), F.trim(at(13)).alias("ps"))
 
@@ -114,19 +131,56 @@ def with_header(pairs: DataFrame) -> DataFrame:
                              ).drop("_cfg_lines", "_cfg_na", "_cfg_nd")
 
 
-def header_problem(cfg: Column) -> Column:
-    """Why a parsed header gives no samples; null where it does."""
+def _blocking(cfg: Column) -> list[Column]:
+    """What leaves a recording without samples, each null where it is in order."""
     known = ("ASCII", *_SAMPLE_TYPES)
-    return (F.when(F.coalesce(~cfg["file_type"].isin(*known), F.lit(True)), F.concat(
-                F.lit("unknown file type: "), F.coalesce(cfg["file_type"], F.lit("none"))))
-            .when(cfg["start"].isNull(), F.lit("unreadable time of the first sample")))
+    finite = lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False))
+    channels, rates = cfg["analog_channels"], cfg["rates"]
+    bad = F.filter(channels, lambda c: ~(finite(c["a"]) & finite(c["b"])))
+    # The last segment is open-ended, so its end sample is not needed.
+    bad_rates = F.filter(F.transform(rates, lambda r, i: ~finite(r["rate"]) | (
+        r["end_sample"].isNull() & (i < F.size(rates) - 1))), lambda x: x)
+    return [
+        F.when(cfg["n_analog"].isNull() | cfg["n_status"].isNull(), F.lit("unreadable channel counts")),
+        F.when(F.coalesce(~cfg["file_type"].isin(*known), F.lit(True)),
+               F.concat(F.lit("unknown file type: "), F.coalesce(cfg["file_type"], F.lit("none")))),
+        F.when(cfg["start"].isNull(), F.lit("unreadable time of the first sample")),
+        F.when(F.size(bad) > 0, F.concat(F.lit("unreadable factor or offset of channel "), F.coalesce(
+            F.concat_ws(", ", F.transform(bad, lambda c: c["id"])), F.lit("")))),
+        F.when(cfg["n_rates"].isNull() | (cfg["n_rates"] < 0) | ((cfg["n_rates"] > 0) & (
+            (F.size(bad_rates) > 0) | (F.size(rates) < cfg["n_rates"]))), F.lit("unreadable sampling rates")),
+        F.when(~finite(cfg["time_mult"]), F.lit("unreadable time multiplier")),
+    ]
+
+
+def header_problem(cfg: Column) -> Column:
+    """Why a parsed header gives no samples (the first reason); null where it does."""
+    return F.coalesce(*_blocking(cfg))
 
 
 def header_problems(pairs: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> DataFrame:
-    """(keep, problem) of every pair whose header cannot be read."""
-    # Exploded, not filtered: a filter would parse every header a second time.
-    found = F.array_compact(F.array(header_problem(F.col(CFG))))
-    return with_header(pairs).select(*keep, F.explode(found).alias("problem"))
+    """(keep, problem) of everything in a header that cannot be read, a row for each.
+
+    Where the counts of channels or the type are unreadable, so is what follows,
+    and only the first reason is listed.  An unreadable line frequency is listed
+    too; the recording keeps its samples, with a null frequency.
+    """
+    cfg = F.col(CFG)
+    reasons = _blocking(cfg)
+    light = F.when(cfg["has_frequency"] & cfg[C.FREQUENCY].isNull(), F.lit("unreadable line frequency"))
+    first = F.coalesce(*reasons[:2])
+    found = F.when(first.isNotNull(), F.array(first)).otherwise(F.array_compact(F.array(*reasons[2:], light)))
+    # Not ``explode``, which filters empty lists out first: that would parse every header a second time.
+    listed = with_header(pairs).select(*keep, found.alias("_found"))
+    return listed.select(*keep, F.explode_outer("_found").alias("problem")).filter("problem IS NOT NULL")
+
+
+def _only(parsed: DataFrame, wanted: Column, cols: Sequence[Column]) -> DataFrame:
+    """``cols`` of the rows with ``wanted``.  A filter on it would be pushed below
+    the parsed header and parse it once more for every field it looks at; one on
+    what a generator gives is not."""
+    rows = parsed.select(*cols, F.array(wanted).alias("_wanted"))
+    return rows.withColumn("_is", F.explode_outer("_wanted")).filter("_is").drop("_wanted", "_is")
 
 
 def rate_segments(cfg: Column) -> Column:
@@ -197,7 +251,8 @@ def _ascii_arrays(parsed: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, Co
         F.transform(cfg["analog_channels"], lambda c: c["b"]).alias("_kb"),
         cfg["n_analog"].alias("_kna"), cfg["n_status"].alias("_knd"),
         F.unix_micros(cfg["start"]).alias("_kstart"), rate_segments(cfg).alias("_ksegs"),
-        _uses_rates(cfg).alias("_kbyrate"), cfg["time_mult"].alias("_kmult"))
+        _uses_rates(cfg).alias("_kbyrate"), cfg["time_mult"].alias("_kmult"),
+        header_problem(cfg).isNull().alias("_kok"))
     fields, n_a, n_d = F.col("_fields"), F.col("_kna"), F.col("_knd")
     ka, kb = F.col("_ka"), F.col("_kb")
     analog = F.transform(fields, lambda f: F.transform(
@@ -221,7 +276,7 @@ def decode_ascii(parsed: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> Data
     one whose header cannot be read gets null samples.
     """
     staged, analog, status, micros = _ascii_arrays(parsed, keep)
-    readable = header_problem(F.col(CFG)).isNull()
+    readable = F.col("_kok")
     return staged.select(
         *keep, F.when(readable, analog).alias(C.ANALOG), F.when(readable, status).alias(C.STATUS),
         F.when(readable, micros).alias(C.MICROSECONDS), *_common_columns(F.col(CFG)),
@@ -285,7 +340,7 @@ def _decode_binary_rows(cols: dict, n_rows: int, want: list) -> tuple:
                 off = off + np.maximum(0.0, np.minimum(n, seg["hi"]) - max(seg["lo"], 1.0)) / seg["rate"]
             us = start_us + np.round(off * 1e6)
         else:
-            us = start_us + np.round(rec["t"].astype(np.float64) * (mult or 1.0))
+            us = start_us + np.round(rec["t"].astype(np.float64) * mult)
         t_vals.append(us.astype(np.int64))
         t_rows.append(t_rows[-1] + count)
 
@@ -307,7 +362,7 @@ def _decode_binary_rows(cols: dict, n_rows: int, want: list) -> tuple:
 def _binary_batches(batches: Iterator[pa.RecordBatch], keep: Sequence[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         cols = batch.to_pydict()
-        want = [t in _SAMPLE_TYPES and s is not None for t, s in zip(cols["_ft"], cols["_start_us"])]
+        want = cols["_ok"]
         analog, status, times = _decode_binary_rows(cols, batch.num_rows, want)
         out = {k: batch.column(k) for k in keep}
         out[C.ANALOG], out[C.STATUS], out[C.MICROSECONDS] = analog, status, times
@@ -365,8 +420,8 @@ def record_bytes(configs: DataFrame) -> DataFrame:
     width = F.create_map(*[x for k, (t, _) in _SAMPLE_TYPES.items()
                            for x in (F.lit(k), F.lit(np.dtype(t).itemsize))])
     size = 8 + cfg["n_analog"] * width[cfg["file_type"]] + 2 * F.ceil(cfg["n_status"] / F.lit(16))
-    return with_header(configs).filter(header_problem(cfg).isNull() & cfg["file_type"].isin(*_SAMPLE_TYPES)) \
-        .select(C.FILENAME, size.cast("bigint").alias("record_bytes"))
+    return _only(with_header(configs), header_problem(cfg).isNull() & cfg["file_type"].isin(*_SAMPLE_TYPES),
+                 [F.col(C.FILENAME), size.cast("bigint").alias("record_bytes")])
 
 
 def decode_binary_ranges(ranges: DataFrame, configs: DataFrame) -> DataFrame:
@@ -378,7 +433,8 @@ def decode_binary_ranges(ranges: DataFrame, configs: DataFrame) -> DataFrame:
 
 
 def _binary_inputs(cfg: Column) -> list[Column]:
-    return [cfg["n_analog"].alias("_na"), cfg["n_status"].alias("_nd"), cfg["file_type"].alias("_ft"),
+    ok = header_problem(cfg).isNull() & cfg["file_type"].isin(*_SAMPLE_TYPES)
+    return [F.coalesce(ok, F.lit(False)).alias("_ok"), cfg["n_analog"].alias("_na"), cfg["n_status"].alias("_nd"), cfg["file_type"].alias("_ft"),
             F.transform(cfg["analog_channels"], lambda c: c["a"]).alias("_a"),
             F.transform(cfg["analog_channels"], lambda c: c["b"]).alias("_b"),
             F.unix_micros(cfg["start"]).alias("_start_us"), cfg["time_mult"].alias("_mult"),
@@ -413,7 +469,7 @@ def _decode_mixed(pairs: DataFrame, keep: Sequence[str]) -> DataFrame:
     keep = list(keep)
     parsed = with_header(pairs)
     cfg = F.col(CFG)
-    readable = header_problem(cfg).isNull()
+    readable = F.col("_kok")
     is_ascii = readable & (cfg["file_type"] == "ASCII")
     is_binary = readable & cfg["file_type"].isin(*_SAMPLE_TYPES)
     staged, analog, status, micros = _ascii_arrays(parsed, keep)
@@ -452,7 +508,7 @@ def line_headers(configs: DataFrame, channels: Sequence[str] = C.PHASE_CHANNELS)
         chan = F.try_element_at(cfg["analog_channels"], F.when(pos > 0, pos))
         cols += [F.when(pos > 0, pos + 2).alias(f"_f_{ch}"),       # field index in a line
                  chan["a"].alias(f"_a_{ch}"), chan["b"].alias(f"_b_{ch}")]
-    return parsed.filter(cfg["file_type"] == "ASCII").select(*cols)
+    return _only(parsed, header_problem(cfg).isNull() & (cfg["file_type"] == "ASCII"), cols)
 
 
 def decode_ascii_lines(lines: DataFrame, headers: DataFrame,

@@ -699,12 +699,19 @@ def decode_dialects(spark, d):
 
 @register("header_problems")
 def header_problems(spark, d):
-    """Every third capture gets a header that cannot be read; all are reported."""
+    """Of nine captures eight get a header with something unreadable in it; all are reported."""
     pairs = EN.encode_ascii(_captures(spark, d))
-    which = F.pmod(F.conv(F.substring(F.md5(C.FILENAME), 1, 8), 16, 10).cast("bigint"), F.lit(3))
+    which = F.pmod(F.conv(F.substring(F.md5(C.FILENAME), 1, 8), 16, 10).cast("bigint"), F.lit(9))
     text = F.col(C.CONFIG_CONTENT)
     broken = (F.when(which == 1, F.replace(text, F.lit("\nASCII\n"), F.lit("\nbinary64\n")))
-              .when(which == 2, F.regexp_replace(text, r"\d\d/\d\d/\d{4},", "99/99/2024,")).otherwise(text))
+              .when(which == 2, F.regexp_replace(text, r"\d\d/\d\d/\d{4},", "99/99/2024,"))
+              .when(which == 3, F.regexp_replace(text, r"\n\d+,\d+A,\d+D\n", "\nx,yA,zD\n"))
+              .when(which == 4, F.regexp_replace(text, r"\n(2,IB,[^,]*,[^,]*,[^,]*),[^,]*,", "\n$1,bad,"))
+              .when(which == 5, F.regexp_replace(text, r"\nASCII\n[^\n]*", "\nASCII\nzz"))
+              .when(which == 6, F.regexp_replace(text, r"\n(50|60)\.0\n[^\n]*\n", "\n$1.0\nmany\n"))
+              .when(which == 7, F.regexp_replace(text, r"\n(50|60)\.0\n", "\nmains\n"))
+              # Absent is no problem: the multiplier has a default.
+              .when(which == 8, F.regexp_replace(text, r"\nASCII\n[^\n]*", "\nASCII\n")).otherwise(text))
     return DE.header_problems(pairs.select(C.FILENAME, broken.alias(C.CONFIG_CONTENT)))
 
 

@@ -497,9 +497,14 @@ SELECT * REPLACE (CASE WHEN {_WHICH} % 6 = 2 THEN NULL ELSE frequency END AS fre
 FROM ({_decoded(_TEXT_VALUE, _TEXT_TIME)})"""
 
 SQL["header_problems"] = f"""WITH {CAPTURES}
-SELECT filename, CASE {_WHICH} % 3 WHEN 1 THEN 'unknown file type: BINARY64'
-                                   ELSE 'unreadable time of the first sample' END AS problem
-FROM captures WHERE {_WHICH} % 3 > 0"""
+SELECT filename, CASE {_WHICH} % 9 WHEN 1 THEN 'unknown file type: BINARY64'
+                                   WHEN 2 THEN 'unreadable time of the first sample'
+                                   WHEN 3 THEN 'unreadable channel counts'
+                                   WHEN 4 THEN 'unreadable factor or offset of channel IB'
+                                   WHEN 5 THEN 'unreadable time multiplier'
+                                   WHEN 6 THEN 'unreadable sampling rates'
+                                   ELSE 'unreadable line frequency' END AS problem
+FROM captures WHERE {_WHICH} % 9 BETWEEN 1 AND 7"""
 
 SQL["convert_raw_text"] = f"""WITH s AS (
   SELECT event_type || '_u' || CAST(user_id AS VARCHAR) AS stem, epoch_us(ts) AS t,

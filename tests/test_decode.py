@@ -231,6 +231,38 @@ def test_unreadable_headers_are_reported_not_guessed(spark):
     assert as_lists(analog["good"]) == RF.expected_phases() and analog["type"] is analog["time"] is None
 
 
+def _fields(cfg, at, to):
+    """The header with field ``at`` (line, field) replaced, or the line cut where ``to`` is None."""
+    lines = cfg.split("\n")
+    row = lines[at[0]].split(",")
+    lines[at[0]] = ",".join(row[:at[1]] if to is None else [*row[:at[1]], to, *row[at[1] + 1:]])
+    return "\n".join(lines)
+
+
+@pytest.mark.parametrize("at,to,problem", [
+    ((1, 0), "x", "unreadable channel counts"), ((1, 1), "yA", "unreadable channel counts"),
+    ((1, 2), "zD", "unreadable channel counts"), ((1, 1), "-3A", "unreadable channel counts"),
+    ((3, 5), "bad", "unreadable factor or offset of channel IB"),
+    ((4, 6), "1,5;", None), ((4, 6), "1;5", "unreadable factor or offset of channel IC"),
+    ((2, 5), "NaN", "unreadable factor or offset of channel IA"),
+    ((2, 5), "", None), ((2, 5), None, None),
+    ((6, 0), "two", "unreadable sampling rates"), ((11, 0), "zz", "unreadable time multiplier"),
+    ((11, 0), "", None), ((5, 0), "fifty", "unreadable line frequency"), ((5, 0), "", None)])
+@pytest.mark.parametrize("kind", ["ascii", "binary"])
+def test_unreadable_fields_are_reported_and_absent_ones_have_defaults(spark, kind, at, to, problem):
+    cfg, dat = RF.ascii_3a() if kind == "ascii" else RF.binary_3a()
+    rows = [("ok", cfg, bytearray(dat)), ("x", _fields(cfg, at, to), bytearray(dat))]
+    df = spark.createDataFrame(rows, "filename string, config_content string, dat_content binary")
+    assert [tuple(r) for r in DE.header_problems(df).collect()] == ([("x", problem)] if problem else [])
+    decoders = [DE.decode_recordings, lambda x: DE.decode_ascii(DE.with_header(x)) if kind == "ascii"
+                else DE.decode_binary(DE.with_header(x))]
+    for decode in decoders:
+        got = {r.filename: r for r in decode(df).collect()}
+        assert as_lists(got["ok"][C.ANALOG]) == RF.expected_phases()
+        lost = problem and problem != "unreadable line frequency"
+        assert (got["x"][C.ANALOG] is None) == (got["x"][C.MICROSECONDS] is None) == bool(lost)
+
+
 @pytest.mark.parametrize("folder", ["a b", "a+b", "a%20b", "äö.d"])
 def test_any_folder_name_pairs(spark, tmp_path, folder):
     root = str(tmp_path / folder)
