@@ -90,7 +90,7 @@ def interval_join_stream(headers: DataFrame, bodies: DataFrame, tolerance: str =
     a backfill of old files, or a slow uploader's, is as welcome as new ones.
     Modification times are a plain predicate.  A file waits ``wait`` for its
     partner; the two-sided range on the ingest times lets Spark drop it from
-    the state after that.  ``late_pairs`` finds the pairs further apart.
+    the state after that.  ``streaming.arrivals`` finds pairs any time apart.
     """
     left = _side(headers, "cfg", C.CONFIG_CONTENT, lateness)
     right = _side(bodies, "dat", C.DAT_CONTENT, lateness)
@@ -100,24 +100,3 @@ def interval_join_stream(headers: DataFrame, bodies: DataFrame, tolerance: str =
                       & within(F.col("cfg_arrived"), F.col("dat_arrived"), wait))
     return pairs.select(F.col("cfg_stem").alias(C.FILENAME), C.CONFIG_CONTENT, C.DAT_CONTENT,
                         "cfg_mod_time", "dat_mod_time")
-
-
-def late_pairs(new: DataFrame, earlier: DataFrame, new_is_header: bool, tolerance: str = C.PAIR_TOLERANCE,
-               wait: str = ARRIVAL_WAIT) -> DataFrame:
-    """Pairs of new files (a stream) with those ingested more than ``wait`` before.
-
-    ``earlier`` is the other side's whole table, read as a batch, so nothing is
-    kept in state.  These are the pairs that ``interval_join_stream`` leaves
-    out, each once: when the later of its two files comes.
-    """
-    sides = {"cfg": (new, earlier)[not new_is_header], "dat": (new, earlier)[new_is_header]}
-    left, right = (files.select(F.col(C.FILENAME).alias(f"{name}_stem"),
-                                F.col("modificationTime").alias(f"{name}_mod_time"),
-                                F.col(INGEST_TIME).alias(f"{name}_arrived"), payload)
-                   for (name, files), payload in zip(sides.items(), (C.CONFIG_CONTENT, C.DAT_CONTENT)))
-    came, before = ("cfg_arrived", "dat_arrived") if new_is_header else ("dat_arrived", "cfg_arrived")
-    pairs = left.join(right, (F.col("cfg_stem") == F.col("dat_stem"))
-                      & within(F.col("cfg_mod_time"), F.col("dat_mod_time"), tolerance)
-                      & ~within(F.col(came), F.col(before), wait) & (F.col(came) > F.col(before)))
-    return pairs.select(F.col("cfg_stem").alias(C.FILENAME), C.CONFIG_CONTENT, C.DAT_CONTENT,
-                        "cfg_mod_time", "dat_mod_time")

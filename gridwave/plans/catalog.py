@@ -764,6 +764,21 @@ def stream_join_backfill(spark, d):
         *_folder_and_name(), C.CONFIG_CONTENT, F.length(C.DAT_CONTENT).alias("n_bytes"))
 
 
+@register("stream_pair_pending")
+def stream_pair_pending(spark, d):
+    """Three deliveries, a run each: headers whose bodies come later, and bodies
+    whose headers come last, are paired by the run that completes them."""
+    root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
+    run = PL.PipelineRun(spark, f"{root}/landing", root, register_tables=False, tolerance="1 hour",
+                         part_format="yyyyMMddHHmmssSSS")
+    for files in ST.deliveries(spark, d):
+        FS.write_pairs(files, run.source)
+        run.run([PL.CONFIG_FILES_BRONZE, PL.DAT_FILES_BRONZE, PL.JOINED_FILES_BRONZE])
+    return run.read(PL.JOINED_FILES_BRONZE).select(
+        F.regexp_extract(C.FILENAME, r"([^/]+)$", 1).alias(C.FILENAME), F.col("batch").alias("paired_in_run"),
+        C.CONFIG_CONTENT, F.length(C.DAT_CONTENT).alias("n_bytes"))
+
+
 # --------------------------------------------------------------------------- a fixed model
 def fixed_weights(n: int) -> list[float]:
     """Documented weights of the scorer that SQL can restate: -0.02 .. 0.02, repeating."""

@@ -523,6 +523,10 @@ SQL["stream_join_backfill"] = f"""WITH {FILES}
 SELECT CASE WHEN CAST(regexp_extract(filename, '^u([0-9]+)_', 1) AS BIGINT) % 2 = 1 THEN 'old' ELSE 'new' END AS folder,
        filename, config_content, n_bytes FROM files WHERE folder = 'ascii.v1'"""
 
+SQL["stream_pair_pending"] = f"""WITH {FILES}
+SELECT filename, CAST(regexp_extract(filename, '^u([0-9]+)_', 1) AS BIGINT) % 3 AS paired_in_run, config_content, n_bytes
+FROM files WHERE folder = 'ascii.v1'"""
+
 _FIXED = f"""{RAW},
 idx AS (SELECT *, row_number() OVER (PARTITION BY filename ORDER BY time_us, event_id) AS rn FROM raw),
 f AS (SELECT filename, (rn - 1) // 16 AS frame, arg_min(is_fault, rn) AS is_fault,

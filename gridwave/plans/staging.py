@@ -10,13 +10,12 @@ from __future__ import annotations
 
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from gridwave import constants as C
 from gridwave.operators import encode as EN
-from gridwave.session import path_exists, staging_path, table_stamp
+from gridwave.session import path_exists, publish, staging_path, table_stamp
 from gridwave.sources import files as FS
 from gridwave.sources import testdata as TD
 
@@ -24,24 +23,6 @@ ASCII_FOLDER = "ascii.v1"     # dotted folder names on purpose (pair key, R1)
 BINARY_FOLDER = "binary.v1"
 
 
-def _publish(spark: SparkSession, src: str, dst: str) -> str:
-    """Give a finished folder its name; where another run was first, its folder stays.
-
-    ``FileContext.rename`` refuses an existing target instead of moving the
-    folder into it, so two runs never leave two copies.
-    """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(s.getFileSystem(conf).getUri(), conf)
-    try:
-        context.rename(s, d, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
-    except Py4JJavaError:
-        if not path_exists(spark, dst):
-            raise
-    return dst
-
-
 def staged(spark: SparkSession, kind: str, sf_dir: str, tables: tuple[str, ...], *more: str) -> str:
     """Folder of a staged input, named after the files it is made from: other
     files, lengths or times of the tables give another folder."""
@@ -63,7 +44,7 @@ def recording_files(spark: SparkSession, sf_dir: str) -> str:
     cap = _captures(spark, sf_dir)
     FS.write_pairs(EN.encode_ascii(cap), tmp, ASCII_FOLDER)
     FS.write_pairs(EN.encode_binary(cap), tmp, BINARY_FOLDER)
-    return _publish(spark, tmp, root)
+    return publish(spark, tmp, root)
 
 
 def raw_text_files(spark: SparkSession, sf_dir: str) -> str:
@@ -85,7 +66,7 @@ def raw_text_files(spark: SparkSession, sf_dir: str) -> str:
         *[F.when(ch == p, F.col("value")).alias(p) for p in C.PHASE_CHANNELS])
     # One task writes a recording's folder, so a recording is one file and not one per task.
     rows.repartition("kind", "recording").write.partitionBy("kind", "recording").option("header", "false").csv(tmp)
-    return _publish(spark, tmp, root)
+    return publish(spark, tmp, root)
 
 
 LATE_DAY = "2024-01-15"   # the day whose file arrives after all later days
@@ -116,7 +97,18 @@ def events_by_day(spark: SparkSession, sf_dir: str, late_day: str = LATE_DAY) ->
         d = p.getParent().getName().split("=", 1)[1]
         rank = 10_000 if d == late_day else int(d.replace("-", "")) % 10_000
         fs.setTimes(p, t0 + rank * 1000, -1)
-    return _publish(spark, tmp, root)
+    return publish(spark, tmp, root)
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> list:
+    """ASCII pairs in three deliveries to one folder: whole recordings with the
+    headers of some and the bodies of others, then the bodies that lack, then the
+    headers.  A file that is not delivered is null."""
+    pairs = EN.encode_ascii(_captures(spark, sf_dir)).withColumn(
+        "which", F.regexp_extract(C.FILENAME, r"^u(\d+)_", 1).cast("bigint") % 3)
+    return [pairs.select(C.FILENAME, *[F.when(F.col("which").isin(*which), F.col(c)).alias(c) for c, which in (
+        (C.CONFIG_CONTENT, headers), (C.DAT_CONTENT, contents))])
+        for headers, contents in (((0, 1), (0, 2)), ((), (1,)), ((2,), ()))]
 
 
 def backfill_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -138,5 +130,5 @@ def backfill_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     while listing.hasNext():
         st = listing.next()
         fs.setTimes(st.getPath(), st.getModificationTime() - 86_400_000, -1)
-    _publish(spark, tmp, root)
+    publish(spark, tmp, root)
     return folders

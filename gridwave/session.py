@@ -14,6 +14,7 @@ import tempfile
 import zipfile
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -125,6 +126,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def publish(spark: SparkSession, src: str, dst: str) -> str:
+    """Give a finished folder its name; where another run was first, its folder stays.
+
+    ``FileContext.rename`` refuses an existing target instead of moving the
+    folder into it, so two runs never leave two copies.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(s.getFileSystem(conf).getUri(), conf)
+    try:
+        context.rename(s, d, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError:
+        if not path_exists(spark, dst):
+            raise
+    return dst
+
+
 LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 

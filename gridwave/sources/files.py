@@ -82,7 +82,9 @@ def _write_partition(rows: Iterable, root: str) -> None:
     fs, base = pafs.FileSystem.from_uri(quoted(root))
     made = set()
     for r in rows:
-        for ext, payload in ((".cfg", r[C.CONFIG_CONTENT].encode()), (".dat", bytes(r[C.DAT_CONTENT]))):
+        for ext, payload in ((".cfg", r[C.CONFIG_CONTENT]), (".dat", r[C.DAT_CONTENT])):
+            if payload is None:
+                continue
             target = f"{base}/{r['_relpath']}{ext}"
             parent = target.rsplit("/", 1)[0]
             if parent not in made:
@@ -90,7 +92,7 @@ def _write_partition(rows: Iterable, root: str) -> None:
                 made.add(parent)
             # Whole-file overwrite: a retried task rewrites the same bytes.
             with fs.open_output_stream(target) as out:
-                out.write(payload)
+                out.write(payload.encode() if ext == ".cfg" else bytes(payload))
 
 
 def qualified(spark: SparkSession, root: str) -> str:
@@ -106,8 +108,8 @@ def qualified(spark: SparkSession, root: str) -> str:
 def write_pairs(pairs: DataFrame, root: str, folder: str = "") -> None:
     """Write (filename, config_content, dat_content) rows as ``<root>/<folder>/<filename>.cfg|.dat``.
 
-    Runs on the executors (one writer per partition); no file passes through
-    the driver.  Retries are safe because every file is written whole.
+    A row without a header or body writes only the other.  Runs on the executors
+    (one writer per partition); no file passes through the driver.  Retries are safe because every file is written whole.
     """
     prefix = f"{folder.strip('/')}/" if folder else ""
     staged = pairs.select(F.concat(F.lit(prefix), F.col(C.FILENAME)).alias("_relpath"),

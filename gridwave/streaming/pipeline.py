@@ -12,10 +12,12 @@ DAG in order with ``availableNow`` triggers (a bounded, restartable run: a
 second run picks up only new files).
 
 Choices against the reference's stream (see README):
-* the cfg/dat join is watermarked on the times the files were ingested, with
-  the modification times as a plain range predicate: old files pair as well as
-  new ones, and its state is still evicted; a file whose partner was ingested
-  longer ago than the state reaches is joined to the other bronze table itself;
+* files are paired through a small index of their names and times (``arrivals``):
+  old files pair as well as new ones, whenever the partner came, and a run reads
+  the bodies it pairs and no others.  ``pairing="state"`` is the stream-stream
+  join instead: watermarked on the times the files were ingested, with the
+  modification times as a plain range predicate, so that its state is evicted;
+  files ingested further apart than its wait stay unpaired and are listed;
 * metadata, pivot and gold work row-locally on the decoded recording (one row
   per file), so a recording can never be split across micro-batches and no
   watermark holds results back; metadata de-duplicates re-delivered files
@@ -31,6 +33,7 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridwave import constants as C
 from gridwave.functions.arrays import pick_channels
@@ -38,10 +41,10 @@ from gridwave.functions.times import to_timestamps
 from gridwave.operators import decode as DE
 from gridwave.operators import model as MD
 from gridwave.operators import shape as SH
-from gridwave.operators.pairing import (ARRIVAL_WAIT, INGEST_TIME, interval_join_stream, late_pairs,
-                                         unpaired_files)
+from gridwave.operators.pairing import ARRIVAL_WAIT, INGEST_TIME, interval_join_stream, unpaired_files
 from gridwave.session import bounded_listing
 from gridwave.sources import files as FS
+from gridwave.streaming import arrivals as AV
 
 CONFIG_FILES_BRONZE = "config_files_bronze"
 DAT_FILES_BRONZE = "dat_files_bronze"
@@ -71,31 +74,37 @@ COMMENTS = {
 }
 
 
+# Part of the bronze tables by the time a file was ingested.
+PART_FORMAT = "yyyyMMddHH"
+
+
 # --------------------------------------------------------------------------- stages
-def bronze_cfg(spark: SparkSession, source: str, max_files: int | None = None) -> DataFrame:
-    files = FS.scan_cfg(spark, source, stream=True, max_files=max_files)
-    return files.withColumn(INGEST_TIME, F.current_timestamp())
+def _ingested(files: DataFrame, part_format: str) -> DataFrame:
+    """With the clock of the micro-batch and the part of the table it falls in."""
+    now = F.current_timestamp()
+    return files.withColumn(INGEST_TIME, now).withColumn(AV.PART, F.date_format(now, part_format))
 
 
-def bronze_dat(spark: SparkSession, source: str, max_files: int | None = None) -> DataFrame:
-    files = FS.scan_dat(spark, source, stream=True, max_files=max_files)
-    return files.withColumn(INGEST_TIME, F.current_timestamp())
+def bronze_cfg(spark: SparkSession, source: str, max_files: int | None = None,
+               part_format: str = PART_FORMAT) -> DataFrame:
+    return _ingested(FS.scan_cfg(spark, source, stream=True, max_files=max_files), part_format)
 
 
-def joined(cfg: DataFrame, dat: DataFrame, tolerance: str = C.PAIR_TOLERANCE, wait: str = ARRIVAL_WAIT,
-           all_cfg: DataFrame | None = None, all_dat: DataFrame | None = None) -> DataFrame:
-    """Pairs within the arrival tolerance, tagged with the cfg's file type.
+def bronze_dat(spark: SparkSession, source: str, max_files: int | None = None,
+               part_format: str = PART_FORMAT) -> DataFrame:
+    return _ingested(FS.scan_dat(spark, source, stream=True, max_files=max_files), part_format)
 
-    Pairs ingested more than ``wait`` apart need the two tables as a batch too
-    (``all_cfg``, ``all_dat``).
-    """
-    j = interval_join_stream(cfg, dat, tolerance, wait)
-    if all_cfg is not None and all_dat is not None:
-        j = j.union(late_pairs(cfg, all_dat, True, tolerance, wait)) \
-            .union(late_pairs(dat, all_cfg, False, tolerance, wait))
+
+def with_file_type(pairs: DataFrame) -> DataFrame:
+    """Tagged with the file type that the header names."""
     file_type = F.upper(F.trim(F.regexp_extract(F.col(C.CONFIG_CONTENT),
                                                 r"(?im)^\s*(ASCII|BINARY32|BINARY|FLOAT32)\s*$", 1)))
-    return j.withColumn("file_type", file_type)
+    return pairs.withColumn("file_type", file_type)
+
+
+def joined(cfg: DataFrame, dat: DataFrame, tolerance: str = C.PAIR_TOLERANCE, wait: str = ARRIVAL_WAIT) -> DataFrame:
+    """Pairs within the arrival tolerance that were ingested at most ``wait`` apart."""
+    return with_file_type(interval_join_stream(cfg, dat, tolerance, wait))
 
 
 def recordings(pairs: DataFrame) -> DataFrame:
@@ -170,7 +179,10 @@ class PipelineRun:
     max_files_per_trigger: int | None = None
     register_tables: bool = True
     table_prefix: str = ""
-    wait: str = ARRIVAL_WAIT
+    wait: str = ARRIVAL_WAIT            # of the stream-stream join
+    pairing: str = "index"              # or "state", the stream-stream join
+    tolerance: str = C.PAIR_TOLERANCE
+    part_format: str = PART_FORMAT
     progress: dict = field(default_factory=dict)
     schemas: dict = field(default_factory=dict)
 
@@ -207,12 +219,12 @@ class PipelineRun:
     def build(self, table: str) -> DataFrame:
         s = self.spark
         if table == CONFIG_FILES_BRONZE:
-            return bronze_cfg(s, self.source, self.max_files_per_trigger)
+            return bronze_cfg(s, self.source, self.max_files_per_trigger, self.part_format)
         if table == DAT_FILES_BRONZE:
-            return bronze_dat(s, self.source, self.max_files_per_trigger)
+            return bronze_dat(s, self.source, self.max_files_per_trigger, self.part_format)
         if table == JOINED_FILES_BRONZE:
-            return joined(self.read_stream(CONFIG_FILES_BRONZE), self.read_stream(DAT_FILES_BRONZE), wait=self.wait,
-                          all_cfg=self.read(CONFIG_FILES_BRONZE), all_dat=self.read(DAT_FILES_BRONZE))
+            return joined(self.read_stream(CONFIG_FILES_BRONZE), self.read_stream(DAT_FILES_BRONZE),
+                          self.tolerance, self.wait)
         if table == RECORDINGS_SILVER:
             return recordings(self.read_stream(JOINED_FILES_BRONZE))
         if table == METADATA_SILVER:
@@ -227,7 +239,27 @@ class PipelineRun:
             return gold(self.read_stream(RECORDINGS_SILVER), self.model, self.frame_len)
         raise KeyError(table)
 
+    def start_pairing(self):
+        """The paired table through the index of arrivals, batch by batch."""
+        cfg, dat = self.read(CONFIG_FILES_BRONZE), self.read(DAT_FILES_BRONZE)
+        files = AV.index_rows(self.read_stream(CONFIG_FILES_BRONZE), "cfg") \
+            .union(AV.index_rows(self.read_stream(DAT_FILES_BRONZE), "dat"))
+        self.schemas[JOINED_FILES_BRONZE] = T.StructType([
+            *[T.StructField(n, t) for n, t in (
+                (C.FILENAME, T.StringType()), (C.CONFIG_CONTENT, T.StringType()), (C.DAT_CONTENT, T.BinaryType()),
+                ("cfg_mod_time", T.TimestampType()), ("dat_mod_time", T.TimestampType()), (AV.BATCH, T.LongType()),
+                ("file_type", T.StringType()))]])
+
+        def step(new: DataFrame, batch_id: int) -> None:
+            AV.pair_batch(new, batch_id, self.path("arrivals"), self.path(JOINED_FILES_BRONZE), cfg, dat,
+                          self.tolerance, with_file_type)
+
+        return (files.writeStream.foreachBatch(step).option("checkpointLocation", self.checkpoint(JOINED_FILES_BRONZE))
+                .trigger(availableNow=True).start())
+
     def start_table(self, table: str):
+        if table == JOINED_FILES_BRONZE and self.pairing == "index":
+            return self.start_pairing()
         df = self.build(table)
         self.schemas[table] = df.schema
         writer = (df.writeStream.format("parquet").outputMode("append")
@@ -235,6 +267,8 @@ class PipelineRun:
                   .trigger(availableNow=True))
         if table == JOINED_FILES_BRONZE:
             writer = writer.partitionBy("file_type")
+        if table in (CONFIG_FILES_BRONZE, DAT_FILES_BRONZE):
+            writer = writer.partitionBy(AV.PART)
         return writer.start(self.path(table))
 
     def _finish(self, table: str, q) -> None:
