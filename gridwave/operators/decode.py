@@ -22,6 +22,7 @@ from pyspark.sql.types import (ArrayType, DoubleType, LongType, StructField, Str
 
 from gridwave import constants as C
 from gridwave.functions.times import parse_cfg_timestamp
+from gridwave.sources.files import read_ranges
 
 CFG = "cfg"
 LINE_BREAK = "\r\n|\n|\r"
@@ -232,6 +233,7 @@ def _common_columns(cfg: Column) -> list[Column]:
 
 OUTPUT_ORDER = [C.ANALOG, C.ANALOG_UNITS, C.STATUS, C.ANALOG_CHANNEL_NAMES, C.STATUS_CHANNEL_NAMES,
                 C.FREQUENCY, C.REC_DEV_ID, C.STATION_NAME, C.MICROSECONDS]
+_ARRAYS = [C.ANALOG, C.STATUS, C.MICROSECONDS]
 
 
 def _ascii_arrays(parsed: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, Column, Column, Column]:
@@ -414,27 +416,57 @@ def decode_binary(parsed: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> Dat
         *keep, *OUTPUT_ORDER)
 
 
+def _is_binary(cfg: Column) -> Column:
+    return header_problem(cfg).isNull() & cfg["file_type"].isin(*_SAMPLE_TYPES)
+
+
 def record_bytes(configs: DataFrame) -> DataFrame:
     """(filename, record_bytes) of every recording with a readable binary header."""
     cfg = F.col(CFG)
     width = F.create_map(*[x for k, (t, _) in _SAMPLE_TYPES.items()
                            for x in (F.lit(k), F.lit(np.dtype(t).itemsize))])
     size = 8 + cfg["n_analog"] * width[cfg["file_type"]] + 2 * F.ceil(cfg["n_status"] / F.lit(16))
-    return _only(with_header(configs), header_problem(cfg).isNull() & cfg["file_type"].isin(*_SAMPLE_TYPES),
+    return _only(with_header(configs), _is_binary(cfg),
                  [F.col(C.FILENAME), size.cast("bigint").alias("record_bytes")])
 
 
+def _range_batches(batches: Iterator[pa.RecordBatch], keep: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """One range at a time: its bytes are read, decoded and let go."""
+    for batch in batches:
+        rows = batch.to_pylist()
+        for i, (row, content) in enumerate(zip(rows, read_ranges(rows))):
+            cols = {k: [v] for k, v in row.items()} | {C.DAT_CONTENT: [content]}
+            analog, status, times = _decode_binary_rows(cols, 1, [True])
+            out = {k: batch.column(k).slice(i, 1) for k in (*keep, "_cfg_row")}
+            out[C.ANALOG], out[C.STATUS], out[C.MICROSECONDS] = analog, status, times
+            yield pa.RecordBatch.from_arrays([out[n] for n in (*keep, *_ARRAYS, "_cfg_row")],
+                                             names=[*keep, *_ARRAYS, "_cfg_row"])
+
+
 def decode_binary_ranges(ranges: DataFrame, configs: DataFrame) -> DataFrame:
-    """Ranges of binary bodies, each decoded by itself: one row per range, told
-    apart by ``first_record``.  Record numbers and times stand in the records,
-    so a range needs nothing but its header."""
-    pairs = ranges.join(configs.select(C.FILENAME, C.CONFIG_CONTENT), C.FILENAME)
-    return decode_binary(with_header(pairs), keep=(C.FILENAME, "first_record"))
+    """Ranges of binary bodies (``sources.files.dat_ranges``), each read and decoded
+    by one task: a row per range, told apart by ``first_record``.
+
+    Headers join the list of ranges, which holds no bytes, and the ranges are
+    dealt out; the bytes are read after the last shuffle.  Record numbers and
+    times stand in the records, so a range needs nothing but its header.
+    """
+    cfg, keep = F.col(CFG), [C.FILENAME, "first_record"]
+    headers = _only(with_header(configs), _is_binary(cfg), [
+        F.col(C.FILENAME), *_binary_inputs(cfg), F.struct(*_common_columns(cfg)).alias("_cfg_row")])
+    rows = ranges.join(headers, C.FILENAME)
+    # Rows are a few bytes, what they stand for is not: deal them out by number.
+    rows = rows.repartition(int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keep)
+    nested = ArrayType(ArrayType(DoubleType()))
+    schema = StructType([*[f for f in rows.schema.fields if f.name in keep],
+                         StructField(C.ANALOG, nested), StructField(C.STATUS, nested),
+                         StructField(C.MICROSECONDS, ArrayType(LongType())), rows.schema["_cfg_row"]])
+    decoded = rows.mapInArrow(lambda it: _range_batches(it, keep), schema)
+    return decoded.select(*keep, *_ARRAYS, "_cfg_row.*").select(*keep, *OUTPUT_ORDER)
 
 
 def _binary_inputs(cfg: Column) -> list[Column]:
-    ok = header_problem(cfg).isNull() & cfg["file_type"].isin(*_SAMPLE_TYPES)
-    return [F.coalesce(ok, F.lit(False)).alias("_ok"), cfg["n_analog"].alias("_na"), cfg["n_status"].alias("_nd"), cfg["file_type"].alias("_ft"),
+    return [F.coalesce(_is_binary(cfg), F.lit(False)).alias("_ok"), cfg["n_analog"].alias("_na"), cfg["n_status"].alias("_nd"), cfg["file_type"].alias("_ft"),
             F.transform(cfg["analog_channels"], lambda c: c["a"]).alias("_a"),
             F.transform(cfg["analog_channels"], lambda c: c["b"]).alias("_b"),
             F.unix_micros(cfg["start"]).alias("_start_us"), cfg["time_mult"].alias("_mult"),

@@ -29,7 +29,9 @@ from gridwave.plans import staging as ST
 from gridwave.schemas import DECODED_RECORDING
 from gridwave.session import path_exists
 from gridwave.sources import files as FS
+from gridwave.sources import listing as LS
 from gridwave.sources import testdata as TD
+from gridwave.streaming import complete as CP
 from gridwave.streaming import pipeline as PL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -336,6 +338,14 @@ def file_inventory(spark, d):
                       F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length")
 
 
+@register("file_inventory_wide")
+def file_inventory_wide(spark, d):
+    """The same listing made by tasks, level by level."""
+    inv = LS.file_inventory_wide(spark, ST.recording_files(spark, d))
+    return inv.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder"),
+                      F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length")
+
+
 @register("scan_cfg")
 def scan_cfg(spark, d):
     cfg = FS.scan_cfg(spark, ST.recording_files(spark, d))
@@ -479,11 +489,11 @@ def score_waveforms(spark, d):
 
 
 def _stream_run(spark, d, upto: str, model=None, frame_len: int = C.TEST_FRAME_LENGTH,
-                max_files: int | None = 1000) -> PL.PipelineRun:
+                max_files: int | None = 1000, pairing: str = "index") -> PL.PipelineRun:
     """A fresh pipeline instance over the staged files, run up to ``upto``."""
     root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
     run = PL.PipelineRun(spark, ST.recording_files(spark, d), root, model=model,
-                         frame_len=frame_len, max_files_per_trigger=max_files,
+                         frame_len=frame_len, max_files_per_trigger=max_files, pairing=pairing,
                          table_prefix=f"run_{uuid.uuid4().hex[:10]}_")
     order = list(PL.ORDER)
     wanted = order[: order.index(upto) + 1]
@@ -505,6 +515,21 @@ def stream_scan_cfg(spark, d):
     return run.read(PL.CONFIG_FILES_BRONZE).select(*_folder_and_name(), C.CONFIG_CONTENT)
 
 
+@register("stream_scan_marked")
+def stream_scan_marked(spark, d):
+    """Headers of two days, a run after each: the second run lists the second day only."""
+    root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
+    pairs = EN.encode_ascii(_captures(spark, d)).withColumn(C.DAT_CONTENT, F.lit(None).cast("binary"))
+    odd = F.regexp_extract(C.FILENAME, r"^u(\d+)_", 1).cast("bigint") % 2 == 1
+    for day, files in (("2024-01-01", pairs.filter(~odd)), ("2024-01-02", pairs.filter(odd))):
+        FS.write_pairs(files, f"{root}/landing", day)
+        q = (LS.scan_cfg_marked(spark, f"{root}/landing").writeStream.format("parquet").trigger(availableNow=True)
+             .option("checkpointLocation", f"{root}/checkpoint").start(f"{root}/table"))
+        q.awaitTermination()
+    table = spark.read.schema(f"{C.FILENAME} string, {C.CONFIG_CONTENT} string").parquet(f"{root}/table")
+    return table.select(*_folder_and_name(), C.CONFIG_CONTENT)
+
+
 @register("stream_scan_dat")
 def stream_scan_dat(spark, d):
     order = [PL.DAT_FILES_BRONZE]
@@ -518,7 +543,7 @@ def stream_scan_dat(spark, d):
 
 @register("stream_interval_join")
 def stream_interval_join(spark, d):
-    run = _stream_run(spark, d, PL.JOINED_FILES_BRONZE)
+    run = _stream_run(spark, d, PL.JOINED_FILES_BRONZE, pairing="state")
     return run.read(PL.JOINED_FILES_BRONZE).select(
         *_folder_and_name(), C.CONFIG_CONTENT, F.length(C.DAT_CONTENT).alias("n_bytes"))
 
@@ -553,6 +578,7 @@ def stream_pivot(spark, d):
 
 
 def _run_extra(run: PL.PipelineRun, name: str, df: DataFrame) -> DataFrame:
+    run.schemas[name] = df.schema
     q = (df.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", run.checkpoint(name)).trigger(availableNow=True)
          .start(run.path(name)))
@@ -815,42 +841,20 @@ def stream_ingest_clock(spark, d):
 
 
 # --------------------------------------------------------------------------- keyed streams
-def _keyed(spark, d, name: str, build) -> DataFrame:
-    """All rows of a keyed streaming aggregate over the flattened samples.
-
-    An aggregate in append mode holds back what the watermark has not passed.
-    So the samples come first, and then rows of a recording that is no
-    recording, dated days later, which move the watermark on.
-    """
-    run = _stream_run(spark, d, PL.FLATTENED_SILVER)
-    flat = run.read(PL.FLATTENED_SILVER)
-    feed = run.path(f"{name}_feed")
-    flat.write.parquet(f"{feed}/part0")
-    df = build(spark.readStream.schema(flat.schema).option("recursiveFileLookup", "true").parquet(feed))
-
-    def drain() -> None:
-        q = (df.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", run.checkpoint(name)).trigger(availableNow=True).start(run.path(name)))
-        q.awaitTermination()
-
-    drain()
-    for day in (1, 2, 3):
-        later = F.col(C.PROCESSED_TIMESTAMP) + F.make_dt_interval(F.lit(day))
-        clock = flat.limit(1).withColumns({C.FILENAME: F.lit("/clock/clock"), C.PROCESSED_TIMESTAMP: later})
-        clock.write.parquet(f"{feed}/part{day}")
-        drain()
-    return spark.read.schema(df.schema).parquet(run.path(name)).filter(F.col(C.FILENAME) != "/clock/clock")
-
-
 @register("stream_keyed_pivot")
 def stream_keyed_pivot(spark, d):
-    piv = _ntz(_keyed(spark, d, "keyed_pivot", PL.keyed_pivot), C.TIMESTAMP)
-    return piv.select(*_folder_and_name(), C.TIMESTAMP, *[F.round(p, 6).alias(p) for p in C.PHASE_CHANNELS])
+    run = _stream_run(spark, d, PL.FLATTENED_SILVER)
+    piv = _run_extra(run, "keyed_pivot", CP.pivot_when_complete(run.read_stream(PL.FLATTENED_SILVER)))
+    return _ntz(piv, C.TIMESTAMP).select(*_folder_and_name(), C.TIMESTAMP,
+                                         *[F.round(p, 6).alias(p) for p in C.PHASE_CHANNELS])
 
 
 @register("stream_keyed_gather")
 def stream_keyed_gather(spark, d):
-    got = _keyed(spark, d, "keyed_gather", lambda s: PL.keyed_gather(PL.keyed_pivot(s), watermark=None))
+    """Two tables, each a stream with a watermark of its own."""
+    run = _stream_run(spark, d, PL.FLATTENED_SILVER)
+    _run_extra(run, "keyed_pivot", CP.pivot_when_complete(run.read_stream(PL.FLATTENED_SILVER)))
+    got = _run_extra(run, "keyed_gather", CP.gather_when_complete(run.read_stream("keyed_pivot")))
     return got.select(*_folder_and_name(), F.size("sample_times").alias("n_samples"),
                       AR.round_nested(F.col("waveform")).alias("waveform"))
 
@@ -861,7 +865,7 @@ def decode_binary_ranges(spark, d):
     """BINARY bodies read and decoded in ranges of a kilobyte, as phase rows."""
     root = f"{ST.recording_files(spark, d)}/{ST.BINARY_FOLDER}"
     configs = FS.scan_cfg(spark, root)
-    ranges = FS.scan_dat_ranges(spark, root, DE.record_bytes(configs), range_bytes=1024)
+    ranges = FS.dat_ranges(spark, root, DE.record_bytes(configs), range_bytes=1024)
     decoded = DE.decode_binary_ranges(ranges, configs)
     rows = SH.phase_rows(decoded, C.MICROSECONDS, keep=(C.FILENAME, "first_record"))
     return rows.select(*_folder_and_name(), (F.col("first_record") + F.col("sample_index") + 1).alias("sample_number"),

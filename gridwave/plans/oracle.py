@@ -523,6 +523,13 @@ SQL["stream_join_backfill"] = f"""WITH {FILES}
 SELECT CASE WHEN CAST(regexp_extract(filename, '^u([0-9]+)_', 1) AS BIGINT) % 2 = 1 THEN 'old' ELSE 'new' END AS folder,
        filename, config_content, n_bytes FROM files WHERE folder = 'ascii.v1'"""
 
+SQL["file_inventory_wide"] = SQL["file_inventory"]
+
+SQL["stream_scan_marked"] = f"""WITH {FILES}
+SELECT CASE WHEN CAST(regexp_extract(filename, '^u([0-9]+)_', 1) AS BIGINT) % 2 = 1
+            THEN '2024-01-02' ELSE '2024-01-01' END AS folder, filename, config_content
+FROM files WHERE folder = 'ascii.v1'"""
+
 SQL["stream_pair_pending"] = f"""WITH {FILES}
 SELECT filename, CAST(regexp_extract(filename, '^u([0-9]+)_', 1) AS BIGINT) % 3 AS paired_in_run, config_content, n_bytes
 FROM files WHERE folder = 'ascii.v1'"""

@@ -133,34 +133,28 @@ def scan_dat_lines(spark: SparkSession, root: str) -> DataFrame:
 RANGE_BYTES = 64 << 20      # of a body that one task reads at a time
 
 
-def _read_ranges(batches, schema) -> Iterable:
-    """The bytes of each (path, first_record, n_records, record_bytes) row."""
-    import pyarrow as pa
+def read_ranges(rows: Iterable[dict]) -> Iterable[bytes]:
+    """The bytes of each range (path, first_record, n_records, record_bytes)."""
     import pyarrow.fs as pafs
     opened: tuple = (None, None)
-    for batch in batches:
-        for row in batch.to_pylist():
-            if opened[0] != row["path"]:
-                fs, inner = pafs.FileSystem.from_uri(quoted(row["path"]))
-                opened = row["path"], fs.open_input_file(inner)
-            content = opened[1].read_at(row["n_records"] * row["record_bytes"],
-                                        row["first_record"] * row["record_bytes"])
-            yield pa.RecordBatch.from_pylist(
-                [{C.FILENAME: row[C.FILENAME], "first_record": row["first_record"], C.DAT_CONTENT: content}],
-                schema=schema)
-
-
-def scan_dat_ranges(spark: SparkSession, root: str, record_bytes: DataFrame,
-                    range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Bodies of fixed-length records in ranges: (filename, first_record, dat_content).
+    for row in rows:
+        if opened[0] != row["path"]:
+            fs, inner = pafs.FileSystem.from_uri(quoted(row["path"]))
+            opened = row["path"], fs.open_input_file(inner)
+        yield opened[1].read_at(row["n_records"] * row["record_bytes"], row["first_record"] * row["record_bytes"])
+
+
+def dat_ranges(spark: SparkSession, root: str, record_bytes: DataFrame,
+               range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Bodies of fixed-length records in ranges of whole records, named and not read:
+    (filename, path, record_bytes, first_record, n_records).
 
     ``record_bytes`` has (filename, record_bytes), known from the headers.  A
-    body of any size is read by as many tasks as it has ranges, whole records
-    each; an incomplete record at the end is left out.  The executors read
-    through pyarrow's file systems; ``scan_dat`` reads whole files of any
-    store that Spark knows.
+    body of any size is read by as many tasks as it has ranges; an incomplete
+    record at the end is left out.  ``read_ranges`` reads them through
+    pyarrow's file systems; ``scan_dat`` reads whole files of any store that
+    Spark knows.
     """
-    import pyarrow as pa
     bodies = file_inventory(spark, root, C.DAT_GLOB).select(
         pair_key(F.col("path")).alias(C.FILENAME), "path", "length")
     records = F.floor(F.col("length") / F.col("record_bytes"))
@@ -168,16 +162,10 @@ def scan_dat_ranges(spark: SparkSession, root: str, record_bytes: DataFrame,
     n_ranges = F.ceil(F.col("_records") / F.col("_step"))
     numbers = F.when(F.col("_records") > 0, F.sequence(F.lit(0).cast("bigint"), n_ranges - 1))
     uri = F.regexp_replace(F.regexp_replace("path", "^file:/+", "file:///"), "^s3[an]:", "s3:")
-    ranges = bodies.join(record_bytes, C.FILENAME).select(
+    return bodies.join(record_bytes, C.FILENAME).select(
         C.FILENAME, uri.alias("path"), "record_bytes", records.alias("_records"), step.alias("_step")).select(
         "*", F.explode(numbers).alias("_k")).select(
         C.FILENAME, "path", "record_bytes", "_records", "_step", (F.col("_k") * F.col("_step")).alias("first_record"),
     ).select(
         C.FILENAME, "path", "record_bytes", "first_record",
         F.least(F.col("_step"), F.col("_records") - F.col("first_record")).alias("n_records"))
-    # Rows are a few bytes, what they stand for is not: deal them out by number.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = pa.schema([(C.FILENAME, pa.string()), ("first_record", pa.int64()), (C.DAT_CONTENT, pa.binary())])
-    return ranges.repartition(n, C.FILENAME, "first_record").mapInArrow(
-        lambda batches: _read_ranges(batches, schema),
-        f"{C.FILENAME} string, first_record bigint, {C.DAT_CONTENT} binary")

@@ -45,6 +45,7 @@ from gridwave.operators.pairing import ARRIVAL_WAIT, INGEST_TIME, interval_join_
 from gridwave.session import bounded_listing
 from gridwave.sources import files as FS
 from gridwave.streaming import arrivals as AV
+from gridwave.streaming.complete import N_CHANNELS, N_SAMPLES
 
 CONFIG_FILES_BRONZE = "config_files_bronze"
 DAT_FILES_BRONZE = "dat_files_bronze"
@@ -126,7 +127,9 @@ def metadata(recs: DataFrame, watermark: str = C.METADATA_WATERMARK) -> DataFram
 
 
 def flattened(recs: DataFrame) -> DataFrame:
-    return SH.flatten_long(recs, C.TIMESTAMP, keep=(C.FILENAME, C.PROCESSED_TIMESTAMP))
+    """One row per sample and channel, which also says how many there are of each."""
+    sized = recs.withColumns({N_SAMPLES: F.size(C.ANALOG), N_CHANNELS: F.size(C.ANALOG_CHANNEL_NAMES)})
+    return SH.flatten_long(sized, C.TIMESTAMP, keep=(C.FILENAME, C.PROCESSED_TIMESTAMP, N_SAMPLES, N_CHANNELS))
 
 
 def pivoted(recs: DataFrame, channels: Sequence[str] = C.PHASE_CHANNELS) -> DataFrame:

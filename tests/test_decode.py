@@ -345,9 +345,15 @@ def test_one_large_binary_body_is_decoded_by_several_tasks(spark, tmp_path):
     root = str(tmp_path / "a b")
     write_pair(root, "big", (pair[C.CONFIG_CONTENT], bytes(pair[C.DAT_CONTENT]) + b"part"))
     configs = FS.scan_cfg(spark, root)
-    ranges = FS.scan_dat_ranges(spark, root, DE.record_bytes(configs), range_bytes=50_000)
-    assert ranges.withColumn("p", F.spark_partition_id()).select("p").distinct().count() > 1
-    parts = sorted(DE.decode_binary_ranges(ranges, configs).collect(), key=lambda r: r.first_record)
+    ranges = FS.dat_ranges(spark, root, DE.record_bytes(configs), range_bytes=50_000)
+    decoded = DE.decode_binary_ranges(ranges, configs)
+    assert decoded.withColumn("p", F.spark_partition_id()).select("p").distinct().count() > 1
+    # The bytes are read and decoded behind the last shuffle: no exchange stands above the node that holds them.
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("MapInArrow")
+    assert C.DAT_CONTENT not in below and "Repartition" in below
+    assert "Repartition" not in above and "Join" not in above and "Aggregate" not in above
+    parts = sorted(decoded.collect(), key=lambda r: r.first_record)
     whole = decode_folder(spark, root)["big"]
     assert len(parts) > 10
     for c in (C.ANALOG, C.STATUS, C.MICROSECONDS):
