@@ -10,6 +10,7 @@ waveform), not the same weights.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -17,13 +18,13 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from gridwave import constants as C
-from gridwave.session import path_exists
+from gridwave.session import path_exists, put_if_absent
 
 EPS = 1e-7  # probability clip for the log loss
 
@@ -111,35 +112,66 @@ def select_budget(train: DataFrame, val: DataFrame, label: str,
               "val_recall double")
 
 
+# --------------------------------------------------------------------------- registry
+# The log has a file for each entry, <root>/<name>/log/<number>.json, which is written
+# under a hidden name and gets its own by a rename that fails where the number is taken:
+# then the log is read again and the next number tried.
+LOG_ENTRY = ("entry int, kind string, version int, path string, stage string, metrics string, "
+             "test_loss double, test_precision double, test_recall double")
+STAGES = ("None", "Staging", "Production", "Archived")
+
+
+def _log_entries(spark: SparkSession, root: str, name: str) -> DataFrame:
+    folder = f"{root}/{name}/log"
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], LOG_ENTRY)
+    return spark.read.schema(LOG_ENTRY).json(folder)
+
+
+def _append(spark: SparkSession, root: str, name: str, make: Callable[[int], dict]) -> dict:
+    """Append ``make(last version)`` to the log, after whatever others appended meanwhile."""
+    while True:
+        last, version = _log_entries(spark, root, name).agg(F.max("entry"), F.max("version")).first()
+        entry = {"entry": (last or 0) + 1} | make(version or 0)
+        folder = f"{root}/{name}/log"
+        if put_if_absent(spark, f"{folder}/{entry['entry']:08}.json", (json.dumps(entry) + "\n").encode()):
+            return entry
+
+
 def save_model(model: PipelineModel, root: str, name: str, metrics: dict,
                spark: SparkSession, stage: str = "Production") -> str:
-    """Versioned save + one metrics row appended to ``<root>/<name>/registry``.
+    """Save a model and log it as the next version; several writers each get their own.
 
-    The registry keeps every version; a version's folder is never overwritten,
-    so of two writers that take the same number the second fails.
+    The folder is complete before the entry names it, and is never overwritten.
     """
-    registry = f"{root}/{name}/registry"
-    version = 1
-    if path_exists(spark, registry):
-        version += spark.read.parquet(registry).agg(F.max("version")).first()[0]
-    path = f"{root}/{name}/v{version}"
+    path = f"{root}/{name}/model-{uuid.uuid4().hex}"
     model.write().save(path)
-    row = spark.createDataFrame(
-        [(name, version, path, stage, json.dumps(metrics, sort_keys=True),
-          *[float(metrics.get(k, float("nan"))) for k in ("loss", "precision", "recall")])],
-        "name string, version int, path string, stage string, metrics string, "
-        "test_loss double, test_precision double, test_recall double")
-    row.write.mode("append").parquet(registry)
+    numbers = {f"test_{k}": float(metrics[k]) for k in ("loss", "precision", "recall") if metrics.get(k) is not None}
+    _append(spark, root, name, lambda last: {
+        "kind": "version", "version": last + 1, "path": path, "stage": stage,
+        "metrics": json.dumps(metrics, sort_keys=True), **numbers})
     return path
 
 
+def transition(spark: SparkSession, root: str, name: str, version: int, stage: str) -> None:
+    """Log that ``version`` is in ``stage`` from now on."""
+    if stage not in STAGES:
+        raise ValueError(f"no stage {stage!r}; there are {', '.join(STAGES)}")
+    if not _log_entries(spark, root, name).filter((F.col("kind") == "version") & (F.col("version") == version)).count():
+        raise ValueError(f"{name} has no version {version}")
+    _append(spark, root, name, lambda last: {"kind": "stage", "version": version, "stage": stage})
+
+
 def model_versions(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Every version; only the newest that was saved as Production still is,
-    earlier ones are Archived."""
-    rows = spark.read.parquet(f"{root}/{name}/registry")
-    live = rows.filter(F.col("stage") == "Production").agg(F.max("version")).first()[0]
-    earlier = (F.col("stage") == "Production") & (F.col("version") < F.lit(live))
-    return rows.withColumn("stage", F.when(earlier, F.lit("Archived")).otherwise(F.col("stage")))
+    """Every version with its stage: the one logged last, but a version that was
+    moved to Production archives the one that was there before."""
+    log = _log_entries(spark, root, name)
+    now = log.groupBy("version").agg(F.max_by("stage", "entry").alias("stage"), F.max("entry").alias("since"))
+    live = now.filter(F.col("stage") == "Production").agg(F.max("since")).first()[0]
+    earlier = (F.col("stage") == "Production") & (F.col("since") < F.lit(live))
+    stages = now.select("version", F.when(earlier, F.lit("Archived")).otherwise(F.col("stage")).alias("stage"))
+    return log.filter(F.col("kind") == "version").drop("stage", "entry", "kind").join(stages, "version").select(
+        F.lit(name).alias("name"), "version", "path", "stage", "metrics", "test_loss", "test_precision", "test_recall")
 
 
 def production_model(spark: SparkSession, root: str, name: str) -> PipelineModel:
@@ -173,6 +205,37 @@ def external_scorer(load: Callable[[], Callable[[np.ndarray], np.ndarray]],
     return _score
 
 
+def tensor_scorer(load: Callable[[], Callable[[np.ndarray], np.ndarray]],
+                  shape: tuple[int, int] = (C.WAVEFORM_LENGTH, len(C.PHASE_CHANNELS)), batch: int = 1024) -> Callable:
+    """``predict_batch_udf`` over waveforms of one shape: a function of the waveform column.
+
+    Waveforms arrive as stacked tensors of ``batch`` rows; ``load`` runs once per
+    Python worker.  Others than of that shape, and null ones, score null.
+    """
+    def make_predict():
+        predict = load()
+        return lambda flat: np.asarray(predict(flat), dtype=np.float64).reshape(-1)
+
+    scorer = predict_batch_udf(make_predict, return_type=DoubleType(), batch_size=batch, input_tensor_shapes=[list(shape)])
+    blank = F.array_repeat(F.lit(0.0), shape[0] * shape[1])
+
+    def score_of(signal: Column) -> Column:
+        fits = F.coalesce((F.size(signal) == shape[0]) & F.forall(signal, lambda r: F.coalesce(
+            F.size(r) == shape[1], F.lit(False))), F.lit(False))
+        return F.when(fits, scorer(F.when(fits, flat_features(signal)).otherwise(blank)))
+    return score_of
+
+
+def broadcast_linear(spark: SparkSession, weights: Sequence[float], intercept: float = 0.0) -> Callable:
+    """Plain weights as a scorer whose model is sent to each executor once."""
+    held = spark.sparkContext.broadcast(np.asarray(weights, dtype=np.float64))
+
+    def load():
+        coef = held.value
+        return lambda x: 1.0 / (1.0 + np.exp(-(x.reshape(x.shape[0], -1) @ coef + intercept)))
+    return load
+
+
 def numpy_logistic(model: PipelineModel) -> Callable[[], Callable[[np.ndarray], np.ndarray]]:
     """The fitted pipeline as plain numpy (for the plug-in path and its tests)."""
     scaler, lr = model.stages[0], model.stages[1]

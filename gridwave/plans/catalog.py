@@ -22,6 +22,7 @@ from gridwave.functions import times as T
 from gridwave.operators import decode as DE
 from gridwave.operators import encode as EN
 from gridwave.operators import frames as FR
+from gridwave.operators import kernels as KN
 from gridwave.operators import model as MD
 from gridwave.operators import pairing as PR
 from gridwave.operators import shape as SH
@@ -422,6 +423,35 @@ def train_classifier(spark, d):
     return _scored_out(MD.score(model, split.filter(F.col("split") == "test")))
 
 
+@register("kernel_features")
+def kernel_features(spark, d):
+    """Steps of seeded convolution kernels over the frames."""
+    rows = _features(spark, d)
+    return rows.select(C.FILENAME, "frame", "is_fault", KN.kernel_features(F.col("signal")).alias("features"))
+
+
+def _kernel_split(spark, d) -> DataFrame:
+    """Split features with the kernels' behind them, written once."""
+    both = _split_features(spark, d).withColumn("features", F.concat("features", KN.kernel_features(F.col("signal"))))
+    return _written(spark, d, both, "kernel-features")
+
+
+@register("kernel_classifier")
+def kernel_classifier(spark, d):
+    """The classifier over samples and kernel features; its scores of the test rows."""
+    split = _kernel_split(spark, d)
+    model = MD.fit(split.filter(F.col("split") == "train"), "is_fault", C.REFIT_EPOCHS)
+    return _scored_out(MD.score(model, split.filter(F.col("split") == "test")))
+
+
+@register("loss_curve")
+def loss_curve(spark, d):
+    """Train and validation loss over 64 epochs of one descent from zero."""
+    curve, _, _ = KN.descend(_split_features(spark, d), "is_fault", "features", epochs=C.SELECTION_EPOCHS, rate=2.0,
+                             scale=0.01)
+    return curve.select("epoch", *[F.round(c, 6).alias(c) for c in ("train_loss", "val_loss")])
+
+
 @register("model_selection")
 def model_selection(spark, d):
     split = _split_features(spark, d)
@@ -465,7 +495,7 @@ def _train_and_save(spark, d, root: str) -> None:
 def production_model(spark, d):
     """The Production model for these events; trained where there is none yet."""
     root = ST.staged(spark, "models", d, ("events",))
-    if not path_exists(spark, f"{root}/{MODEL_NAME}/registry"):
+    if not path_exists(spark, f"{root}/{MODEL_NAME}/log"):
         _train_and_save(spark, d, root)
     return MD.production_model(spark, root, MODEL_NAME)
 
@@ -825,6 +855,29 @@ def score_fixed(spark, d):
     return _fixed_scores(spark, d).withColumn("fault_score", F.round("fault_score", 6))
 
 
+@register("score_tensor")
+def score_tensor(spark, d):
+    """The same scores through ``predict_batch_udf`` and a broadcast model."""
+    frames = FR.frame_waveforms(TD.raw_samples(_events(spark, d)), C.FILENAME, "time_us", ["event_id"],
+                                C.TEST_FRAME_LENGTH, label_col="is_fault", bucket_us=TD.EVENT_BUCKET_US)
+    shape = (C.TEST_FRAME_LENGTH, len(C.PHASE_CHANNELS))
+    score_of = MD.tensor_scorer(MD.broadcast_linear(spark, fixed_weights(shape[0] * shape[1])), shape)
+    return frames.select(C.FILENAME, "frame", "is_fault", F.round(score_of(F.col("signal")), 6).alias("fault_score"))
+
+
+@register("model_transitions")
+def model_transitions(spark, d):
+    """Two versions, of which the second goes to Production after the first: one is archived."""
+    root = f"{ST.staging_path(spark, 'registry', d)}/run-{uuid.uuid4().hex[:10]}"
+    model, test = _refit(spark, d)
+    n = test.count()
+    for stage in ("Production", "Staging"):
+        MD.save_model(model, root, MODEL_NAME, {"n": n}, spark, stage)
+    MD.transition(spark, root, MODEL_NAME, 2, "Production")
+    return MD.model_versions(spark, root, MODEL_NAME).select(
+        "name", "version", "stage", F.get_json_object("metrics", "$.n").cast("bigint").alias("n_test"))
+
+
 @register("eval_fixed")
 def eval_fixed(spark, d):
     """Loss, precision and recall of the fixed scorer."""

@@ -545,6 +545,12 @@ p AS (SELECT filename, frame, is_fault,
 SQL["score_fixed"] = f"""WITH {_FIXED}
 SELECT filename, frame, is_fault, round(p, 6) AS fault_score FROM p"""
 
+SQL["score_tensor"] = SQL["score_fixed"]
+
+SQL["model_transitions"] = f"""WITH {SHUFFLED}
+SELECT 'fault_detection' AS name, version, stage, (SELECT count(*) FROM split WHERE split = 'test') AS n_test
+FROM (VALUES (1, 'Archived'), (2, 'Production')) v(version, stage)"""
+
 SQL["eval_fixed"] = f"""WITH {_FIXED},
 e AS (SELECT *, least(greatest(p, 1e-7::DOUBLE), 1 - 1e-7::DOUBLE) AS q FROM p)
 SELECT round(avg(-(is_fault * ln(q) + (1 - is_fault) * ln(1 - q))), 6) AS loss,
@@ -552,6 +558,34 @@ SELECT round(avg(-(is_fault * ln(q) + (1 - is_fault) * ln(1 - q))), 6) AS loss,
        round(coalesce(sum(is_fault) FILTER (WHERE p >= 0.5) / nullif(sum(is_fault), 0), 0), 6) AS recall,
        count(*) AS n FROM e"""
 
+# Feature j is kernel j mod 4 over phase (j mod 12) // 4 at sample j // 12; pad has a sample of zeros on either side.
+SQL["kernel_features"] = f"""WITH {_FIXED}
+SELECT filename, frame, is_fault, list_transform(range(16 * 3 * 4), lambda j:
+         CASE WHEN pad[j // 12 * 3 + j % 12 // 4 + 1] * ((7 + 3 * (j % 4)) % 5 - 2)
+                 + pad[j // 12 * 3 + j % 12 // 4 + 4] * ((9 + 4 * (j % 4)) % 5 - 2)
+                 + pad[j // 12 * 3 + j % 12 // 4 + 7] * ((11 + 5 * (j % 4)) % 5 - 2)
+                 > j % 4 % 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS features
+FROM (SELECT *, list_concat([0, 0, 0]::DOUBLE[], x, [0, 0, 0]::DOUBLE[]) AS pad FROM f)"""
+
+SQL["loss_curve"] = f"""WITH RECURSIVE {SHUFFLED},
+waves AS (SELECT filename, (rn - 1) // 16 AS frame,
+                 list_transform(flatten(list([IA, IB, IC] ORDER BY rn)), lambda v: coalesce(v, 0.0::DOUBLE) * 0.01::DOUBLE) AS x
+          FROM idx GROUP BY 1, 2 HAVING count(*) = 16),
+data AS MATERIALIZED (SELECT is_fault::DOUBLE AS y, split = 'train' AS train, x
+                      FROM waves JOIN split USING (filename, frame) WHERE split <> 'test'),
+steps AS (
+  SELECT 0 AS epoch, list_transform(range(48), lambda j: 0.0::DOUBLE) AS w, 0.0::DOUBLE AS b
+  UNION ALL
+  SELECT epoch + 1, [{", ".join(f"any_value(w)[{j}] - 2 * sum(off * x[{j}]) / count(*)" for j in range(1, 49))}],
+         any_value(b) - 2 * sum(off) / count(*)
+  FROM (SELECT epoch, w, b, x, 1 / (1 + exp(-(list_dot_product(x, w) + b))) - y AS off
+        FROM steps, data WHERE train AND epoch < 64) GROUP BY epoch),
+q AS (SELECT epoch, train, y, least(greatest(1 / (1 + exp(-(list_dot_product(x, w) + b))), 1e-7::DOUBLE),
+                                    1 - 1e-7::DOUBLE) AS p FROM steps, data)
+SELECT epoch, round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))) FILTER (WHERE train), 6) AS train_loss,
+       round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))) FILTER (WHERE NOT train), 6) AS val_loss
+FROM q GROUP BY epoch"""
+
 SQL["stream_ingest_clock"] = f"""WITH {CAPTURES}
 SELECT folder, filename, true AS has_clock FROM captures, (VALUES ('ascii.v1'), ('binary.v1')) v(folder)"""
 

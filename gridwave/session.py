@@ -11,6 +11,7 @@ import hashlib
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 from contextlib import contextmanager
 
@@ -126,11 +127,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def publish(spark: SparkSession, src: str, dst: str) -> str:
-    """Give a finished folder its name; where another run was first, its folder stays.
+def _renamed(spark: SparkSession, src: str, dst: str) -> bool:
+    """Rename; False where the target is there already.
 
     ``FileContext.rename`` refuses an existing target instead of moving the
-    folder into it, so two runs never leave two copies.
+    folder into it.  It is as atomic as the store's own rename.
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -141,9 +142,31 @@ def publish(spark: SparkSession, src: str, dst: str) -> str:
     except Py4JJavaError:
         if not path_exists(spark, dst):
             raise
+        return False
+    return True
+
+
+def publish(spark: SparkSession, src: str, dst: str) -> str:
+    """Give a finished folder its name; where another run was first, its folder stays."""
+    _renamed(spark, src, dst)
     return dst
 
 
+def put_if_absent(spark: SparkSession, path: str, content: bytes) -> bool:
+    """Write a small file whole, unless there is one of that name: then False."""
+    jvm = spark.sparkContext._jvm
+    folder, name = path.rsplit("/", 1)
+    hidden = jvm.org.apache.hadoop.fs.Path(f"{folder}/_{name}-{uuid.uuid4().hex}")
+    fs = hidden.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(hidden, False)
+    out.write(bytearray(content))
+    out.close()
+    done = _renamed(spark, hidden.toString(), path)
+    if not done:
+        fs.delete(hidden, False)
+    return done
+
+
 LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 

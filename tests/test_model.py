@@ -4,6 +4,7 @@ registry round trip, odd-length waveforms score null."""
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gridwave.operators import model as MD
@@ -59,7 +60,7 @@ def test_registry_versions_and_production_load(spark, scratch):
     m2 = MD.fit(df, "y", 20)
     MD.save_model(m1, scratch, "fd", {"loss": 1.0}, spark)
     MD.save_model(m2, scratch, "fd", {"loss": 0.5}, spark)
-    reg = spark.read.parquet(f"{scratch}/fd/registry").orderBy("version").collect()
+    reg = MD.model_versions(spark, scratch, "fd").orderBy("version").collect()
     assert [r.version for r in reg] == [1, 2]
     stages = {r.version: r.stage for r in MD.model_versions(spark, scratch, "fd").collect()}
     assert stages == {1: "Archived", 2: "Production"}
@@ -85,3 +86,44 @@ def test_plugin_query_agrees_with_spark_ml(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert (a[k] is None and b[k] is None) or abs(a[k] - b[k]) <= 2e-6, k
+
+
+def stages(spark, root):
+    return {r.version: r.stage for r in MD.model_versions(spark, root, "fd").collect()}
+
+
+def test_transitions_archive_the_version_before(spark, scratch):
+    model = MD.fit(_toy(spark), "y", 1)
+    for _ in range(3):
+        MD.save_model(model, scratch, "fd", {"loss": 1.0}, spark, "Staging")
+    assert stages(spark, scratch) == {1: "Staging", 2: "Staging", 3: "Staging"}
+    MD.transition(spark, scratch, "fd", 2, "Production")
+    MD.transition(spark, scratch, "fd", 3, "Production")
+    assert stages(spark, scratch) == {1: "Staging", 2: "Archived", 3: "Production"}
+    MD.transition(spark, scratch, "fd", 2, "Production")        # back again
+    MD.transition(spark, scratch, "fd", 1, "Archived")
+    assert stages(spark, scratch) == {1: "Archived", 2: "Production", 3: "Archived"}
+    with pytest.raises(ValueError):
+        MD.transition(spark, scratch, "fd", 9, "Production")
+    with pytest.raises(ValueError):
+        MD.transition(spark, scratch, "fd", 1, "Live")
+
+
+def test_writers_at_once_keep_all_versions(spark, scratch):
+    from concurrent.futures import ThreadPoolExecutor
+    model = MD.fit(_toy(spark), "y", 1)
+    with ThreadPoolExecutor(4) as pool:
+        paths = list(pool.map(lambda k: MD.save_model(model, scratch, "fd", {"k": k}, spark), range(4)))
+    rows = MD.model_versions(spark, scratch, "fd").collect()
+    assert sorted(r.version for r in rows) == [1, 2, 3, 4] and {r.path for r in rows} == set(paths)
+    assert sorted(r.stage for r in rows) == ["Archived"] * 3 + ["Production"]
+
+
+def test_tensor_scorer_scores_odd_shapes_null(spark):
+    rows = [(1, [[1.0, 2.0], [3.0, None]]), (2, None), (3, [[1.0, 2.0]]), (4, [[1.0], [2.0]]), (5, [[0.0, 0.0], [0.0, 1.0]]),
+            (6, [[1.0, 2.0], None])]
+    df = spark.createDataFrame(rows, "k int, w array<array<double>>")
+    score = MD.tensor_scorer(MD.broadcast_linear(spark, [1.0, 0.0, -1.0, 2.0]), (2, 2), batch=2)
+    got = {r.k: r.s for r in df.select("k", score(df.w).alias("s")).collect()}
+    assert {k for k, v in got.items() if v is None} == {2, 3, 4, 6}
+    assert got[1] == pytest.approx(1 / (1 + np.exp(2))) and got[5] == pytest.approx(1 / (1 + np.exp(-2)))

@@ -23,7 +23,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_without_oracle_is_a_model_fit():
     missing = set(REGISTRY) - set(oracle_sql())
-    assert missing <= {"train_classifier", "model_selection", "refit_classifier", "eval_metrics",
+    assert missing <= {"train_classifier", "kernel_classifier", "model_selection", "refit_classifier", "eval_metrics",
                        "model_metrics", "score_waveforms", "score_plugin", "stream_score"}
 
 
