@@ -18,7 +18,8 @@ whole.
 
 A null text or one without a letter gets ``und`` and score 0.  So do all texts
 where there is nothing to learn from.  Ties go to the first language in
-alphabetical order.  Repeated rows are labelled each.
+alphabetical order.  Repeated rows are labelled each.  An empty table gives no
+rows.  Extra columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ words.  A notice without phrases may lose some words, so its anchors are as
 many more.
 
 The base labels come from phrases whose words stand consecutively.  A null or
-empty text has no words, no label and score 0.  Repeated rows count each.
+empty text has no words, no label and score 0.  Repeated rows count each.  An
+empty table gives no rows.  Extra columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

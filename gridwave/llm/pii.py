@@ -16,7 +16,9 @@ The weights are learned by pseudo-likelihood from the base labels of a bounded
 sample: about ``FIT_ROWS`` rows by a hash of the id, without those of more than
 ``FIT_TOKENS`` candidates.  Inference covers every text whole.
 
-A null or empty text has no spans.  Repeated rows are judged each.
+A null or empty text has no spans.  Repeated rows are judged each.  An empty table gives no
+rows.  Extra columns, whatever their names, are not read (``mask_pii`` returns
+them as they are).
 """
 
 from __future__ import annotations

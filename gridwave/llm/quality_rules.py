@@ -7,7 +7,9 @@ a later rule and the features it needs are evaluated only where all before it
 pass.  The verdict is the same in any order, so the sample only steers the cost.
 
 A null text counts as empty.  An empty text has no words and is rejected by
-``few_words``.  Repeated rows get the same verdict each.
+``few_words``.  Repeated rows get the same verdict each.  An empty table gives no
+rows.  Extra columns, whatever their names, are not read (``keep_good`` returns
+them as they are).
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ pieces and bytes and drops the space that encoding puts in front, so
 ``decode(encode(t)) == t`` for every text without U+2581, the mark of a space.
 
 A null or empty text has no ids and decodes to the empty text.  Repeated rows
-are encoded each.
+are encoded each.  An empty table gives no rows.  Of the extra columns only those
+in ``keep`` are read; one named like a column made here cannot be among them.
 """
 
 from __future__ import annotations

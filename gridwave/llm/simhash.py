@@ -24,7 +24,9 @@ Words are runs other than ASCII white space, with A-Z lower-cased.  A text of
 fewer words than a shingle gives its whole word sequence as one; a null or
 empty text, or one without words, has fingerprint zero, linked like any other.
 Rows with a null id get the component of their fingerprint; it is null where
-no row of the component has an id.  Repeated rows are fingerprinted each.
+no row of the component has an id.  Repeated rows are fingerprinted each.  An
+empty table gives no rows.  Extra columns, whatever their names and types, are
+not read (``keep_one`` returns them as they are).
 """
 
 from __future__ import annotations
@@ -294,7 +296,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              group_rows: int = GROUP_ROWS) -> DataFrame:
     """One row of each component: the least id, nulls last, then the least text hash.
 
-    Rows alike in id and text stay once, the least by all columns.
+    Rows alike in id and text stay once, the least by all columns (by their JSON
+    where a map, which has no order, is among them).
     """
     prints, named = _grouped(docs, id_col, text_col, shingle_words, max_bits, group_rows)
     names = [f"_c{i}" for i in range(len(docs.columns))]
@@ -306,6 +309,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = first.join(seen, both(first, seen)).select(
         first["id"].alias("_id"), first["body"].alias("_body"), F.col("n").alias("_n"))
     kept = rows.join(first, own_id.eqNullSafe(F.col("_id")) & (_body(own_text) == F.col("_body")))
+    row = F.struct(*names)
+    least = F.min_by(row, F.to_json(row)) if "map<" in docs.schema.simpleString() else F.min(row)
     once = kept.filter(F.col("_n") == 1).select(*names)
-    again = kept.filter(F.col("_n") > 1).groupBy("_id", "_body").agg(F.min(F.struct(*names)).alias("_row"))
+    again = kept.filter(F.col("_n") > 1).groupBy("_id", "_body").agg(least.alias("_row"))
     return once.unionByName(again.select(*[F.col("_row")[n].alias(n) for n in names])).toDF(*docs.columns)

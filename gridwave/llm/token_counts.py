@@ -13,7 +13,8 @@ keeps a bounded tally of its own pre-tokens and hands on at most
 ``n_candidates`` of them; the table steers speed only, never a count.
 
 A null or empty text has 0 bytes and 0 tokens.  Texts of any length are counted
-whole.  Repeated rows are counted each.
+whole.  Repeated rows are counted each.  An empty table gives no rows.  Extra
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ spread over its days.  Parent domains are emitted per pair, not per capture.
 Defined cases: no host or no fetch day gives ``blocked`` false and no category;
 several entries of a pattern on one day: the last in (action, category) order
 holds, so ``remove`` wins; an entry with a null pattern, day or action is
-ignored; repeated captures keep one row each.
+ignored; repeated captures keep one row each.  No
+captures give no rows; no entries block nothing.  Extra columns of either table,
+whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -476,6 +476,13 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_keep_one_with_a_map_among_the_columns(spark, docs):
+    table = spark.sql("""SELECT * FROM VALUES (1, 'a b c d', map('k', 2), 'x'), (1, 'a b c d', map('k', 1), 'y'),
+        (2, 'A B C D', map('k', 0), 'z'), (3, 'quite another text', null, 'w') AS t(doc_id, text, fp, body)""")
+    got = sorted((r.doc_id, r.fp, r.body) for r in simhash.keep_one(table).collect())
+    assert got == [(1, {"k": 1}, "y"), (3, None, "w")]
+
+
 # --- 5 language model ------------------------------------------------------------------
 
 def plain_scores(rows, leave_out=False):
