@@ -2,7 +2,7 @@
 
 A batch is written under a hidden name and then renamed.  A batch that is run
 again after a failure finds its folder and leaves it, so a killed run neither
-loses nor repeats rows.  ``compact`` joins the folders of finished batches.
+loses nor repeats rows.
 """
 
 from __future__ import annotations
