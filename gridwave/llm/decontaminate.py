@@ -170,7 +170,8 @@ def _verified(hits: DataFrame, items: DataFrame) -> DataFrame:
 def unsearched_items(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text",
                      min_item: int = MIN_ITEM) -> DataFrame:
     """(item, ``n_item_words``) of the items that have too few words to be searched for."""
-    items = benchmark.select(F.col(item_col), F.size(word_hashes(F.col(item_text_col))).cast("long").alias("n_item_words"))
+    n_words = F.size(word_hashes(F.col(item_text_col))).cast("long")
+    items = benchmark.select(F.col(item_col), n_words.alias("n_item_words"))
     return items.filter(F.col("n_item_words") < max(1, min_item)).distinct()
 
 
