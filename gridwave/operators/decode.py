@@ -372,24 +372,16 @@ def _binary_batches(batches: Iterator[pa.RecordBatch], keep: Sequence[str]) -> I
         yield pa.RecordBatch.from_pydict(out)
 
 
-def _merge_batches(batches: Iterator[pa.RecordBatch], keep: Sequence[str]) -> Iterator[pa.RecordBatch]:
-    """Rows with a binary body are decoded here; the others keep the arrays
-    decoded by built-ins upstream."""
-    import pyarrow.compute as pc
-    for batch in batches:
-        content = batch.column(C.DAT_CONTENT)
-        want = pc.is_valid(content).to_pylist()
-        cols = {k: batch.column(k).to_pylist() for k in
-                (C.DAT_CONTENT, "_na", "_nd", "_ft", "_a", "_b", "_start_us", "_mult", "_segs",
-                 "_byrate")}
-        analog, status, times = _decode_binary_rows(cols, batch.num_rows, want)
-        is_bin = pa.array(want, pa.bool_())
-        out = {k: batch.column(k) for k in keep}
-        out[C.ANALOG] = pc.if_else(is_bin, analog, batch.column("_asc_analog"))
-        out[C.STATUS] = pc.if_else(is_bin, status, batch.column("_asc_status"))
-        out[C.MICROSECONDS] = pc.if_else(is_bin, times, batch.column("_asc_micros"))
-        out["_cfg_row"] = batch.column("_cfg_row")
-        yield pa.RecordBatch.from_pydict(out)
+_BINARY_ARRAYS = StructType([StructField(C.ANALOG, ArrayType(ArrayType(DoubleType()))),
+                             StructField(C.STATUS, ArrayType(ArrayType(DoubleType()))),
+                             StructField(C.MICROSECONDS, ArrayType(LongType()))])
+
+
+@F.arrow_udf(_BINARY_ARRAYS)
+def _binary_of(rows: pa.Array) -> pa.Array:
+    """Bodies with what their decoding needs -> struct of arrays; null in, nulls out."""
+    cols = {f.name: rows.field(f.name).to_pylist() for f in rows.type}
+    return pa.StructArray.from_arrays(_decode_binary_rows(cols, len(rows), cols["_ok"]), names=_ARRAYS)
 
 
 def decode_binary(parsed: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> DataFrame:
@@ -402,7 +394,7 @@ def decode_binary(parsed: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> Dat
     """
     cfg = F.col(CFG)
     prepared = parsed.select(
-        *keep, F.col(C.DAT_CONTENT), *_binary_inputs(cfg),
+        *keep, F.col(C.DAT_CONTENT), *[c.alias(n) for n, c in _binary_inputs(cfg).items()],
         F.struct(*_common_columns(cfg)).alias("_cfg_row"))
     keep_fields = [f for f in prepared.schema.fields if f.name in keep]
     cfg_field = prepared.schema["_cfg_row"]
@@ -453,7 +445,7 @@ def decode_binary_ranges(ranges: DataFrame, configs: DataFrame) -> DataFrame:
     """
     cfg, keep = F.col(CFG), [C.FILENAME, "first_record"]
     headers = _only(with_header(configs), _is_binary(cfg), [
-        F.col(C.FILENAME), *_binary_inputs(cfg), F.struct(*_common_columns(cfg)).alias("_cfg_row")])
+        F.col(C.FILENAME), *[c.alias(n) for n, c in _binary_inputs(cfg).items()], F.struct(*_common_columns(cfg)).alias("_cfg_row")])
     rows = ranges.join(headers, C.FILENAME)
     # Rows are a few bytes, what they stand for is not: deal them out by number.
     rows = rows.repartition(int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keep)
@@ -465,12 +457,13 @@ def decode_binary_ranges(ranges: DataFrame, configs: DataFrame) -> DataFrame:
     return decoded.select(*keep, *_ARRAYS, "_cfg_row.*").select(*keep, *OUTPUT_ORDER)
 
 
-def _binary_inputs(cfg: Column) -> list[Column]:
-    return [F.coalesce(_is_binary(cfg), F.lit(False)).alias("_ok"), cfg["n_analog"].alias("_na"), cfg["n_status"].alias("_nd"), cfg["file_type"].alias("_ft"),
-            F.transform(cfg["analog_channels"], lambda c: c["a"]).alias("_a"),
-            F.transform(cfg["analog_channels"], lambda c: c["b"]).alias("_b"),
-            F.unix_micros(cfg["start"]).alias("_start_us"), cfg["time_mult"].alias("_mult"),
-            rate_segments(cfg).alias("_segs"), _uses_rates(cfg).alias("_byrate")]
+def _binary_inputs(cfg: Column) -> dict[str, Column]:
+    """By name, what the decoding of a binary body needs of its header."""
+    return {"_ok": F.coalesce(_is_binary(cfg), F.lit(False)), "_na": cfg["n_analog"], "_nd": cfg["n_status"],
+            "_ft": cfg["file_type"], "_a": F.transform(cfg["analog_channels"], lambda c: c["a"]),
+            "_b": F.transform(cfg["analog_channels"], lambda c: c["b"]),
+            "_start_us": F.unix_micros(cfg["start"]), "_mult": cfg["time_mult"],
+            "_segs": rate_segments(cfg), "_byrate": _uses_rates(cfg)}
 
 
 def decode_recordings(pairs: DataFrame, keep: Sequence[str] = (C.FILENAME,)) -> DataFrame:
@@ -478,7 +471,7 @@ def decode_recordings(pairs: DataFrame, keep: Sequence[str] = (C.FILENAME,)) ->
 
     Where a ``file_type`` column tells the kinds apart beforehand (the paired
     table is partitioned by it), ASCII pairs are a branch of their own without
-    any Python, and each branch reads its own partitions only.
+    any Python node, and each branch reads its own partitions only.
     """
     if "file_type" not in pairs.columns:
         return _decode_mixed(pairs, keep)
@@ -493,36 +486,19 @@ def _decode_mixed(pairs: DataFrame, keep: Sequence[str]) -> DataFrame:
     A pair whose header cannot be read (``header_problems`` says why) keeps
     its row, with null samples.
 
-    ASCII bodies are decoded by built-ins in the projection; only binary
-    bodies are handed to Python (the ASCII rows' bytes are nulled before the
-    Arrow hop), and one ``mapInArrow`` merges the two.  Every file is read
-    once.
+    Every file is read once.  Python is handed binary bodies alone, nulls
+    stand for the others; ASCII bodies are decoded by built-ins behind it.
     """
-    keep = list(keep)
-    parsed = with_header(pairs)
+    staged = with_header(pairs)
     cfg = F.col(CFG)
-    readable = F.col("_kok")
-    is_ascii = readable & (cfg["file_type"] == "ASCII")
-    is_binary = readable & cfg["file_type"].isin(*_SAMPLE_TYPES)
-    staged, analog, status, micros = _ascii_arrays(parsed, keep)
-    empty_ll = F.lit(None).cast("array<array<double>>")
-    prepared = staged.select(
-        *keep,
-        F.when(is_ascii, analog).otherwise(empty_ll).alias("_asc_analog"),
-        F.when(is_ascii, status).otherwise(empty_ll).alias("_asc_status"),
-        F.when(is_ascii, micros).otherwise(F.lit(None).cast("array<bigint>")).alias("_asc_micros"),
-        F.when(is_binary, F.col(C.DAT_CONTENT)).alias(C.DAT_CONTENT),
-        *_binary_inputs(cfg),
-        F.struct(*_common_columns(cfg)).alias("_cfg_row"))
-    keep_fields = [f for f in prepared.schema.fields if f.name in keep]
-    nested = ArrayType(ArrayType(DoubleType()))
-    schema = StructType([*keep_fields,
-                         StructField(C.ANALOG, nested), StructField(C.STATUS, nested),
-                         StructField(C.MICROSECONDS, ArrayType(LongType())),
-                         prepared.schema["_cfg_row"]])
-    merged = prepared.mapInArrow(lambda it: _merge_batches(it, keep), schema)
-    return merged.select(*keep, C.ANALOG, C.STATUS, C.MICROSECONDS, "_cfg_row.*").select(
-        *keep, *OUTPUT_ORDER)
+    body = F.struct(C.DAT_CONTENT, *[c.alias(name) for name, c in _binary_inputs(cfg).items()])
+    made = staged.withColumn("_bin", _binary_of(F.when(_is_binary(cfg), body)))
+    staged, analog, status, micros = _ascii_arrays(made, keep)
+    is_ascii = F.col("_kok") & (cfg["file_type"] == "ASCII")
+    return staged.select(*keep, *[
+        F.when(is_ascii, text).otherwise(F.col("_bin")[name]).alias(name)
+        for name, text in zip(_ARRAYS, (analog, status, micros))], *_common_columns(cfg),
+    ).select(*keep, *OUTPUT_ORDER)
 
 
 # --------------------------------------------------------------------------- line-split ASCII

@@ -216,8 +216,7 @@ def gather_recordings(rows: DataFrame, key: str, time_us: str, values: str, fram
 def waveform_matrix(gathered: DataFrame, channels: Sequence[str] = PHASES,
                     steps: str = "timestep") -> Column:
     """array<struct(timestamp, phases)> -> array<array<double>> (T x phases)."""
-    by_time = F.arrays_zip(*[F.col(steps)[ch].alias(ch) for ch in channels])
-    return F.transform(by_time, lambda row: F.array(*[row.getField(ch) for ch in channels]))
+    return F.transform(F.col(steps), lambda row: F.array(*[row[ch] for ch in channels]))
 
 
 # ---------------------------------------------------------------------------

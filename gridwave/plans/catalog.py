@@ -750,7 +750,7 @@ def decode_dialects(spark, d):
     which = F.pmod(F.conv(F.substring(F.md5(C.FILENAME), 1, 8), 16, 10).cast("bigint"), F.lit(6))
     header, content = dialect(F.col(C.CONFIG_CONTENT), F.col(C.DAT_CONTENT), which)
     respelt = pairs.select(C.FILENAME, header.alias(C.CONFIG_CONTENT), content.alias(C.DAT_CONTENT))
-    return _rounded(DE.decode_recordings(respelt))
+    return _rounded(DE.decode_ascii(DE.with_header(respelt)))
 
 
 @register("header_problems")
@@ -791,7 +791,7 @@ def raw_recordings(spark, d) -> DataFrame:
 def convert_raw_text(spark, d):
     """Raw text files -> header and body pairs -> decoded again."""
     pairs = EN.encode_ascii(raw_recordings(spark, d))
-    return _rounded(DE.decode_recordings(pairs)).select(
+    return _rounded(DE.decode_ascii(DE.with_header(pairs))).select(
         C.FILENAME, C.STATION_NAME, C.ANALOG_CHANNEL_NAMES, C.ANALOG, C.MICROSECONDS)
 
 
@@ -855,6 +855,17 @@ def score_fixed(spark, d):
     return _fixed_scores(spark, d).withColumn("fault_score", F.round("fault_score", 6))
 
 
+@register("stream_gold_recordings")
+def stream_gold_recordings(spark, d):
+    """One gold row for each recording file: the highest fixed score of its frames."""
+    run = _stream_run(spark, d, PL.RECORDINGS_SILVER)
+    shape = (C.TEST_FRAME_LENGTH, len(C.PHASE_CHANNELS))
+    score_of = MD.tensor_scorer(MD.broadcast_linear(spark, fixed_weights(shape[0] * shape[1])), shape)
+    gold = run.score_recordings("gold_recordings", lambda frames: frames.withColumn(
+        "fault_score", score_of(F.col("timestep_array"))))
+    return gold.select(*_folder_and_name(), "frames", "scored_frames", F.round("fault_score", 6).alias("fault_score"))
+
+
 @register("score_tensor")
 def score_tensor(spark, d):
     """The same scores through ``predict_batch_udf`` and a broadcast model."""

@@ -547,6 +547,18 @@ SELECT filename, frame, is_fault, round(p, 6) AS fault_score FROM p"""
 
 SQL["score_tensor"] = SQL["score_fixed"]
 
+_EXACT_INT = ("(CASE WHEN lo < hi THEN ((hi / 2 - lo / 2) / 32767.0::DOUBLE) * k + (lo / 2 + hi / 2) ELSE value END)")
+_FRAME = """SELECT '{folder}' AS folder, filename, (n_in_cap - 1) // 16 AS frame, count(*) AS n,
+    list_transform(flatten(list([CASE WHEN ch = 'IA' THEN {v} END, CASE WHEN ch = 'IB' THEN {v} END,
+      CASE WHEN ch = 'IC' THEN {v} END] ORDER BY pos)), lambda x: coalesce(x, 0.0::DOUBLE)) AS x
+  FROM capt GROUP BY filename, (n_in_cap - 1) // 16"""
+SQL["stream_gold_recordings"] = f"""WITH {_STREAM_BASE},
+f AS ({_FRAME.format(folder="ascii.v1", v="value")} UNION ALL {_FRAME.format(folder="binary.v1", v=_EXACT_INT)}),
+p AS (SELECT folder, filename, CASE WHEN n = 16 THEN
+        1 / (1 + exp(-list_sum(list_transform(x, lambda v, i: v * ((i - 1) % 5 - 2) / 100.0::DOUBLE)))) END AS p FROM f)
+SELECT folder, filename, count(*) AS frames, count(p) AS scored_frames, round(max(p), 6) AS fault_score
+FROM p GROUP BY folder, filename"""
+
 SQL["model_transitions"] = f"""WITH {SHUFFLED}
 SELECT 'fault_detection' AS name, version, stage, (SELECT count(*) FROM split WHERE split = 'test') AS n_test
 FROM (VALUES (1, 'Archived'), (2, 'Production')) v(version, stage)"""

@@ -26,7 +26,7 @@ Choices against the reference's stream (see README):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -45,6 +45,7 @@ from gridwave.operators.pairing import ARRIVAL_WAIT, INGEST_TIME, interval_join_
 from gridwave.session import bounded_listing
 from gridwave.sources import files as FS
 from gridwave.streaming import arrivals as AV
+from gridwave.streaming.commits import BATCH, commit_batch
 from gridwave.streaming.complete import N_CHANNELS, N_SAMPLES
 
 CONFIG_FILES_BRONZE = "config_files_bronze"
@@ -170,6 +171,17 @@ def gold(recs: DataFrame, model: PipelineModel, frame_len: int = C.WAVEFORM_LENG
     return scored.select(C.FILENAME, C.PROCESSED_TIMESTAMP, "frame", "length_ok", "fault_score")
 
 
+def recording_scores(scored: DataFrame) -> DataFrame:
+    """Scored frames -> a row for each recording: the highest score of its frames.
+
+    Frames that are too short have no score; a recording without any scored
+    frame keeps its row, with a null score.
+    """
+    return scored.groupBy(C.FILENAME, C.PROCESSED_TIMESTAMP).agg(
+        F.count(F.lit(1)).alias("frames"), F.count("fault_score").alias("scored_frames"),
+        F.max("fault_score").alias("fault_score"))
+
+
 # --------------------------------------------------------------------------- running
 @dataclass
 class PipelineRun:
@@ -260,6 +272,27 @@ class PipelineRun:
         return (files.writeStream.foreachBatch(step).option("checkpointLocation", self.checkpoint(JOINED_FILES_BRONZE))
                 .trigger(availableNow=True).start())
 
+    def score_recordings(self, name: str, score: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Gold by recording, as table ``name``: ``score`` adds ``fault_score`` to frames.
+
+        A recording is one row of its micro-batch, so its frames are scored and
+        put together inside the batch, without state or watermark.
+        """
+        recs = self.read_stream(RECORDINGS_SILVER)
+
+        def step(new: DataFrame, batch_id: int) -> None:
+            commit_batch(recording_scores(score(waveforms(new, self.frame_len))), self.path(name), batch_id)
+
+        q = (recs.writeStream.foreachBatch(step).option("checkpointLocation", self.checkpoint(name))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        types = {f.name: f.dataType for f in recs.schema}
+        self.schemas[name] = T.StructType([
+            T.StructField(C.FILENAME, T.StringType()), T.StructField(C.PROCESSED_TIMESTAMP, types[C.PROCESSED_TIMESTAMP]),
+            T.StructField("frames", T.LongType()), T.StructField("scored_frames", T.LongType()),
+            T.StructField("fault_score", T.DoubleType()), T.StructField(BATCH, T.LongType())])
+        return self.read(name)
+
     def start_table(self, table: str):
         if table == JOINED_FILES_BRONZE and self.pairing == "index":
             return self.start_pairing()

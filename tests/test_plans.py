@@ -62,9 +62,21 @@ def test_ascii_branch_of_the_paired_table_has_no_python(spark):
     from pyspark.sql import functions as F
     from gridwave.operators import decode as DE
     from gridwave.operators import encode as EN
-    pairs = EN.encode_ascii(Q._captures(spark, SF_SMALL)).withColumn("file_type", F.lit("ASCII"))
+    pairs = EN.encode_ascii(Q._captures(spark, SF_SMALL)).withColumn("file_type", F.substring_index("filename", "_", 1))
     node = DE.decode_recordings(pairs)._jdf.queryExecution().optimizedPlan()
     while node.nodeName() != "Union":
         node = node.children().apply(0)
     text, other = node.children().apply(0).toString(), node.children().apply(1).toString()
-    assert "MapInArrow" not in text and "MapInArrow" in other
+    assert "ArrowEvalPython" not in text and "ArrowEvalPython" in other
+
+
+def test_decoded_ascii_samples_never_meet_python(spark):
+    """Kinds told apart by the header only: Python has the binary bodies, and one read gives both."""
+    from gridwave.operators import decode as DE
+    from gridwave.operators import encode as EN
+    pairs = EN.encode_ascii(Q._captures(spark, SF_SMALL)).select("filename", "config_content", "dat_content")
+    p = DE.decode_recordings(pairs)._jdf.queryExecution().executedPlan().toString()
+    assert p.count("ArrowEvalPython") == 1 and "MapInArrow" not in p and "Union" not in p
+    for name in ("decode_dialects", "convert_raw_text"):
+        text = plan(Q.REGISTRY[name](spark, SF_SMALL))
+        assert not any(node in text for node in ("MapInArrow", "ArrowEvalPython", "BatchEvalPython")), name

@@ -62,6 +62,18 @@ def test_pivot_and_flatten_agree_with_batch(spark, tmp_path):
     assert len(meta) == 3 and {r.station_name for r in meta} == {"ST1"}
 
 
+def test_one_gold_row_for_each_recording(spark, tmp_path):
+    """Four samples a recording, frames of three: the short frame has no score, a run again adds nothing."""
+    src = _source(tmp_path, n=3)
+    run = PL.PipelineRun(spark, src, str(tmp_path / "run"), register_tables=False, frame_len=3)
+    run.run(PL.ORDER[:4])
+    for _ in range(2):
+        rows = run.score_recordings("by_recording", lambda f: f.withColumn(
+            "fault_score", F.when(F.col("length_ok"), F.col("frame") + F.lit(0.5)))).collect()
+        assert sorted((r.frames, r.scored_frames, r.fault_score) for r in rows) == [(2, 1, 0.5)] * 3
+    assert len({r[C.FILENAME] for r in rows}) == 3
+
+
 def _touch(path, seconds):
     os.utime(path, (seconds, seconds))
 
