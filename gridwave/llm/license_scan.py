@@ -8,11 +8,14 @@ highest-IDF words of its mandatory phrases; the index lists, for each anchor,
 
 A text looks up its own words in the index.  Every hit votes for one notice at
 one start, text position less notice position, so postings are intersected by
-relative position.  A start with enough different anchors is verified: the
-share of the notice's words that stand at their places, and every mandatory
-phrase word for word at its place.  Texts without any anchor end there.
-
-No start that passes is missed: phrases must stand in place, and so do their
+relative position.  Votes of starts up to ``BAND`` apart count together, since a
+word put in or left out moves what follows.  A start with enough different
+anchors is verified: every mandatory phrase stands word for word within ``BAND``
+words of its place, and of the notice's words a share of ``MIN_SHARE`` stands in
+order there (longest common subsequence inside the band).  Texts without any
+anchor end there.
+
+No start that passes is missed: mandatory phrases are there, and so are their
 words.  A notice without phrases may lose some words, so its anchors are as
 many more.
 
@@ -36,7 +39,8 @@ from gridwave.llm.common import per_row, steps, type_of
 from gridwave.llm.license_templates import BASE_PHRASES, TEMPLATES
 
 MIN_VOTES = 2           # different anchors that must agree on a start
-MIN_SHARE = 0.7         # of a notice's words at their places
+MIN_SHARE = 0.7         # of a notice's words in order
+BAND = 3                # words that a notice's words may stand off their places
 # A word, once A-Z are lower-cased: bytes.lower() changes ASCII letters only.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -86,6 +90,29 @@ def idf_of_words(docs: DataFrame, vocabulary: set[bytes], text_col: str = "text"
     return {w: math.log((1 + total) / (1 + seen.get(w, 0))) for w in vocabulary}
 
 
+def has_phrases(notice: Notice, words: list[bytes], start: int) -> bool:
+    """Each mandatory phrase stands somewhere within the band of its place."""
+    return all(any(0 <= begin and tuple(words[begin:begin + len(phrase)]) == phrase
+                   for begin in range(start + at - BAND, start + at + BAND + 1))
+               for at, phrase in notice.phrases)
+
+
+def words_in_order(notice: tuple[bytes, ...], words: list[bytes], start: int) -> int:
+    """Longest common subsequence of the notice and the text, no word more than the band off its place."""
+    width, n = 2 * BAND + 1, len(words)
+    row = [0] * (width + 1)     # by place in the band; the last entry is that of a place beyond it
+    for i, word in enumerate(notice):
+        first, left = start + i - BAND, 0
+        new = []
+        for d in range(width):
+            at = first + d
+            here = row[d] + (0 <= at < n and words[at] == word)
+            left = max(left, here, row[d + 1])      # or the text's word, or the notice's, is passed over
+            new.append(left)
+        row = new + [left]
+    return row[-1]
+
+
 class Scanner:
     """Index of the notices' anchors; ``scan`` judges one text's words."""
 
@@ -124,23 +151,23 @@ class Scanner:
         return out
 
     def notices_at(self, words: list[bytes]) -> list[tuple[str, float]]:
-        """(label, share of words in place) of each verified notice."""
-        votes: dict[tuple[int, int], set[bytes]] = defaultdict(set)
+        """(label, largest share of words in order) of each verified notice."""
+        hits: dict[int, dict[int, set[bytes]]] = defaultdict(lambda: defaultdict(set))
         for at, word in enumerate(words):
             for k, place in self.index.get(word, ()):
-                votes[k, at - place].add(word)
+                hits[k][at - place].add(word)
         out = []
-        for (k, start), anchors in votes.items():
-            notice = self.notices[k]
-            if len(anchors) < self.votes[k]:
-                continue
-            if any(start + at < 0 or tuple(words[start + at:start + at + len(p)]) != p
-                   for at, p in notice.phrases):
-                continue
-            same = sum(0 <= start + i < len(words) and words[start + i] == w
-                       for i, w in enumerate(notice.words))
-            if same >= MIN_SHARE * len(notice.words):
-                out.append((notice.label, same / len(notice.words)))
+        for k, votes in hits.items():
+            notice, best = self.notices[k], 0.0
+            near = {h + d for h in votes for d in range(-BAND, BAND + 1)}
+            for start in sorted(near):
+                anchors = set().union(*(votes.get(start + d, ()) for d in range(-BAND, BAND + 1)))
+                if len(anchors) >= self.votes[k] and has_phrases(notice, words, start):
+                    best = max(best, words_in_order(notice.words, words, start) / len(notice.words))
+                    if best == 1.0:
+                        break
+            if best >= MIN_SHARE:
+                out.append((notice.label, best))
         return out
 
     def scan(self, text: bytes | None) -> tuple:

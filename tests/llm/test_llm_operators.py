@@ -1,6 +1,7 @@
 """Training-data operators against brute force, on plain and on hard rows."""
 
 import hashlib
+import functools
 import random
 import re
 import zlib
@@ -771,15 +772,29 @@ def test_license_labels(spark, docs, text, base, labels):
     assert (found[4], found[5]) == (base, labels)
 
 
+def plain_in_order(notice, words, start):
+    """Longest common subsequence by trying, for each place, to use or to pass over it."""
+    @functools.cache
+    def best(i, at):
+        if i == len(notice):
+            return 0
+        found = best(i + 1, at)
+        for p in range(max(0, at, start + i - license_scan.BAND), min(len(words), start + i + license_scan.BAND + 1)):
+            if words[p] == notice[i]:
+                found = max(found, 1 + best(i + 1, p + 1))
+        return found
+    return best(0, -10_000)
+
+
 def every_start(scanner, words):
     """Labels of the notices that pass at some start, by trying all of them."""
-    out = set()
+    out, band = set(), license_scan.BAND
     for n in scanner.notices:
-        for start in range(1 - len(n.words), len(words)):
-            same = sum(0 <= start + i < len(words) and words[start + i] == w for i, w in enumerate(n.words))
-            if same >= license_scan.MIN_SHARE * len(n.words) and all(
-                    start + at >= 0 and tuple(words[start + at:start + at + len(p)]) == p for at, p in n.phrases):
-                out.add(n.label)
+        for start in range(1 - len(n.words) - band, len(words) + band):
+            if all(any(begin >= 0 and tuple(words[begin:begin + len(p)]) == p
+                       for begin in range(start + at - band, start + at + band + 1)) for at, p in n.phrases):
+                if plain_in_order(n.words, words, start) >= license_scan.MIN_SHARE * len(n.words):
+                    out.add(n.label)
     return out
 
 
@@ -788,14 +803,17 @@ def test_license_labels_are_those_of_every_start():
     templates = license_scan.TEMPLATES + [
         ("free", "one two three four five six seven eight nine ten eleven twelve thirteen", []),
         ("same", "again and again and again and again and again", []), ("word", "copyleft", ["copyleft"])]
-    found = license_scan.notices(templates)
+    found = [n for n in license_scan.notices(templates) if len(n.words) < 40]
     rng = random.Random(10)
     hits = 0
-    for case in range(600):
+    for case in range(400):
         notice = rng.choice(found)
         words = list(notice.words)
         for at in rng.sample(range(len(words)), rng.randint(0, int(0.35 * len(words)))):
             words[at] = b"zz"
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            at = rng.randrange(len(words) + 1)
+            words[at:at + 1] = rng.choice([[], [b"zz", *words[at:at + 1]]])
         if case % 5 == 0:
             words = words[rng.randint(0, 2):]
         held = set(words)
@@ -805,7 +823,23 @@ def test_license_labels_are_those_of_every_start():
         want = every_start(scanner, words)
         assert {label for label, _ in scanner.notices_at(words)} == want
         hits += bool(want)
-    assert hits > 200
+    assert hits > 130
+
+
+def test_one_word_put_in_or_left_out_is_still_labelled():
+    """At every place outside the mandatory phrases, of every notice; the phrases must stay whole."""
+    found = license_scan.notices()
+    scanner = license_scan.Scanner(found, defaultdict(lambda: 1.0))
+    for n in found:
+        inside = {at + i for at, p in n.phrases for i in range(len(p))}
+        for at in range(len(n.words)):
+            if at not in inside:
+                left = list(n.words[:at] + n.words[at + 1:])
+                if len(left) >= license_scan.MIN_SHARE * len(n.words):
+                    assert n.label in dict(scanner.notices_at([b"x", *left, b"x"])), (n.label, at)
+            if not {at - 1, at} <= inside:
+                more = [*n.words[:at], b"either", *n.words[at:]]
+                assert dict(scanner.notices_at(more))[n.label] == 1.0, (n.label, at)
 
 
 def test_license_variant_without_the_rarest_words(spark):
