@@ -706,6 +706,23 @@ def test_rules_run_by_rejections_per_cost(spark, docs, monkeypatch):
     assert [r.name for r in order] == ["word_length", "dup_lines", "repeats", "few_words", "symbols"]
 
 
+def test_the_order_of_rules_is_the_same_in_every_run(docs):
+    orders = {tuple(r.name for r in quality_rules.rule_order(docs, "doc_id", "text")) for _ in range(10)}
+    assert len(orders) == 1
+
+
+def test_rules_count_what_those_before_them_leave(spark):
+    """``symbols`` costs least; of what it leaves ``repeats`` rejects nothing, though of all texts it rejects two."""
+    good = " ".join(f"word{i}" for i in range(30))
+    bad = "#### aa bb cc dd ee ff gg hh " * 4
+    table = spark.createDataFrame([(good,), (good + " x",), (bad,), (bad + " #",), ("few words",)], "_text string")
+    found = quality_rules.measure(table, [r for r in quality_rules.RULES if r.name in ("symbols", "repeats", "few_words")])
+    assert [m.rule.name for m in found] == ["few_words", "symbols", "repeats"]
+    assert [round(5 * m.rejected) for m in found] == [1, 2, 0]
+    assert quality_rules.asked_for(quality_rules.BASE_RULES[1]) == {"_h", "_win", "_order", "_starts", "n_repeat_words"}
+    assert quality_rules.measure(table.limit(0), quality_rules.RULES)[0].rejected == 0
+
+
 def test_rejected_texts_are_not_looked_at_again(spark, docs):
     """A rule that fails on what an earlier rule rejects never meets it."""
     F = quality_rules.F
