@@ -519,7 +519,7 @@ def score_waveforms(spark, d):
 
 
 def _stream_run(spark, d, upto: str, model=None, frame_len: int = C.TEST_FRAME_LENGTH,
-                max_files: int | None = 1000, pairing: str = "index") -> PL.PipelineRun:
+                max_files: int | None = None, pairing: str = "index") -> PL.PipelineRun:
     """A fresh pipeline instance over the staged files, run up to ``upto``."""
     root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
     run = PL.PipelineRun(spark, ST.recording_files(spark, d), root, model=model,
@@ -564,8 +564,7 @@ def stream_scan_marked(spark, d):
 def stream_scan_dat(spark, d):
     order = [PL.DAT_FILES_BRONZE]
     root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
-    run = PL.PipelineRun(spark, ST.recording_files(spark, d), root, max_files_per_trigger=1000,
-                         register_tables=False)
+    run = PL.PipelineRun(spark, ST.recording_files(spark, d), root, register_tables=False)
     run.run(order)
     return run.read(PL.DAT_FILES_BRONZE).select(*_folder_and_name(),
                                                 F.length(C.DAT_CONTENT).alias("n_bytes"))
@@ -812,7 +811,7 @@ def stream_join_backfill(spark, d):
     new, old = ST.backfill_files(spark, d)
     root = f"{ST.staging_path(spark, 'stream', d)}/run-{uuid.uuid4().hex[:10]}"
     order = [PL.CONFIG_FILES_BRONZE, PL.DAT_FILES_BRONZE, PL.JOINED_FILES_BRONZE]
-    run = PL.PipelineRun(spark, new, root, max_files_per_trigger=1000, register_tables=False)
+    run = PL.PipelineRun(spark, new, root, register_tables=False)
     run.run(order)
     run.source = old
     run.run(order)

@@ -64,8 +64,7 @@ def raw_text_files(spark: SparkSession, sf_dir: str) -> str:
         TD.recording_of_user(F.col("user_id")).alias("recording"),
         (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("time"),
         *[F.when(ch == p, F.col("value")).alias(p) for p in C.PHASE_CHANNELS])
-    # One task writes a recording's folder, so a recording is one file and not one per task.
-    rows.repartition("kind", "recording").write.partitionBy("kind", "recording").option("header", "false").csv(tmp)
+    FS.write_text(rows, tmp, ["kind", "recording"])
     return publish(spark, tmp, root)
 
 
@@ -122,13 +121,15 @@ def backfill_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     pairs = EN.encode_ascii(_captures(spark, sf_dir))
     odd = F.regexp_extract(C.FILENAME, r"^u(\d+)_", 1).cast("bigint") % 2 == 1
     FS.write_pairs(pairs.filter(~odd), tmp, "new")
-    FS.write_pairs(pairs.filter(odd), tmp, "old")
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(f"{tmp}/old")
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    listing = fs.listFiles(base, True)
-    while listing.hasNext():
-        st = listing.next()
-        fs.setTimes(st.getPath(), st.getModificationTime() - 86_400_000, -1)
+    FS.write_pairs(pairs.filter(odd), tmp, "old", days_old=1)
+    if not FS.qualified(spark, tmp).startswith("file:"):
+        # Other stores are asked file by file; the tasks date plain files as they write them.
+        jvm = spark.sparkContext._jvm
+        base = jvm.org.apache.hadoop.fs.Path(f"{tmp}/old")
+        fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        listing = fs.listFiles(base, True)
+        while listing.hasNext():
+            st = listing.next()
+            fs.setTimes(st.getPath(), st.getModificationTime() - 86_400_000, -1)
     publish(spark, tmp, root)
     return folders

@@ -7,6 +7,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable
 from urllib.parse import quote
 
@@ -62,12 +63,22 @@ def metadata_path() -> Column:
 
 
 def scan_raw_csv(spark: SparkSession, root: str, pattern: str = C.FAULT_PATH_PATTERN) -> DataFrame:
-    """Headerless ``time,IA,IB,IC`` text files, recursively, with path and label."""
-    df = (spark.read.schema(RAW_TEXT).option("recursiveFileLookup", "true")
-          .option("header", "false").csv(root))
-    path = metadata_path()
-    return df.select("*", path.alias("path"),
-                     path.rlike(pattern).cast("int").alias("is_fault"))
+    """Headerless ``time,IA,IB,IC`` text files, recursively, with path and label.
+
+    Files are listed and read by tasks: there may be one for each recording.
+    """
+    lines = _listed_lines(spark, root, "*").filter(F.trim("line") != "")
+    path = F.regexp_replace("path", "^file:/+", "file:///")
+    return lines.select(F.from_csv("line", RAW_TEXT.simpleString()[len("struct<"):-1].replace(":", " "))
+                        .alias("_row"), path.alias("path")).select(
+        "_row.*", "path", F.col("path").rlike(pattern).cast("int").alias("is_fault"))
+
+
+def _listed_lines(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """(path, line) of the files below ``root``."""
+    from gridwave.sources.listing import file_inventory_wide
+    from gridwave.sources.reading import read_lines
+    return read_lines(file_inventory_wide(spark, root, glob))
 
 
 # --------------------------------------------------------------------------- writing
@@ -77,7 +88,7 @@ def quoted(uri: str) -> str:
     return f"{scheme}://{quote(rest)}"
 
 
-def _write_partition(rows: Iterable, root: str) -> None:
+def _write_partition(rows: Iterable, root: str, days_old: int = 0) -> None:
     import pyarrow.fs as pafs
     fs, base = pafs.FileSystem.from_uri(quoted(root))
     made = set()
@@ -93,6 +104,9 @@ def _write_partition(rows: Iterable, root: str) -> None:
             # Whole-file overwrite: a retried task rewrites the same bytes.
             with fs.open_output_stream(target) as out:
                 out.write(payload.encode() if ext == ".cfg" else bytes(payload))
+            if days_old and fs.type_name == "local":
+                at = os.stat(target)
+                os.utime(target, ns=(at.st_atime_ns, at.st_mtime_ns - days_old * 86_400 * 10**9))
 
 
 def qualified(spark: SparkSession, root: str) -> str:
@@ -105,29 +119,71 @@ def qualified(spark: SparkSession, root: str) -> str:
     return f"{scheme}://{uri.getAuthority() or ''}{uri.getPath()}"
 
 
-def write_pairs(pairs: DataFrame, root: str, folder: str = "") -> None:
+def write_pairs(pairs: DataFrame, root: str, folder: str = "", days_old: int = 0) -> None:
     """Write (filename, config_content, dat_content) rows as ``<root>/<folder>/<filename>.cfg|.dat``.
 
     A row without a header or body writes only the other.  Runs on the executors
     (one writer per partition); no file passes through the driver.  Retries are safe because every file is written whole.
+    ``days_old`` dates the files so many days back, where the store is a plain file system.
     """
     prefix = f"{folder.strip('/')}/" if folder else ""
     staged = pairs.select(F.concat(F.lit(prefix), F.col(C.FILENAME)).alias("_relpath"),
                           C.CONFIG_CONTENT, C.DAT_CONTENT)
     target = qualified(pairs.sparkSession, root)
-    staged.foreachPartition(lambda rows: _write_partition(rows, target))
+    staged.foreachPartition(lambda rows: _write_partition(rows, target, days_old))
+
+
+def _write_text_partition(rows: Iterable, root: str) -> None:
+    import pyarrow.fs as pafs
+    fs, base = pafs.FileSystem.from_uri(quoted(root))
+    at, out = None, None
+    for r in rows:
+        if r["_folder"] != at:
+            if out is not None:
+                out.close()
+            at = r["_folder"]
+            fs.create_dir(f"{base}/{at}", recursive=True)
+            # Whole-file overwrite: a retried task rewrites the same rows.
+            out = fs.open_output_stream(f"{base}/{at}/part-0.csv")
+        out.write(r["_line"].encode() + b"\n")
+    if out is not None:
+        out.close()
+
+
+# What Spark writes as %XX in the folder of a partition value.
+_ESCAPED = r"([\x01-\x1f\x22#%'*/:=?\x5c\x7f{\[\]^])"
+
+
+def write_text(rows: DataFrame, root: str, keys: list[str]) -> None:
+    """Rows as headerless CSV, one file ``<key>=<value>/../part-0.csv`` for each value
+    of ``keys``, in folders named as ``partitionBy`` names them.
+
+    One task writes a folder, and writes its file as it goes: no row is held,
+    and neither a commit of each file nor a listing of them passes the driver.
+    """
+    def part(key: str) -> Column:
+        marked = F.regexp_replace(F.col(key).cast("string"), _ESCAPED, "\u0000$1\u0000")
+        # The marked characters stand at the odd places.
+        value = F.array_join(F.transform(F.split(marked, "\u0000"), lambda x, i: F.when(
+            i % 2 == 1, F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(x)), 2, "0"))).otherwise(x)), "")
+        return F.concat(F.lit(f"{key}="), F.coalesce(F.nullif(value, F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__")))
+
+    target = qualified(rows.sparkSession, root)
+    held = [c for c in rows.columns if c not in keys]
+    rows.select(F.concat_ws("/", *map(part, keys)).alias("_folder"), F.to_csv(F.struct(*held)).alias("_line")) \
+        .repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_folder") \
+        .sortWithinPartitions("_folder") \
+        .foreachPartition(lambda part_rows: _write_text_partition(part_rows, target))
 
 
 def scan_dat_lines(spark: SparkSession, root: str) -> DataFrame:
     """ASCII ``*.dat`` bodies as lines: (filename, line).
 
-    The text source splits large files across tasks, so a single huge
+    Large files are read in ranges by several tasks, so a single huge
     recording is read in parallel.  Point ``root`` at ASCII bodies only: a
     binary body has no line breaks and would arrive as one huge line.
     """
-    df = (spark.read.option("pathGlobFilter", C.DAT_GLOB).option("recursiveFileLookup", "true")
-          .text(root))
-    return df.select(pair_key(metadata_path()).alias(C.FILENAME), F.col("value").alias("line"))
+    return _listed_lines(spark, root, C.DAT_GLOB).select(pair_key(F.col("path")).alias(C.FILENAME), "line")
 
 
 RANGE_BYTES = 64 << 20      # of a body that one task reads at a time

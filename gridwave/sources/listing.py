@@ -32,6 +32,7 @@ from gridwave.sources.files import qualified, quoted
 
 ENTRY = "path string, is_folder boolean, length bigint, modificationTime timestamp"
 FILES_PER_TASK = 64
+ENTRIES_PER_BATCH = 10_000
 
 
 def _hidden(name: str) -> bool:
@@ -67,16 +68,26 @@ def file_inventory_wide(spark: SparkSession, root: str, glob: str = "*") -> Data
     # Spark spells local paths with one slash.
     prefix = "file:" if base.startswith("file://") else base[:len(base) - len(top)]
 
+    def made(rows):
+        return pa.record_batch([pa.array(c, t) for c, t in zip(
+            zip(*rows), (pa.string(), pa.bool_(), pa.int64(), pa.timestamp("us", "UTC")))],
+            names=["path", "is_folder", "length", "modificationTime"])
+
     def listed(batches):
         mine, _ = _opened(base)
+        rows = []
         for batch in batches:
             for folder in batch.column("path").to_pylist():
-                rows = [(e.path, e.type == pafs.FileType.Directory, e.size or 0, _modified(e))
-                        for e in _entries(mine, folder)]
-                rows = [r for r in rows if r[1] or fnmatch(r[0].rsplit("/", 1)[-1], glob)]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(
-                    list(zip(*rows)) or [()] * 4, (pa.string(), pa.bool_(), pa.int64(), pa.timestamp("us", "UTC")))],
-                    names=["path", "is_folder", "length", "modificationTime"])
+                for e in _entries(mine, folder):
+                    is_folder = e.type == pafs.FileType.Directory
+                    if is_folder or fnmatch(e.base_name, glob):
+                        rows.append((e.path, is_folder, e.size or 0, _modified(e)))
+                    # Many folders of a file each are few batches.
+                    if len(rows) >= ENTRIES_PER_BATCH:
+                        yield made(rows)
+                        rows = []
+        if rows:
+            yield made(rows)
 
     out = f"{shared_dir(spark)}/inventory-{uuid.uuid4().hex}"
     folders, left, level = spark.createDataFrame([(top,)], "path string"), 1, 0

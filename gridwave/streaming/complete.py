@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,6 +39,16 @@ def _unpacked(data: bytes) -> pd.DataFrame:
     return pa.ipc.open_stream(data).read_pandas()
 
 
+def _once(rows: pd.DataFrame, unique: Sequence[str]) -> pd.DataFrame:
+    """Rows that differ in the whole numbers ``unique``, of equal ones the first."""
+    keys = [rows[c].to_numpy() for c in unique]
+    order = np.lexsort(keys[::-1])          # stable: equal rows keep their order
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    return rows if new.all() else rows.iloc[np.sort(order[new])].reset_index(drop=True)
+
+
 def _when_complete(rows: DataFrame, keys: Sequence[str], unique: Sequence[str], expected: Callable, made: Callable,
                    schema: str, delay: str) -> DataFrame:
     """Groups of ``rows`` by ``keys``, turned by ``made`` once ``expected`` rows
@@ -54,7 +65,8 @@ def _when_complete(rows: DataFrame, keys: Sequence[str], unique: Sequence[str],
             yield made(held)
             return
         parts = [_unpacked(state.get[0])] if state.exists else []
-        held = pd.concat([*parts, *batches], ignore_index=True).drop_duplicates(list(unique))
+        parts.extend(batches)
+        held = _once(pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0], unique)
         if len(held) >= expected(held.iloc[0]):
             if state.exists:
                 state.remove()
@@ -75,11 +87,22 @@ def pivot_when_complete(flat: DataFrame, watermark: str = C.PIVOT_WATERMARK,
     names = list(channels)
 
     def made(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["sample_index", "channel_index"])
-        sample = rows.groupby("sample_index")[[C.FILENAME, C.TIMESTAMP, C.PROCESSED_TIMESTAMP, N_SAMPLES]].first()
-        wanted = rows[rows[C.ANALOG_CHANNEL_NAMES].isin(names)].drop_duplicates(["sample_index", C.ANALOG_CHANNEL_NAMES])
-        wide = wanted.pivot(index="sample_index", columns=C.ANALOG_CHANNEL_NAMES, values=C.ANALOG)
-        return sample.join(wide.reindex(columns=names)).loc[wide.index].reset_index()[columns]
+        # A group is small and there are many: plain arrays, no frame for each step.
+        order = np.lexsort((rows["channel_index"].to_numpy(), rows["sample_index"].to_numpy()))
+        at, channel = rows["sample_index"].to_numpy()[order], rows[C.ANALOG_CHANNEL_NAMES].to_numpy()[order]
+        value = rows[C.ANALOG].to_numpy(float)[order]
+        samples, place = np.unique(at, return_inverse=True)
+        first = np.unique(at, return_index=True)[1]
+        wide, there = {}, np.zeros(len(samples), bool)
+        for name in names:
+            mine = np.flatnonzero(channel == name)
+            # Of a channel that a sample has twice the first counts.
+            sample, k = np.unique(place[mine], return_index=True)
+            wide[name] = np.full(len(samples), np.nan)
+            wide[name][sample] = value[mine[k]]
+            there[sample] = True
+        out = {c: rows[c].to_numpy()[order[first[there]]] for c in (C.FILENAME, C.TIMESTAMP, C.PROCESSED_TIMESTAMP, N_SAMPLES)}
+        return pd.DataFrame({**out, **{n: wide[n][there] for n in names}, "sample_index": samples[there]})[columns]
 
     columns = [C.FILENAME, C.TIMESTAMP, *names, C.PROCESSED_TIMESTAMP, "sample_index", N_SAMPLES]
     schema = (f"{C.FILENAME} string, {C.TIMESTAMP} timestamp, {', '.join(f'{n} double' for n in names)}, "
@@ -102,12 +125,16 @@ def gather_when_complete(pivoted: DataFrame, watermark: str = C.GOLD_WATERMARK,
 
     def made(rows: pd.DataFrame) -> pd.DataFrame:
         # By time, then by the values, of which a missing one comes first.
-        order = [C.TIMESTAMP, *names]
-        rows = rows.sort_values(order, na_position="first")
-        values = [[None if pd.isna(v) else v for v in r] for r in rows[names].to_numpy().tolist()]
+        time, table = rows[C.TIMESTAMP].to_numpy(), rows[names].to_numpy(float)
+        missing = np.isnan(table)
+        keys = [k for j in reversed(range(len(names))) for k in (np.where(missing[:, j], 0, table[:, j]), ~missing[:, j])]
+        order = np.lexsort((*keys, time.view("int64")))         # a missing time is the least whole number
+        cells = table[order].astype(object)
+        cells[missing[order]] = None
+        values = cells.tolist()
         return pd.DataFrame({C.FILENAME: [rows[C.FILENAME].iloc[0]],
                              C.PROCESSED_TIMESTAMP: [rows[C.PROCESSED_TIMESTAMP].iloc[0]],
-                             "sample_times": [rows[C.TIMESTAMP].tolist()], "waveform": [values]})
+                             "sample_times": [rows[C.TIMESTAMP].iloc[order].tolist()], "waveform": [values]})
 
     schema = (f"{C.FILENAME} string, {C.PROCESSED_TIMESTAMP} timestamp, sample_times array<timestamp>, "
               "waveform array<array<double>>")
