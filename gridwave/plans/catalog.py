@@ -328,8 +328,16 @@ def channel_alias(spark, d):
 
 
 def _folder_and_name(key: str = C.FILENAME) -> list:
-    return [F.regexp_extract(F.col(key), r"([^/]+)/[^/]+$", 1).alias("folder"),
-            F.regexp_extract(F.col(key), r"([^/]+)$", 1).alias(C.FILENAME)]
+    """The last two segments of a path, empty where there is none.
+
+    Cut at the slashes: a pattern is tried again from every character of the path,
+    which long tables pay for each row.
+    """
+    path = F.col(key)
+    name = F.substring_index(path, "/", -1)
+    above = F.substring(path, F.lit(1), F.length(path) - F.length(name) - 1)
+    return [F.when(path.isNotNull(), F.when(name == "", F.lit("")).otherwise(F.substring_index(above, "/", -1)))
+            .alias("folder"), name.alias(C.FILENAME)]
 
 
 @register("file_inventory")
