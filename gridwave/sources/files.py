@@ -39,20 +39,33 @@ def _binary(spark: SparkSession, root: str, glob: str, stream: bool,
             .load(root))
 
 
+def stream_files(spark: SparkSession, root: str, glob: str, max_files: int | None = None) -> DataFrame:
+    """New files as Spark's own file stream gives them, whatever the store."""
+    return _binary(spark, root, glob, True, max_files)
+
+
+def cfg_rows(files: DataFrame) -> DataFrame:
+    """Header files (path, modificationTime, content) -> (filename, modificationTime, config_content string)."""
+    return files.select(pair_key(F.col("path")).alias(C.FILENAME), "modificationTime",
+                        F.col("content").cast("string").alias(C.CONFIG_CONTENT))
+
+
+def dat_rows(files: DataFrame) -> DataFrame:
+    """Body files (path, modificationTime, content) -> (filename, modificationTime, dat_content binary)."""
+    return files.select(pair_key(F.col("path")).alias(C.FILENAME), "modificationTime",
+                        F.col("content").alias(C.DAT_CONTENT))
+
+
 def scan_cfg(spark: SparkSession, root: str, stream: bool = False,
              max_files: int | None = None) -> DataFrame:
     """``*.cfg`` files -> (filename, modificationTime, config_content string)."""
-    return (_binary(spark, root, C.CFG_GLOB, stream, max_files)
-            .select(pair_key(F.col("path")).alias(C.FILENAME), "modificationTime",
-                    F.col("content").cast("string").alias(C.CONFIG_CONTENT)))
+    return cfg_rows(_binary(spark, root, C.CFG_GLOB, stream, max_files))
 
 
 def scan_dat(spark: SparkSession, root: str, stream: bool = False,
              max_files: int | None = None) -> DataFrame:
     """``*.dat`` files -> (filename, modificationTime, dat_content binary)."""
-    return (_binary(spark, root, C.DAT_GLOB, stream, max_files)
-            .select(pair_key(F.col("path")).alias(C.FILENAME), "modificationTime",
-                    F.col("content").alias(C.DAT_CONTENT)))
+    return dat_rows(_binary(spark, root, C.DAT_GLOB, stream, max_files))
 
 
 def metadata_path() -> Column:

@@ -45,6 +45,15 @@ def _opened(root: str):
     return pafs.FileSystem.from_uri(quoted(root))
 
 
+def listed_by_tasks(spark: SparkSession, root: str) -> bool:
+    """Whether pyarrow knows the store of ``root``; other stores are Spark's readers' alone."""
+    try:
+        _opened(qualified(spark, root))
+    except (ValueError, NotImplementedError, OSError):
+        return False
+    return True
+
+
 def _entries(fs, folder: str) -> list:
     """What lies in a folder, in the order of names."""
     import pyarrow.fs as pafs

@@ -1,4 +1,4 @@
-"""Listed files read by tasks as lines, a large file in ranges.
+"""Listed files read by tasks: whole, or as lines in ranges of a large file.
 
 Spark's own file index holds every file on the driver, and each of its listing
 jobs sends them there.  Here the listing is a table (``sources.listing``), its
@@ -13,10 +13,11 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridwave.schemas import BINARY_FILE
 from gridwave.sources.files import RANGE_BYTES, quoted
 
 FILES_PER_TASK = 64         # ranges of files at the least, before another task is started
-BATCH_BYTES = 8 << 20       # of content in one Arrow batch
+BATCH_BYTES = 8 << 20       # of content in one Arrow batch; a file is read whole by ``with_content``
 BATCH_FILES = 256
 LINE_BREAK = "\r\n|\n|\r"
 
@@ -43,6 +44,33 @@ def tasks_for(spark: SparkSession, n_files: int) -> int:
     return max(1, min(-(-n_files // FILES_PER_TASK), int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def with_content(files: DataFrame) -> DataFrame:
+    """Rows (path, modificationTime, length), batch or stream, with the bytes of each file."""
+    import pyarrow as pa
+
+    def read(batches: Iterator) -> Iterator:
+        open_file = opener()
+        rows, held = [], 0
+
+        def made():
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (
+                pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.binary()))], names=BINARY_FILE.names)
+
+        for batch in batches:
+            for path, modified, length in zip(*(batch.column(n).to_pylist() for n in BINARY_FILE.names[:3])):
+                with open_file(path) as f:
+                    content = f.read()
+                if rows and (held + len(content) > BATCH_BYTES or len(rows) >= BATCH_FILES):
+                    yield made()
+                    rows, held = [], 0
+                rows.append((path, modified, length, content))
+                held += len(content)
+        if rows:
+            yield made()
+
+    return files.select(*BINARY_FILE.names[:3]).mapInArrow(read, BINARY_FILE)
+
+
 # --------------------------------------------------------------------------- lines
 def line_chunks(open_file: Callable, path: str, start: int, end: int, length: int, step: int) -> Iterator[bytes]:
     """Whole lines of a file that begin in ``start`` .. ``end``, in chunks of about ``step`` bytes.

@@ -17,14 +17,16 @@ from gridwave.session import path_exists, publish
 BATCH = "batch"
 
 
-def commit_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    """Write ``df`` as batch ``batch_id`` of the table at ``path``, once."""
+def commit_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (),
+                 max_rows: int = 0) -> None:
+    """Write ``df`` as batch ``batch_id`` of the table at ``path``, once; a part file
+    of it holds at most ``max_rows``, or any number."""
     spark = df.sparkSession
     final = f"{path}/{BATCH}={batch_id}"
     if path_exists(spark, final):
         return
     hidden = f"{path}/_run-{batch_id}-{uuid.uuid4().hex[:8]}"
-    df.write.partitionBy(*partition_by).parquet(hidden)
+    df.write.partitionBy(*partition_by).option("maxRecordsPerFile", str(max_rows)).parquet(hidden)
     publish(spark, hidden, final)
 
 

@@ -44,7 +44,9 @@ from gridwave.operators import shape as SH
 from gridwave.operators.pairing import ARRIVAL_WAIT, INGEST_TIME, interval_join_stream, unpaired_files
 from gridwave.session import bounded_listing
 from gridwave.sources import files as FS
+from gridwave.sources.listing import listed_by_tasks
 from gridwave.streaming import arrivals as AV
+from gridwave.streaming import intake as IN
 from gridwave.streaming.commits import BATCH, commit_batch
 from gridwave.streaming.complete import N_CHANNELS, N_SAMPLES
 
@@ -87,14 +89,14 @@ def _ingested(files: DataFrame, part_format: str) -> DataFrame:
     return files.withColumn(INGEST_TIME, now).withColumn(AV.PART, F.date_format(now, part_format))
 
 
-def bronze_cfg(spark: SparkSession, source: str, max_files: int | None = None,
-               part_format: str = PART_FORMAT) -> DataFrame:
-    return _ingested(FS.scan_cfg(spark, source, stream=True, max_files=max_files), part_format)
+def bronze_cfg(files: DataFrame, part_format: str = PART_FORMAT) -> DataFrame:
+    """Header files (path, modificationTime, content) as rows of the bronze table."""
+    return _ingested(FS.cfg_rows(files), part_format)
 
 
-def bronze_dat(spark: SparkSession, source: str, max_files: int | None = None,
-               part_format: str = PART_FORMAT) -> DataFrame:
-    return _ingested(FS.scan_dat(spark, source, stream=True, max_files=max_files), part_format)
+def bronze_dat(files: DataFrame, part_format: str = PART_FORMAT) -> DataFrame:
+    """Body files (path, modificationTime, content) as rows of the bronze table."""
+    return _ingested(FS.dat_rows(files), part_format)
 
 
 def with_file_type(pairs: DataFrame) -> DataFrame:
@@ -231,12 +233,19 @@ class PipelineRun:
         reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
         return reader.parquet(self.path(table))
 
+    def new_files(self, table: str, glob: str) -> DataFrame:
+        """The source's files as a stream, each once, through a listing that this run brings up to date."""
+        if not listed_by_tasks(self.spark, self.source):
+            return FS.stream_files(self.spark, self.source, glob, self.max_files_per_trigger)
+        listing = self.path(f"_{table}_listing")
+        IN.list_new(self.spark, self.source, glob, listing, self.max_files_per_trigger)
+        return IN.read_new(self.spark, listing, self.max_files_per_trigger)
+
     def build(self, table: str) -> DataFrame:
-        s = self.spark
         if table == CONFIG_FILES_BRONZE:
-            return bronze_cfg(s, self.source, self.max_files_per_trigger, self.part_format)
+            return bronze_cfg(self.new_files(table, C.CFG_GLOB), self.part_format)
         if table == DAT_FILES_BRONZE:
-            return bronze_dat(s, self.source, self.max_files_per_trigger, self.part_format)
+            return bronze_dat(self.new_files(table, C.DAT_GLOB), self.part_format)
         if table == JOINED_FILES_BRONZE:
             return joined(self.read_stream(CONFIG_FILES_BRONZE), self.read_stream(DAT_FILES_BRONZE),
                           self.tolerance, self.wait)
