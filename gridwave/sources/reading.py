@@ -40,8 +40,16 @@ def opener() -> Callable:
     return opened
 
 
-def tasks_for(spark: SparkSession, n_files: int) -> int:
-    return max(1, min(-(-n_files // FILES_PER_TASK), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+def tasks_for(spark: SparkSession, n_files: int, n_bytes: int, task_bytes: int) -> int:
+    """Tasks for so many files and bytes: many small files, or a few large ones, are spread."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(max(-(-n_files // FILES_PER_TASK), -(-n_bytes // task_bytes)), most))
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """Of a file that one task reads: as Spark's own sources cut files, at the most ``RANGE_BYTES``."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return min(RANGE_BYTES, int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)))
 
 
 def with_content(files: DataFrame) -> DataFrame:
@@ -114,11 +122,12 @@ def line_chunks(open_file: Callable, path: str, start: int, end: int, length: in
             yield rest
 
 
-def read_lines(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def read_lines(files: DataFrame, range_bytes: int | None = None) -> DataFrame:
     """Listed files as lines: (path, line).  Lines end at LF, CR LF or CR; a file of
     more than ``range_bytes`` is read by as many tasks as it has ranges."""
     import pyarrow as pa
     spark = files.sparkSession
+    range_bytes = range_bytes or split_bytes(spark)
     ends = F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(range_bytes).cast("bigint"))
     ranges = files.filter("length > 0").select("path", "length", F.explode(ends).alias("start")).select(
         "path", "length", "start", F.least(F.col("start") + range_bytes, "length").alias("end"))
@@ -142,7 +151,8 @@ def read_lines(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
         if rows:
             yield made()
 
-    chunks = ranges.repartition(tasks_for(spark, ranges.count()), "path", "start").mapInArrow(
+    n, size = ranges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("end") - F.col("start")), F.lit(0))).first()
+    chunks = ranges.repartition(tasks_for(spark, n, size, range_bytes), "path", "start").mapInArrow(
         read, "path string, chunk binary")
     return chunks.select("path", F.explode(_lines(F.col("chunk").cast("string"))).alias("line"))
 
