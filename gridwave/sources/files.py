@@ -1,8 +1,10 @@
 """File sources and sinks for recordings (batch and stream).
 
-* cfg/dat pairs are read with the ``binaryFile`` source (whole file per row);
-* raw text recordings with the CSV source and a fixed schema;
-* the source path comes from ``binaryFile``'s ``path`` or ``_metadata.file_path``.
+* cfg/dat pairs are read whole, a row per file, as the ``binaryFile`` source gives them;
+* raw text recordings line by line with a fixed schema;
+* batch scans list and read by tasks (``listing``, ``reading``): Spark's own file index
+  would hold every file on the driver.  It is asked where pyarrow does not know the store,
+  and for roots that are a file, a pattern or missing.
 """
 
 from __future__ import annotations
@@ -20,7 +22,16 @@ from gridwave.schemas import BINARY_FILE, RAW_TEXT
 
 
 def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Recursive listing: path, length, modificationTime (content is never read)."""
+    """Recursive listing: path, length, modificationTime (content is never read).
+
+    Files without content are left out, as Spark's file sources do.
+    """
+    from gridwave.sources.listing import file_inventory_wide, lists_like_spark
+    if lists_like_spark(spark, root, glob or "*"):
+        scheme = _uri(spark, root).getScheme()
+        path = F.regexp_replace("path", f"^{_PYARROW_SCHEME.get(scheme, scheme)}:", f"{scheme}:")
+        return file_inventory_wide(spark, root, glob or "*").filter("length > 0").select(
+            path.alias("path"), "length", "modificationTime")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -29,6 +40,10 @@ def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> D
 
 def _binary(spark: SparkSession, root: str, glob: str, stream: bool,
             max_files: int | None = None) -> DataFrame:
+    from gridwave.sources.listing import lists_like_spark
+    from gridwave.sources.reading import dealt_out, with_content
+    if not stream and lists_like_spark(spark, root, glob):
+        return with_content(dealt_out(file_inventory(spark, root, glob)))
     if stream:
         reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
         if max_files:
@@ -122,13 +137,20 @@ def _write_partition(rows: Iterable, root: str, days_old: int = 0) -> None:
                 os.utime(target, ns=(at.st_atime_ns, at.st_mtime_ns - days_old * 86_400 * 10**9))
 
 
+_PYARROW_SCHEME = {"s3a": "s3", "s3n": "s3"}
+
+
+def _uri(spark: SparkSession, root: str):
+    """``root`` as Spark's own file system spells it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toUri()
+
+
 def qualified(spark: SparkSession, root: str) -> str:
     """``root`` with the scheme of the file system that Spark itself reads it from."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    uri = fs.makeQualified(path).toUri()
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(uri.getScheme(), uri.getScheme())
+    uri = _uri(spark, root)
+    scheme = _PYARROW_SCHEME.get(uri.getScheme(), uri.getScheme())
     return f"{scheme}://{uri.getAuthority() or ''}{uri.getPath()}"
 
 

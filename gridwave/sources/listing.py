@@ -36,7 +36,7 @@ ENTRIES_PER_BATCH = 10_000
 
 
 def _hidden(name: str) -> bool:
-    return name.startswith(".") or (name.startswith("_") and "=" not in name)
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
 
 
 def _opened(root: str):
@@ -54,6 +54,20 @@ def listed_by_tasks(spark: SparkSession, root: str) -> bool:
     return True
 
 
+def lists_like_spark(spark: SparkSession, root: str, glob: str = "*") -> bool:
+    """Whether a listing by tasks is what Spark's reader gives for ``root``: it is a
+    folder of a store that pyarrow knows, and neither name is a pattern of other
+    signs than ``*`` and ``?`` of the files' names."""
+    import pyarrow.fs as pafs
+    if set(root) & set("*?[]{}\\") or set(glob) & set("[]{}\\"):
+        return False
+    try:
+        fs, top = _opened(qualified(spark, root))
+        return fs.get_file_info(top).type == pafs.FileType.Directory
+    except (ValueError, NotImplementedError, OSError):
+        return False
+
+
 def _entries(fs, folder: str) -> list:
     """What lies in a folder, in the order of names."""
     import pyarrow.fs as pafs
@@ -102,7 +116,9 @@ def file_inventory_wide(spark: SparkSession, root: str, glob: str = "*") -> Data
     folders, left, level = spark.createDataFrame([(top,)], "path string"), 1, 0
     while left:
         tasks = min(left, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        folders.repartition(tasks, "path").mapInArrow(listed, ENTRY).write.parquet(f"{out}/level={level}")
+        # Plain pages: a join is planned by the size of the files, which is then that of the rows.
+        folders.repartition(tasks, "path").mapInArrow(listed, ENTRY).write.option("compression", "none") \
+            .option("parquet.enable.dictionary", "false").parquet(f"{out}/level={level}")
         folders = spark.read.schema(ENTRY).parquet(f"{out}/level={level}").filter("is_folder").select("path")
         left, level = folders.count(), level + 1
     return spark.read.schema(ENTRY).parquet(out).filter("NOT is_folder").select(

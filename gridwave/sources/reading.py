@@ -52,6 +52,13 @@ def split_bytes(spark: SparkSession) -> int:
     return min(RANGE_BYTES, int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)))
 
 
+def dealt_out(files: DataFrame) -> DataFrame:
+    """Listed files spread over the tasks that read them; a folder's listing is one task's."""
+    n, size = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    spark = files.sparkSession
+    return files.repartition(tasks_for(spark, n, size, split_bytes(spark)), "path")
+
+
 def with_content(files: DataFrame) -> DataFrame:
     """Rows (path, modificationTime, length), batch or stream, with the bytes of each file."""
     import pyarrow as pa
