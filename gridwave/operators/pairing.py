@@ -26,9 +26,10 @@ def interval_us(text: str) -> int:
 def pair_files(headers: DataFrame, bodies: DataFrame, key: str = C.FILENAME) -> DataFrame:
     """Headers with the body of the same key; ``unpaired_files`` lists the rest.
 
-    Both sides grow with the number of files, so how to join is left to Spark.
+    Both sides grow with the number of files, and no plan knows the size of files
+    that tasks read: both are shuffled, none is sent to the driver for a broadcast.
     """
-    return headers.join(bodies.select(key, C.DAT_CONTENT), key)
+    return headers.hint("merge").join(bodies.select(key, C.DAT_CONTENT), key)
 
 
 def unpaired_files(headers: DataFrame, bodies: DataFrame, key: str = C.FILENAME,
