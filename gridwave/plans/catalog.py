@@ -66,10 +66,10 @@ def _frame_labels(spark: SparkSession, d: str) -> DataFrame:
                            ["event_id"], C.TEST_FRAME_LENGTH, bucket_us=TD.EVENT_BUCKET_US)
 
 
-def _written(spark: SparkSession, d: str, df: DataFrame, name: str) -> DataFrame:
+def _written(spark: SparkSession, d: str, df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` computed once for this call, in the shared folder."""
     path = f"{ST.staging_path(spark, name, d)}/run-{uuid.uuid4().hex[:10]}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -708,7 +708,9 @@ def stream_late(spark, d):
 def decode_ascii_lines(spark, d):
     """ASCII bodies read as splittable text, decoded line by line to phase rows."""
     root = ST.recording_files(spark, d)
-    headers = DE.line_headers(FS.scan_cfg(spark, f"{root}/{ST.ASCII_FOLDER}"))
+    # In plain pages, whose size is that of the rows: by it Spark decides on a broadcast.
+    headers = _written(spark, d, DE.line_headers(FS.scan_cfg(spark, f"{root}/{ST.ASCII_FOLDER}")), "line-headers",
+                       **{"compression": "none", "parquet.enable.dictionary": "false"})
     lines = FS.scan_dat_lines(spark, f"{root}/{ST.ASCII_FOLDER}")
     out = DE.decode_ascii_lines(lines, headers)
     return out.select(*_folder_and_name(), "sample_number",

@@ -8,12 +8,14 @@ pyarrow's file systems.  The driver sees counts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridwave.schemas import BINARY_FILE
+from gridwave.session import shared_dir
 from gridwave.sources.files import RANGE_BYTES, quoted
 
 FILES_PER_TASK = 64         # ranges of files at the least, before another task is started
@@ -131,7 +133,11 @@ def line_chunks(open_file: Callable, path: str, start: int, end: int, length: in
 
 def read_lines(files: DataFrame, range_bytes: int | None = None) -> DataFrame:
     """Listed files as lines: (path, line).  Lines end at LF, CR LF or CR; a file of
-    more than ``range_bytes`` is read by as many tasks as it has ranges."""
+    more than ``range_bytes`` is read by as many tasks as it has ranges.
+
+    The lines are read once, into the shared folder: what asks for them several
+    times opens no file again, and what decodes them has no Python in its plan.
+    """
     import pyarrow as pa
     spark = files.sparkSession
     range_bytes = range_bytes or split_bytes(spark)
@@ -161,7 +167,10 @@ def read_lines(files: DataFrame, range_bytes: int | None = None) -> DataFrame:
     n, size = ranges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("end") - F.col("start")), F.lit(0))).first()
     chunks = ranges.repartition(tasks_for(spark, n, size, range_bytes), "path", "start").mapInArrow(
         read, "path string, chunk binary")
-    return chunks.select("path", F.explode(_lines(F.col("chunk").cast("string"))).alias("line"))
+    lines = chunks.select("path", F.explode(_lines(F.col("chunk").cast("string"))).alias("line"))
+    out = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
+    lines.write.parquet(out)
+    return spark.read.schema(lines.schema).parquet(out)
 
 
 def _lines(chunk: Column) -> Column:
