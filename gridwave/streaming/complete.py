@@ -8,6 +8,12 @@ last batch needs no later one, and no row that is not a sample.
 
 The pivot's groups are runs of ``CHUNK`` samples, so that a recording of any
 length is many groups; a gathered waveform is one row, and so is its group.
+
+Groups are small and there are many, and a call of Python costs as much as
+hundreds of rows: Spark keys the rows by ``BUCKETS`` hashes of the group, and a
+call handles all groups of its bucket together, in plain arrays.  Each group of a
+bucket has a time of its own at which it is written as it is.  State written under
+single groups cannot be read by these streams: they begin with a new checkpoint.
 """
 
 from __future__ import annotations
@@ -25,6 +31,7 @@ from gridwave import constants as C
 from gridwave.operators.pairing import interval_us
 
 CHUNK = 1024            # samples of a recording in one group of the pivot
+BUCKETS = 1 << 12       # most calls of Python in a micro-batch; fixed by the checkpoint
 N_SAMPLES, N_CHANNELS = "n_samples", "n_channels"
 
 
@@ -54,30 +61,42 @@ def _when_complete(rows: DataFrame, keys: Sequence[str], unique: Sequence[str],
     """Groups of ``rows`` by ``keys``, turned by ``made`` once ``expected`` rows
     that differ in ``unique`` are there, or the watermark has passed them.
 
-    A row delivered twice counts once, the first.
+    A row delivered twice counts once, the first.  ``expected`` is given the first
+    row of each group, ``made`` the rows of some groups and the number of each row's.
     """
-    wait_ms = interval_us(delay) // 1000
+    wait_ms, keys = interval_us(delay) // 1000, list(keys)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            held = _unpacked(state.get[0])
-            state.remove()
-            yield made(held)
-            return
         parts = [_unpacked(state.get[0])] if state.exists else []
-        parts.extend(batches)
-        held = _once(pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0], unique)
-        if len(held) >= expected(held.iloc[0]):
-            if state.exists:
-                state.remove()
-            yield made(held)
-            return
-        state.update((_packed(held),))
-        last = int(held[C.PROCESSED_TIMESTAMP].max().timestamp() * 1000)
-        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + wait_ms + 1)
+        n_held = len(parts[0]) if parts else 0
+        due = parts[0].pop("_due").to_numpy() if parts else np.empty(0, np.int64)
+        if not state.hasTimedOut:
+            parts.extend(b.drop(columns="_bucket") for b in batches)
+        held = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
+        held["_group"] = held.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+        n = int(held["_group"].max()) + 1
+        touched, limit = np.zeros(n, bool), np.zeros(n, np.int64)
+        touched[held["_group"].to_numpy()[n_held:]] = True
+        limit[held["_group"].to_numpy()[:n_held]] = due
+        held = _once(held, ["_group", *unique])
+        group, now = held["_group"].to_numpy(), state.getCurrentWatermarkMs()
+        firsts = held.iloc[np.unique(group, return_index=True)[1]]
+        last = held.groupby("_group")[C.PROCESSED_TIMESTAMP].max().to_numpy().astype("datetime64[ms]").astype(np.int64)
+        limit = np.where(touched, np.maximum(last, now) + wait_ms + 1, limit)
+        out = (np.bincount(group, minlength=n) >= np.asarray(expected(firsts), float)) | (limit < now)
+        if not out.all():
+            kept = held[~out[group]].drop(columns="_group")
+            state.update((_packed(kept.assign(_due=limit[group[~out[group]]])),))
+            state.setTimeoutTimestamp(max(int(limit[~out].min()), now + 1))
+        elif state.exists:
+            state.remove()
+        if out.any():
+            ready = held[out[group]].reset_index(drop=True)
+            yield made(ready, ready.pop("_group").to_numpy())
 
-    return rows.withWatermark(C.PROCESSED_TIMESTAMP, delay).groupBy(*keys).applyInPandasWithState(
-        step, schema, "rows binary", "append", GroupStateTimeout.EventTimeTimeout)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    return rows.withColumn("_bucket", bucket).withWatermark(C.PROCESSED_TIMESTAMP, delay).groupBy("_bucket") \
+        .applyInPandasWithState(step, schema, "rows binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def pivot_when_complete(flat: DataFrame, watermark: str = C.PIVOT_WATERMARK,
@@ -86,13 +105,14 @@ def pivot_when_complete(flat: DataFrame, watermark: str = C.PIVOT_WATERMARK,
     that a recording lacks is null, of one that it has twice the first counts."""
     names = list(channels)
 
-    def made(rows: pd.DataFrame) -> pd.DataFrame:
-        # A group is small and there are many: plain arrays, no frame for each step.
-        order = np.lexsort((rows["channel_index"].to_numpy(), rows["sample_index"].to_numpy()))
+    def made(rows: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
+        order = np.lexsort((rows["channel_index"].to_numpy(), rows["sample_index"].to_numpy(), group))
         at, channel = rows["sample_index"].to_numpy()[order], rows[C.ANALOG_CHANNEL_NAMES].to_numpy()[order]
         value = rows[C.ANALOG].to_numpy(float)[order]
-        samples, place = np.unique(at, return_inverse=True)
-        first = np.unique(at, return_index=True)[1]
+        new = np.ones(len(order), bool)
+        new[1:] = (at[1:] != at[:-1]) | (group[order][1:] != group[order][:-1])
+        first, place = np.flatnonzero(new), np.cumsum(new) - 1
+        samples = at[first]
         wide, there = {}, np.zeros(len(samples), bool)
         for name in names:
             mine = np.flatnonzero(channel == name)
@@ -111,8 +131,8 @@ def pivot_when_complete(flat: DataFrame, watermark: str = C.PIVOT_WATERMARK,
                        C.ANALOG_CHANNEL_NAMES, C.ANALOG, N_SAMPLES, N_CHANNELS,
                        F.floor(F.col("sample_index") / CHUNK).alias("_chunk"))
 
-    def expected(row) -> int:
-        return min(CHUNK, row[N_SAMPLES] - int(row["_chunk"]) * CHUNK) * row[N_CHANNELS]
+    def expected(first: pd.DataFrame) -> pd.Series:
+        return np.minimum(CHUNK, first[N_SAMPLES] - first["_chunk"] * CHUNK) * first[N_CHANNELS]
 
     return _when_complete(rows, [C.FILENAME, C.PROCESSED_TIMESTAMP, "_chunk"], ["sample_index", "channel_index"],
                           expected, made, schema, watermark)
@@ -123,21 +143,24 @@ def gather_when_complete(pivoted: DataFrame, watermark: str = C.GOLD_WATERMARK,
     """Phase rows (T5) -> one row per recording: sample times in order, and the waveform."""
     names = list(channels)
 
-    def made(rows: pd.DataFrame) -> pd.DataFrame:
+    def made(rows: pd.DataFrame, group: np.ndarray) -> pd.DataFrame:
         # By time, then by the values, of which a missing one comes first.
         time, table = rows[C.TIMESTAMP].to_numpy(), rows[names].to_numpy(float)
         missing = np.isnan(table)
         keys = [k for j in reversed(range(len(names))) for k in (np.where(missing[:, j], 0, table[:, j]), ~missing[:, j])]
-        order = np.lexsort((*keys, time.view("int64")))         # a missing time is the least whole number
+        order = np.lexsort((*keys, time.view("int64"), group))  # a missing time is the least whole number
         cells = table[order].astype(object)
         cells[missing[order]] = None
-        values = cells.tolist()
-        return pd.DataFrame({C.FILENAME: [rows[C.FILENAME].iloc[0]],
-                             C.PROCESSED_TIMESTAMP: [rows[C.PROCESSED_TIMESTAMP].iloc[0]],
-                             "sample_times": [rows[C.TIMESTAMP].iloc[order].tolist()], "waveform": [values]})
+        values, times = cells.tolist(), rows[C.TIMESTAMP].iloc[order].tolist()
+        start = np.unique(group[order], return_index=True)[1]
+        spans = list(zip(start.tolist(), [*start[1:].tolist(), len(order)]))
+        return pd.DataFrame({C.FILENAME: rows[C.FILENAME].to_numpy()[order[start]],
+                             C.PROCESSED_TIMESTAMP: rows[C.PROCESSED_TIMESTAMP].to_numpy()[order[start]],
+                             "sample_times": [times[a:b] for a, b in spans],
+                             "waveform": [values[a:b] for a, b in spans]})
 
     schema = (f"{C.FILENAME} string, {C.PROCESSED_TIMESTAMP} timestamp, sample_times array<timestamp>, "
               "waveform array<array<double>>")
     rows = pivoted.select(C.FILENAME, C.TIMESTAMP, *names, C.PROCESSED_TIMESTAMP, "sample_index", N_SAMPLES)
-    return _when_complete(rows, [C.FILENAME, C.PROCESSED_TIMESTAMP], ["sample_index"], lambda r: r[N_SAMPLES], made,
-                          schema, watermark)
+    return _when_complete(rows, [C.FILENAME, C.PROCESSED_TIMESTAMP], ["sample_index"], lambda first: first[N_SAMPLES],
+                          made, schema, watermark)
