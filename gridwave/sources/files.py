@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterable
 from urllib.parse import quote
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from gridwave import constants as C
 from gridwave.functions.keys import pair_key
 from gridwave.schemas import BINARY_FILE, RAW_TEXT
+from gridwave.session import shared_dir
 
 
 def file_inventory(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -73,8 +75,19 @@ def dat_rows(files: DataFrame) -> DataFrame:
 
 def scan_cfg(spark: SparkSession, root: str, stream: bool = False,
              max_files: int | None = None) -> DataFrame:
-    """``*.cfg`` files -> (filename, modificationTime, config_content string)."""
-    return cfg_rows(_binary(spark, root, C.CFG_GLOB, stream, max_files))
+    """``*.cfg`` files -> (filename, modificationTime, config_content string).
+
+    In a batch that tasks read, headers are read once, into the shared folder: they
+    are joined to bodies, mostly several times.  In plain pages, so that a join is
+    planned by the size of the rows.
+    """
+    from gridwave.sources.listing import lists_like_spark
+    rows = cfg_rows(_binary(spark, root, C.CFG_GLOB, stream, max_files))
+    if stream or not lists_like_spark(spark, root, C.CFG_GLOB):
+        return rows
+    out = f"{shared_dir(spark)}/headers-{uuid.uuid4().hex}"
+    rows.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(out)
+    return spark.read.schema(rows.schema).parquet(out)
 
 
 def scan_dat(spark: SparkSession, root: str, stream: bool = False,
